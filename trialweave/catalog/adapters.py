@@ -39,6 +39,7 @@ PRIORITY_CONDITION = {
     "3-MEDIUM": "Type 2 Diabetes",
     "5-LOW": "Healthy",
 }
+LANG_CONDITION = {"en": "Asthma", "fr": "Maladie de CROHN", "de": "Hepatitis C"}
 STATUS_CONDITION = {"F": "Disease X", "O": "Sclerosis", "P": "Stroke"}
 
 
@@ -177,6 +178,16 @@ def condition_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def document_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts as the first of a list of conditions."""
+    return table(spark, sf_dir, "documents").select(
+        "doc_id",
+        F.array(
+            "text", F.coalesce(_lookup(F.col("lang"), LANG_CONDITION), F.lit("Healthy"))
+        ).alias("conditions"),
+    )
+
+
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A response page per order: its study and, for some, a second one without any field."""
     priority, status = F.col("o_orderpriority"), F.col("o_orderstatus")

@@ -299,9 +299,12 @@ timed AS (SELECT *, event_date::TIMESTAMP AS event_time FROM page_studies),{_pul
     ),
     "condition_list_area": _CONDITION_AREAS,
     "condition_rows_area": _CONDITION_AREAS,
-    "document_areas": (
-        f"SELECT doc_id, {_area('lower(text)', updates=True)} AS therapeutic_area FROM documents"
-    ),
+    "document_areas": f"""
+SELECT doc_id, {_area('words', updates=True)} AS therapeutic_area FROM (
+  SELECT doc_id, lower(text || ' ' || CASE lang WHEN 'en' THEN 'Asthma'
+           WHEN 'fr' THEN 'Maladie de CROHN' WHEN 'de' THEN 'Hepatitis C'
+           ELSE 'Healthy' END) AS words
+  FROM documents)""",
     "encoded_events": _with(_EVENTS, "SELECT * FROM updates"),
     "daily_activity": _with(_ACTIVITY, "SELECT * FROM activity"),
     "daily_activity_stream": _with(_ACTIVITY, "SELECT * FROM activity"),

@@ -15,7 +15,7 @@ from trialweave.operators.pulse import daily_pulse
 from trialweave.plans import marts, report, staging
 from trialweave.plans.daily import activity_of_pages
 from trialweave.plans.monthly import run_monthly
-from trialweave.session import scratch_path, use_utc
+from trialweave.session import scratch_path, configure
 from trialweave.sinks.messages import encode_events, publish
 from trialweave.sinks.tables import (
     register_views,
@@ -47,11 +47,11 @@ KNOWN_BEFORE = "2024-01-16"
 
 
 def query(run: Query) -> Query:
-    def with_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return run(use_utc(spark), sf_dir)
+    def configured(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return run(configure(spark), sf_dir)
 
-    QUERIES[run.__name__] = with_zone
-    return with_zone
+    QUERIES[run.__name__] = configured
+    return configured
 
 
 # --- shared inputs -----------------------------------------------------------------------------
@@ -258,9 +258,9 @@ def condition_rows_area(spark, sf_dir):
 
 @query
 def document_areas(spark, sf_dir):
-    """The update rules over whole texts."""
-    return adapters.table(spark, sf_dir, "documents").select(
-        "doc_id", conditions_area(F.array("text")).alias("therapeutic_area")
+    """The update rules over whole texts, each followed by a condition that its language gives."""
+    return adapters.document_conditions(spark, sf_dir).select(
+        "doc_id", conditions_area(F.col("conditions")).alias("therapeutic_area")
     )
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,16 +37,17 @@ def refresh_trends(spark: SparkSession, warehouse: str, mode: str = "skip_date")
 def run_daily(
     spark: SparkSession, pages: str, warehouse: str, event_date: str, mode: str = "skip_date"
 ) -> SyncResult:
-    """Publish a day's updates, aggregate what is queued, sync and refresh the mart."""
+    """Publish a day's updates, aggregate them, sync and refresh the mart.
+
+    Every run is independent: it replaces the day's messages and aggregates them from an empty
+    state in a staging folder of its own. So a day may be run again or out of order.
+    """
+    messages = f"{warehouse}/trial_updates/event_date={event_date}"
+    stage = f"{warehouse}/staging/event_date={event_date}/run-{uuid.uuid4().hex}"
     events = flatten_pages(read_pages(spark, pages, event_date, event_date))
-    if publish(events, f"{warehouse}/trial_updates"):
-        pulse_from_messages(
-            spark,
-            f"{warehouse}/staging",
-            f"{warehouse}/quarantine",
-            path=f"{warehouse}/trial_updates",
-        )
-    result = sync_new_dates(spark, f"{warehouse}/staging", f"{warehouse}/daily_activity", mode)
+    if publish(events, messages, mode="overwrite"):
+        pulse_from_messages(spark, stage, f"{stage}/quarantine", path=messages)
+    result = sync_new_dates(spark, stage, f"{warehouse}/daily_activity", mode)
     if result.status == "appended":
         refresh_trends(spark, warehouse, mode)
     return result
@@ -68,7 +70,7 @@ def run_backfill(
     """Aggregate all days of a range in one job and merge them into the history.
 
     Days are independent of each other and known days are skipped, so a backfill may overlap
-    earlier runs. It keeps clear of the streaming checkpoint, whose watermark would drop old days.
+    earlier runs.
     """
     activity = activity_of_pages(read_pages(spark, pages, first_day, last_day))
     result = merge_activity(spark, activity, f"{warehouse}/daily_activity", mode)

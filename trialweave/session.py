@@ -7,26 +7,29 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Window boundaries and date casts are defined in UTC.
-SESSION_ZONE = "UTC"
+# Settings the operators count on, put on any session they run in.
+SETTINGS = {
+    # Window boundaries and date casts are defined in UTC.
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split an oversized join partition even if the next join then needs a shuffle of its own.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
-def build_session(app_name: str = "trialweave", **conf: str) -> SparkSession:
-    builder = (
-        SparkSession.builder.appName(app_name)
-        .config("spark.sql.session.timeZone", SESSION_ZONE)
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-    )
-    for key, value in conf.items():
+def build_session(app_name: str = "trialweave", conf: dict[str, str] | None = None) -> SparkSession:
+    builder = SparkSession.builder.appName(app_name)
+    for key, value in (conf or {}).items():
         builder = builder.config(key, value)
-    return use_utc(builder.getOrCreate())
+    return configure(builder.getOrCreate())
 
 
-def use_utc(spark: SparkSession) -> SparkSession:
-    """Pin the zone on a session somebody else built."""
-    spark.conf.set("spark.sql.session.timeZone", SESSION_ZONE)
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply the settings to a session, also to one that somebody else built."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
     return spark
 
 

@@ -20,14 +20,22 @@ def encode_events(events: DataFrame) -> DataFrame:
 
 
 def publish(
-    events: DataFrame, path: str | None = None, *, servers: str | None = None, topic: str = TOPIC
+    events: DataFrame,
+    path: str | None = None,
+    *,
+    servers: str | None = None,
+    topic: str = TOPIC,
+    mode: str = "append",
 ) -> bool:
-    """Append events to a folder of line files or to a topic; false when there were none."""
+    """Write events to a folder of line files or append them to a topic.
+
+    Nothing is written, and false returned, when there are none.
+    """
     if events.isEmpty():
         return False
     messages = encode_events(events)
     if path is not None:
-        messages.write.mode("append").text(path)
+        messages.write.mode(mode).text(path)
     else:
         (
             messages.write.format("kafka")

@@ -28,11 +28,8 @@ def read_pages(
     The day is the one that was asked for, hence the folder and not a field of the document. The
     bounds prune folders; a page is at most one response, so reading files whole is bounded.
     """
-    pages = (
-        spark.read.schema(schemas.struct(value=StringType(), event_date=StringType()))
-        .option("wholetext", True)
-        .text(root)
-    )
+    columns = schemas.struct(value=StringType(), event_date=StringType())
+    pages = spark.read.schema(columns).text(root, wholetext=True)
     if first_day is not None:
         pages = pages.filter(F.col("event_date") >= first_day)
     if last_day is not None:

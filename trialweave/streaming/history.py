@@ -56,8 +56,7 @@ def merge_activity(
     ``skip_date`` appends only days the history lacks. ``upsert`` appends every row as a newer
     version, so a late area of a known day is kept; read the history with the same mode.
     """
-    if mode not in MODES:
-        raise ValueError(f"mode must be one of {MODES}")
+    _require_known(mode)
     skipped = None
     if mode == "skip_date":
         known = read_daily_activity(spark, target)
@@ -77,6 +76,7 @@ def sync_new_dates(
     Without staged rows nothing happens. Otherwise the staging area is cleared even if no day was
     new. A run that dies in between is repeated safely: known days are skipped.
     """
+    _require_known(mode)
     done, newest = synced_batch(spark, staging), last_batch(spark, staging)
     if newest <= done:
         return SyncResult("empty")
@@ -84,3 +84,8 @@ def sync_new_dates(
     result = merge_activity(spark, staged, target, mode)
     mark_synced(spark, staging, newest)
     return result
+
+
+def _require_known(mode: str) -> None:
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from trialweave.operators.pulse import daily_pulse
-from trialweave.session import use_utc
+from trialweave.session import configure
 from trialweave.sources.events import decode_events, good_events, quarantined, read_messages
 from trialweave.streaming.staging import write_changes
 
@@ -18,7 +18,7 @@ STATE_PARTITIONS = 16
 
 def streaming_session(spark: SparkSession, state_partitions: int = STATE_PARTITIONS) -> SparkSession:
     """A session on the same application with its own number of state partitions."""
-    own = use_utc(spark.newSession())
+    own = configure(spark.newSession())
     own.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
     return own
 
