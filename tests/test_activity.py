@@ -95,6 +95,15 @@ def test_pages_are_pruned_by_day(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(event_date" in df._jdf.queryExecution().toString()
 
 
+def test_pages_stored_one_per_line(spark, tmp_path):
+    folder = tmp_path / "event_date=2024-01-05"
+    folder.mkdir()
+    bodies = [{"studies": [study(f"N{i}"), study(f"M{i}")]} for i in range(3)]
+    (folder / "pages.jsonl").write_text("".join(json.dumps(b) + "\n" for b in bodies))
+    df = pages.flatten_pages(pages.read_pages(spark, str(tmp_path), per_line=True))
+    assert sorted(r.nct_id for r in df.collect()) == ["M0", "M1", "M2", "N0", "N1", "N2"]
+
+
 def test_page_that_is_not_json_fails(spark, tmp_path):
     land_page(tmp_path, "2024-01-05", "p", study())
     (tmp_path / "event_date=2024-01-05" / "bad.json").write_text('{"studies": [{"protocol')

@@ -8,6 +8,8 @@ from pathlib import Path
 
 import pyarrow.parquet as pq
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
@@ -15,7 +17,7 @@ from trialweave.operators import quality, trials
 from trialweave.plans import marts, monthly, staging
 from trialweave.session import configure, scratch_path, shared_folder
 from trialweave.sinks.tables import register_views, write_landscape, write_trials
-from trialweave.sources import snapshots, tables
+from trialweave.sources import delimited, snapshots, tables
 
 STUDY_COLUMNS = ("nct_id", "brief_title", "overall_status", "phase", "study_type", "source",
                  "enrollment", "start_date", "completion_date", "study_first_posted_date")
@@ -45,15 +47,36 @@ def test_delimited_dialect(spark, tmp_path):
                     'A|"x|y\nz ""q"""|5|u\n'
                     'B||\n'
                     'C|""|7|\n')
-    rows = snapshots.read_delimited(spark, str(file)).select("id", "title", "n").collect()
+    rows = delimited.read_delimited(spark, str(file)).select("id", "title", "n").collect()
     assert [tuple(r) for r in rows] == [("A", 'x|y\nz "q"', "5"), ("B", None, None),
                                         ("C", None, "7")]
 
 
-def test_delimited_single_line(spark, tmp_path):
-    (tmp_path / "sponsors.txt").write_text('id|name\nA|"x|y"\nB|z\n')
-    rows = snapshots.read_delimited(spark, str(tmp_path / "sponsors.txt"), multi_line=False)
-    assert sorted(map(tuple, rows.collect())) == [("A", "x|y"), ("B", "z")]
+_FIELDS = st.sampled_from([None, "", "x", "a|b", "two\nlines", 'say "hi"', '"', "\n", "\n\n|\n", "é",
+                           "line\nNCT|2\n", '""\n"', " pad ", "#"])
+
+
+def _quoted(field):
+    if field is None:
+        return ""
+    return '"' + field.replace('"', '""') + '"' if set(field) & set('|"\n') or not field else field
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.lists(st.tuples(_FIELDS, _FIELDS, _FIELDS), max_size=12), min_size=1, max_size=3),
+       st.integers(5, 80), st.sampled_from(["\n", "\r\n"]))
+def test_split_reader_agrees_with_the_whole_file_reader(spark, tmp_path_factory, files, size, end):
+    folder = tmp_path_factory.mktemp("text")
+    for i, rows in enumerate(files):
+        text = "".join("|".join(map(_quoted, row)) + end for row in [("id", "t", "b c"), *rows])
+        (folder / f"{i}.txt").write_bytes(text.encode())
+    own = configure(spark.newSession())
+    own.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    own.conf.set("spark.sql.files.openCostInBytes", "0")
+    whole = delimited.read_delimited(own, str(folder))
+    split = delimited.read_delimited_split(own, str(folder))
+    assert split.columns == whole.columns
+    assert sorted(map(tuple, split.collect()), key=repr) == sorted(map(tuple, whole.collect()), key=repr)
 
 
 def test_snapshot_falls_back_to_the_fixed_date(spark, tmp_path):

@@ -40,11 +40,31 @@ PRIORITY_CONDITION = {
     "5-LOW": "Healthy",
 }
 LANG_CONDITION = {"en": "Asthma", "fr": "Maladie de CROHN", "de": "Hepatitis C"}
+EVENT_CONDITION = {
+    "signup": "Breast Cancer",
+    "view": "Stroke",
+    "purchase": "Parkinson Disease",
+    "click": "HIV Infections",
+}
 STATUS_CONDITION = {"F": "Disease X", "O": "Sclerosis", "P": "Stroke"}
 
 
+# The columns used of each table; given, so that no job reads a footer to find them.
+COLUMNS = {
+    "customer": "c_custkey bigint, c_mktsegment string",
+    "documents": "doc_id bigint, text string, lang string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "part": "p_partkey bigint, p_name string",
+    "supplier": "s_suppkey bigint, s_name string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _lookup(key: Column, values: dict[str, str]) -> Column:
@@ -70,7 +90,7 @@ def studies(spark: SparkSession, sf_dir: str) -> DataFrame:
     key, price = F.col("o_orderkey").cast("string"), F.col("o_totalprice")
 
     def text(date: Column) -> Column:
-        return F.date_format(date, "yyyy-MM-dd")
+        return date.cast("string")
 
     no_day = (priority == "2-HIGH") & (status == "O")
     duration = (F.floor(price / 500) - 100).cast("int")
@@ -91,7 +111,7 @@ def studies(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when((status == "P") & (priority == "1-URGENT"), "n/a")
         .otherwise(F.floor(price / 1000).cast("string"))
         .alias("enrollment"),
-        F.when(no_day, F.date_format(_start(), "yyyy-MM")).otherwise(text(_start())).alias(
+        F.when(no_day, F.left(text(_start()), F.lit(7))).otherwise(text(_start())).alias(
             "start_date"
         ),
         F.when(status != "O", text(F.date_add(_start(), duration))).alias("completion_date"),
@@ -135,7 +155,7 @@ def batch_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     return studies(spark, sf_dir), sponsors(spark, sf_dir), conditions(spark, sf_dir)
 
 
-def trial_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+def trial_updates(spark: SparkSession, sf_dir: str, *extra: Column) -> DataFrame:
     """The eight event columns; events of type error have no area."""
     grade = F.get_json_object("props", "$.k").cast("int")
     value = F.col("value")
@@ -149,8 +169,9 @@ def trial_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
         _lookup(F.col("event_type"), EVENT_AREA).alias("therapeutic_area"),
         F.when(grade < 33, "INDUSTRY").when(grade < 66, "NIH").alias("sponsor_class"),
         F.floor(value).cast("int").alias("enrollment"),
-        F.date_format("ts", "yyyy-MM-dd").alias("event_date"),
+        F.to_date("ts").cast("string").alias("event_date"),
         F.concat(F.lit("Sponsor "), F.col("user_id").cast("string")).alias("lead_sponsor"),
+        *extra,
     )
 
 
@@ -226,5 +247,29 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).otherwise(F.array(study(True)))
     return table(spark, sf_dir, "orders").select(
         F.to_json(F.struct(studies_of_page.alias("studies"))).alias("value"),
-        F.date_format(_start(), "yyyy-MM-dd").alias("event_date"),
+        _start().cast("string").alias("event_date"),
+    )
+
+
+def update_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A response page per event, of the day of the event."""
+    condition = _lookup(F.col("event_type"), EVENT_CONDITION)
+    updates = trial_updates(spark, sf_dir, condition.alias("condition"))
+    section = F.struct(
+        F.struct(F.col("nct_id").alias("nctId")).alias("identificationModule"),
+        F.struct(F.col("overall_status").alias("overallStatus")).alias("statusModule"),
+        F.struct(
+            F.array("phase").alias("phases"),
+            F.struct(F.col("enrollment").alias("count")).alias("enrollmentInfo"),
+        ).alias("designModule"),
+        F.struct(
+            F.when(F.col("condition").isNotNull(), F.array("condition")).alias("conditions")
+        ).alias("conditionsModule"),
+        F.struct(
+            F.struct(
+                F.col("lead_sponsor").alias("name"), F.col("sponsor_class").alias("class")
+            ).alias("leadSponsor")
+        ).alias("sponsorCollaboratorsModule"),
     )
+    page = F.struct(F.array(F.struct(section.alias("protocolSection"))).alias("studies"))
+    return updates.select(F.to_json(page).alias("value"), "event_date")

@@ -215,6 +215,10 @@ known AS (
   WHERE window_start < TIMESTAMP '2024-01-16' AND therapeutic_area = 'Oncology'
 )"""
 
+_PAGE_TRENDS = f"""{_EVENTS},
+page_updates AS (SELECT * REPLACE (coalesce(therapeutic_area, 'Other') AS therapeutic_area) FROM updates),
+{_pulse('page_updates').lstrip()}"""
+
 _PAGES = f"""
 page_orders AS (
   SELECT *, strftime(o_orderdate + INTERVAL 12 YEAR, '%Y-%m-%d') AS event_date,
@@ -279,6 +283,7 @@ SELECT therapeutic_area, phase, count(*) AS trial_count,
        round(count(*) FILTER (is_completed)::DOUBLE / count(*), 6) AS completion_rate
 FROM stg_trials WHERE start_year >= 2010 GROUP BY ALL"""),
     "delimited_studies": _with(_STUDIES, "SELECT * FROM typed"),
+    "delimited_studies_split": _with(_STUDIES, "SELECT * FROM typed"),
     "landed_conditions": _with(_CONDITIONS, "SELECT * FROM areas"),
     "monthly_run": _with(_LANDSCAPE, "SELECT * FROM landscape"),
     "stored_trials": _with(_ENRICHED, "SELECT * FROM trials"),
@@ -328,6 +333,11 @@ SELECT * FROM known UNION ALL
 SELECT * FROM activity
 WHERE window_start::DATE BETWEEN DATE '2024-01-18' AND DATE '2024-01-31'
   AND window_start::DATE NOT IN (SELECT window_start::DATE FROM known)"""),
+    "backfill_run": _with(_PAGE_TRENDS, """
+SELECT therapeutic_area, window_start::DATE AS activity_date, update_count AS daily_updates,
+       industry_sponsored AS industry_updates, avg_enrollment,
+       industry_sponsored::DOUBLE / update_count AS industry_share, completed_count
+FROM activity"""),
     "backfill_days": _with(_TRENDS, """
 SELECT day AS activity_date, day - 1 AS fetched_date,
        coalesce(sum(daily_updates), 0)::BIGINT AS updates

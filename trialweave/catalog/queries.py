@@ -13,7 +13,7 @@ from trialweave.functions.scalars import timestamp_or_null, yesterday
 from trialweave.operators import merge, quality, series, trials
 from trialweave.operators.pulse import daily_pulse
 from trialweave.plans import marts, report, staging
-from trialweave.plans.daily import activity_of_pages
+from trialweave.plans.daily import activity_of_pages, run_backfill
 from trialweave.plans.monthly import run_monthly
 from trialweave.session import scratch_path, configure
 from trialweave.sinks.messages import encode_events, publish
@@ -25,7 +25,8 @@ from trialweave.sinks.tables import (
 )
 from trialweave.sources.events import decode_events, good_events
 from trialweave.sources.pages import flatten_pages
-from trialweave.sources.snapshots import FALLBACK_SNAPSHOT, FILES, land, read_delimited
+from trialweave.sources.delimited import read_delimited, read_delimited_split
+from trialweave.sources.snapshots import FALLBACK_SNAPSHOT, FILES, land
 from trialweave.sources.tables import read_landscape, read_trends, read_trials
 from trialweave.streaming.history import (
     append_activity,
@@ -143,6 +144,14 @@ def delimited_studies(spark, sf_dir):
     return trials.typed_studies(read_delimited(spark, path))
 
 
+@query
+def delimited_studies_split(spark, sf_dir):
+    """The same text, read in splits that may begin inside a field."""
+    path = scratch_path(spark, "delimited")
+    _write_delimited(adapters.studies(spark, sf_dir), path)
+    return trials.typed_studies(read_delimited_split(spark, path))
+
+
 @query
 def landed_conditions(spark, sf_dir):
     """Condition text landed once as parquet, then classified from there."""
@@ -342,6 +351,18 @@ def backfill(spark, sf_dir):
     return read_daily_activity(spark, history)
 
 
+@query
+def backfill_run(spark, sf_dir):
+    """A whole month from landed pages to the stored trends, twice: the second run adds nothing."""
+    landed, warehouse = scratch_path(spark, "pages"), scratch_path(spark, "warehouse")
+    adapters.update_pages(spark, sf_dir).write.partitionBy("event_date").text(landed)
+    for _ in range(2):
+        run_backfill(
+            spark, landed, warehouse, *report.month_to_date(AS_OF), mode="skip_date", per_line=True
+        )
+    return read_trends(spark, f"{warehouse}/mart_activity_trends")
+
+
 @query
 def backfill_days(spark, sf_dir):
     """The days of a backfill, each with the schedule date's yesterday and its updates."""

@@ -74,7 +74,7 @@ AREAS: tuple[str, ...] = tuple(area for area, _ in BATCH_RULES) + (OTHER,)
 
 def contains_any(text: Column, words: Iterable[str]) -> Column:
     """True when ``text`` holds one of ``words`` as a substring; null text gives null."""
-    return reduce(or_, [F.contains(text, F.lit(word)) for word in words])
+    return reduce(or_, [text.contains(word) for word in words])
 
 
 def first_match(text: Column, rules: RuleSet, default: str = OTHER) -> Column:
@@ -143,13 +143,14 @@ def conditions_area_by_key(
         raise ValueError("keywords may hold at most one blank")
     if borders:
         # Only rows that end with a first half or start with a second half can take part.
-        left = rows.filter(_any_edge(F.endswith, (head for _, head, _ in borders)))
-        right = rows.filter(_any_edge(F.startswith, (tail for _, _, tail in borders))).select(
-            key, (F.col("_pos") - 1).alias("_pos"), F.col("_text").alias("_next")
+        text = F.col("_text")
+        left = rows.filter(reduce(or_, [text.endswith(head) for _, head, _ in borders]))
+        right = rows.filter(reduce(or_, [text.startswith(tail) for _, _, tail in borders])).select(
+            key, (F.col("_pos") - 1).alias("_pos"), text.alias("_next")
         )
         across = F.lit(unmatched)
         for rank, head, tail in reversed(borders):
-            hit = F.endswith(F.col("_text"), F.lit(head)) & F.startswith(F.col("_next"), F.lit(tail))
+            hit = F.col("_text").endswith(head) & F.col("_next").startswith(tail)
             across = F.when(hit, rank).otherwise(across)
         pairs = left.join(right, [key, "_pos"]).select(key, across.alias("_rank"))
         ranks = ranks.unionAll(pairs)
@@ -161,6 +162,3 @@ def conditions_area_by_key(
         .select(key, F.get(areas, F.col("_rank")).alias("therapeutic_area"))
     )
 
-
-def _any_edge(test, words: Iterable[str]) -> Column:
-    return reduce(or_, [test(F.col("_text"), F.lit(word)) for word in words])

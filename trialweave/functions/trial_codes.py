@@ -41,9 +41,9 @@ def phase_label(phase: Column) -> Column:
 
 def phase_numeric(label: Column) -> Column:
     """Lowest phase number named in a label, null when there is none."""
-    number = F.when(F.contains(label, F.lit("Phase 1")), 1)
+    number = F.when(label.contains("Phase 1"), 1)
     for n in (2, 3, 4):
-        number = number.when(F.contains(label, F.lit(f"Phase {n}")), n)
+        number = number.when(label.contains(f"Phase {n}"), n)
     return number.cast("int")
 
 

@@ -18,13 +18,18 @@ def main() -> None:
     days.add_argument("--date", help="day of the updates, yesterday by default")
     days.add_argument("--backfill", nargs=2, metavar=("FIRST", "LAST"))
     parser.add_argument("--mode", choices=MODES, default=MODES[0])
+    parser.add_argument("--page-per-line", action="store_true", help="files hold a page per line")
     args = parser.parse_args()
     spark = build_session("trialweave-daily")
     if args.backfill:
-        result = run_backfill(spark, args.pages, args.warehouse, *args.backfill, mode=args.mode)
+        result = run_backfill(
+            spark, args.pages, args.warehouse, *args.backfill, args.mode, args.page_per_line
+        )
     else:
         day = args.date or day_before(dt.date.today().isoformat())
-        result = run_daily(spark, args.pages, args.warehouse, day, args.mode)
+        result = run_daily(
+            spark, args.pages, args.warehouse, day, args.mode, args.page_per_line
+        )
     print(result.status)
     if result.skipped is not None:
         result.skipped.show()

@@ -35,7 +35,12 @@ def refresh_trends(spark: SparkSession, warehouse: str, mode: str = "skip_date")
 
 
 def run_daily(
-    spark: SparkSession, pages: str, warehouse: str, event_date: str, mode: str = "skip_date"
+    spark: SparkSession,
+    pages: str,
+    warehouse: str,
+    event_date: str,
+    mode: str = "skip_date",
+    per_line: bool = False,
 ) -> SyncResult:
     """Publish a day's updates, aggregate them, sync and refresh the mart.
 
@@ -44,7 +49,7 @@ def run_daily(
     """
     messages = f"{warehouse}/trial_updates/event_date={event_date}"
     stage = f"{warehouse}/staging/event_date={event_date}/run-{uuid.uuid4().hex}"
-    events = flatten_pages(read_pages(spark, pages, event_date, event_date))
+    events = flatten_pages(read_pages(spark, pages, event_date, event_date, per_line))
     if publish(events, messages, mode="overwrite"):
         pulse_from_messages(spark, stage, f"{stage}/quarantine", path=messages)
     result = sync_new_dates(spark, stage, f"{warehouse}/daily_activity", mode)
@@ -66,13 +71,14 @@ def run_backfill(
     first_day: str,
     last_day: str,
     mode: str = "skip_date",
+    per_line: bool = False,
 ) -> SyncResult:
     """Aggregate all days of a range in one job and merge them into the history.
 
     Days are independent of each other and known days are skipped, so a backfill may overlap
     earlier runs.
     """
-    activity = activity_of_pages(read_pages(spark, pages, first_day, last_day))
+    activity = activity_of_pages(read_pages(spark, pages, first_day, last_day, per_line))
     result = merge_activity(spark, activity, f"{warehouse}/daily_activity", mode)
     if result.status == "appended":
         refresh_trends(spark, warehouse, mode)

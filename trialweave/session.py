@@ -36,17 +36,17 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder: there the driver's disk is the
-    executors' disk. A cluster without the setting is a configuration error.
+    Only a local master may do without the setting and get a temporary folder: there the driver's
+    disk is the executors' disk. On a cluster a missing setting is an error.
     """
-    folder = spark.sparkContext.getConf().get(CHECKPOINT_KEY) or spark.conf.get(CHECKPOINT_KEY, None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"{CHECKPOINT_KEY} must name a folder shared by the cluster")
-    folder = tempfile.mkdtemp(prefix="trialweave-")
-    spark.conf.set(CHECKPOINT_KEY, folder)
-    return folder
+    context = spark.sparkContext
+    folder = spark.conf.get(CHECKPOINT_KEY, None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError(f"{CHECKPOINT_KEY} must name a folder shared by the cluster")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="trialweave-"))
+        folder = context.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

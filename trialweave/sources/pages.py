@@ -1,4 +1,4 @@
-"""Registry response pages: one JSON document per file, landed under ``event_date=YYYY-MM-DD``."""
+"""Registry response pages: JSON documents landed under ``event_date=YYYY-MM-DD``."""
 
 from __future__ import annotations
 
@@ -21,15 +21,20 @@ DEFAULTS = {
 
 
 def read_pages(
-    spark: SparkSession, root: str, first_day: str | None = None, last_day: str | None = None
+    spark: SparkSession,
+    root: str,
+    first_day: str | None = None,
+    last_day: str | None = None,
+    per_line: bool = False,
 ) -> DataFrame:
     """Landed pages as ``(value, event_date)``, all pages of a day together.
 
     The day is the one that was asked for, hence the folder and not a field of the document. The
-    bounds prune folders; a page is at most one response, so reading files whole is bounded.
+    bounds prune folders. A page is one response and so of bounded size: it is read as a whole file
+    or, with ``per_line``, as a line, which spares the file system many small files.
     """
     columns = schemas.struct(value=StringType(), event_date=StringType())
-    pages = spark.read.schema(columns).text(root, wholetext=True)
+    pages = spark.read.schema(columns).text(root, wholetext=not per_line)
     if first_day is not None:
         pages = pages.filter(F.col("event_date") >= first_day)
     if last_day is not None:

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trialweave.sources.delimited import read_delimited, read_delimited_split
 from trialweave.sources.tables import path_exists
 
 # Fixed value: the snapshot to use when the requested one is missing.
@@ -27,23 +28,6 @@ def resolve_snapshot(
     return folder if path_exists(spark, folder) else f"{root}/snapshot_date={fallback}"
 
 
-def read_delimited(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Pipe-delimited text with a header row; every column a string, empty fields null.
-
-    Columns are bound by header name, so only those selected later are parsed. Quoted fields may
-    hold delimiters, newlines and doubled quotes. A file with quoted newlines cannot be split, so
-    each is one task; pass ``multi_line=False`` for exports without them to split large files.
-    """
-    return (
-        spark.read.option("sep", "|")
-        .option("header", True)
-        .option("nullValue", "")
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .csv(path)
-    )
-
-
 def land(df: DataFrame, path: str) -> None:
     """Write parsed text once as evenly sized parquet files, so later reads split and prune.
 
@@ -53,8 +37,12 @@ def land(df: DataFrame, path: str) -> None:
     df.hint("rebalance").write.mode("overwrite").parquet(path)
 
 
-def land_snapshot(spark: SparkSession, folder: str, target: str, multi_line: bool = True) -> None:
-    """Land the three files of a snapshot, keeping only the columns that are used."""
+def land_snapshot(spark: SparkSession, folder: str, target: str, split: bool = False) -> None:
+    """Land the three files of a snapshot, keeping only the columns that are used.
+
+    ``split`` reads every file in many tasks, see ``read_delimited_split`` for what it asks of them.
+    """
+    read = read_delimited_split if split else read_delimited
     used = {
         "studies": [
             "nct_id", "brief_title", "overall_status", "phase", "study_type", "source",
@@ -64,7 +52,7 @@ def land_snapshot(spark: SparkSession, folder: str, target: str, multi_line: boo
         "conditions": ["nct_id", "downcase_mesh_term"],
     }
     for table, columns in used.items():
-        text = read_delimited(spark, f"{folder}/{FILES[table]}", multi_line)
+        text = read(spark, f"{folder}/{FILES[table]}")
         land(text.select(*[F.col(name) for name in columns]), f"{target}/{table}")
 
 
