@@ -30,7 +30,6 @@ from trialweave.sources.snapshots import FALLBACK_SNAPSHOT, FILES, land
 from trialweave.sources.tables import read_landscape, read_trends, read_trials
 from trialweave.streaming.history import (
     append_activity,
-    merge_activity,
     read_daily_activity,
     sync_new_dates,
 )
@@ -341,13 +340,12 @@ def skipped_days(spark, sf_dir):
 @query
 def backfill(spark, sf_dir):
     """The last 14 days merged over a history that holds older ones."""
-    history = scratch_path(spark, "history")
+    stage, history = scratch_path(spark, "staging"), scratch_path(spark, "history")
     append_activity(_known_activity(spark, sf_dir), history)
     activity = _activity(spark, sf_dir).withColumn("activity_date", F.to_date("window_start"))
     days = series.last_days(spark, AS_OF)
-    merge_activity(
-        spark, activity.join(days, "activity_date", "left_semi").drop("activity_date"), history
-    )
+    write_changes(activity.join(days, "activity_date", "left_semi"), stage, 0)
+    sync_new_dates(spark, stage, history)
     return read_daily_activity(spark, history)
 
 

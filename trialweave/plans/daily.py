@@ -14,13 +14,9 @@ from trialweave.plans.staging import stg_daily_activity
 from trialweave.sinks.messages import publish
 from trialweave.sinks.tables import write_trends
 from trialweave.sources.pages import flatten_pages, read_pages
-from trialweave.streaming.history import (
-    SyncResult,
-    merge_activity,
-    read_daily_activity,
-    sync_new_dates,
-)
+from trialweave.streaming.history import SyncResult, read_daily_activity, sync_new_dates
 from trialweave.streaming.pulse_stream import pulse_from_messages
+from trialweave.streaming.staging import write_changes
 
 
 def day_before(as_of: str) -> str:
@@ -48,14 +44,11 @@ def run_daily(
     state in a staging folder of its own. So a day may be run again or out of order.
     """
     messages = f"{warehouse}/trial_updates/event_date={event_date}"
-    stage = f"{warehouse}/staging/event_date={event_date}/run-{uuid.uuid4().hex}"
+    stage = _fresh_stage(warehouse, event_date)
     events = flatten_pages(read_pages(spark, pages, event_date, event_date, per_line))
     if publish(events, messages, mode="overwrite"):
         pulse_from_messages(spark, stage, f"{stage}/quarantine", path=messages)
-    result = sync_new_dates(spark, stage, f"{warehouse}/daily_activity", mode)
-    if result.status == "appended":
-        refresh_trends(spark, warehouse, mode)
-    return result
+    return _sync_and_refresh(spark, stage, warehouse, mode)
 
 
 def activity_of_pages(pages: DataFrame) -> DataFrame:
@@ -76,10 +69,20 @@ def run_backfill(
     """Aggregate all days of a range in one job and merge them into the history.
 
     Days are independent of each other and known days are skipped, so a backfill may overlap
-    earlier runs.
+    earlier runs. The pages are read once: the merge works on the staged result.
     """
+    stage = _fresh_stage(warehouse, f"{first_day}_{last_day}")
     activity = activity_of_pages(read_pages(spark, pages, first_day, last_day, per_line))
-    result = merge_activity(spark, activity, f"{warehouse}/daily_activity", mode)
+    write_changes(activity, stage, 0)
+    return _sync_and_refresh(spark, stage, warehouse, mode)
+
+
+def _fresh_stage(warehouse: str, days: str) -> str:
+    return f"{warehouse}/staging/event_date={days}/run-{uuid.uuid4().hex}"
+
+
+def _sync_and_refresh(spark: SparkSession, stage: str, warehouse: str, mode: str) -> SyncResult:
+    result = sync_new_dates(spark, stage, f"{warehouse}/daily_activity", mode)
     if result.status == "appended":
         refresh_trends(spark, warehouse, mode)
     return result

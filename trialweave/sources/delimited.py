@@ -51,6 +51,9 @@ def read_delimited_split(spark: SparkSession, path: str) -> DataFrame:
     earlier = (
         Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     )
+    offset = F.coalesce(F.sum("odd").over(earlier), F.lit(0)) % 2
+    last_n = F.when(F.col("offset") == 0, F.col("last_if_even")).otherwise(F.col("last_if_odd"))
+    last_record = F.when(F.col("n").isNotNull(), F.struct("start", "n"))
     splits = (
         lines.groupBy(*split)
         .agg(
@@ -58,17 +61,10 @@ def read_delimited_split(spark: SparkSession, path: str) -> DataFrame:
             F.max(F.when(F.col("parity") == 0, F.col("n"))).alias("last_if_even"),
             F.max(F.when(F.col("parity") == 1, F.col("n"))).alias("last_if_odd"),
         )
-        .withColumn("offset", F.coalesce(F.sum("odd").over(earlier), F.lit(0)) % 2)
-        .withColumn(
-            "last_n", F.when(F.col("offset") == 0, F.col("last_if_even")).otherwise(F.col("last_if_odd"))
-        )
-        .select(
-            *split,
-            "offset",
-            F.last(F.when(F.col("last_n").isNotNull(), F.struct("start", F.col("last_n").alias("n"))), True)
-            .over(earlier)
-            .alias("open_record"),
-        )
+        .withColumn("offset", offset)
+        .withColumn("n", last_n)
+        .withColumn("open_record", F.last(last_record, True).over(earlier))
+        .select(*split, "offset", "open_record")
     )
 
     begins = (F.col("parity") + F.col("offset")) % 2 == 0
@@ -78,10 +74,12 @@ def read_delimited_split(spark: SparkSession, path: str) -> DataFrame:
         .withColumn("record", F.coalesce(own_record, F.col("open_record")))
         .groupBy("file", "record")
         .agg(F.array_sort(F.collect_list(F.struct("start", "n", "line"))).alias("lines"))
+        # The first record of a file is its header.
         .filter((F.col("record.start") > 0) | (F.col("record.n") > 1))
-        .select(F.array_join(F.col("lines.line"), "\n").alias("text"))
+        .select(F.array_join("lines.line", "\n").alias("text"))
         .select(F.regexp_replace("text", "\r$", "").alias("text"))
         .filter(F.col("text") != "")
     )
     names = ", ".join("`" + name.replace("`", "``") + "` string" for name in header)
-    return records.select(F.from_csv("text", names, {**_DIALECT, "multiLine": "true"}).alias("r")).select("r.*")
+    parsed = F.from_csv("text", names, {**_DIALECT, "multiLine": "true"})
+    return records.select(parsed.alias("record")).select("record.*")

@@ -51,7 +51,7 @@ def append_activity(activity: DataFrame, path: str) -> None:
 def merge_activity(
     spark: SparkSession, activity: DataFrame, target: str, mode: str = "skip_date"
 ) -> SyncResult:
-    """Bring activity rows into the history.
+    """Bring activity rows, stored ones as they are read more than once, into the history.
 
     ``skip_date`` appends only days the history lacks. ``upsert`` appends every row as a newer
     version, so a late area of a known day is kept; read the history with the same mode.
@@ -77,8 +77,9 @@ def sync_new_dates(
     new. A run that dies in between is repeated safely: known days are skipped.
     """
     _require_known(mode)
-    done, newest = synced_batch(spark, staging), last_batch(spark, staging)
-    if newest <= done:
+    done = synced_batch(spark, staging)
+    newest = last_batch(spark, staging, after=done)
+    if newest < 0:
         return SyncResult("empty")
     staged = staged_activity(spark, staging, after=done, upto=newest)
     result = merge_activity(spark, staged, target, mode)

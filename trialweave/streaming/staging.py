@@ -28,9 +28,9 @@ def write_changes(activity: DataFrame, root: str, batch_id: int) -> None:
     )
 
 
-def last_batch(spark: SparkSession, root: str) -> int:
-    """The newest staged batch, -1 when there is none."""
-    return _largest(read_table_or_empty(spark, f"{root}/changelog", _CHANGES))
+def last_batch(spark: SparkSession, root: str, after: int = -1) -> int:
+    """The newest batch staged after batch ``after``, -1 when there is none."""
+    return _largest(_changes_after(spark, root, after))
 
 
 def synced_batch(spark: SparkSession, root: str) -> int:
@@ -48,13 +48,16 @@ def staged_activity(
 ) -> DataFrame:
     """Newest staged row per window and area from batches not yet synced."""
     after = synced_batch(spark, root) if after is None else after
-    changes = read_table_or_empty(spark, f"{root}/changelog", _CHANGES).filter(
-        F.col("batch_id") > after
-    )
+    changes = _changes_after(spark, root, after)
     if upto is not None:
         changes = changes.filter(F.col("batch_id") <= upto)
     return schemas.conform(latest_rows(changes, ACTIVITY_KEY, "batch_id"), schemas.DAILY_ACTIVITY)
 
 
+def _changes_after(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
+    changes = read_table_or_empty(spark, f"{root}/changelog", _CHANGES)
+    return changes.filter(F.col("batch_id") > batch_id)
+
+
 def _largest(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.max("batch_id"), F.lit(-1)).alias("batch_id")).first().batch_id
