@@ -68,11 +68,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _lookup(key: Column, values: dict[str, str]) -> Column:
-    return F.element_at(F.create_map(*[F.lit(part) for pair in values.items() for part in pair]), key)
+    parts = [F.lit(part) for pair in values.items() for part in pair]
+    return F.element_at(F.create_map(*parts), key)
 
 
 def _trial_id(key: str) -> Column:
-    return F.concat(F.lit("NCT"), F.lpad(F.col(key).cast("string"), 12, "0"))
+    digits = F.col(key).cast("string")
+    return F.concat(F.lit("NCT"), F.repeat(F.lit("0"), 8 - F.length(digits)), digits)
 
 
 def _start(order_date: str = "o_orderdate") -> Column:
@@ -140,9 +142,9 @@ def conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = F.split("p_name", " ")
     terms = table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("l_partkey"),
-        F.concat_ws(" ", F.get(words, F.lit(0)), _lookup(F.get(words, F.lit(1)), NOUN_TERM)).alias(
-            "downcase_mesh_term"
-        ),
+        F.concat_ws(
+            " ", F.get(words, F.lit(0)), _lookup(F.get(words, F.lit(1)), NOUN_TERM)
+        ).alias("downcase_mesh_term"),
     )
     return (
         table(spark, sf_dir, "lineitem")
@@ -235,9 +237,9 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             ).alias("designModule"),
             module(_conditions_of_order().alias("conditions")).alias("conditionsModule"),
             module(
-                F.struct(lead_name.alias("name"), F.when(status == "F", "INDUSTRY").alias("class")).alias(
-                    "leadSponsor"
-                )
+                F.struct(
+                    lead_name.alias("name"), F.when(status == "F", "INDUSTRY").alias("class")
+                ).alias("leadSponsor")
             ).alias("sponsorCollaboratorsModule"),
         )
         return F.struct(section.alias("protocolSection"))

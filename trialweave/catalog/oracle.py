@@ -4,7 +4,7 @@ from __future__ import annotations
 
 # --- registry-shaped inputs --------------------------------------------------------------------
 
-_TRIAL_ID = "'NCT' || lpad({key}::VARCHAR, 12, '0')"
+_TRIAL_ID = "'NCT' || repeat('0', 8 - length({key}::VARCHAR)) || {key}::VARCHAR"
 _ORDER_ID = _TRIAL_ID.format(key="o_orderkey")
 _ITEM_ID = _TRIAL_ID.format(key="l_orderkey")
 
@@ -18,7 +18,8 @@ studies AS (
   SELECT {_ORDER_ID} AS nct_id,
          o_orderpriority || '|line' || chr(10) || '"' || o_orderkey || '"' AS brief_title,
          CASE WHEN o_orderstatus = 'F' THEN 'Completed'
-              WHEN o_orderstatus = 'O' AND o_orderpriority = '1-URGENT' THEN 'Active, not recruiting'
+              WHEN o_orderstatus = 'O' AND o_orderpriority = '1-URGENT'
+                THEN 'Active, not recruiting'
               WHEN o_orderstatus = 'O' THEN 'Recruiting'
               WHEN o_orderpriority = '5-LOW' THEN 'Suspended'
               ELSE 'Terminated' END AS overall_status,
@@ -55,7 +56,8 @@ leads AS (
 )"""
 
 _BATCH_PATTERNS = [
-    ("Oncology", "neoplasm|carcinoma|cancer|tumor|lymphoma|leukemia|melanoma|sarcoma|glioma|malignant"),
+    ("Oncology",
+     "neoplasm|carcinoma|cancer|tumor|lymphoma|leukemia|melanoma|sarcoma|glioma|malignant"),
     ("Cardiovascular",
      "heart|cardiac|coronary|hypertension|stroke|vascular|artery|atherosclerosis|atrial"),
     ("Neurology",
@@ -216,7 +218,9 @@ known AS (
 )"""
 
 _PAGE_TRENDS = f"""{_EVENTS},
-page_updates AS (SELECT * REPLACE (coalesce(therapeutic_area, 'Other') AS therapeutic_area) FROM updates),
+page_updates AS (
+  SELECT * REPLACE (coalesce(therapeutic_area, 'Other') AS therapeutic_area) FROM updates
+),
 {_pulse('page_updates').lstrip()}"""
 
 _PAGES = f"""

@@ -13,7 +13,12 @@ from trialweave.sources.tables import path_exists
 # Fixed value: the snapshot to use when the requested one is missing.
 FALLBACK_SNAPSHOT = "2026-04-12"
 
-FILES = {"studies": "studies.txt", "sponsors": "sponsors.txt", "conditions": "browse_conditions.txt"}
+# The files of a snapshot.
+FILES = {
+    "studies": "studies.txt",
+    "sponsors": "sponsors.txt",
+    "conditions": "browse_conditions.txt",
+}
 
 
 def resolve_snapshot(

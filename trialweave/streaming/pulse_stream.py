@@ -16,7 +16,9 @@ from trialweave.streaming.staging import write_changes
 STATE_PARTITIONS = 16
 
 
-def streaming_session(spark: SparkSession, state_partitions: int = STATE_PARTITIONS) -> SparkSession:
+def streaming_session(
+    spark: SparkSession, state_partitions: int = STATE_PARTITIONS
+) -> SparkSession:
     """A session on the same application with its own number of state partitions."""
     own = configure(spark.newSession())
     own.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
