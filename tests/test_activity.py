@@ -130,6 +130,12 @@ def test_bad_messages_are_set_aside(spark):
     assert [r.value for r in events.quarantined(decoded).collect()] == ["{oops"]
 
 
+def test_messages_are_parsed_once(spark):
+    messages = spark.createDataFrame([("{}",)], "value string")
+    events_read = events.good_events(events.decode_events(messages)).filter("event_time is not null")
+    assert events_read._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+
+
 def test_publish_nothing(spark, tmp_path):
     assert not publish(event_frame(spark).limit(0), str(tmp_path / "topic"))
     assert not (tmp_path / "topic").exists()
@@ -320,5 +326,24 @@ def test_daily_runs_and_backfill(spark, tmp_path):
     assert again.status == "nothing_new"
 
 
+def test_daily_command(spark, tmp_path, monkeypatch, capsys):
+    from trialweave.jobs import daily as command
+
+    for day in ("2024-01-01", "2024-01-02"):
+        land_page(tmp_path / "pages", day, "p", study())
+
+    def call(*arguments):
+        monkeypatch.setattr("sys.argv", ["daily", "--pages", str(tmp_path / "pages"), "--warehouse",
+                                         str(tmp_path / "wh"), *arguments])
+        command.main()
+        return capsys.readouterr().out
+
+    assert call("--date", "2024-01-02").startswith("appended")
+    out = call("--backfill", "2024-01-01", "2024-01-02")
+    assert out.startswith("appended") and "2024-01-02" in out
+    assert [t[0] for t in _trends(spark, f"{tmp_path}/wh")] == ["2024-01-01", "2024-01-02"]
+    assert call().startswith("empty")
+
+
 def test_day_before():
     assert daily.day_before("2024-03-01") == "2024-02-29"

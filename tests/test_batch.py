@@ -376,6 +376,17 @@ def test_monthly_run_stops_on_failed_checks(spark, tmp_path):
         monthly.run_monthly(spark, f"{tmp_path}/snap", f"{tmp_path}/wh", "2026-05-01")
 
 
+@pytest.mark.parametrize("flags", [[], ["--split", "--normalize"]])
+def test_monthly_command(spark, tmp_path, monkeypatch, capsys, flags):
+    from trialweave.jobs import monthly as command
+
+    _snapshot(tmp_path / "snap" / "snapshot_date=2026-04-12")
+    monkeypatch.setattr("sys.argv", ["monthly", "--snapshots", f"{tmp_path}/snap", "--warehouse",
+                                     f"{tmp_path}/wh", "--date", "1999-01-01", *flags])
+    command.main()
+    assert "wrote 2 trials" in capsys.readouterr().out
+
+
 def test_shared_folder_comes_from_the_session(spark):
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     assert shared_folder(spark) == folder

@@ -38,58 +38,54 @@ class QualityError(Exception):
     """Some check found failing rows."""
 
 
-def _value_counts(df: DataFrame, checks: tuple[Check, ...]) -> DataFrame:
-    """``(column, value, n)`` over the checked columns.
+def _value_counts(df: DataFrame, checks: tuple[Check, ...]) -> tuple[DataFrame, dict[str, int]]:
+    """``(column, value, n)`` over the checked columns, and the number each column goes by.
 
     Every row is read once and unfolded into its checked columns. Counting is pre-aggregated, so a
     frequent value (or null) does not concentrate rows. Columns only checked for null keep no
     values, just null or not.
     """
+    numbers = {name: i for i, name in enumerate(dict.fromkeys(check.column for check in checks))}
     by_value = {check.column for check in checks if check.kind != "not_null"}
     cells = []
-    for column in dict.fromkeys(check.column for check in checks):
-        text = F.col(column).cast("string")
-        value = text if column in by_value else F.when(text.isNotNull(), "")
-        cells.append(F.struct(F.lit(column).alias("column"), value.alias("value")))
-    return (
-        df.select(F.explode(F.array(*cells)).alias("cell"))
-        .groupBy("cell.column", "cell.value")
-        .agg(F.count("*").alias("n"))
-    )
-
-
-def _fails(check: Check) -> Column:
+    for name, number in numbers.items():
+        text = F.col(name).cast("string")
+        value = text if name in by_value else F.when(text.isNotNull(), "")
+        cells.append(F.struct(F.lit(number).alias("column"), value.alias("value")))
+    counts = df.select(F.inline(F.array(*cells))).groupBy("column", "value")
+    return counts.agg(F.count("*").alias("n")), numbers
+
+
+def _fails(check: Check, numbers: dict[str, int]) -> Column:
     value = F.col("value")
     failing = {
         "unique": value.isNotNull() & (F.col("n") > 1),
         "not_null": value.isNull(),
         "accepted_values": value.isNotNull() & ~value.isin(*check.accepted),
     }[check.kind]
-    return (F.col("column") == check.column) & failing
+    return (F.col("column") == numbers[check.column]) & failing
 
 
 def failing_values(df: DataFrame, check: Check) -> DataFrame:
     """The offending values of one check with their row counts."""
-    return _value_counts(df, (check,)).filter(_fails(check)).select("value", "n")
+    counts, numbers = _value_counts(df, (check,))
+    return counts.filter(_fails(check, numbers)).select("value", "n")
 
 
 def run_checks(df: DataFrame, checks: tuple[Check, ...], table: str) -> DataFrame:
     """``(table_name, check_name, failures)``: failing values, or failing rows for ``not_null``."""
-    measures = [
-        (
-            F.coalesce(F.sum(F.when(_fails(check), F.col("n"))), F.lit(0))
-            if check.kind == "not_null"
-            else F.count_if(_fails(check))
-        ).alias(check.name)
-        for check in checks
-    ]
+    counts, numbers = _value_counts(df, checks)
+
+    def failures(check: Check) -> Column:
+        fails = _fails(check, numbers)
+        if check.kind == "not_null":
+            return F.coalesce(F.sum(F.when(fails, F.col("n"))), F.lit(0))
+        return F.count_if(fails)
+
+    measures = [failures(check).alias(check.name) for check in checks]
     names = ", ".join(f"'{check.name}', `{check.name}`" for check in checks)
     report = f"stack({len(checks)}, {names}) as (check_name, failures)"
-    return (
-        _value_counts(df, checks)
-        .agg(*measures)
-        .selectExpr(f"'{table}' as table_name", report)
-    )
+    return counts.agg(*measures).selectExpr(f"'{table}' as table_name", report)
 
 
 def require_clean(report: DataFrame) -> None:

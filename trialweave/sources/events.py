@@ -42,11 +42,15 @@ def read_messages(
 
 
 def decode_events(messages: DataFrame) -> DataFrame:
-    """Typed event columns, ``event_time`` and ``_corrupt`` (the raw text of a bad message)."""
+    """Typed event columns, ``event_time`` and ``_corrupt`` (the raw text of a bad message).
+
+    The event is unfolded by a generator. Filters on its fields then stay above it; they would
+    otherwise be pushed below the projection and parse every message once more.
+    """
     schema = StructType([*schemas.TRIAL_UPDATE.fields, StructField(CORRUPT, StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     event = F.from_json("value", schema, options)
-    return messages.select(event.alias("event")).select("event.*").withColumn(
+    return messages.select(F.inline(F.array(event))).withColumn(
         "event_time", timestamp_or_null(F.col("event_date"))
     )
 
