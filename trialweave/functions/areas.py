@@ -115,45 +115,53 @@ def conditions_area_by_key(
 ) -> DataFrame:
     """:func:`conditions_area` for conditions stored one per row: ``(key, therapeutic_area)``.
 
-    ``position`` numbers the conditions of a key 1, 2, 3, ... without gaps. No key's conditions are
-    ever gathered: each row yields the rank of the first rule it matches, a keyword with a blank is
-    also looked for across the border to the next row (an equi-join on key and position, so one
-    huge key still spreads over all partitions), and the smallest rank per key is a pre-aggregated
-    minimum.
+    ``position`` numbers the conditions of a key without gaps. No key's conditions are gathered or
+    paired: each row yields the rank of the first rule it matches. For keywords with a blank it
+    also marks which of their first halves it ends with, on the border behind it, and which of
+    their second halves it starts with, on the border before it. Marks meet in a pre-aggregated
+    bitwise or per border, ranks in a pre-aggregated minimum per key.
     """
     rows = rows.select(
         F.col(key).alias(key),
-        F.col(position).cast("long").alias("_pos"),
+        F.col(position).cast("long").alias("_border"),
         F.lower(F.col(condition)).alias("_text"),
     )
-    unmatched = len(rules)
+    text, unmatched = F.col("_text"), len(rules)
 
     within = F.lit(unmatched)
     for rank in reversed(range(unmatched)):
-        within = F.when(contains_any(F.col("_text"), rules[rank][1]), rank).otherwise(within)
+        within = F.when(contains_any(text, rules[rank][1]), rank).otherwise(within)
     ranks = rows.select(key, within.alias("_rank"))
 
-    borders = [
+    halves = [
         (rank, *word.split(" "))
         for rank, (_, words) in enumerate(rules)
         for word in words
         if " " in word
     ]
-    if any(len(border) > 3 for border in borders):
+    if any(len(parts) > 3 for parts in halves):
         raise ValueError("keywords may hold at most one blank")
-    if borders:
-        # Only rows that end with a first half or start with a second half can take part.
-        text = F.col("_text")
-        left = rows.filter(reduce(or_, [text.endswith(head) for _, head, _ in borders]))
-        right = rows.filter(reduce(or_, [text.startswith(tail) for _, _, tail in borders])).select(
-            key, (F.col("_pos") - 1).alias("_pos"), text.alias("_next")
+    if halves:
+        ends = _marks(text.endswith(head) for _, head, _ in halves)
+        starts = _marks(text.startswith(tail) for _, _, tail in halves)
+        nothing = F.lit(0).cast("long")
+        border = F.col("_border")
+        behind = F.struct(border, ends.alias("_ends"), nothing.alias("_starts"))
+        ahead = F.struct(
+            (border - 1).alias("_border"), nothing.alias("_ends"), starts.alias("_starts")
         )
+        met = F.col("_ends").bitwiseAND(F.col("_starts"))
         across = F.lit(unmatched)
-        for rank, head, tail in reversed(borders):
-            hit = F.col("_text").endswith(head) & F.col("_next").startswith(tail)
-            across = F.when(hit, rank).otherwise(across)
-        pairs = left.join(right, [key, "_pos"]).select(key, across.alias("_rank"))
-        ranks = ranks.unionAll(pairs)
+        for bit, (rank, _, _) in reversed(list(enumerate(halves))):
+            across = F.when(met.bitwiseAND(F.lit(1 << bit)) != 0, rank).otherwise(across)
+        borders = (
+            rows.select(key, F.inline(F.array(behind, ahead)))
+            .filter((F.col("_ends") != 0) | (F.col("_starts") != 0))
+            .groupBy(key, "_border")
+            .agg(F.bit_or("_ends").alias("_ends"), F.bit_or("_starts").alias("_starts"))
+            .select(key, across.alias("_rank"))
+        )
+        ranks = ranks.unionAll(borders)
 
     areas = F.array(*[F.lit(area) for area, _ in rules], F.lit(OTHER))
     return (
@@ -162,3 +170,11 @@ def conditions_area_by_key(
         .select(key, F.get(areas, F.col("_rank")).alias("therapeutic_area"))
     )
 
+
+def _marks(tests: Iterable[Column]) -> Column:
+    """One bit per test that holds; null tests set none."""
+    bits = [
+        F.when(test, F.lit(1 << bit)).otherwise(F.lit(0)).cast("long")
+        for bit, test in enumerate(tests)
+    ]
+    return reduce(lambda left, right: left.bitwiseOR(right), bits)

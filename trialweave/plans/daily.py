@@ -23,8 +23,8 @@ def day_before(as_of: str) -> str:
     return (dt.date.fromisoformat(as_of) - dt.timedelta(days=1)).isoformat()
 
 
-def refresh_trends(spark: SparkSession, warehouse: str, mode: str = "skip_date") -> None:
-    activity = read_daily_activity(spark, f"{warehouse}/daily_activity", mode)
+def refresh_trends(spark: SparkSession, warehouse: str) -> None:
+    activity = read_daily_activity(spark, f"{warehouse}/daily_activity")
     write_trends(
         activity_trends(stg_daily_activity(activity)), f"{warehouse}/mart_activity_trends"
     )
@@ -84,5 +84,5 @@ def _fresh_stage(warehouse: str, days: str) -> str:
 def _sync_and_refresh(spark: SparkSession, stage: str, warehouse: str, mode: str) -> SyncResult:
     result = sync_new_dates(spark, stage, f"{warehouse}/daily_activity", mode)
     if result.status == "appended":
-        refresh_trends(spark, warehouse, mode)
+        refresh_trends(spark, warehouse)
     return result

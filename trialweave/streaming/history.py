@@ -25,12 +25,14 @@ class SyncResult:
     skipped: DataFrame | None = None  # days left out, in order
 
 
-def read_daily_activity(spark: SparkSession, path: str, mode: str = "skip_date") -> DataFrame:
-    """The history; no rows before the first load, the newest version of a key after upserts."""
-    rows = read_table_or_empty(spark, path, _HISTORY)
-    if mode == "upsert":
-        rows = latest_rows(rows, ACTIVITY_KEY, "loaded_at")
-    return schemas.conform(rows, schemas.DAILY_ACTIVITY)
+def _rows(spark: SparkSession, path: str) -> DataFrame:
+    return read_table_or_empty(spark, path, _HISTORY)
+
+
+def read_daily_activity(spark: SparkSession, path: str) -> DataFrame:
+    """The history: the newest version of every window and area, no rows before the first load."""
+    newest = latest_rows(_rows(spark, path), ACTIVITY_KEY, "loaded_at")
+    return schemas.conform(newest, schemas.DAILY_ACTIVITY)
 
 
 def append_activity(activity: DataFrame, path: str) -> None:
@@ -54,12 +56,12 @@ def merge_activity(
     """Bring activity rows, stored ones as they are read more than once, into the history.
 
     ``skip_date`` appends only days the history lacks. ``upsert`` appends every row as a newer
-    version, so a late area of a known day is kept; read the history with the same mode.
+    version, so a late area of a known day is kept.
     """
     _require_known(mode)
     skipped = None
     if mode == "skip_date":
-        known = read_daily_activity(spark, target)
+        known = _rows(spark, target)
         skipped = skipped_days(activity, known)
         activity = new_days(activity, known)
     if activity.isEmpty():
