@@ -14,6 +14,7 @@ from trialweave.operators import merge
 from trialweave.operators.pulse import daily_pulse
 from trialweave.plans import daily, marts, staging
 from trialweave.session import configure
+from trialweave.sinks import jdbc
 from trialweave.sinks.messages import encode_events, publish
 from trialweave.sources import events, pages, tables
 from trialweave.streaming import history, pulse_stream
@@ -272,6 +273,19 @@ def test_sync_that_dies_before_clearing_is_repeated(spark, tmp_path, monkeypatch
     assert counts(history.read_daily_activity(spark, target)) == [("2024-01-05", "A", 1)]
 
 
+def test_relational_staging_is_emptied_unless_empty(spark, tmp_path, monkeypatch):
+    target, cleared, rows = str(tmp_path / "history"), [], [("2024-01-05", "A", 1)]
+    monkeypatch.setattr(jdbc, "read_jdbc_activity", lambda *a, **k: activity(spark, *rows).limit(
+        len(rows) - len(cleared)))
+    monkeypatch.setattr(jdbc, "clear_jdbc_table", lambda *a, **k: cleared.append(a[1:]))
+    assert history.sync_relational(spark, "jdbc:x", target).status == "appended"
+    assert history.sync_relational(spark, "jdbc:x", target).status == "empty"
+    assert cleared == [("jdbc:x", "daily_activity")]
+    cleared.clear()
+    assert history.sync_relational(spark, "jdbc:x", target).status == "nothing_new"
+    assert len(cleared) == 1
+
+
 def test_rows_of_a_day_share_a_file(spark, tmp_path):
     days = [f"2024-01-{d:02d}" for d in range(1, 20)]
     df = activity(spark, *[(day, area, 1) for day in days for area in "ABCDE"])

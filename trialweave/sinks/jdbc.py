@@ -15,7 +15,10 @@ TABLE = "daily_activity"
 
 
 def jdbc_writer(url: str, table: str = TABLE, **options: str) -> Callable[[DataFrame, int], None]:
-    """A sink for ``run_pulse``. Inserts only: the table has no key, the sync skips known days."""
+    """A sink for ``run_pulse``. Inserts only: the table has no key, the sync skips known days.
+
+    A run that is not rate-limited is one micro-batch, so it inserts every group once.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = schemas.conform(batch, schemas.DAILY_ACTIVITY)

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from trialweave import schemas
 from trialweave.operators.merge import ACTIVITY_KEY, latest_rows, new_days, skipped_days
+from trialweave.sinks import jdbc
 from trialweave.sources.tables import read_table_or_empty
 from trialweave.streaming.staging import last_batch, mark_synced, staged_activity, synced_batch
 
@@ -89,6 +90,24 @@ def sync_new_dates(
     return result
 
 
+def sync_relational(
+    spark: SparkSession,
+    url: str,
+    target: str,
+    mode: str = "skip_date",
+    table: str = jdbc.TABLE,
+    **options: str,
+) -> SyncResult:
+    """:func:`sync_new_dates` from a relational staging table, which is emptied afterwards."""
+    _require_known(mode)
+    staged = jdbc.read_jdbc_activity(spark, url, table, **options)
+    if staged.isEmpty():
+        return SyncResult("empty")
+    result = merge_activity(spark, staged, target, mode)
+    jdbc.clear_jdbc_table(staged, url, table, **options)
+    return result
+
+
 def _require_known(mode: str) -> None:
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
