@@ -79,6 +79,20 @@ def test_split_reader_agrees_with_the_whole_file_reader(spark, tmp_path_factory,
     assert sorted(map(tuple, split.collect()), key=repr) == sorted(map(tuple, whole.collect()), key=repr)
 
 
+@pytest.mark.parametrize("line", ['A|5" tube', 'A|x"y"', 'A|"x"y', '"A" |x', 'A|"x""'])
+def test_split_reader_refuses_stray_quotes(spark, tmp_path, line):
+    (tmp_path / "t.txt").write_text(f"id|t\n{line}\nB|z\n")
+    with pytest.raises(Exception, match="quote inside a field"):
+        delimited.read_delimited_split(spark, str(tmp_path)).collect()
+
+
+def test_split_reader_takes_long_fields(spark, tmp_path):
+    field = 'x' * 50_000 + '""' * 20_000 + "\n" * 1_000
+    (tmp_path / "t.txt").write_text(f'id|t\nA|"{field}"\nB|z\n')
+    rows = {r.id: r.t for r in delimited.read_delimited_split(spark, str(tmp_path)).collect()}
+    assert rows == {"A": field.replace('""', '"'), "B": "z"}
+
+
 def test_snapshot_falls_back_to_the_fixed_date(spark, tmp_path):
     for day in ("2026-03-01", "2026-04-12", "2026-05-01"):
         (tmp_path / f"snapshot_date={day}").mkdir()
@@ -376,7 +390,7 @@ def test_monthly_run_stops_on_failed_checks(spark, tmp_path):
         monthly.run_monthly(spark, f"{tmp_path}/snap", f"{tmp_path}/wh", "2026-05-01")
 
 
-@pytest.mark.parametrize("flags", [[], ["--split", "--normalize"]])
+@pytest.mark.parametrize("flags", [[], ["--whole-files", "--normalize"]])
 def test_monthly_command(spark, tmp_path, monkeypatch, capsys, flags):
     from trialweave.jobs import monthly as command
 

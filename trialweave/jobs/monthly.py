@@ -13,7 +13,7 @@ def main() -> None:
     parser.add_argument("--snapshots", required=True, help="folder of snapshot_date=YYYY-MM-DD")
     parser.add_argument("--warehouse", required=True)
     parser.add_argument("--date", help="snapshot date, today by default")
-    parser.add_argument("--split", action="store_true", help="read each file in many tasks")
+    parser.add_argument("--whole-files", action="store_true", help="read a file per task")
     parser.add_argument("--normalize", action="store_true", help="match statuses in any case")
     args = parser.parse_args()
     count = run_monthly(
@@ -21,7 +21,7 @@ def main() -> None:
         args.snapshots,
         args.warehouse,
         args.date,
-        split=args.split,
+        whole_files=args.whole_files,
         normalize=args.normalize,
     )
     print(f"wrote {count:,} trials")

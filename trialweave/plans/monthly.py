@@ -19,12 +19,12 @@ def run_monthly(
     snapshots: str,
     warehouse: str,
     snapshot_date: str | None = None,
-    split: bool = False,
+    whole_files: bool = False,
     normalize: bool = False,
 ) -> int:
     """Rebuild the trial table and its mart, check them, and return the number of trials."""
     folder = resolve_snapshot(spark, snapshots, snapshot_date)
-    land_snapshot(spark, folder, f"{warehouse}/landed", split)
+    land_snapshot(spark, folder, f"{warehouse}/landed", whole_files)
     studies, sponsors, conditions = read_landed(spark, f"{warehouse}/landed")
     trials = enrich_trials(studies, sponsors, conditions, normalize=normalize)
     count = write_trials(trials, f"{warehouse}/trials")

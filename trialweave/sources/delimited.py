@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 _DIALECT = {"sep": "|", "nullValue": "", "escape": '"'}
+# A whole field in quotes, from delimiter to delimiter.
+_QUOTED_FIELD = r'(^|\|)(?:"[^"]*+")++(?=\||\z)'
 
 
 def read_delimited(spark: SparkSession, path: str) -> DataFrame:
@@ -22,11 +24,12 @@ def read_delimited(spark: SparkSession, path: str) -> DataFrame:
 def read_delimited_split(spark: SparkSession, path: str) -> DataFrame:
     """The same rows, with every file read in many tasks.
 
-    Expects quotes only around whole fields and doubled inside them, as exporters write them. Then
-    a line begins a record exactly if the number of quotes before it in its file is even. Lines are
-    read from file splits; each split reports its own parity and, for either parity before it,
-    where its last record begins. A running total over these few numbers per split settles where
-    every split stands, and the lines of a record are put together by the position of its first.
+    Expects quotes only around whole fields and doubled inside them, as exporters write them, and
+    fails on any other record rather than guess. Then a line begins a record exactly if the number
+    of quotes before it in its file is even. Lines are read from file splits; each split reports
+    its own parity and, for either parity before it, where its last record begins. A running total
+    over these few numbers per split settles where every split stands, and the lines of a record
+    are put together by the position of its first.
     """
     header = read_delimited(spark, path).columns
     split = ["file", "start"]
@@ -80,6 +83,10 @@ def read_delimited_split(spark: SparkSession, path: str) -> DataFrame:
         .select(F.regexp_replace("text", "\r$", "").alias("text"))
         .filter(F.col("text") != "")
     )
+    stray = F.regexp_replace("text", _QUOTED_FIELD, "$1").contains('"')
+    text = F.col("text")
+    message = F.concat(F.lit("quote inside a field, read whole files: "), F.left(text, F.lit(200)))
+    sound = F.when(text.contains('"') & stray, F.raise_error(message)).otherwise(text)
     names = ", ".join("`" + name.replace("`", "``") + "` string" for name in header)
-    parsed = F.from_csv("text", names, {**_DIALECT, "multiLine": "true"})
+    parsed = F.from_csv(sound, names, {**_DIALECT, "multiLine": "true"})
     return records.select(parsed.alias("record")).select("record.*")

@@ -42,12 +42,15 @@ def land(df: DataFrame, path: str) -> None:
     df.hint("rebalance").write.mode("overwrite").parquet(path)
 
 
-def land_snapshot(spark: SparkSession, folder: str, target: str, split: bool = False) -> None:
+def land_snapshot(
+    spark: SparkSession, folder: str, target: str, whole_files: bool = False
+) -> None:
     """Land the three files of a snapshot, keeping only the columns that are used.
 
-    ``split`` reads every file in many tasks, see ``read_delimited_split`` for what it asks of them.
+    Files are read in many tasks each. ``whole_files`` reads one file per task instead, for text
+    that ``read_delimited_split`` refuses.
     """
-    read = read_delimited_split if split else read_delimited
+    read = read_delimited if whole_files else read_delimited_split
     used = {
         "studies": [
             "nct_id", "brief_title", "overall_status", "phase", "study_type", "source",
