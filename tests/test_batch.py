@@ -165,6 +165,14 @@ def test_primary_area(spark):
     assert {r[0]: r[1] for r in trials.primary_area_ranked(df).collect()} == expected
 
 
+def test_trials_shrink_before_their_shuffle(spark):
+    df = conditions(spark, *AREA_ROWS)
+    for picked, operator in ((trials.primary_area(df), "functions=[partial_min("),
+                             (trials.primary_area_ranked(df), "WindowGroupLimit")):
+        plan = picked._jdf.queryExecution().executedPlan().toString()
+        assert operator in plan.split("Exchange hashpartitioning")[1]
+
+
 def test_enriched_trials(spark):
     df = trials.enrich_trials(
         studies(spark,
