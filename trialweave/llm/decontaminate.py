@@ -201,3 +201,29 @@ def contamination(
             RESULT if last else BETWEEN,
         )
     return frame
+
+
+def keep_clean(
+    documents: DataFrame,
+    benchmark: DataFrame,
+    window: int = WINDOW,
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+) -> DataFrame:
+    """The rows, with all their columns, whose text holds no window of an item."""
+    at = documents.columns.index(text_col)
+
+    def clean(batches, items):
+        automaton = _automaton(items, window)
+        for batch in slices(batches, at):
+            keep = [
+                automaton is None or not _hits(normalised(text)[0], automaton)[0]
+                for text in encoded_texts(batch, at)
+            ]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    frame = documents
+    for items in item_blocks(benchmark, item_col, item_text_col):
+        frame = frame.mapInArrow(lambda batches, items=items: clean(batches, items), documents.schema)
+    return frame

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from trialweave.llm import byte_bpe, decontaminate, language, secrets
+from trialweave.llm import byte_bpe, decontaminate, language, secrets, simhash
 from trialweave.llm.common import table
 from trialweave.session import configure
 
@@ -47,3 +47,8 @@ def op6_byte_bpe(spark, sf_dir):
 @query
 def op10_secrets(spark, sf_dir):
     return secrets.scan_secrets(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_simhash(spark, sf_dir):
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
