@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from trialweave.llm import byte_bpe, decontaminate, language, secrets, simhash
+from trialweave.llm import byte_bpe, decontaminate, language, secrets, simhash, window_dedup
 from trialweave.llm.common import table
 from trialweave.session import configure
 
@@ -52,3 +52,8 @@ def op10_secrets(spark, sf_dir):
 @query
 def op7_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_window_dedup(spark, sf_dir):
+    return window_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("removed")
