@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from trialweave.llm import byte_bpe, decontaminate, language, secrets, simhash, window_dedup
+from trialweave.llm import byte_bpe, decontaminate, language, secrets, simhash, suffix_dedup, window_dedup
 from trialweave.llm.common import table
 from trialweave.session import configure
 
@@ -57,3 +57,8 @@ def op7_simhash(spark, sf_dir):
 @query
 def op9_window_dedup(spark, sf_dir):
     return window_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("removed")
+
+
+@query
+def op5_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("removed")
