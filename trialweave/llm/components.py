@@ -9,6 +9,7 @@ chain. The driver sees one checksum per round.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,3 +62,34 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
     pairs = current.select(F.col("a").alias("node"), F.col("b").alias("root"))
     roots = pairs.select(F.col("root").alias("node"), "root").distinct()
     return pairs.union(roots)
+
+
+class Joined:
+    """Which of n members of one group are connected already, and the links that did it."""
+
+    def __init__(self, n: int):
+        self.label = np.arange(n)
+        self.links: list[tuple[int, int]] = []
+
+    def apart(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        apart = self.label[left] != self.label[right]
+        return left[apart], right[apart]
+
+    def add(self, left: np.ndarray, right: np.ndarray) -> None:
+        while True:
+            left, right = self.apart(left, right)
+            if not len(left):
+                return
+            a, b = self.label[left], self.label[right]
+            low, high = np.minimum(a, b), np.maximum(a, b)
+            # Each label joins one smaller label at a time; what is left over comes round again.
+            chosen, first = np.unique(high, return_index=True)
+            self.links += zip(left[first].tolist(), right[first].tolist())
+            to = np.arange(len(self.label))
+            to[chosen] = low[first]
+            while True:
+                further = to[to]
+                if np.array_equal(further, to):
+                    break
+                to = further
+            self.label = to[self.label]

@@ -7,7 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from trialweave.llm import byte_bpe, decontaminate, language, secrets, simhash, suffix_dedup, window_dedup
+from trialweave.llm import (
+    byte_bpe,
+    decontaminate,
+    embedding_dedup,
+    language,
+    secrets,
+    simhash,
+    suffix_dedup,
+    window_dedup,
+)
 from trialweave.llm.common import table
 from trialweave.session import configure
 
@@ -62,3 +71,8 @@ def op9_window_dedup(spark, sf_dir):
 @query
 def op5_suffix_dedup(spark, sf_dir):
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("removed")
+
+
+@query
+def op8_embedding_dedup(spark, sf_dir):
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))

@@ -27,8 +27,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from trialweave.llm.common import encoded_texts, record_batch, slices
-from trialweave.llm.components import components, saved
+from trialweave.llm.common import encoded_texts, slices
+from trialweave.llm.components import Joined, components, saved
 
 SHINGLE = 4
 MAX_BITS = 4
@@ -104,37 +104,6 @@ def fingerprints(
     return source.mapInArrow(run, "doc_id long, fp long")
 
 
-class _Forest:
-    """Which members of the lists are connected already, and the links that did it."""
-
-    def __init__(self, n: int):
-        self.label = np.arange(n)
-        self.links: list[tuple[int, int]] = []
-
-    def apart(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        apart = self.label[left] != self.label[right]
-        return left[apart], right[apart]
-
-    def add(self, left: np.ndarray, right: np.ndarray) -> None:
-        while True:
-            left, right = self.apart(left, right)
-            if not len(left):
-                return
-            a, b = self.label[left], self.label[right]
-            low, high = np.minimum(a, b), np.maximum(a, b)
-            # Each label joins one smaller label at a time; what is left over comes round again.
-            chosen, first = np.unique(high, return_index=True)
-            self.links += zip(left[first].tolist(), right[first].tolist())
-            to = np.arange(len(self.label))
-            to[chosen] = low[first]
-            while True:
-                further = to[to]
-                if np.array_equal(further, to):
-                    break
-                to = further
-            self.label = to[self.label]
-
-
 def _pairs_in_runs(order: np.ndarray, run: np.ndarray):
     """All pairs of members of a run, by distance: arrays of left and right members.
 
@@ -163,7 +132,7 @@ def _verified(words: np.ndarray, left: np.ndarray, right: np.ndarray, max_bits:
 
 def links_in_lists(words: np.ndarray, key: np.ndarray, max_bits: int = MAX_BITS) -> list[tuple[int, int]]:
     """Links that connect what is linked within the lists of equal key, as places in ``words``."""
-    forest = _Forest(len(words))
+    forest = Joined(len(words))
     order = np.argsort(key, kind="stable")
     run = np.cumsum(np.concatenate([[0], key[order][1:] != key[order][:-1]]))
     size = np.bincount(run)[run]
