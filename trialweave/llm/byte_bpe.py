@@ -142,9 +142,8 @@ class Codec:
     def mapped(self, pre_token: str) -> str:
         return pre_token.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.character)
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text, little-endian 32-bit."""
-        split = [self.find(text) for text in texts]
+    def learn(self, split: list[list[str]]) -> None:
+        """Encode the pre-tokens that are not known yet, together."""
         wanted: set[str] = set()
         wanted.update(*split)
         if len(self.known) + len(wanted) > KEPT:
@@ -155,6 +154,11 @@ class Codec:
             self.known.update(
                 (w, np.array(found, "<u4").tobytes()) for w, found in zip(unseen, ids)
             )
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text, little-endian 32-bit."""
+        split = [self.find(text) for text in texts]
+        self.learn(split)
         known = self.known.__getitem__
         return [b"".join(map(known, words)) for words in split]
 
@@ -165,7 +169,7 @@ class Codec:
 _CODECS: dict[int, Codec] = {}
 
 
-def _codec(model: bytes, tokens: list[bytes], pattern: str) -> Codec:
+def codec_of(model: bytes, tokens: list[bytes], pattern: str) -> Codec:
     key = hash((model, pattern))
     if key not in _CODECS:
         _CODECS.clear()
@@ -176,7 +180,7 @@ def _codec(model: bytes, tokens: list[bytes], pattern: str) -> Codec:
 def _encoded(
     batches: Iterable[pa.RecordBatch], model: bytes, tokens: list[bytes], pattern: str
 ) -> Iterator[tuple[pa.RecordBatch, list[bytes], Codec]]:
-    codec = _codec(model, tokens, pattern)
+    codec = codec_of(model, tokens, pattern)
     for batch in slices(batches):
         yield batch, codec.encode([text or "" for text in batch.column(1).to_pylist()]), codec
 

@@ -11,10 +11,12 @@ from trialweave.llm import (
     byte_bpe,
     decontaminate,
     embedding_dedup,
+    html_text,
     language,
     secrets,
     simhash,
     suffix_dedup,
+    token_counts,
     window_dedup,
 )
 from trialweave.llm.common import table
@@ -76,3 +78,14 @@ def op5_suffix_dedup(spark, sf_dir):
 @query
 def op8_embedding_dedup(spark, sf_dir):
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op1_html_text(spark, sf_dir):
+    return html_text.extract_text(table(spark, sf_dir, "pages"))
+
+
+@query
+def op3_token_counts(spark, sf_dir):
+    edited = token_counts.with_masking_edits(table(spark, sf_dir, "documents"))
+    return token_counts.count_tokens(edited, RANKS, PATTERN, "edits")
