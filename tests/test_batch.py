@@ -53,13 +53,16 @@ def test_delimited_dialect(spark, tmp_path):
 
 
 _FIELDS = st.sampled_from([None, "", "x", "a|b", "two\nlines", 'say "hi"', '"', "\n", "\n\n|\n", "é",
-                           "line\nNCT|2\n", '""\n"', " pad ", "#"])
+                           "line\nNCT|2\n", '""\n"', " pad ", "#", '5" tube', 'a""b', 'x"y"', 'end"',
+                           ' "pad"', '5"\n6"|7"'])
 
 
 def _quoted(field):
+    """Quoted where it must be; other fields keep their inner quotes as they are."""
     if field is None:
         return ""
-    return '"' + field.replace('"', '""') + '"' if set(field) & set('|"\n') or not field else field
+    must = set(field) & set("|\n") or field[:1] in ("", '"')
+    return '"' + field.replace('"', '""') + '"' if must else field
 
 
 @settings(max_examples=20, deadline=None, suppress_health_check=list(HealthCheck))
@@ -79,13 +82,54 @@ def test_split_reader_agrees_with_the_whole_file_reader(spark, tmp_path_factory,
     assert sorted(map(tuple, split.collect()), key=repr) == sorted(map(tuple, whole.collect()), key=repr)
 
 
-@pytest.mark.parametrize("line", ['A|5" tube', 'A|"x""', 'A|"p\nq"\nC|x"y"', 'A|"p\nq"\n"C" |x'])
-def test_split_reader_refuses_stray_quotes(spark, tmp_path, line):
-    (tmp_path / "t.txt").write_text(f"id|t\n{line}\nB|z\n")
-    with pytest.raises(Exception, match="quote inside a field"):
+def _both_readers(spark, folder):
+    read = (delimited.read_delimited, delimited.read_delimited_split)
+    return [sorted(map(tuple, r(spark, str(folder)).collect()), key=repr) for r in read]
+
+
+@pytest.mark.parametrize("text", [
+    'A|5" tube|"two\nlines"|6" tube\nB|1|2|3\n',
+    'A|x"y"|z|\n',
+    'A|x"y"|z|\nB|"two\nlines"||\n',
+    'A|"p\nq"|x"y"|"a""\n""b"\n',
+    "A|1|2|3",
+])
+def test_inner_quotes_are_read_alike_whatever_else_the_file_holds(spark, tmp_path, text):
+    (tmp_path / "t.txt").write_text("id|a|b|c\n" + text)
+    own = configure(spark.newSession())
+    own.conf.set("spark.sql.files.maxPartitionBytes", "11")
+    own.conf.set("spark.sql.files.openCostInBytes", "0")
+    whole, split = _both_readers(own, tmp_path)
+    assert split == whole and len(whole) == text.count("A|") + text.count("B|")
+
+
+@pytest.mark.parametrize("lines, reason", [
+    ('A|"x"y', "quote inside a field"),
+    ('A|"p\nq"\n"C" |x', "quote inside a field"),
+    ('A|"p\nq"r', "quote inside a field"),
+    ('A|"x""', "file ends inside a field"),
+    ('A|"x\r\ny"', "carriage return"),
+    ("A|x\ry", "carriage return"),
+])
+def test_split_reader_refuses_what_it_cannot_be_sure_of(spark, tmp_path, lines, reason):
+    (tmp_path / "t.txt").write_bytes(f"id|t\n{lines}\nB|z\n".encode())
+    with pytest.raises(Exception, match=reason):
         delimited.read_delimited_split(spark, str(tmp_path)).collect()
 
 
+@pytest.mark.parametrize("close", ["", 'Z|y"\n'])
+def test_a_lost_quote_is_refused_before_its_record_is_put_together(spark, tmp_path, monkeypatch, close):
+    monkeypatch.setattr(delimited, "MAX_RECORD_CHARS", 5_000)
+    clean = "".join(f"{i}|clean\n" for i in range(20_000))
+    (tmp_path / "t.txt").write_text(f'id|t\nA|"lost\n{clean}{close}')
+    own = configure(spark.newSession())
+    for size in ("1MB", "2000"):
+        own.conf.set("spark.sql.files.maxPartitionBytes", size)
+        own.conf.set("spark.sql.files.openCostInBytes", "0")
+        with pytest.raises(Exception, match="record too long|file ends inside"):
+            delimited.read_delimited_split(own, str(tmp_path)).collect()
+
+
 def test_split_reader_takes_long_fields(spark, tmp_path):
     field = 'x' * 50_000 + '""' * 20_000 + "\n" * 1_000
     (tmp_path / "t.txt").write_text(f'id|t\nA|"{field}"\nB|z\n')
@@ -99,7 +143,7 @@ def test_snapshot_falls_back_to_the_fixed_date(spark, tmp_path):
     resolve = snapshots.resolve_snapshot
     assert resolve(spark, str(tmp_path), "2026-03-01").endswith("2026-03-01")
     assert resolve(spark, str(tmp_path), "2026-03-02").endswith("2026-04-12")
-    today = dt.date.today().isoformat()
+    today = dt.datetime.now(dt.UTC).date().isoformat()
     assert resolve(spark, str(tmp_path)).endswith("2026-04-12")
     (tmp_path / f"snapshot_date={today}").mkdir(exist_ok=True)
     assert resolve(spark, str(tmp_path)).endswith(today)

@@ -1,16 +1,25 @@
 """Pipe-delimited text with a header row: every column a string, empty fields null.
 
-Quoted fields may hold delimiters, newlines and doubled quotes.
+Quoted fields may hold delimiters, newlines and doubled quotes; other fields may hold quotes anywhere
+but at their beginning.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 _DIALECT = {"sep": "|", "nullValue": "", "escape": '"'}
-# A whole field in quotes, from delimiter to delimiter.
-_QUOTED_FIELD = r'(^|\|)(?:"[^"]*+")++(?=\||\z)'
+# A record that is longer has most likely lost a quote.
+MAX_RECORD_CHARS = 10_000_000
+
+_INSIDE = '[^"]*+(?:""[^"]*+)*+'
+_FIELD = f'(?:"{_INSIDE}"|[^"|][^|]*+|)'
+# How a line can go on, by whether it begins between records or inside a quoted field.
+_BETWEEN_TO_BETWEEN = f"^{_FIELD}(?:[|]{_FIELD})*+$"
+_BETWEEN_TO_INSIDE = f'^(?:{_FIELD}[|])*+"{_INSIDE}$'
+_INSIDE_TO_BETWEEN = f'^{_INSIDE}"(?:[|]{_FIELD})*+$'
+_INSIDE_TO_INSIDE = f'^{_INSIDE}(?:"[|](?:{_FIELD}[|])*+"{_INSIDE})?+$'
 
 
 def read_delimited(spark: SparkSession, path: str) -> DataFrame:
@@ -24,73 +33,155 @@ def read_delimited(spark: SparkSession, path: str) -> DataFrame:
 def read_delimited_split(spark: SparkSession, path: str) -> DataFrame:
     """The same rows, with every file read in many tasks.
 
-    Expects quotes only around whole fields and doubled inside them, as exporters write them, and
-    fails on any other record rather than guess. Then a line begins a record exactly if the number
-    of quotes before it in its file is even. Lines are read from file splits; each split reports
-    its own parity and, for either parity before it, where its last record begins. A running total
-    over these few numbers per split settles where every split stands, and the lines of a record
-    are put together by the position of its first. Where no field holds a newline, Spark's reader
-    splits files by itself and is used.
-    """
-    text = spark.read.text(path, lineSep="\n")
-    odd = (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))) % 2
-    # Every record with a newline in a field has a first line with an odd number of quotes.
-    if text.filter((odd == 1) | F.col("value").contains("\r")).isEmpty():
-        return spark.read.options(header=True, **_DIALECT).csv(path)
+    Every line is checked by itself: from either state (between records, inside a quoted field) it is
+    sound or not, and leads to one of them. Each split reports how it maps the state before it to the
+    state behind it, and a running composition over these few numbers settles where every split
+    stands. Then a line that is not sound from its state is refused, as are a file that ends inside a
+    field, a carriage return anywhere but at the end of a record and a record of more than
+    ``MAX_RECORD_CHARS``; refusals come before the lines of a record are put together.
 
+    Lines pass one shuffle, by split, and become the pieces of records there; the pieces pass another
+    one, in which only records that span splits have more than one.
+    """
     header = read_delimited(spark, path).columns
     split = ["file", "start"]
     in_split = Window.partitionBy(*split).orderBy("seq")
     before = in_split.rowsBetween(Window.unboundedPreceding, -1)
     upto = in_split.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    lines = (
-        text.select(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("start"),
-            F.monotonically_increasing_id().alias("seq"),
-            F.col("value").alias("line"),
-            odd.alias("odd"),
-        )
-        .withColumn("n", F.row_number().over(in_split))
-        .withColumn("parity", F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2)
+
+    line = F.col("line")
+    plain = ~line.contains('"')
+    lines = spark.read.text(path, lineSep="\n").select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("seq"),
+        F.regexp_replace("value", "\r$", "").alias("line"),
+        F.col("value").endswith("\r").alias("returns"),
+    )
+    lines = lines.select(
+        "*",
+        F.when(plain | line.rlike(_BETWEEN_TO_BETWEEN), 0)
+        .when(line.rlike(_BETWEEN_TO_INSIDE), 1)
+        .alias("from_between"),
+        F.when(plain | line.rlike(_INSIDE_TO_INSIDE), 1)
+        .when(line.rlike(_INSIDE_TO_BETWEEN), 0)
+        .alias("from_inside"),
+    )
+    between, inside = F.col("from_between"), F.col("from_inside")
+    lines = lines.select(
+        "*",
+        F.row_number().over(in_split).alias("n"),
+        F.sum(F.length("line") + 1).over(upto).alias("read"),
+        *_steps(between, inside, upto),
+    )
+    settled, turns = _state_before(before)
+    lines = lines.withColumn("settled", settled).withColumn("turns", turns)
+    unread = F.col("read") - F.length("line") - 1
+    begin = F.struct("start", "n", unread.alias("at"))
+    lines = lines.select(
+        *split, "seq", "n", "line", "returns", between, inside, "read", "settled", "turns",
+        # The record of a line, and the place it began, if the split begins in either state.
+        *[
+            F.last(F.when(_state(s) == 0, begin), True).over(upto).alias(f"record{s}") for s in (0, 1)
+        ],
     )
 
-    earlier = (
-        Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    in_file = Window.partitionBy("file").orderBy("start")
+    earlier = in_file.rowsBetween(Window.unboundedPreceding, -1)
+    through = in_file.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    behind = [F.when(_state(s) == 0, between).otherwise(inside) for s in (0, 1)]
+    sums = lines.groupBy(*split).agg(
+        F.max_by(F.struct(*[c.alias(f"behind{s}") for s, c in enumerate(behind)]), "n").alias("end"),
+        F.max("read").alias("chars"),
+        *[F.max_by(f"record{s}", "n").alias(f"record{s}") for s in (0, 1)],
+    )
+    sums = sums.select(
+        *split, "chars", "record0", "record1", *_steps(F.col("end.behind0"), F.col("end.behind1"), through),
+        F.coalesce(F.sum("chars").over(earlier), F.lit(0)).alias("position"),
+        F.lead("start").over(in_file).isNull().alias("final"),
+        "end",
+    )
+    settled, turns = _state_before(earlier)
+    sums = sums.withColumn("offset", F.coalesce(settled, turns))
+    own = F.when(F.col("offset") == 0, F.col("record0")).otherwise(F.col("record1"))
+    end = F.when(F.col("offset") == 0, F.col("end.behind0")).otherwise(F.col("end.behind1"))
+    opened = F.when(
+        own.isNotNull(),
+        F.struct(own["start"].alias("start"), own["n"].alias("n"), (F.col("position") + own["at"]).alias("at")),
     )
-    offset = F.coalesce(F.sum("odd").over(earlier), F.lit(0)) % 2
-    last_n = F.when(F.col("offset") == 0, F.col("last_if_even")).otherwise(F.col("last_if_odd"))
-    last_record = F.when(F.col("n").isNotNull(), F.struct("start", "n"))
-    splits = (
-        lines.groupBy(*split)
-        .agg(
-            (F.sum("odd") % 2).alias("odd"),
-            F.max(F.when(F.col("parity") == 0, F.col("n"))).alias("last_if_even"),
-            F.max(F.when(F.col("parity") == 1, F.col("n"))).alias("last_if_odd"),
-        )
-        .withColumn("offset", offset)
-        .withColumn("n", last_n)
-        .withColumn("open_record", F.last(last_record, True).over(earlier))
-        .select(*split, "offset", "open_record")
+    sums = sums.withColumn("own", opened).select(
+        *split, "offset", "position",
+        F.last("own", True).over(earlier).alias("opened"),
+        (F.col("final") & (end == 1)).alias("cut_off"),
     )
 
-    begins = (F.col("parity") + F.col("offset")) % 2 == 0
-    own_record = F.last(F.when(begins, F.struct("start", "n")), True).over(upto)
+    state = F.coalesce("settled", (F.col("offset") + F.col("turns")) % 2)
+    own = F.when(F.col("offset") == 0, F.col("record0")).otherwise(F.col("record1"))
+    placed = lines.join(sums, split).select(
+        *split, "n", "line", "returns", "opened", "cut_off", "position", "read", own.alias("own"),
+        F.when(state == 0, between).otherwise(inside).alias("after"),
+    )
+    own = F.col("own")
+    length = F.col("read") - F.when(own.isNotNull(), own["at"]).otherwise(F.col("opened.at") - F.col("position"))
+    returns = F.col("line").contains("\r") | (F.col("returns") & (F.col("after") == 1))
+    shown = F.left("line", F.lit(200))
+    checked = placed.select(
+        "file", "start", "n",
+        F.when(own.isNotNull(), F.struct(own["start"].alias("start"), own["n"].alias("n")))
+        .otherwise(F.struct(F.col("opened.start").alias("start"), F.col("opened.n").alias("n")))
+        .alias("record"),
+        F.when(F.col("after").isNull(), _refused("quote inside a field", shown))
+        .when(returns, _refused("carriage return inside a record", shown))
+        .when(length > MAX_RECORD_CHARS, _refused("record too long, a quote may be missing", shown))
+        .when(F.col("cut_off") & (own["n"] == F.col("n")) & (F.col("after") == 1), _refused("file ends inside a field", shown))
+        .otherwise(F.col("line"))
+        .alias("line"),
+    )
+    pieces = checked.groupBy(*split, "record").agg(
+        F.array_join(
+            F.transform(F.array_sort(F.collect_list(F.struct("n", "line"))), lambda x: x["line"]), "\n"
+        ).alias("text")
+    )
     records = (
-        lines.join(splits, split)
-        .withColumn("record", F.coalesce(own_record, F.col("open_record")))
-        .groupBy("file", "record")
-        .agg(F.array_sort(F.collect_list(F.struct("start", "n", "line"))).alias("lines"))
+        pieces.groupBy("file", "record")
+        .agg(F.array_sort(F.collect_list(F.struct("start", "text"))).alias("pieces"))
         # The first record of a file is its header.
         .filter((F.col("record.start") > 0) | (F.col("record.n") > 1))
-        .select(F.array_join("lines.line", "\n").alias("text"))
-        .select(F.regexp_replace("text", "\r$", "").alias("text"))
+        .select(F.array_join("pieces.text", "\n").alias("text"))
         .filter(F.col("text") != "")
     )
-    stray = F.regexp_replace("text", _QUOTED_FIELD, "$1").contains('"')
-    record = F.col("text")
-    message = F.concat(F.lit("quote inside a field, read whole files: "), F.left(record, F.lit(200)))
-    sound = F.when(record.contains('"') & stray, F.raise_error(message)).otherwise(record)
     names = ", ".join("`" + name.replace("`", "``") + "` string" for name in header)
-    parsed = F.from_csv(sound, names, {**_DIALECT, "multiLine": "true"})
+    parsed = F.from_csv("text", names, {**_DIALECT, "multiLine": "true"})
     return records.select(parsed.alias("record")).select("record.*")
+
+
+def _steps(between: Column, inside: Column, window: Column) -> list[Column]:
+    """What a line (or split) does to the state before it, given where either state leads.
+
+    It keeps the state, turns it round, or settles it: because it is sound from one state only, or
+    leads to the same one from both. ``settles`` is the settled state, ``turned`` counts the turns.
+    """
+    turn = F.coalesce((between == 1) & (inside == 0), F.lit(False))
+    keep = F.coalesce((between == 0) & (inside == 1), F.lit(False))
+    settles = F.when(~turn & ~keep, F.coalesce(between, inside, F.lit(0)))
+    return [settles.alias("settles"), F.sum(turn.cast("int")).over(window).alias("turned")]
+
+
+def _state_before(earlier: Column) -> tuple[Column, Column]:
+    """The state that earlier steps settle, if any does, and the number of turns before, modulo 2.
+
+    The settled state is the last one, turned round as often as there were turns since.
+    """
+    turned = F.coalesce(F.last("turned").over(earlier), F.lit(0))
+    mark = F.when(F.col("settles").isNotNull(), F.struct("settles", "turned"))
+    last = F.last(mark, True).over(earlier)
+    return (last["settles"] + turned - last["turned"]) % 2, turned % 2
+
+
+def _state(beginning: int) -> Column:
+    """The state before a line if its split begins in the given one."""
+    return F.coalesce(F.col("settled"), (F.lit(beginning) + F.col("turns")) % 2)
+
+
+def _refused(reason: str, shown: Column) -> Column:
+    return F.raise_error(F.concat(F.lit(f"{reason}, read whole files: "), shown))

@@ -27,8 +27,8 @@ def resolve_snapshot(
     requested: str | None = None,
     fallback: str = FALLBACK_SNAPSHOT,
 ) -> str:
-    """Folder of the requested snapshot (today by default), else of the fixed fallback date."""
-    day = requested or dt.date.today().isoformat()
+    """Folder of the requested snapshot (today in UTC by default), else of the fixed fallback date."""
+    day = requested or dt.datetime.now(dt.UTC).date().isoformat()
     folder = f"{root}/snapshot_date={day}"
     return folder if path_exists(spark, folder) else f"{root}/snapshot_date={fallback}"
 
