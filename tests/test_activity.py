@@ -273,17 +273,72 @@ def test_sync_that_dies_before_clearing_is_repeated(spark, tmp_path, monkeypatch
     assert counts(history.read_daily_activity(spark, target)) == [("2024-01-05", "A", 1)]
 
 
-def test_relational_staging_is_emptied_unless_empty(spark, tmp_path, monkeypatch):
-    target, cleared, rows = str(tmp_path / "history"), [], [("2024-01-05", "A", 1)]
-    monkeypatch.setattr(jdbc, "read_jdbc_activity", lambda *a, **k: activity(spark, *rows).limit(
-        len(rows) - len(cleared)))
-    monkeypatch.setattr(jdbc, "clear_jdbc_table", lambda *a, **k: cleared.append(a[1:]))
-    assert history.sync_relational(spark, "jdbc:x", target).status == "appended"
-    assert history.sync_relational(spark, "jdbc:x", target).status == "empty"
-    assert cleared == [("jdbc:x", "daily_activity")]
-    cleared.clear()
-    assert history.sync_relational(spark, "jdbc:x", target).status == "nothing_new"
-    assert len(cleared) == 1
+class _Table:
+    """A staging table that is read and emptied through two functions."""
+
+    def __init__(self, spark, monkeypatch):
+        self.spark, self.rows = spark, []
+        monkeypatch.setattr(jdbc, "read_jdbc_activity", lambda *a, **k: self.frame())
+        monkeypatch.setattr(jdbc, "clear_jdbc_table", lambda *a, **k: self.rows.clear())
+
+    def frame(self):
+        parts = [
+            activity(self.spark, row).withColumn("batch_id", F.lit(batch).cast("long"))
+            .withColumn("staged_at", F.timestamp_seconds(F.lit(at)))
+            for at, batch, row in self.rows]
+        out = self.spark.createDataFrame([], jdbc.STAGED)
+        for part in parts:
+            out = out.unionByName(part)
+        return out
+
+
+def test_relational_staging_is_read_once_and_emptied(spark, tmp_path, monkeypatch):
+    stage, target = str(tmp_path / "stage"), str(tmp_path / "history")
+    table = _Table(spark, monkeypatch)
+    sync = lambda mode="skip_date": history.sync_relational(spark, "jdbc:x", stage, target, mode)
+    assert sync().status == "empty"
+    # A batch, its replay, and newer totals of a later run with the same batch number.
+    old, new = ("2024-01-05", "A", 3), ("2024-01-05", "A", 9)
+    table.rows = [(100, 0, new), (50, 0, old), (60, 0, old), (100, 1, ("2024-01-06", "A", 1))]
+    result = sync()
+    assert (result.status, result.rows_read, result.rows_appended) == ("appended", 2, 2)
+    assert table.rows == []
+    assert counts(history.read_daily_activity(spark, target)) == [new, ("2024-01-06", "A", 1)]
+    table.rows = [(200, 0, ("2024-01-06", "B", 4)), (200, 0, ("2024-01-05", "B", 4))]
+    result = sync()
+    assert (result.status, result.rows_skipped, table.rows) == ("nothing_new", 2, [])
+    # The report outlives the emptied table.
+    assert [r[0].isoformat() for r in result.skipped.collect()] == ["2024-01-05", "2024-01-06"]
+    assert sync().status == "empty"
+
+
+def test_relational_rows_that_arrive_later_stay(spark, tmp_path, monkeypatch):
+    stage, target = str(tmp_path / "stage"), str(tmp_path / "history")
+    table = _Table(spark, monkeypatch)
+    table.rows = [(100, 0, ("2024-01-05", "A", 1))]
+    append = history.append_activity
+
+    def append_while_staging(*args):
+        append(*args)
+        table.rows.append((101, 0, ("2024-01-07", "A", 2)))
+
+    with monkeypatch.context() as patch:
+        patch.setattr(history, "append_activity", append_while_staging)
+        history.sync_relational(spark, "jdbc:x", stage, target)
+    assert len(table.rows) == 2
+    result = history.sync_relational(spark, "jdbc:x", stage, target)
+    assert (result.rows_read, result.rows_appended, table.rows) == (1, 1, [])
+    assert counts(history.read_daily_activity(spark, target)) == [
+        ("2024-01-05", "A", 1), ("2024-01-07", "A", 2)]
+
+
+def test_two_rows_of_one_window_give_one_result(spark, tmp_path):
+    rows = [("2024-01-05", "A", 3), ("2024-01-05", "A", 9), ("2024-01-05", None, 1)]
+    for i, order in enumerate((rows, rows[::-1])):
+        target = str(tmp_path / str(i))
+        history.merge_activity(spark, activity(spark, *order), target)
+        assert counts(history.read_daily_activity(spark, target)) == [
+            ("2024-01-05", "A", 9), ("2024-01-05", None, 1)]
 
 
 def test_rows_of_a_day_share_a_file(spark, tmp_path):
@@ -354,10 +409,40 @@ def test_daily_command(spark, tmp_path, monkeypatch, capsys):
 
     assert call("--date", "2024-01-02").startswith("appended")
     out = call("--backfill", "2024-01-01", "2024-01-02")
-    assert out.startswith("appended") and "2024-01-02" in out
+    assert out.startswith("appended") and "skipped 2024-01-02" in out
+    assert "rows read 2, skipped 1, appended 1" in out
+    assert not list((tmp_path / "wh" / "staging").glob("*/run-*"))
     assert [t[0] for t in _trends(spark, f"{tmp_path}/wh")] == ["2024-01-01", "2024-01-02"]
     assert call().startswith("empty")
 
 
+def test_daily_command_prints_every_skipped_day(spark, tmp_path, monkeypatch, capsys):
+    from trialweave.jobs import daily as command
+
+    days = [f"2024-01-{d:02d}" for d in range(1, 26)]
+    for day in days:
+        land_page(tmp_path / "pages", day, "p", study())
+    monkeypatch.setattr("sys.argv", ["daily", "--pages", str(tmp_path / "pages"), "--warehouse",
+                                     str(tmp_path / "wh"), "--backfill", days[0], days[-1]])
+    command.main()
+    capsys.readouterr()
+    command.main()
+    out = capsys.readouterr().out.splitlines()
+    assert out[:2] == ["nothing_new", "rows read 25, skipped 25, appended 0"]
+    assert out[2:] == [f"skipped {day}" for day in days]
+
+
+def test_stages_of_runs_that_died_are_removed(spark, tmp_path):
+    stage_area.write_changes(
+        activity(spark, ("2024-01-05", "A", 1)), f"{tmp_path}/staging/event_date=2024-01-05/run-x", 0)
+    daily.remove_old_stages(spark, str(tmp_path))
+    assert not list(tmp_path.glob("staging/*/run-*"))
+    daily.remove_old_stages(spark, f"{tmp_path}/none")
+
+
+def test_publish_reports_the_number_of_events(spark, tmp_path):
+    assert publish(event_frame(spark, event("2024-01-05"), event("2024-01-06")), str(tmp_path / "t")) == 2
+
+
 def test_day_before():
     assert daily.day_before("2024-03-01") == "2024-02-29"

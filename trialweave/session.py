@@ -49,6 +49,13 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder, on whatever file system it is; a missing one is fine."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder name below the shared folder; nothing is created yet."""
     return f"{shared_folder(spark)}/trialweave/{label}-{uuid.uuid4().hex}"

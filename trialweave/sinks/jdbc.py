@@ -8,20 +8,33 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trialweave import schemas
 
 TABLE = "daily_activity"
+# Staged rows say which micro-batch of which time they come from, so that versions can be told apart.
+STAGED = T.StructType(
+    [
+        *schemas.DAILY_ACTIVITY.fields,
+        T.StructField("batch_id", T.LongType()),
+        T.StructField("staged_at", T.TimestampType()),
+    ]
+)
 
 
 def jdbc_writer(url: str, table: str = TABLE, **options: str) -> Callable[[DataFrame, int], None]:
-    """A sink for ``run_pulse``. Inserts only: the table has no key, the sync skips known days.
+    """A sink for ``run_pulse``. Inserts only: the table has no key.
 
-    A run that is not rate-limited is one micro-batch, so it inserts every group once.
+    A replayed micro-batch inserts its rows again, and a later run newer totals of the same windows.
+    Both carry their number and time, and the sync keeps the newest row per window and area.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = schemas.conform(batch, schemas.DAILY_ACTIVITY)
+        rows = rows.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        rows = rows.withColumn("staged_at", F.current_timestamp())
         rows.write.format("jdbc").options(url=url, dbtable=table, **options).mode("append").save()
 
     return write
@@ -31,7 +44,7 @@ def read_jdbc_activity(
     spark: SparkSession, url: str, table: str = TABLE, **options: str
 ) -> DataFrame:
     rows = spark.read.format("jdbc").options(url=url, dbtable=table, **options).load()
-    return schemas.conform(rows, schemas.DAILY_ACTIVITY)
+    return schemas.conform(rows, STAGED)
 
 
 def clear_jdbc_table(activity: DataFrame, url: str, table: str = TABLE, **options: str) -> None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from trialweave import schemas
@@ -26,14 +26,15 @@ def publish(
     servers: str | None = None,
     topic: str = TOPIC,
     mode: str = "append",
-) -> bool:
-    """Write events to a folder of line files or append them to a topic.
+) -> int:
+    """Write events to a folder of line files or append them to a topic; returns their number.
 
-    Nothing is written, and false returned, when there are none.
+    Nothing is written when there are none. They are counted by the job that writes them.
     """
     if events.isEmpty():
-        return False
-    messages = encode_events(events)
+        return 0
+    written = Observation()
+    messages = encode_events(events).observe(written, F.count("*").alias("events"))
     if path is not None:
         messages.write.mode(mode).text(path)
     else:
@@ -43,4 +44,4 @@ def publish(
             .option("topic", topic)
             .save()
         )
-    return True
+    return written.get["events"]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trialweave import schemas
-from trialweave.operators.merge import ACTIVITY_KEY, latest_rows, new_days, skipped_days
+from trialweave.operators.merge import (
+    ACTIVITY_KEY,
+    latest_rows,
+    new_days,
+    one_row_per_key,
+    skipped_days,
+    sync_report,
+)
 from trialweave.sinks import jdbc
 from trialweave.sources.tables import read_table_or_empty
 from trialweave.streaming.staging import last_batch, mark_synced, staged_activity, synced_batch
@@ -17,6 +25,7 @@ from trialweave.streaming.staging import last_batch, mark_synced, staged_activit
 _HISTORY = T.StructType(
     [*schemas.DAILY_ACTIVITY.fields, T.StructField("loaded_at", T.TimestampType())]
 )
+_MERGED = T.StructType([T.StructField("staged_at", T.TimestampType())])
 MODES = ("skip_date", "upsert")
 
 
@@ -24,6 +33,9 @@ MODES = ("skip_date", "upsert")
 class SyncResult:
     status: str  # "empty", "nothing_new" or "appended"
     skipped: DataFrame | None = None  # days left out, in order
+    rows_read: int = 0
+    rows_skipped: int = 0
+    rows_appended: int = 0
 
 
 def _rows(spark: SparkSession, path: str) -> DataFrame:
@@ -57,18 +69,19 @@ def merge_activity(
     """Bring activity rows, stored ones as they are read more than once, into the history.
 
     ``skip_date`` appends only days the history lacks. ``upsert`` appends every row as a newer
-    version, so a late area of a known day is kept.
+    version, so a late area of a known day is kept. Of several rows of a window and area the one
+    with most updates counts.
     """
     _require_known(mode)
-    skipped = None
-    if mode == "skip_date":
-        known = _rows(spark, target)
-        skipped = skipped_days(activity, known)
-        activity = new_days(activity, known)
-    if activity.isEmpty():
-        return SyncResult("nothing_new", skipped)
-    append_activity(activity, target)
-    return SyncResult("appended", skipped)
+    activity = one_row_per_key(activity)
+    # An upsert skips nothing: to it every day is new.
+    known = _rows(spark, target) if mode == "skip_date" else spark.createDataFrame([], _HISTORY)
+    skipped = skipped_days(activity, known) if mode == "skip_date" else None
+    counts = sync_report(activity, known).first().asDict()
+    if not counts["rows_appended"]:
+        return SyncResult("nothing_new", skipped, **counts)
+    append_activity(new_days(activity, known) if mode == "skip_date" else activity, target)
+    return SyncResult("appended", skipped, **counts)
 
 
 def sync_new_dates(
@@ -93,21 +106,45 @@ def sync_new_dates(
 def sync_relational(
     spark: SparkSession,
     url: str,
+    staging: str,
     target: str,
     mode: str = "skip_date",
     table: str = jdbc.TABLE,
     **options: str,
 ) -> SyncResult:
-    """:func:`sync_new_dates` from a relational staging table, which is emptied afterwards."""
+    """:func:`sync_new_dates` from a relational staging table, which is emptied afterwards.
+
+    The table is read once, into a folder below ``staging``; merging and the report work on that
+    copy, so they outlive the clearing. ``staging`` also records up to which time of staging rows
+    have been merged: later syncs read only newer rows. The table is emptied only if it holds
+    nothing newer, else its old rows stay, unread, until a sync finds nothing newer. A writer must
+    not insert between that look and the emptying; runs write before they sync.
+    """
     _require_known(mode)
+    mark = _last_merged(spark, staging)
     staged = jdbc.read_jdbc_activity(spark, url, table, **options)
-    if staged.isEmpty():
+    copy = f"{staging}/relational/run-{uuid.uuid4().hex}"
+    staged.filter(F.col("staged_at") > mark if mark is not None else F.lit(True)).write.parquet(copy)
+    rows = spark.read.schema(jdbc.STAGED).parquet(copy)
+    newest = rows.agg(F.max("staged_at").alias("staged_at")).first().staged_at
+    if newest is None:
         return SyncResult("empty")
-    result = merge_activity(spark, staged, target, mode)
-    jdbc.clear_jdbc_table(staged, url, table, **options)
+    version = F.struct("staged_at", "batch_id")
+    versions = rows.withColumn("version", version).drop("staged_at", "batch_id")
+    result = merge_activity(spark, latest_rows(versions, ACTIVITY_KEY, "version"), target, mode)
+    merged = spark.createDataFrame([(newest,)], _MERGED)
+    merged.coalesce(1).write.mode("append").parquet(f"{staging}/merged")
+    later = jdbc.read_jdbc_activity(spark, url, table, **options).filter(F.col("staged_at") > newest)
+    if later.isEmpty():
+        jdbc.clear_jdbc_table(staged, url, table, **options)
     return result
 
 
+def _last_merged(spark: SparkSession, staging: str):
+    marks = read_table_or_empty(spark, f"{staging}/merged", _MERGED)
+    return marks.agg(F.max("staged_at").alias("staged_at")).first().staged_at
+
+
 def _require_known(mode: str) -> None:
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")

@@ -67,14 +67,23 @@ def run_quarantine(decoded: DataFrame, path: str) -> StreamingQuery:
 
 
 def pulse_from_messages(
-    spark: SparkSession, staging: str, quarantine: str | None = None, **source: str
+    spark: SparkSession,
+    staging: str,
+    quarantine: str | None = None,
+    *,
+    write: Callable[[DataFrame, int], None] | None = None,
+    state_partitions: int = STATE_PARTITIONS,
+    **source: str,
 ) -> StreamingQuery:
-    """:func:`run_pulse` over queued messages (see ``read_messages`` for ``source``)."""
-    own = streaming_session(spark)
+    """:func:`run_pulse` over queued messages (see ``read_messages`` for ``source``).
+
+    A checkpoint keeps the number of state partitions it was begun with.
+    """
+    own = streaming_session(spark, state_partitions)
     decoded = decode_events(read_messages(own, streaming=True, **source))
     if quarantine is not None:
         run_quarantine(decoded, quarantine)
-    return run_pulse(good_events(decoded), staging)
+    return run_pulse(good_events(decoded), staging, write)
 
 
 def dropped_late(query: StreamingQuery) -> int:
