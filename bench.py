@@ -11,6 +11,7 @@ import json
 import os
 import re
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -45,6 +46,7 @@ def main() -> None:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", cpus)
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="trialweave-bench-"))
     )
     spark = configure(builder.getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")

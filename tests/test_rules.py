@@ -45,6 +45,9 @@ def test_term_area(spark, term, area):
 @pytest.mark.parametrize("conditions, area", [
     (["Lung", "Disease X"], "Respiratory"),
     (["Lung", "", "Disease X"], "Other"),
+    (["Lung", None, "Disease X"], "Other"),
+    ([None, "Stroke"], "Cardiovascular"),
+    ([None], "Other"),
     (["MULTIPLE", "sclerosis"], "Neurology"),
     (["Asthma", "Breast Cancer"], "Oncology"),
     (["pancreatic disease"], "Other"),
@@ -57,7 +60,7 @@ def test_conditions_area(spark, conditions, area):
 
 
 _WORDS = ["lung", "disease", "Disease X", "multiple", "Sclerosis", "metabolic", "syndrome x",
-          "mental", "disorder", "bowel", "inflammatory", "asthma", "x", "", "stroke", "old lung"]
+          "mental", "disorder", "bowel", "inflammatory", "asthma", "x", "", "stroke", "old lung", None]
 
 
 @settings(max_examples=12, deadline=None)
@@ -105,6 +108,8 @@ def test_status_category_normalized(spark):
 def test_bad_values_become_null(spark):
     assert _apply(spark, ["12", "abc", "", None, "99999999999"], "string", scalars.int_or_null) == [
         12, None, None, None, None]
+    assert _apply(spark, ["12.5", "-3.99", "7.", " 8.0 ", "1.2.3", "1e3", ".5", "1,5", "99999999999.5"],
+                  "string", scalars.int_or_null) == [12, -3, 7, 8, None, None, None, None, None]
     days = _apply(spark, ["2015-03-01", "2015-03", "2015-3-1", "2015-02-30", None], "string",
                   scalars.date_or_null)
     assert [d and d.isoformat() for d in days] == ["2015-03-01", None, None, None, None]
@@ -117,3 +122,17 @@ def test_ratio_and_flag(spark):
         scalars.flag(F.lit(None) == "x").alias("c"),
     ).first()
     assert (row.a, row.b, row.c) == (0.25, None, False)
+
+
+def test_whole_texts_decide_their_area(spark):
+    """Without the texts, or with their beginnings only, the areas of documents would change."""
+    from trialweave.catalog import adapters
+    from trialweave.catalog.queries import QUERIES
+
+    folder = "/root/testdata/sf0.001"
+    got = {r.doc_id: r.therapeutic_area for r in QUERIES["document_areas"](spark, folder).collect()}
+    texts = adapters.table(spark, folder, "documents")
+    beginnings = texts.select("doc_id", areas.conditions_area(
+        F.array(F.left("text", F.lit(300))), adapters.TEXT_RULES).alias("area")).collect()
+    assert len(set(got.values())) >= 4
+    assert sum(got[r.doc_id] != r.area for r in beginnings) >= 10

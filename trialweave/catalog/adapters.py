@@ -39,7 +39,13 @@ PRIORITY_CONDITION = {
     "3-MEDIUM": "Type 2 Diabetes",
     "5-LOW": "Healthy",
 }
-LANG_CONDITION = {"en": "Asthma", "fr": "Maladie de CROHN", "de": "Hepatitis C"}
+# Rules over whole texts: pieces of words that some texts hold, many of them far from the beginning.
+TEXT_RULES = (
+    ("North", ("berheit", "lichver")),
+    ("South", ("ciónll",)),
+    ("West", ("eauaux", "oiaux")),
+    ("East", ("erstwh", "ionthou", "whthst")),
+)
 EVENT_CONDITION = {
     "signup": "Breast Cancer",
     "view": "Stroke",
@@ -111,6 +117,7 @@ def studies(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("study_type"),
         "source",
         F.when((status == "P") & (priority == "1-URGENT"), "n/a")
+        .when(priority == "2-HIGH", F.concat(F.floor(price / 1000).cast("string"), F.lit(".75")))
         .otherwise(F.floor(price / 1000).cast("string"))
         .alias("enrollment"),
         F.when(no_day, F.left(text(_start()), F.lit(7))).otherwise(text(_start())).alias(
@@ -188,9 +195,13 @@ def _conditions_of_order() -> Column:
 
 
 def condition_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Free-text conditions per trial as an array; some trials have none."""
+    """Free-text conditions per trial as an array; some trials have none, some a null between two."""
+    conditions = _conditions_of_order()
+    parted = F.array(F.get(conditions, F.lit(0)), F.lit(None).cast("string"), F.get(conditions, F.lit(1)))
+    apart = conditions.isNotNull() & (F.col("o_custkey") % 2 == 0)
     return table(spark, sf_dir, "orders").select(
-        _trial_id("o_orderkey").alias("nct_id"), _conditions_of_order().alias("conditions")
+        _trial_id("o_orderkey").alias("nct_id"),
+        F.when(apart, parted).otherwise(conditions).alias("conditions"),
     )
 
 
@@ -201,16 +212,6 @@ def condition_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def document_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Texts as the first of a list of conditions."""
-    return table(spark, sf_dir, "documents").select(
-        "doc_id",
-        F.array(
-            "text", F.coalesce(_lookup(F.col("lang"), LANG_CONDITION), F.lit("Healthy"))
-        ).alias("conditions"),
-    )
-
-
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A response page per order: its study and, for some, a second one without any field."""
     priority, status = F.col("o_orderpriority"), F.col("o_orderstatus")

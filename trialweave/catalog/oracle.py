@@ -55,6 +55,7 @@ leads AS (
   FROM sponsors WHERE lead_or_collaborator = 'lead' GROUP BY nct_id
 )"""
 
+# Areas in priority order with the keywords that select them.
 _BATCH_PATTERNS = [
     ("Oncology",
      "neoplasm|carcinoma|cancer|tumor|lymphoma|leukemia|melanoma|sarcoma|glioma|malignant"),
@@ -74,6 +75,7 @@ _BATCH_PATTERNS = [
     ("Gastroenterology",
      "crohn|colitis|gastric|intestinal|bowel|liver|hepatic|pancreatic|colorectal"),
 ]
+# Keywords that only the rules for the snapshot files have.
 _NOT_IN_UPDATES = (
     "malignant", "atherosclerosis", "neurological", "scleroderma", "addiction", "pancreatic"
 )
@@ -123,6 +125,7 @@ trials AS (
   FROM typed LEFT JOIN leads USING (nct_id) LEFT JOIN areas USING (nct_id)
 )"""
 
+# The phase and status codes below, and their labels, are fixed values.
 _STAGED = f"""{_ENRICHED},
 labelled AS (
   SELECT * REPLACE (CASE phase
@@ -266,8 +269,12 @@ _ACTIVITY_COLUMNS = (
 )
 _AREA_LIST = ", ".join(f"'{area}'" for area, _ in _BATCH_PATTERNS) + ", 'Other'"
 _CONDITION_AREAS = _with(_PAGES, f"""
-SELECT {_ORDER_ID} AS nct_id, {_area('conditions', updates=True)} AS therapeutic_area
-FROM page_orders""")
+SELECT {_ORDER_ID} AS nct_id, {_area('words', updates=True)} AS therapeutic_area
+FROM (SELECT *, CASE WHEN o_custkey % 2 = 0 THEN replace(replace(replace(replace(conditions,
+                       'lung ', 'lung  '), 'multiple ', 'multiple  '), '2 diabetes ', '2 diabetes  '),
+                       'healthy ', 'healthy  ')
+                     ELSE conditions END AS words FROM page_orders)""")
+# The labels of phases.
 _PHASES = (
     "Early Phase 1", "Phase 1", "Phase 2", "Phase 3", "Phase 4", "Phase 1/2", "Phase 2/3",
     "Phase 3/4", "Not Applicable",
@@ -308,12 +315,34 @@ timed AS (SELECT *, event_date::TIMESTAMP AS event_time FROM page_studies),{_pul
     ),
     "condition_list_area": _CONDITION_AREAS,
     "condition_rows_area": _CONDITION_AREAS,
-    "document_areas": f"""
-SELECT doc_id, {_area('words', updates=True)} AS therapeutic_area FROM (
-  SELECT doc_id, lower(text || ' ' || CASE lang WHEN 'en' THEN 'Asthma'
-           WHEN 'fr' THEN 'Maladie de CROHN' WHEN 'de' THEN 'Hepatitis C'
-           ELSE 'Healthy' END) AS words
-  FROM documents)""",
+    "document_areas": """
+SELECT doc_id, CASE WHEN regexp_matches(words, 'berheit|lichver') THEN 'North'
+                    WHEN regexp_matches(words, 'ciónll') THEN 'South'
+                    WHEN regexp_matches(words, 'eauaux|oiaux') THEN 'West'
+                    WHEN regexp_matches(words, 'erstwh|ionthou|whthst') THEN 'East'
+                    ELSE 'Other' END AS therapeutic_area
+FROM (SELECT doc_id, lower(text) AS words FROM documents)""",
+    "activity_views_sql": _with(_TRENDS, """
+SELECT therapeutic_area, activity_date, daily_updates, update_count, a.completed_count
+FROM trends JOIN stg_activity a USING (therapeutic_area, activity_date)"""),
+    "normalized_statuses": _with(_STAGED, """
+SELECT status_category, is_completed, is_interventional, count(*) AS trials
+FROM stg_trials GROUP BY ALL"""),
+    "late_events_stream": _with(f"""{_EVENTS},
+numbered AS (SELECT *, substr(nct_id, 4)::BIGINT % 2 AS run FROM updates),
+in_time AS (
+  SELECT * FROM numbered
+  WHERE run = 0
+     OR event_time >= (SELECT max(event_time) FROM numbered WHERE run = 0) - INTERVAL 1 DAY
+),{_pulse('in_time')}""", "SELECT * FROM activity"),
+    "merge_duplicate_versions": _with(_ACTIVITY, "SELECT * FROM activity"),
+    "sync_report": _with(_KNOWN, """
+SELECT count(*) AS rows_read, count(*) FILTER (seen) AS rows_skipped,
+       count(*) FILTER (NOT seen) AS rows_appended
+FROM (SELECT window_start::DATE IN (SELECT window_start::DATE FROM known) AS seen FROM activity)"""),
+    "sync_steps": _with(_ACTIVITY, """
+SELECT status, rows FROM (SELECT count(*) AS n FROM activity),
+  LATERAL (VALUES ('empty', 0), ('appended', n), ('nothing_new', n)) AS steps(status, rows)"""),
     "encoded_events": _with(_EVENTS, "SELECT * FROM updates"),
     "daily_activity": _with(_ACTIVITY, "SELECT * FROM activity"),
     "daily_activity_stream": _with(_ACTIVITY, "SELECT * FROM activity"),

@@ -13,7 +13,7 @@ from trialweave.functions.scalars import timestamp_or_null, yesterday
 from trialweave.operators import merge, quality, series, trials
 from trialweave.operators.pulse import daily_pulse
 from trialweave.plans import marts, report, staging
-from trialweave.plans.daily import activity_of_pages, run_backfill
+from trialweave.plans.daily import activity_of_pages, refresh_trends, run_backfill
 from trialweave.plans.monthly import run_monthly
 from trialweave.session import scratch_path, configure
 from trialweave.sinks.messages import encode_events, publish
@@ -30,6 +30,7 @@ from trialweave.sources.snapshots import FALLBACK_SNAPSHOT, FILES, land
 from trialweave.sources.tables import read_landscape, read_trends, read_trials
 from trialweave.streaming.history import (
     append_activity,
+    merge_activity,
     read_daily_activity,
     sync_new_dates,
 )
@@ -193,8 +194,10 @@ def stored_trials(spark, sf_dir):
 
 @query
 def load_row_count(spark, sf_dir):
-    count = write_trials(_enriched(spark, sf_dir), scratch_path(spark, "trials"))
-    return spark.range(1).select(F.lit(count).cast("bigint").alias("rows_written"))
+    """The rows of the committed table."""
+    path = scratch_path(spark, "trials")
+    write_trials(_enriched(spark, sf_dir), path)
+    return read_trials(spark, path).agg(F.count("*").alias("rows_written"))
 
 
 @query
@@ -237,6 +240,41 @@ def views_sql(spark, sf_dir):
     )
 
 
+@query
+def activity_views_sql(spark, sf_dir):
+    """Ad-hoc SQL over the three views of the daily activity."""
+    warehouse = scratch_path(spark, "warehouse")
+    write_trials(_enriched(spark, sf_dir), f"{warehouse}/trials")
+    stored = staging.stg_trials(read_trials(spark, f"{warehouse}/trials"))
+    write_landscape(marts.trial_landscape(stored), f"{warehouse}/mart_trial_landscape")
+    append_activity(_activity(spark, sf_dir), f"{warehouse}/daily_activity")
+    refresh_trends(spark, warehouse)
+    register_views(spark, warehouse, read_daily_activity(spark, f"{warehouse}/daily_activity"))
+    return spark.sql(
+        """
+        SELECT m.therapeutic_area, m.activity_date, m.daily_updates, s.update_count,
+               d.completed_count
+        FROM mart_activity_trends m
+        JOIN stg_daily_activity s USING (therapeutic_area, activity_date)
+        JOIN daily_activity d
+          ON d.therapeutic_area = m.therapeutic_area AND to_date(d.window_start) = m.activity_date
+        """
+    )
+
+
+@query
+def normalized_statuses(spark, sf_dir):
+    """Statuses and types in capitals, matched without regard to case."""
+    capitals = adapters.studies(spark, sf_dir).select(
+        "*", F.upper("overall_status").alias("s"), F.upper("study_type").alias("t")
+    ).drop("overall_status", "study_type").withColumnsRenamed({"s": "overall_status", "t": "study_type"})
+    others = adapters.batch_inputs(spark, sf_dir)[1:]
+    staged = staging.stg_trials(trials.enrich_trials(capitals, *others, normalize=True), normalize=True)
+    return staged.groupBy("status_category", "is_completed", "is_interventional").agg(
+        F.count("*").alias("trials")
+    )
+
+
 # --- updates to trends -------------------------------------------------------------------------
 
 
@@ -266,10 +304,9 @@ def condition_rows_area(spark, sf_dir):
 
 @query
 def document_areas(spark, sf_dir):
-    """The update rules over whole texts, each followed by a condition that its language gives."""
-    return adapters.document_conditions(spark, sf_dir).select(
-        "doc_id", conditions_area(F.col("conditions")).alias("therapeutic_area")
-    )
+    """Rules over whole texts; where the first piece of a word stands decides nothing."""
+    area = conditions_area(F.array("text"), adapters.TEXT_RULES)
+    return adapters.table(spark, sf_dir, "documents").select("doc_id", area.alias("therapeutic_area"))
 
 
 @query
@@ -292,6 +329,17 @@ def daily_activity_stream(spark, sf_dir):
     return staged_activity(spark, stage)
 
 
+@query
+def late_events_stream(spark, sf_dir):
+    """A second run of the stream brings events of all days: closed days drop theirs."""
+    topic, stage = scratch_path(spark, "updates"), scratch_path(spark, "staging")
+    updates = adapters.trial_updates(spark, sf_dir, (F.col("event_id") % 2).alias("run"))
+    for run in (0, 1):
+        publish(updates.filter(F.col("run") == run).drop("run"), topic)
+        pulse_from_messages(spark, stage, path=topic)
+    return staged_activity(spark, stage)
+
+
 @query
 def stg_daily_activity(spark, sf_dir):
     return staging.stg_daily_activity(_activity(spark, sf_dir))
@@ -314,6 +362,37 @@ def sync_upsert(spark, sf_dir):
     return _synced(spark, sf_dir, "upsert")
 
 
+@query
+def merge_duplicate_versions(spark, sf_dir):
+    """Two staged versions of some windows: the one with more updates counts."""
+    history = scratch_path(spark, "history")
+    activity = _activity(spark, sf_dir)
+    older = activity.filter("therapeutic_area = 'Oncology'").withColumns(
+        {"update_count": F.col("update_count") - 1, "completed_count": F.lit(0).cast("long")}
+    )
+    merge_activity(spark, older.unionByName(activity), history)
+    return read_daily_activity(spark, history)
+
+
+@query
+def sync_report(spark, sf_dir):
+    return merge.sync_report(_activity(spark, sf_dir), _known_activity(spark, sf_dir))
+
+
+@query
+def sync_steps(spark, sf_dir):
+    """The history after a sync with nothing staged, one with rows and one with nothing new."""
+    stage, history = scratch_path(spark, "staging"), scratch_path(spark, "history")
+    after = []
+    for batch in (None, 0, 1):
+        if batch is not None:
+            write_changes(_activity(spark, sf_dir), stage, batch)
+        status = sync_new_dates(spark, stage, history).status
+        rows = read_daily_activity(spark, history).agg(F.count("*").alias("rows"))
+        after.append(rows.select(F.lit(status).alias("status"), "rows"))
+    return after[0].unionAll(after[1]).unionAll(after[2])
+
+
 def _synced(spark, sf_dir, mode):
     stage, history = scratch_path(spark, "staging"), scratch_path(spark, "history")
     append_activity(_known_activity(spark, sf_dir), history)

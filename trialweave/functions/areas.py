@@ -101,9 +101,10 @@ def conditions_area(conditions: Column, rules: RuleSet = STREAM_RULES) -> Column
     """Area of an array of free-text conditions.
 
     The conditions are joined by one blank and lower-cased before matching, so a two-word keyword
-    may match across neighbouring conditions. A null or empty array gives the default.
+    may match across neighbouring conditions. A null entry counts as an empty text, which parts its
+    neighbours. A null or empty array gives the default.
     """
-    return first_match(F.lower(F.array_join(conditions, " ")), rules)
+    return first_match(F.lower(F.array_join(conditions, " ", "")), rules)
 
 
 def conditions_area_by_key(
@@ -115,7 +116,7 @@ def conditions_area_by_key(
 ) -> DataFrame:
     """:func:`conditions_area` for conditions stored one per row: ``(key, therapeutic_area)``.
 
-    ``position`` numbers the conditions of a key without gaps. No key's conditions are gathered or
+    ``position`` numbers the conditions of a key without gaps, null ones included. No key's conditions are gathered or
     paired: each row yields the rank of the first rule it matches. For keywords with a blank it
     also marks which of their first halves it ends with, on the border behind it, and which of
     their second halves it starts with, on the border before it. Marks meet in a pre-aggregated

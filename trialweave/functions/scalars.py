@@ -6,7 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 def int_or_null(text: Column) -> Column:
-    return text.try_cast("int")
+    """A whole number; of plain decimal text the whole part. Anything else is null."""
+    decimal = F.regexp_extract(F.trim(text), r"^([+-]?[0-9]+)[.][0-9]*$", 1)
+    return F.coalesce(text.try_cast("int"), decimal.try_cast("int"))
 
 
 def date_or_null(text: Column) -> Column:
