@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections import Counter
 
+import duckdb
 import numpy as np
+import pytest
 
 import __spark_entry__
 import corpus_pipeline
@@ -58,3 +60,21 @@ def test_all_but_the_last_stage_return_the_columns_of_documents(spark, documents
     benchmark.write.parquet(f"{folder}/benchmark.parquet")
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, documents, folder).schema == documents.schema
+
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_query_matches_sql(spark, name):
+    duck = duckdb.connect()
+    for table in ("documents", "benchmark", "embeddings"):
+        duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
+    expected = duck.execute(ORACLE_SQL[name])
+    columns = [column[0] for column in expected.description]
+    frame = QUERIES[name](spark, SF_DIR)
+    assert sorted(frame.columns) == sorted(columns)
+    got = Counter(tuple(row[c] for c in columns) for row in frame.collect())
+    assert got == Counter(expected.fetchall())
+    kinds = {"bigint": "BIGINT", "string": "VARCHAR", "boolean": "BOOLEAN"}
+    assert {c: kinds[k] for c, k in frame.dtypes} == {c[0]: str(c[1]) for c in expected.description}

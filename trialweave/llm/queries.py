@@ -89,3 +89,72 @@ def op1_html_text(spark, sf_dir):
 def op3_token_counts(spark, sf_dir):
     edited = token_counts.with_masking_edits(table(spark, sf_dir, "documents"))
     return token_counts.count_tokens(edited, RANKS, PATTERN, "edits")
+
+
+_WORDS = "regexp_extract_all({text}, '{pattern}')"
+_BENCH_WORDS = _WORDS.format(
+    text="translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')",
+    pattern=r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+",
+)
+_PLAIN_WORDS = _WORDS.format(text="text", pattern=r"[^\x20\x09-\x0D]+")
+
+ORACLE_SQL["op4_decontamination"] = f"""
+WITH items AS (
+  SELECT item_id::VARCHAR AS item, {_BENCH_WORDS} AS w FROM benchmark
+  WHERE item_id IS NOT NULL AND text IS NOT NULL
+),
+windows AS (
+  SELECT DISTINCT item, least(len(w), 10) AS size, w[i : i + least(len(w), 10) - 1] AS words
+  FROM items, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS r(i) WHERE len(w) > 0
+),
+texts AS (SELECT doc_id, coalesce({_BENCH_WORDS}, []) AS w FROM documents),
+met AS (
+  SELECT doc_id, i, size, item
+  FROM (SELECT doc_id, i, size, w[i : i + size - 1] AS words
+        FROM texts, (SELECT DISTINCT size FROM windows), unnest(range(1, len(w) - size + 2)) AS r(i))
+  JOIN windows USING (size, words)
+),
+hits AS (
+  SELECT doc_id, count(DISTINCT place) AS n_hit FROM met, unnest(range(i, i + size)) AS r(place)
+  GROUP BY doc_id
+),
+names AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+  FROM (SELECT DISTINCT doc_id, item FROM met) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM texts LEFT JOIN hits USING (doc_id) LEFT JOIN names USING (doc_id)"""
+
+ORACLE_SQL["op8_embedding_dedup"] = """
+WITH RECURSIVE vectors AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b
+  ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.9
+),
+reach AS (
+  SELECT vec_id, vec_id AS other FROM vectors
+  UNION SELECT vec_id, b FROM reach JOIN links ON other = a
+)
+SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links,
+       min(other) AS component_id, vec_id = min(other) AS kept
+FROM reach GROUP BY vec_id"""
+
+ORACLE_SQL["op9_window_dedup"] = f"""
+WITH texts AS (SELECT doc_id, coalesce({_PLAIN_WORDS}, []) AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, w[i : i + 12] AS words FROM texts, unnest(range(1, len(w) - 11)) AS r(i)
+),
+later AS (
+  SELECT doc_id, i FROM windows JOIN (SELECT words, min(doc_id) AS first FROM windows GROUP BY words)
+  USING (words) WHERE first < doc_id
+),
+gone AS (SELECT DISTINCT doc_id, place FROM later, unnest(range(i, i + 13)) AS r(place)),
+kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY place) AS words
+  FROM (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS place FROM texts)
+  ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed,
+       sha256(coalesce(words, '')) AS kept_sha256
+FROM texts LEFT JOIN kept USING (doc_id)"""
