@@ -38,6 +38,8 @@ SPILL = 0.12
 LEAF_ROWS = 1000
 BLOCK_ROWS = 8000
 SAMPLE_ROWS = 16_384
+# Long vectors get a smaller sample, so that it stays small on the driver.
+SAMPLE_VALUES = 4_000_000
 MAX_DEPTH = 16
 SEED = 20_231
 
@@ -121,7 +123,8 @@ def plan_forest(classes: DataFrame, trees: int = TREES, sample_rows: int = SAMPL
     sizes = classes.groupBy(F.size("vector").alias("n")).count().collect()
     forest = {}
     for row in sizes:
-        chosen = classes.filter(F.size("vector") == row["n"]).orderBy(F.xxhash64("vector")).limit(sample_rows)
+        bound = max(1024, min(sample_rows, SAMPLE_VALUES // row["n"]))
+        chosen = classes.filter(F.size("vector") == row["n"]).orderBy(F.xxhash64("vector")).limit(bound)
         column = chosen.select("vector").toArrow().column(0).combine_chunks()
         sample = column.flatten().to_numpy(False).reshape(-1, row["n"])
         forest[row["n"]] = [plan_tree(_unit(sample), row["count"], SEED + t) for t in range(trees)]
