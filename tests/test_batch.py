@@ -104,12 +104,12 @@ def test_inner_quotes_are_read_alike_whatever_else_the_file_holds(spark, tmp_pat
 
 
 @pytest.mark.parametrize("lines, reason", [
-    ('A|"x"y', "quote inside a field"),
-    ('A|"p\nq"\n"C" |x', "quote inside a field"),
-    ('A|"p\nq"r', "quote inside a field"),
+    ('A|"x"y', "quote or carriage return"),
+    ('A|"p\nq"\n"C" |x', "quote or carriage return"),
+    ('A|"p\nq"r', "quote or carriage return"),
     ('A|"x""', "file ends inside a field"),
-    ('A|"x\r\ny"', "carriage return"),
-    ("A|x\ry", "carriage return"),
+    ('A|"x\r\ny"', "quote or carriage return"),
+    ("A|x\ry", "quote or carriage return"),
 ])
 def test_split_reader_refuses_what_it_cannot_be_sure_of(spark, tmp_path, lines, reason):
     (tmp_path / "t.txt").write_bytes(f"id|t\n{lines}\nB|z\n".encode())
