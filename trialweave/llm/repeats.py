@@ -3,14 +3,15 @@
 Three steps that the dedup operators share:
 
 1. A map task turns a batch of documents into entries (a key at a place) and deals them to slots by
-   key. What goes to one slot is one row: the keys, the gaps between the places, and the ids of the
-   batch's documents, all packed. A key that occurs often is thinned in the batch before it is sent.
+   key. What goes to one slot is one row: the keys, the gaps between the places and, where the slot
+   has to know them, the ids of the batch's documents, all packed. A key that occurs often is thinned
+   in the batch before it is sent.
 2. A slot brings equal keys of all batches together and marks places. Each batch gets back the
    places that its slot marked.
 3. The marks of a batch are put together, and with the packed ids they become rows per document.
 
-The number of slots follows ``spark.sql.shuffle.partitions``, so a slot's size is what the session
-plans for a partition. A batch is named by a digest of its content: a task that runs again makes the
+The number of slots follows ``spark.sql.shuffle.partitions``, so a slot's size follows what the session
+plans for a partition, at any size of input. A batch is named by a digest of its content: a task that runs again makes the
 same rows. Every batch knows how many rows it sent and checks that all of them answered.
 """
 
@@ -23,15 +24,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 SENT = "slot int, batch long, rows int, header binary, keys binary, places binary, own binary"
-BACK = "batch long, rows int, header binary, own binary, first binary, second binary"
+BACK = "batch long, rows int, own binary, header binary, first binary, second binary"
 # Id given to documents without one: no id is larger.
 NO_ID = np.iinfo(np.int64).max
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)  # odd, from the golden ratio
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
-def slots_of(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def slots_of(spark: SparkSession, per_partition: int) -> int:
+    """More slots per partition even out what partitions get, but each batch sends more rows."""
+    return per_partition * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def mixed(values: np.ndarray) -> np.ndarray:
@@ -46,7 +48,7 @@ def mixed(values: np.ndarray) -> np.ndarray:
 def _powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd base and of its inverse modulo 2**64."""
     if base not in _POWERS or len(_POWERS[base][0]) < size:
-        room = max(1 << 16, 1 << int(size - 1).bit_length())
+        room = (size + 0xFFFF) >> 16 << 16
         both = []
         for factor in (base, pow(base, -1, 1 << 64)):
             powers = np.full(room, factor, np.uint64)
@@ -77,6 +79,16 @@ class RollingHash:
         return (self.sums[size:] - self.sums[:n]) * self.down[:n]
 
 
+def window_hashes(numbers: np.ndarray, size: int, base: int) -> np.ndarray:
+    """Rabin-Karp hashes of all windows of a few numbers, without sums over the whole sequence."""
+    n = max(len(numbers) - size + 1, 0)
+    hashes = np.zeros(n, np.uint64)
+    for offset in range(size):
+        hashes *= np.uint64(base)
+        hashes += numbers[offset : offset + n]
+    return hashes
+
+
 # Two odd bases for hashes that do not depend on each other.
 BASES = (0x2545F4914F6CDD1D, 0x9FB21C651E98DF25)
 
@@ -116,11 +128,16 @@ def unpack_header(packed: bytes, columns: int) -> list[np.ndarray]:
 
 
 def sent_rows(
-    slots: int, slot: np.ndarray, keys: np.ndarray, places: np.ndarray, header: bytes, own: bytes
+    slots: int,
+    slot: np.ndarray,
+    keys: np.ndarray,
+    places: np.ndarray,
+    own: list[bytes],
+    header: bytes | None = None,
 ) -> Iterator[pa.RecordBatch]:
-    """One row per slot that gets entries; the first row also carries the batch's own marks.
+    """One row per slot that gets entries; the first row also carries what only the batch needs.
 
-    ``keys`` has a row per entry; ``places`` ascend.
+    ``keys`` has a row per entry; ``places`` ascend; ``header`` goes to every slot.
     """
     import xxhash
 
@@ -129,8 +146,9 @@ def sent_rows(
     used = np.nonzero(np.diff(bounds))[0]
     if not len(used):
         used = np.zeros(1, np.int64)
-    name = xxhash.xxh64(header)
-    name.update(own)
+    packed = join_parts(own)
+    name = xxhash.xxh64(packed)
+    name.update(header or b"")
     name.update(keys.tobytes())
     batch = int(np.uint64(name.intdigest()).view(np.int64))
     for number, target in enumerate(used):
@@ -143,71 +161,85 @@ def sent_rows(
                 pa.array([header], pa.binary()),
                 pa.array([np.ascontiguousarray(keys[part]).tobytes()], pa.binary()),
                 pa.array([pack_numbers(places[part])], pa.binary()),
-                pa.array([own if not number else None], pa.binary()),
+                pa.array([packed if not number else None], pa.binary()),
             ],
             ["slot", "batch", "rows", "header", "keys", "places", "own"],
         )
 
 
+def join_parts(parts: list[bytes]) -> bytes:
+    sizes = np.array([len(p) for p in parts], "<i8").tobytes()
+    return len(parts).to_bytes(2, "little") + sizes + b"".join(parts)
+
+
+def split_parts(packed: bytes) -> list[bytes]:
+    n = int.from_bytes(packed[:2], "little")
+    sizes = np.frombuffer(packed, "<i8", n, 2)
+    ends = 2 + 8 * n + np.cumsum(sizes)
+    return [packed[end - size : end] for size, end in zip(sizes, ends)]
+
+
 Judge = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
 def judged(
     sent: DataFrame,
     judge: Judge,
-    key_type: str,
     width: int,
-    columns: int,
-    ids: Callable[[list[np.ndarray], np.ndarray], np.ndarray],
+    ids: Callable[[bytes, np.ndarray], np.ndarray] | None = None,
 ) -> DataFrame:
-    """Bring equal keys together and send each batch its marked places.
+    """Bring equal keys (``width`` numbers each) together and send each batch its marked places.
 
     ``judge(keys, ids)`` returns two masks over the entries of a slot; ``ids(header, places)`` gives
     the number of the document of each place.
     """
 
     def in_slot(group: pa.Table) -> pa.Table:
-        rows = group.select(["batch", "rows", "header", "keys", "places", "own"]).to_pylist()
-        places = [unpack_numbers(row["places"]) for row in rows]
-        keys = np.concatenate([np.frombuffer(row["keys"], key_type).reshape(-1, width) for row in rows])
-        owners = np.concatenate(
-            [ids(unpack_header(r["header"], columns), p) for r, p in zip(rows, places)]
+        packed, headers = group.column("places").to_pylist(), group.column("header").to_pylist()
+        places = [unpack_numbers(p) for p in packed]
+        keys = np.frombuffer(b"".join(group.column("keys").to_pylist()), "<u8").reshape(-1, width)
+        owners = (
+            np.concatenate([ids(h, p) for h, p in zip(headers, places)])
+            if ids is not None
+            else np.zeros(0, np.int64)
         )
         masks = judge(keys, owners)
         ends = np.cumsum([len(p) for p in places])
-        marks = [
+        first, second = (
             [pack_numbers(p[mask[end - len(p) : end]]) for p, end in zip(places, ends)] for mask in masks
-        ]
-        first_of = [row["own"] is not None for row in rows]
+        )
         return pa.table({
-            "batch": pa.array([r["batch"] for r in rows], pa.int64()),
-            "rows": pa.array([r["rows"] for r in rows], pa.int32()),
-            # One row per batch brings the ids back.
-            "header": pa.array([r["header"] if f else None for r, f in zip(rows, first_of)], pa.binary()),
-            "own": pa.array([r["own"] for r in rows], pa.binary()),
-            "first": pa.array(marks[0], pa.binary()),
-            "second": pa.array(marks[1], pa.binary()),
+            "batch": group.column("batch"),
+            "rows": group.column("rows"),
+            "own": group.column("own"),
+            "header": pa.array(
+                [h if o is not None else None for h, o in zip(headers, group.column("own").to_pylist())],
+                pa.binary(),
+            ),
+            "first": pa.array(first, pa.binary()),
+            "second": pa.array(second, pa.binary()),
         })
 
     return sent.groupBy("slot").applyInArrow(in_slot, BACK)
 
 
 def per_batch(
-    back: DataFrame, collect: Callable[[list[np.ndarray], np.ndarray, np.ndarray, bytes], pa.Table],
-    columns: int, schema: str,
+    back: DataFrame,
+    collect: Callable[[list[bytes], bytes | None, np.ndarray, np.ndarray], pa.Table],
+    schema: str,
 ) -> DataFrame:
-    """Turn the marks of each batch into rows: ``collect(header, first, second, own)``."""
+    """Turn the marks of each batch into rows: ``collect(own, header, first, second)``."""
 
     def of_batch(group: pa.Table) -> pa.Table:
         rows = group.to_pylist()
         if len(rows) % rows[0]["rows"]:
             raise RuntimeError(f"batch {rows[0]['batch']}: {len(rows)} answers to {rows[0]['rows']} rows")
-        chief = next(row for row in rows if row["header"] is not None)
+        chief = next(row for row in rows if row["own"] is not None)
         first, second = (
             np.unique(np.concatenate([unpack_numbers(row[name]) for row in rows]))
             for name in ("first", "second")
         )
-        return collect(unpack_header(chief["header"], columns), first, second, chief["own"])
+        return collect(split_parts(chief["own"]), chief["header"], first, second)
 
     return back.groupBy("batch").applyInArrow(of_batch, schema)
 

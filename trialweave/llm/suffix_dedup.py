@@ -38,8 +38,8 @@ from trialweave.llm.components import saved
 LENGTH = 200
 LEAD = 32
 SENT_PER_LEAD = 4
-BATCH_BYTES = 2 << 20
-PIECE_BYTES = 1 << 20
+BATCH_BYTES = 1 << 20
+PIECE_BYTES = 1 << 19
 # Share of the documents whose leads place the splitters.
 SAMPLED = 0.02
 SCHEMA = (
@@ -102,7 +102,7 @@ def _smallest(values: np.ndarray, size: int) -> np.ndarray:
 
 
 def stretches(pieces: list[bytes], length: int = LENGTH, lead: int = LEAD):
-    """The stretches of joined pieces: keys, first and last windows, and the stretches per piece.
+    """The stretches of joined pieces: their keys, first and last windows.
 
     A key has the lead as big-endian tokens, and one number for the whole stretch.
     """
@@ -126,8 +126,7 @@ def stretches(pieces: list[bytes], length: int = LENGTH, lead: int = LEAD):
     other = repeats.RollingHash(joined.astype(np.uint64) + np.uint64(1), repeats.BASES[1])
     shape = ((anchors - low).astype(np.uint64) << np.uint64(32)) | (high - low).astype(np.uint64)
     whole = repeats.mixed(other.of(low, high + length) ^ repeats.mixed(shape))
-    counts = np.bincount(owner, minlength=len(pieces))
-    return np.column_stack([tokens, whole]), low, high, counts
+    return np.column_stack([tokens, whole]), low, high
 
 
 def _marks(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -163,18 +162,6 @@ def _slot(keys: np.ndarray, splitters: np.ndarray) -> np.ndarray:
     return np.where(high > low, low + 1 + spread.astype(np.int64) - 1, low)
 
 
-def _parts(parts: list[bytes]) -> bytes:
-    sizes = np.array([len(p) for p in parts], "<i8").tobytes()
-    return len(parts).to_bytes(2, "little") + sizes + b"".join(parts)
-
-
-def _split(packed: bytes) -> list[bytes]:
-    n = int.from_bytes(packed[:2], "little")
-    sizes = np.frombuffer(packed, "<i8", n, 2)
-    ends = 2 + 8 * n + np.cumsum(sizes)
-    return [packed[end - size : end] for size, end in zip(sizes, ends)]
-
-
 def _columns(batch: pa.RecordBatch) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     ids = batch.column(0).fill_null(repeats.NO_ID).to_numpy(False).astype(np.int64)
     return encoded_texts(batch), ids, batch.column(2).to_numpy(False).astype(np.int64)
@@ -183,22 +170,19 @@ def _columns(batch: pa.RecordBatch) -> tuple[list[bytes], np.ndarray, np.ndarray
 def _sent_stretches(batches: Iterable[pa.RecordBatch], splitters: np.ndarray, slots: int, length: int):
     for batch in slices(batches):
         for group in _pieces(*_columns(batch), BATCH_BYTES, length):
-            keys, low, high, counts = stretches([piece for *_, piece in group], length)
+            keys, low, high = stretches([piece for *_, piece in group], length)
             again, mixed, first, number = _marks(keys)
             places = np.nonzero(first & (number < SENT_PER_LEAD))[0]
             header = repeats.pack_header([
                 *(np.array([piece[i] for piece in group], np.int64) for i in range(3)),
                 np.array([len(piece) for *_, piece in group], np.int64),
-                counts,
-            ])
-            own = _parts([
-                repeats.pack_numbers(low),
-                repeats.pack_numbers(high),
-                repeats.pack_numbers(np.nonzero(again)[0]),
-                repeats.pack_numbers(np.nonzero(mixed & first)[0]),
             ])
+            own = [header] + [
+                repeats.pack_numbers(numbers)
+                for numbers in (low, high, np.nonzero(again)[0], np.nonzero(mixed & first)[0])
+            ]
             slot = _slot(keys[places], splitters)
-            yield from repeats.sent_rows(slots, slot, keys[places], places, header, own)
+            yield from repeats.sent_rows(slots, slot, keys[places], places, own)
 
 
 def splitters_of(documents: DataFrame, slots: int, length: int = LENGTH) -> np.ndarray:
@@ -221,7 +205,7 @@ def splitters_of(documents: DataFrame, slots: int, length: int = LENGTH) -> np.n
 
 def compare_stretches(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     """(kind, id, text_hash, spans): kind 0 spans repeat; windows starting in kind 1 spans may."""
-    slots = repeats.slots_of(documents.sparkSession)
+    slots = repeats.slots_of(documents.sparkSession, 4)
     splitters = splitters_of(documents, slots, length)
     sent = documents.mapInArrow(
         lambda batches: _sent_stretches(batches, splitters, slots, length), repeats.SENT
@@ -232,9 +216,9 @@ def compare_stretches(documents: DataFrame, length: int = LENGTH) -> DataFrame:
         # Of a stretch that occurs again one is compared with the others of its lead.
         return again, mixed & first
 
-    def collect(header, first, second, own):
-        ids, texts, offsets, sizes, _ = header
-        low, high, again, mixed = (repeats.unpack_numbers(part) for part in _split(own))
+    def collect(own, header, first, second):
+        ids, texts, offsets, sizes = repeats.unpack_header(own[0], 4)
+        low, high, again, mixed = (repeats.unpack_numbers(part) for part in own[1:])
         ends_of = np.cumsum(sizes)
         again, mixed = np.union1d(first, again), np.union1d(second, mixed)
         out = []
@@ -247,8 +231,8 @@ def compare_stretches(documents: DataFrame, length: int = LENGTH) -> DataFrame:
             out.append(_found(kind, ids, texts, rows))
         return pa.concat_tables(out)
 
-    back = repeats.judged(sent, judge, "<u8", LEAD // 8 + 1, 5, lambda header, places: places)
-    return repeats.per_batch(back, collect, 5, FOUND)
+    back = repeats.judged(sent, judge, LEAD // 8 + 1)
+    return repeats.per_batch(back, collect, FOUND)
 
 
 def _found(kind: int, ids: np.ndarray, texts: np.ndarray, rows: pa.Table) -> pa.Table:
@@ -303,8 +287,8 @@ def _sent_windows(batches: Iterable[pa.RecordBatch], slots: int, length: int):
         header = repeats.pack_header([
             *(np.array([piece[i] for piece in group], np.int64) for i in range(3)), n
         ])
-        own = repeats.pack_numbers(np.nonzero(again)[0])
-        yield from repeats.sent_rows(slots, slot[places], one[places], places, header, own)
+        own = [header, repeats.pack_numbers(np.nonzero(again)[0])]
+        yield from repeats.sent_rows(slots, slot[places], one[places], places, own)
 
 
 def _again(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -323,15 +307,15 @@ def compare_windows(documents: DataFrame, length: int = LENGTH) -> DataFrame:
 
     ``documents`` holds doc_id, text, text_hash and the spans of window starts to compare.
     """
-    slots = repeats.slots_of(documents.sparkSession)
+    slots = repeats.slots_of(documents.sparkSession, 4)
     sent = documents.mapInArrow(lambda batches: _sent_windows(batches, slots, length), repeats.SENT)
 
     def judge(keys, owners):
-        return _again(keys.ravel())[0], np.zeros(len(owners), bool)
+        return _again(keys.ravel())[0], np.zeros(len(keys), bool)
 
-    def collect(header, first, second, own):
-        ids, texts, offsets, n = header
-        places = np.union1d(first, repeats.unpack_numbers(own))
+    def collect(own, header, first, second):
+        ids, texts, offsets, n = repeats.unpack_header(own[0], 4)
+        places = np.union1d(first, repeats.unpack_numbers(own[1]))
         ends_of = np.cumsum(n)
         owner = np.searchsorted(ends_of, places, side="right")
         starts = places - (ends_of - n)[owner] + offsets[owner]
@@ -343,8 +327,8 @@ def compare_windows(documents: DataFrame, length: int = LENGTH) -> DataFrame:
         rows = pa.table({"owner": owner[at], "start": starts[at], "end": starts[last] + length})
         return _found(0, ids, texts, rows)
 
-    back = repeats.judged(sent, judge, "<u8", 1, 4, lambda header, places: places)
-    return repeats.per_batch(back, collect, 4, FOUND)
+    back = repeats.judged(sent, judge, 1)
+    return repeats.per_batch(back, collect, FOUND)
 
 
 def _all_spans(found: DataFrame) -> DataFrame:

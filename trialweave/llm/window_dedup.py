@@ -18,6 +18,8 @@ without an id count as having the largest. Only the id and text columns are read
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,28 +30,53 @@ from trialweave.llm.common import encoded_texts, sha256, slices
 from trialweave.llm.components import saved
 
 WINDOW = 13
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
+HASHED_BYTES = 1 << 19
 SCHEMA = (
     "doc_id long, n_words long, n_removed long, kept_sha256 string, "
     "removed array<struct<start: long, end: long>>"
 )
+_BLANK = re.compile(rb"[\x20\x09-\x0D]")
 _SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 
 
+def _chunks(texts: list[bytes]):
+    """(number of the text, bytes) with about ``HASHED_BYTES`` at a time; no word is cut."""
+    chunk, size = [], 0
+    for number, text in enumerate(texts):
+        at = 0
+        while at < len(text):
+            end = at + HASHED_BYTES
+            if end < len(text):
+                blank = _BLANK.search(text, end)
+                end = blank.start() if blank else len(text)
+            chunk.append((number, text[at:end]))
+            size += end - at
+            at = end
+            if size >= HASHED_BYTES:
+                yield chunk
+                chunk, size = [], 0
+    if chunk:
+        yield chunk
+
+
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Two hashes of every word of all texts, one after the other, and the words of each text."""
-    joined = np.frombuffer(b" ".join([*texts, b""]), np.uint8)
-    space = _SPACE[joined]
-    starts, ends = repeats.runs_of(~space)
-    ends_of = np.cumsum([len(t) + 1 for t in texts])
-    counts = np.bincount(np.searchsorted(ends_of, starts, side="right"), minlength=len(texts))
-    numbers = joined.astype(np.uint64) + np.uint64(1)
-    pair = [
-        repeats.mixed(repeats.RollingHash(numbers, base).of(starts, ends) + length * np.uint64(base))
-        for length in [(ends - starts).astype(np.uint64)]
-        for base in repeats.BASES
-    ]
-    return pair[0], pair[1], counts.astype(np.int64)
+    found: list[list[np.ndarray]] = [[], []]
+    counts = np.zeros(len(texts), np.int64)
+    for chunk in _chunks(texts):
+        joined = np.frombuffer(b" ".join([*(part for _, part in chunk), b""]), np.uint8)
+        starts, ends = repeats.runs_of(~_SPACE[joined])
+        ends_of = np.cumsum([len(part) + 1 for _, part in chunk])
+        owner = np.searchsorted(ends_of, starts, side="right")
+        np.add.at(counts, [number for number, _ in chunk], np.bincount(owner, minlength=len(chunk)))
+        numbers = joined.astype(np.uint64) + np.uint64(1)
+        lengths = (ends - starts).astype(np.uint64)
+        for hashes, base in zip(found, repeats.BASES):
+            rolled = repeats.RollingHash(numbers, base).of(starts, ends)
+            hashes.append(repeats.mixed(rolled + lengths * np.uint64(base)))
+    one, two = (np.concatenate([np.zeros(0, np.uint64), *hashes]) for hashes in found)
+    return one, two, counts
 
 
 def _windows(counts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -69,15 +96,16 @@ def _sent(batches, slots: int, size: int):
         first_words, n = _windows(counts, size)
         if not len(first_words):
             continue
-        hashes = repeats.mixed(repeats.RollingHash(one, repeats.BASES[0]).of_length(size)[first_words])
-        others = repeats.mixed(repeats.RollingHash(two, repeats.BASES[1]).of_length(size)[first_words])
+        hashes = repeats.mixed(repeats.window_hashes(one, size, repeats.BASES[0])[first_words])
+        others = repeats.mixed(repeats.window_hashes(two, size, repeats.BASES[1])[first_words])
         slot = ((others >> np.uint64(32)) * np.uint64(slots) >> np.uint64(32)).astype(np.int64)
         owners = np.repeat(ids, n)
         marked = _later(hashes, owners)
         places = np.nonzero(~marked)[0]
         yield from repeats.sent_rows(
             slots, slot[places], hashes[places], places,
-            repeats.pack_header([ids, text_hashes, counts]), repeats.pack_numbers(np.nonzero(marked)[0]),
+            [repeats.pack_header([text_hashes]), repeats.pack_numbers(np.nonzero(marked)[0])],
+            repeats.pack_header([ids, counts]),
         )
 
 
@@ -99,27 +127,28 @@ def repeated_spans(documents: DataFrame, size: int = WINDOW) -> DataFrame:
 
     ``documents`` holds the columns doc_id, text and text_hash.
     """
-    slots = repeats.slots_of(documents.sparkSession)
+    slots = repeats.slots_of(documents.sparkSession, 2)
     sent = documents.mapInArrow(lambda batches: _sent(batches, slots, size), repeats.SENT)
 
     def ids(header, places):
-        id_of, _, counts = header
+        id_of, counts = repeats.unpack_header(header, 2)
         n = np.maximum(counts - size + 1, 0)
         return id_of[np.searchsorted(np.cumsum(n), places, side="right")]
 
     def judge(keys, owners):
         return _later(keys.ravel(), owners), np.zeros(len(owners), bool)
 
-    def collect(header, first, second, own):
-        id_of, text_hashes, counts = header
+    def collect(own, header, first, second):
+        id_of, counts = repeats.unpack_header(header, 2)
+        (text_hashes,) = repeats.unpack_header(own[0], 1)
         first_words, _ = _windows(counts, size)
-        marked = first_words[np.union1d(first, repeats.unpack_numbers(own))]
+        marked = first_words[np.union1d(first, repeats.unpack_numbers(own[1]))]
         starts, ends = repeats.runs_of(repeats.covered(int(counts.sum()), marked, marked + size))
         starts, ends = _within(starts, ends, np.cumsum(counts))
         return repeats.span_rows(id_of, text_hashes, np.cumsum(counts), starts, ends)
 
-    back = repeats.judged(sent, judge, "<u8", 1, 3, ids)
-    return repeats.per_batch(back, collect, 3, repeats.SPANS).distinct()
+    back = repeats.judged(sent, judge, 1, ids)
+    return repeats.per_batch(back, collect, repeats.SPANS).distinct()
 
 
 def _within(starts: np.ndarray, ends: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
