@@ -323,7 +323,7 @@ def compare_windows(documents: DataFrame, length: int = LENGTH) -> DataFrame:
         new = np.ones(len(places), bool)
         new[1:] = (places[1:] != places[:-1] + 1) | (owner[1:] != owner[:-1])
         at = np.nonzero(new)[0]
-        last = np.append(at[1:], len(places)) - 1
+        last = np.append(at, len(places))[1:] - 1
         rows = pa.table({"owner": owner[at], "start": starts[at], "end": starts[last] + length})
         return _found(0, ids, texts, rows)
 
