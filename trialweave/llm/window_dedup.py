@@ -87,8 +87,8 @@ def _windows(counts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     return np.arange(n.sum()) + np.repeat(begin - before, n), n
 
 
-def _sent(batches, slots: int, size: int):
-    for batch in slices(batches, 1, BATCH_BYTES):
+def _sent(batches, slots: int, size: int, limit: int):
+    for batch in slices(batches, 1, limit):
         texts = encoded_texts(batch)
         ids = batch.column(0).fill_null(repeats.NO_ID).to_numpy(False).astype(np.int64)
         text_hashes = batch.column(2).fill_null(0).to_numpy(False).astype(np.int64)
@@ -128,7 +128,8 @@ def repeated_spans(documents: DataFrame, size: int = WINDOW) -> DataFrame:
     ``documents`` holds the columns doc_id, text and text_hash.
     """
     slots = repeats.slots_of(documents.sparkSession, 2)
-    sent = documents.mapInArrow(lambda batches: _sent(batches, slots, size), repeats.SENT)
+    limit = BATCH_BYTES
+    sent = documents.mapInArrow(lambda batches: _sent(batches, slots, size, limit), repeats.SENT)
 
     def ids(header, places):
         id_of, counts = repeats.unpack_header(header, 2)
