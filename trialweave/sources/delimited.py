@@ -42,7 +42,18 @@ def read_delimited_split(spark: SparkSession, path: str) -> DataFrame:
 
     Lines pass one shuffle, by split, and become the pieces of records there; the pieces pass another
     one, in which only records that span splits have more than one.
+
+    Where every line is a sound record by itself, none can begin inside a field. Spark's reader then
+    splits files by itself and gives the same rows, so it is used. That look stops at the first other
+    line.
     """
+    text = spark.read.text(path, lineSep="\n")
+    alone = ~F.col("value").contains("\r") & (
+        ~F.col("value").contains('"') | F.col("value").rlike(_BETWEEN_TO_BETWEEN)
+    )
+    if text.filter(~alone).isEmpty():
+        return spark.read.options(header=True, **_DIALECT).csv(path)
+
     header = read_delimited(spark, path).columns
     split = ["file", "start"]
     in_split = Window.partitionBy(*split).orderBy("seq")
@@ -51,7 +62,7 @@ def read_delimited_split(spark: SparkSession, path: str) -> DataFrame:
 
     line = F.col("line")
     plain = ~line.contains('"')
-    lines = spark.read.text(path, lineSep="\n").select(
+    lines = text.select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().alias("seq"),
