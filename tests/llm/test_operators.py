@@ -188,9 +188,12 @@ def test_byte_repeats(documents, corpus):
     assert as_rows(result, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == expected
 
 
-def test_byte_repeats_at_their_borders(spark, monkeypatch):
-    """Many contexts around one passage, more than are sent, over pieces of long texts."""
+@pytest.mark.parametrize("batch, limit", [(1 << 20, 4), (700, 4), (700, 1), (1 << 20, 50)])
+def test_byte_repeats_at_their_borders(spark, monkeypatch, batch, limit):
+    """Many contexts around one passage, in one batch or in many, over pieces of long texts."""
     monkeypatch.setattr(suffix_dedup, "PIECE_BYTES", 1000)
+    monkeypatch.setattr(suffix_dedup, "BATCH_BYTES", batch)
+    monkeypatch.setattr(suffix_dedup, "SENT_PER_LEAD", limit)
     passage = "".join(random.Random(4).choice("abcdefgh ") for _ in range(230))
     texts = []
     for i in range(40):

@@ -9,14 +9,16 @@ Consecutive windows with one anchor form a stretch.
    A first token so frequent that several splitters equal it is dealt by the rest of the lead, so that
    equal leads always meet. Buckets sort locally by multikey quicksort on 8-byte tokens: only ties go
    on to the next token. No lead straddles two buckets, so there is nothing to compare across them.
-   Alone in its bucket, a lead proves that the windows of its stretch are unique. Where a whole stretch
-   (lead, length and a 64-bit hash) occurs again, all of its windows repeat.
-2. What remains are the borders of repeats: stretches that share their lead but differ somewhere. Their
+   Where a whole stretch (lead, length and a 64-bit hash) occurs again, all of its windows repeat.
+   Equal windows reach equally far from their anchor, at least half of what is left on one side; so a
+   stretch whose half to the right and whose half to the left (64-bit hashes) are alone has no
+   window in common with any other.
+2. What remains are the borders of repeats: stretches that share a half but differ somewhere. Their
    windows are compared one by one, by rolling hashes dealt over all slots (see ``repeats``).
 
-Within a batch a stretch, and a window, is sent once; of one lead at most ``SENT_PER_LEAD`` different
-stretches are sent, the others are known to need the second step. Hot passages therefore cost an entry
-or a few per batch, not per document.
+Within a batch a stretch, and a window, is sent once. Of a lead with more than ``SENT_PER_LEAD``
+different stretches only so many are sent, marked as hot, and all stretches of a hot lead go to the
+second step. Hot passages therefore cost an entry or a few per batch, not per document.
 
 Defined results: a null text is empty; texts shorter than ``LENGTH`` lose nothing; every row counts as a
 document of its own, so repeated rows of that length go entirely. Only id and text columns are read.
@@ -47,6 +49,8 @@ SCHEMA = (
     "removed array<struct<start: long, end: long>>"
 )
 FOUND = "kind byte, " + repeats.SPANS
+# Halves that do not exist, and those of a hot lead. Hashes of halves are larger.
+NO_HALF, HOT = np.uint64(0), np.uint64(1)
 _POSITION = np.uint64((1 << 24) - 1)
 
 
@@ -75,13 +79,17 @@ def equal_to_last(ordered: np.ndarray) -> np.ndarray:
 
 
 def _pieces(
-    texts: list[bytes], ids: np.ndarray, hashes: np.ndarray, limit: int, length: int
+    texts: list[bytes], ids: np.ndarray, hashes: np.ndarray, bounds: tuple[int, int], length: int
 ) -> Iterator[list[tuple[int, int, int, bytes]]]:
-    """Groups of (id, text hash, offset, bytes); each window of a text lies in one piece."""
+    """Groups of (id, text hash, offset, bytes); each window of a text lies in one piece.
+
+    ``bounds`` are the bytes of a group and of a piece.
+    """
     group, size = [], 0
+    limit, step = bounds
     for text, doc, text_hash in zip(texts, ids.tolist(), hashes.tolist()):
-        for offset in range(0, len(text) - length + 1, PIECE_BYTES):
-            piece = text[offset : offset + PIECE_BYTES + length - 1]
+        for offset in range(0, len(text) - length + 1, step):
+            piece = text[offset : offset + step + length - 1]
             group.append((doc, text_hash, offset, piece))
             size += len(piece)
             if size >= limit:
@@ -104,7 +112,7 @@ def _smallest(values: np.ndarray, size: int) -> np.ndarray:
 def stretches(pieces: list[bytes], length: int = LENGTH, lead: int = LEAD):
     """The stretches of joined pieces: their keys, first and last windows.
 
-    A key has the lead as big-endian tokens, and one number for the whole stretch.
+    A key has the lead as big-endian tokens, one number for the whole stretch and one for either half.
     """
     joined = np.frombuffer(b"".join(pieces), np.uint8)
     ends = np.cumsum([len(p) for p in pieces])
@@ -126,37 +134,56 @@ def stretches(pieces: list[bytes], length: int = LENGTH, lead: int = LEAD):
     other = repeats.RollingHash(joined.astype(np.uint64) + np.uint64(1), repeats.BASES[1])
     shape = ((anchors - low).astype(np.uint64) << np.uint64(32)) | (high - low).astype(np.uint64)
     whole = repeats.mixed(other.of(low, high + length) ^ repeats.mixed(shape))
-    return np.column_stack([tokens, whole]), low, high
+    half = (length - lead) // 2
+    right, left = np.full(len(low), NO_HALF), np.full(len(low), NO_HALF)
+    reaches = anchors - high <= half  # some window begins at most so far before its anchor
+    right[reaches] = repeats.mixed(other.of(anchors[reaches], anchors[reaches] + length - half)) | np.uint64(2)
+    reaches = anchors - low > half
+    left[reaches] = repeats.mixed(other.of(anchors[reaches] - half - 1, anchors[reaches] + lead)) | np.uint64(2)
+    return np.column_stack([tokens, whole, right, left]), low, high
 
 
 def _marks(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For each stretch: does it occur again, does its lead with another stretch, is it the first of
-    its kind, and the number of its kind within its lead."""
-    order = multikey_order(keys)
+    """For each stretch: does it occur again, may other stretches share windows with it, is it the
+    first of its kind, and the number of kinds of its lead. Only first ones are told of others."""
+    order = multikey_order(keys[:, :-2])
     ordered = keys[order]
-    same, same_lead = equal_to_last(ordered), equal_to_last(ordered[:, :-1])
+    same, same_lead = equal_to_last(ordered[:, :-2]), equal_to_last(ordered[:, :-3])
     kind, lead = np.cumsum(~same) - 1, np.cumsum(~same_lead) - 1
     again = np.bincount(kind)[kind] > 1 if len(kind) else same
-    kinds = np.bincount(lead[~same], minlength=len(lead))
-    first_kind = np.zeros(len(lead), np.int64)
-    starts = np.nonzero(~same_lead)[0]
-    first_kind[: len(starts)] = kind[starts]
-    columns = again, kinds[lead] > 1, ~same, kind - first_kind[lead]
+    kinds = np.bincount(lead[~same], minlength=len(lead))[lead]
+    hot = np.bincount(lead[ordered[:, -2] == HOT], minlength=len(lead))[lead] > 0
+    shared = hot & (kinds > 1)
+    firsts = np.nonzero(~same)[0]
+    for column in (-2, -1):
+        halves = ordered[firsts, column]
+        shared[firsts] |= _again(halves)[0] & (halves > HOT)
     out = []
-    for values in columns:
+    for values in (again, shared, ~same, kinds):
         back = np.empty(len(order), values.dtype)
         back[order] = values
         out.append(back)
     return tuple(out)
 
 
+def _beyond(keys: np.ndarray, first: np.ndarray, limit: int) -> np.ndarray:
+    """First stretches that come after ``limit`` others of their lead."""
+    places = np.nonzero(first)[0]
+    order = places[multikey_order(keys[places, :-3])]
+    new = ~equal_to_last(keys[order, :-3])
+    start = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
+    beyond = np.zeros(len(keys), bool)
+    beyond[order] = np.arange(len(order)) - start >= limit
+    return beyond
+
+
 def _slot(keys: np.ndarray, splitters: np.ndarray) -> np.ndarray:
     """The range a lead falls into; leads of a token that fills several ranges are dealt by the rest."""
     low = np.searchsorted(splitters, keys[:, 0], side="left")
     high = np.searchsorted(splitters, keys[:, 0], side="right")
     wide = np.maximum(high - low, 1).astype(np.uint64)
     rest = np.zeros(len(keys), np.uint64)
-    for column in range(keys.shape[1] - 1):
+    for column in range(LEAD // 8):
         rest = repeats.mixed(rest ^ keys[:, column])
     spread = (rest >> np.uint64(32)) * wide >> np.uint64(32)
     return np.where(high > low, low + 1 + spread.astype(np.int64) - 1, low)
@@ -167,19 +194,29 @@ def _columns(batch: pa.RecordBatch) -> tuple[list[bytes], np.ndarray, np.ndarray
     return encoded_texts(batch), ids, batch.column(2).to_numpy(False).astype(np.int64)
 
 
-def _sent_stretches(batches: Iterable[pa.RecordBatch], splitters: np.ndarray, slots: int, length: int):
+def _sent_stretches(
+    batches: Iterable[pa.RecordBatch],
+    splitters: np.ndarray,
+    slots: int,
+    length: int,
+    bounds: tuple[int, int],
+    per_lead: int,
+):
     for batch in slices(batches):
-        for group in _pieces(*_columns(batch), BATCH_BYTES, length):
+        for group in _pieces(*_columns(batch), bounds, length):
             keys, low, high = stretches([piece for *_, piece in group], length)
-            again, mixed, first, number = _marks(keys)
-            places = np.nonzero(first & (number < SENT_PER_LEAD))[0]
+            again, shared, first, kinds = _marks(keys)
+            hot = kinds > per_lead
+            shared |= hot
+            keys[hot, -2:] = HOT, NO_HALF
+            places = np.nonzero(first & ~(hot & _beyond(keys, first, per_lead)))[0]
             header = repeats.pack_header([
                 *(np.array([piece[i] for piece in group], np.int64) for i in range(3)),
                 np.array([len(piece) for *_, piece in group], np.int64),
             ])
             own = [header] + [
                 repeats.pack_numbers(numbers)
-                for numbers in (low, high, np.nonzero(again)[0], np.nonzero(mixed & first)[0])
+                for numbers in (low, high, np.nonzero(again)[0], np.nonzero(shared & first)[0])
             ]
             slot = _slot(keys[places], splitters)
             yield from repeats.sent_rows(slots, slot, keys[places], places, own)
@@ -188,9 +225,11 @@ def _sent_stretches(batches: Iterable[pa.RecordBatch], splitters: np.ndarray, sl
 def splitters_of(documents: DataFrame, slots: int, length: int = LENGTH) -> np.ndarray:
     """First tokens that part the leads of a sample into ranges of about equal size, ascending."""
 
+    bounds = BATCH_BYTES, PIECE_BYTES
+
     def tokens(batches):
         for batch in slices(batches):
-            for group in _pieces(*_columns(batch), BATCH_BYTES, length):
+            for group in _pieces(*_columns(batch), bounds, length):
                 keys, *_ = stretches([piece for *_, piece in group], length)
                 # Shifted so that signed numbers have the order of the bytes.
                 shifted = (keys[:, 0] ^ np.uint64(1 << 63)).view(np.int64)
@@ -207,22 +246,24 @@ def compare_stretches(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     """(kind, id, text_hash, spans): kind 0 spans repeat; windows starting in kind 1 spans may."""
     slots = repeats.slots_of(documents.sparkSession, 4)
     splitters = splitters_of(documents, slots, length)
+    bounds, per_lead = (BATCH_BYTES, PIECE_BYTES), SENT_PER_LEAD
     sent = documents.mapInArrow(
-        lambda batches: _sent_stretches(batches, splitters, slots, length), repeats.SENT
+        lambda batches: _sent_stretches(batches, splitters, slots, length, bounds, per_lead),
+        repeats.SENT,
     )
 
     def judge(keys, owners):
-        again, mixed, first, _ = _marks(keys)
-        # Of a stretch that occurs again one is compared with the others of its lead.
-        return again, mixed & first
+        again, shared, first, _ = _marks(keys)
+        # Of a stretch that occurs again one is compared with others.
+        return again, shared & first
 
     def collect(own, header, first, second):
         ids, texts, offsets, sizes = repeats.unpack_header(own[0], 4)
-        low, high, again, mixed = (repeats.unpack_numbers(part) for part in own[1:])
+        low, high, again, shared = (repeats.unpack_numbers(part) for part in own[1:])
         ends_of = np.cumsum(sizes)
-        again, mixed = np.union1d(first, again), np.union1d(second, mixed)
+        again, shared = np.union1d(first, again), np.union1d(second, shared)
         out = []
-        for kind, which, reach in ((0, again, length), (1, mixed, 1)):
+        for kind, which, reach in ((0, again, length), (1, shared, 1)):
             owner = np.searchsorted(ends_of, low[which], side="right")
             shift = offsets[owner] - (ends_of - sizes)[owner]
             rows = pa.table({
@@ -231,7 +272,7 @@ def compare_stretches(documents: DataFrame, length: int = LENGTH) -> DataFrame:
             out.append(_found(kind, ids, texts, rows))
         return pa.concat_tables(out)
 
-    back = repeats.judged(sent, judge, LEAD // 8 + 1)
+    back = repeats.judged(sent, judge, LEAD // 8 + 3)
     return repeats.per_batch(back, collect, FOUND)
 
 
@@ -251,8 +292,11 @@ def _found(kind: int, ids: np.ndarray, texts: np.ndarray, rows: pa.Table) -> pa.
     })
 
 
-def _sent_windows(batches: Iterable[pa.RecordBatch], slots: int, length: int):
+def _sent_windows(
+    batches: Iterable[pa.RecordBatch], slots: int, length: int, bounds: tuple[int, int]
+):
     """Every window of the listed spans: its hash, the slot from a second hash, its number."""
+    limit, step = bounds
 
     def groups():
         group, size = [], 0
@@ -260,11 +304,11 @@ def _sent_windows(batches: Iterable[pa.RecordBatch], slots: int, length: int):
             texts, ids, hashes = _columns(batch)
             for text, doc, text_hash, spans in zip(texts, ids, hashes, batch.column(3).to_pylist()):
                 for span in spans:
-                    for start in range(span["start"], span["end"], PIECE_BYTES):
-                        end = min(span["end"], start + PIECE_BYTES)
+                    for start in range(span["start"], span["end"], step):
+                        end = min(span["end"], start + step)
                         group.append((doc, text_hash, start, text[start : end + length - 1]))
                         size += end - start + length
-                        if size >= BATCH_BYTES:
+                        if size >= limit:
                             yield group
                             group, size = [], 0
         if group:
@@ -308,7 +352,10 @@ def compare_windows(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     ``documents`` holds doc_id, text, text_hash and the spans of window starts to compare.
     """
     slots = repeats.slots_of(documents.sparkSession, 4)
-    sent = documents.mapInArrow(lambda batches: _sent_windows(batches, slots, length), repeats.SENT)
+    bounds = BATCH_BYTES, PIECE_BYTES
+    sent = documents.mapInArrow(
+        lambda batches: _sent_windows(batches, slots, length, bounds), repeats.SENT
+    )
 
     def judge(keys, owners):
         return _again(keys.ravel())[0], np.zeros(len(keys), bool)
