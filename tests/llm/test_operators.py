@@ -278,6 +278,24 @@ def test_links_in_lists_connect_what_is_near(long_list, monkeypatch):
     assert brute.groups(len(words), lambda i, j: (i, j) in found) == near
 
 
+def test_long_lists_that_share_a_fourth_byte():
+    chance = random.Random(21)
+    vary = sum(0xFF << (8 * (7 - p)) for p in (2, 4, 5, 7))
+    base = chance.getrandbits(64) & ~vary
+    words = [base | chance.getrandbits(64) & vary for _ in range(simhash.LONG_LIST + 60)]
+    words.append(words[7] ^ sum(1 << (8 * (7 - p) + 3) for p in (2, 4, 5, 7)))
+    words = list(dict.fromkeys(words))
+    array = np.array(words, np.uint64)
+    found = set()
+    for positions in simhash.key_positions():
+        mask = np.uint64(sum(0xFF << (8 * (7 - p)) for p in positions))
+        _, key = np.unique(array & mask, return_inverse=True)
+        found |= {(max(a, b), min(a, b)) for a, b in simhash.links_in_lists(array, key.astype(np.int64))}
+    assert (len(words) - 1, 7) in found
+    near = brute.groups(len(words), lambda i, j: (words[i] ^ words[j]).bit_count() <= 4)
+    assert brute.groups(len(words), lambda i, j: (i, j) in found) == near
+
+
 def test_representatives_keep_all_columns(documents, corpus):
     kept = simhash.keep_representatives(crowded(documents))
     assert kept.columns == crowded(documents).columns

@@ -75,6 +75,11 @@ class Joined:
         apart = self.label[left] != self.label[right]
         return left[apart], right[apart]
 
+    def one(self, members: np.ndarray) -> bool:
+        """Whether the members, one at least, are all connected."""
+        label = self.label[members]
+        return bool((label == label[0]).all())
+
     def add(self, left: np.ndarray, right: np.ndarray) -> None:
         while True:
             left, right = self.apart(left, right)

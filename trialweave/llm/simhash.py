@@ -6,8 +6,9 @@ Lists by one position and value would hold 1/256 of all fingerprints each, and t
 with the square of the input. So the index is keyed by three positions and their values: 20 of the 56
 sets of three positions meet every set of four, and a pair with 4 shared bytes is in one list at least.
 Within a list the shared bytes of each pair are tallied, pairs below the guaranteed 4 are dropped, and
-the rest is verified bit by bit. Lists longer than ``LONG_LIST`` are first divided by the value of a
-fourth position (a pair must share one more), which loses nothing.
+the rest is verified bit by bit. Lists longer than ``LONG_LIST`` are first divided by blocks of the bits
+that vary within them: a pair of at most 4 differing bits agrees in one of 5 blocks. Bytes that all
+members share, be they of the key or not, are in no block, so this loses nothing.
 
 Copies share a fingerprint and enter the index once. A list reports links that connect its
 fingerprints, at most one fewer than it has members, never all pairs.
@@ -130,6 +131,44 @@ def _verified(words: np.ndarray, left: np.ndarray, right: np.ndarray, max_bits:
     return left[near], right[near]
 
 
+def _link_long(words: np.ndarray, members: np.ndarray, max_bits: int, forest: Joined) -> None:
+    """Link what is near among the members of one long list, given as places in ``words``.
+
+    The bits that vary are cut into one block more than bits may differ, and members of equal block are
+    compared; runs that are still long are divided again. Where that does not halve the pairs, all are
+    compared, until the members are connected.
+    """
+    waiting = [members]
+    while waiting:
+        members = waiting.pop()
+        if forest.one(members):
+            continue
+        values = words[members]
+        varying = int(np.bitwise_or.reduce(values ^ values[0]))
+        bits = [1 << bit for bit in range(64) if varying >> bit & 1]
+        parts = []
+        if len(bits) > max_bits:
+            for block in np.array_split(np.array(bits, np.uint64), max_bits + 1):
+                value = values & np.bitwise_or.reduce(block)
+                inner = np.argsort(value, kind="stable")
+                run = np.cumsum(np.concatenate([[0], value[inner][1:] != value[inner][:-1]]))
+                parts.append((members[inner], run, np.bincount(run)))
+        pairs = sum(int((size * (size - 1)).sum()) for _, _, size in parts)
+        if not parts or 2 * pairs > len(members) * (len(members) - 1):
+            for left, right in _pairs_in_runs(members, np.zeros(len(members), np.int64)):
+                forest.add(*_verified(words, *forest.apart(left, right), max_bits))
+                if forest.one(members):
+                    break
+            continue
+        for placed, run, size in parts:
+            short = size[run] <= LONG_LIST
+            for left, right in _pairs_in_runs(placed[short], run[short]):
+                forest.add(*_verified(words, *forest.apart(left, right), max_bits))
+            ends = np.cumsum(size)
+            for number in np.flatnonzero(size > LONG_LIST):
+                waiting.append(placed[ends[number] - size[number] : ends[number]])
+
+
 def links_in_lists(words: np.ndarray, key: np.ndarray, max_bits: int = MAX_BITS) -> list[tuple[int, int]]:
     """Links that connect what is linked within the lists of equal key, as places in ``words``."""
     forest = Joined(len(words))
@@ -139,17 +178,8 @@ def links_in_lists(words: np.ndarray, key: np.ndarray, max_bits: int = MAX_BITS)
     short = size <= LONG_LIST
     for left, right in _pairs_in_runs(order[short], run[short]):
         forest.add(*_verified(words, *forest.apart(left, right), max_bits))
-    if not short.all():
-        members, outer = order[~short], run[~short]
-        in_bytes = words[members].view(np.uint8).reshape(-1, 8)
-        for position in range(8):
-            value = in_bytes[:, position].astype(np.int64)
-            inner = np.lexsort((value, outer))
-            fine = outer[inner] * 256 + value[inner]
-            if len(np.unique(fine)) == len(np.unique(outer)):
-                continue  # a position of the key itself divides nothing; four others remain
-            for left, right in _pairs_in_runs(members[inner], fine):
-                forest.add(*_verified(words, *forest.apart(left, right), max_bits))
+    for number in np.unique(run[~short]):
+        _link_long(words, order[run == number], max_bits, forest)
     return forest.links
 
 
