@@ -608,6 +608,17 @@ def test_path_scores_favour_long_punctuated_paths():
     assert scores["div/ul/li", True] < html_text.SHARE
 
 
+def test_ratios_decide_within_an_article():
+    long = "Long text, with many words, and marks; it goes on and on. " * 5
+    body = "<h1>Head</h1><div>Ann</div><p>" + long + "</p><ul><li>One egg<li>Two eggs</ul><p>" + long
+    clutter = "<section>" + "<div>Save</div><div>Send</div><div>Rate it</div>" * 3 + "</section>"
+    got = html_text.main_blocks(f"<article>{body}</p><p>{long}</p><p>{long}</p>{clutter}</article>")
+    text = long.strip()
+    assert [b for b in got if b != text] == ["Head", "Ann", "One egg", "Two eggs"] and got.count(text) == 4
+    beyond = html_text.main_blocks(f"<article><h1>Head</h1><p>Short.</article><div><p>{long}<p>{long}</div><i>me</i>")
+    assert beyond == ["Head", "Short.", text, text]
+
+
 @given(st.text("<>/ab p\"'=!-&;divscript ", max_size=60))
 @settings(max_examples=200, deadline=None)
 def test_any_markup_is_read(page):

@@ -4,9 +4,10 @@ A page becomes text blocks, each with the path of block elements from the root t
 length and the punctuation of all its blocks are added up and divided by their number. Both ratios are
 smoothed over the blocks in page order, so that a short paragraph or a heading between long ones gains
 from them, averaged per path again and fused into one score between 0 and 1. Where the page says what
-its article is (the largest ``article`` or ``main`` element), that is fused in as well: paths outside
-count nothing, paths within count at least by their share of text that is no link, so that a short
-article keeps its short paragraphs. Paths that reach ``SHARE`` are content.
+its article is (the largest ``article`` or ``main`` element), markup and ratios share the score: within
+it a path is given a part by its last element (a heading enough, other text elements nearly enough, mere
+containers less) and the ratios give the rest, times the path's share of text outside links; beyond it
+the ratios count less than half. Paths that reach ``SHARE`` are content.
 
 What can be told by its markup never becomes a block: menus, page headers, footers, sidebars, notices,
 adverts, forms, scripts, styles, reader comments, hidden and embedded elements.
@@ -34,6 +35,9 @@ from trialweave.llm.common import record_batch, slices
 
 SCHEMA = "page_id long, url string, text string, n_chars long, n_blocks long"
 SHARE = 0.25
+# What standing within the article gives a path's score, by its last element; the ratios give the rest.
+WITHIN_BARE, WITHIN_TEXT, WITHIN_HEADING = 0.1, 0.24, SHARE
+BEYOND = 0.4  # the weight of the ratios beyond the article
 KERNEL = np.array([1.0, 4.0, 6.0, 4.0, 1.0]) / 16
 PUNCTUATION = re.compile(r"[.,;:!?…。，、！？；：¿¡]")
 
@@ -50,6 +54,9 @@ BLOCKS = frozenset(
     " figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav"
     " ol p pre search section summary table tbody td tfoot th thead tr ul".split()
 )
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# Elements for running text; others merely contain it.
+TEXTS = frozenset("p li dt dd td th pre blockquote figcaption caption".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style xmp iframe noembed noframes title textarea plaintext".split())
 # Elements that never hold article text.
@@ -228,6 +235,11 @@ def blocks_of(page: str) -> tuple[list[Block], list[str]]:
     return reader.blocks, reader.scope_names
 
 
+def _given(path: str) -> float:
+    last = path.rpartition("/")[2]
+    return WITHIN_HEADING if last in HEADINGS else WITHIN_TEXT if last in TEXTS else WITHIN_BARE
+
+
 def path_scores(blocks: list[Block], article: int | None) -> dict[tuple[str, bool], float]:
     """A score from 0 to 1 for each path, apart for blocks within and outside the article."""
 
@@ -252,8 +264,11 @@ def path_scores(blocks: list[Block], article: int | None) -> dict[tuple[str, boo
         unlinked = float(totals[path][0] / totals[path][3])
         if article is None:
             scores[path] = value / best
+        elif path[1]:
+            given = _given(path[0])
+            scores[path] = unlinked * (given + (1 - given) * value / best)
         else:
-            scores[path] = max(value / best * unlinked, unlinked) if path[1] else 0.0
+            scores[path] = unlinked * BEYOND * value / best
     return scores
 
 
