@@ -619,6 +619,22 @@ def test_ratios_decide_within_an_article():
     assert beyond == ["Head", "Short.", text, text]
 
 
+@pytest.mark.parametrize("page, expected", [
+    ("<main><p>{long}</p><p>{long}</p><article><a href=x>Short</a> teaser</article></main>", ["{long}", "{long}"]),
+    ("<article><p>{long}</article><article><p>Part two.</article><article><p>{long}</article>", ["{long}", "Part two.", "{long}"]),
+    ("<div class='content-sidebar-wrap'><article><p>{long}</article><div class=sidebar>More</div></div>", ["{long}"]),
+    ("<div class='no-sidebar'><p>{long}</div>", ["{long}"]),
+    ("<div class='with-comments'><main><p>{long}</main></div>", ["{long}"]),
+    ("<article class='post has-banner'><p>{long}</article>", ["{long}"]),
+    ("<article><h1>Head</h1><div id=content-widget><p>{long}</div></article>", ["Head", "{long}"]),
+    ("<x-app class=page-widget><p>{long}</x-app>", ["{long}"]),
+    ("<article><p>{long}</article><div class=related><article><a href=x>One</a> x</article></div>", ["{long}"]),
+])
+def test_no_article_is_lost_to_markup(page, expected):
+    long = "Long text, with many words, and marks. " * 6
+    assert html_text.main_blocks(page.replace("{long}", long)) == [e.replace("{long}", long.strip()) for e in expected]
+
+
 @given(st.text("<>/ab p\"'=!-&;divscript ", max_size=60))
 @settings(max_examples=200, deadline=None)
 def test_any_markup_is_read(page):

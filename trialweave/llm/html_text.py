@@ -2,15 +2,19 @@
 
 A page becomes text blocks, each with the path of block elements from the root to it. Per path the text
 length and the punctuation of all its blocks are added up and divided by their number. Both ratios are
-smoothed over the blocks in page order, so that a short paragraph or a heading between long ones gains
-from them, averaged per path again and fused into one score between 0 and 1. Where the page says what
-its article is (the largest ``article`` or ``main`` element), markup and ratios share the score: within
-it a path is given a part by its last element (a heading enough, other text elements nearly enough, mere
-containers less) and the ratios give the rest, times the path's share of text outside links; beyond it
-the ratios count less than half. Paths that reach ``SHARE`` are content.
+smoothed over the blocks in page order, so that a short paragraph or a heading between long ones from them, averaged per path again and fused into one score between 0 and 1. Paths that reach ``SHARE``
+are content.
 
-What can be told by its markup never becomes a block: menus, page headers, footers, sidebars, notices,
-adverts, forms, scripts, styles, reader comments, hidden and embedded elements.
+Where the page has ``article`` or ``main`` elements, markup and ratios share the score: within them a
+path is given a part by its last element (a heading enough, other text elements nearly enough, mere
+containers less) and the ratios give the rest, times the path's share of text outside links; beyond them
+the ratios count less than half. All articles and mains count by their own text, but those with less than ``SHARE``
+of the largest one's that are links for ``SHARE`` of their text or more, as teasers are.
+
+What can be told by its markup never becomes a block: menus, page headers, footers, sidebars, forms,
+scripts, styles, hidden and embedded elements. Elements whose class or id has a listed word (notices,
+adverts, reader comments) go as well, unless they hold an article or main that counts, or hold most of
+the page's text outside links while no article or main that counts stands apart from them.
 
 Blocks are decoded, their white space becomes single spaces, and two line ends join them in page order.
 
@@ -79,6 +83,8 @@ NAMES = frozenset(
     " comment comments commentlist reply replies respond disqus newsletter subscribe subscription"
     " signup login widget hidden".split()
 )
+# First words of class names that tell what an element has or lacks, not what it is.
+STATES = frozenset("no not has have with without".split())
 CLOSED_BY_SAME = {
     "li": ("ul", "ol", "menu", "dir"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"),
     "th": ("tr", "table"), "option": ("select",),
@@ -94,31 +100,52 @@ class Block:
     scopes: tuple[int, ...]  # the articles and mains it stands in
 
 
+@dataclass
+class _Scope:
+    """An article or main. Elements with a listed class or id are called by their number."""
+
+    named: tuple[int, ...]  # the elements around it
+    itself: bool  # has it such a class or id of its own?
+    around: tuple[int, ...]  # the articles and mains it stands in
+
+
+@dataclass
+class _Part:
+    text: str
+    linked: int
+    named: tuple[int, ...]
+
+
 @dataclass
 class _Reader:
     """Open elements and the text of the block that is being read."""
 
-    stack: list[tuple[str, bool, int]] = field(default_factory=list)  # name, outside, scope number
-    parts: list[str] = field(default_factory=list)
-    blocks: list[Block] = field(default_factory=list)
-    linked: int = 0
+    # name, outside, scope number, listed elements around
+    stack: list[tuple[str, bool, int, tuple[int, ...]]] = field(default_factory=list)
+    parts: list[_Part] = field(default_factory=list)
+    blocks: list[tuple[str, tuple[int, ...], list[_Part]]] = field(default_factory=list)
     in_link: int = 0
-    scope_names: list[str] = field(default_factory=list)
+    scopes: list[_Scope] = field(default_factory=list)
+    within: dict[int, tuple[int, ...]] = field(default_factory=dict)  # scopes around a listed element
 
     def outside(self) -> bool:
         return bool(self.stack) and self.stack[-1][1]
 
+    def named(self) -> tuple[int, ...]:
+        return self.stack[-1][3] if self.stack else ()
+
+    def around(self) -> tuple[int, ...]:
+        return tuple(scope for _, _, scope, _ in self.stack if scope >= 0)
+
+    def read(self, text: str) -> None:
+        self.parts.append(_Part(text, len(text.strip()) if self.in_link else 0, self.named()))
+
     def finish(self) -> None:
         """End the block: what was read belongs to the elements open now."""
-        if not self.parts:
-            return
-        text = " ".join(html.unescape("".join(self.parts)).split())
-        self.parts.clear()
-        if text:
-            path = "/".join(name for name, _, _ in self.stack)
-            scopes = tuple(scope for _, _, scope in self.stack if scope >= 0)
-            self.blocks.append(Block(path, text, min(self.linked, len(text)), scopes))
-        self.linked = 0
+        if self.parts:
+            path = "/".join(name for name, _, _, _ in self.stack)
+            self.blocks.append((path, self.around(), self.parts))
+            self.parts = []
 
     def close_to(self, place: int) -> None:
         self.finish()
@@ -145,21 +172,23 @@ class _Reader:
                 if place >= 0:
                     self.close_to(place)
         known = _known(attributes) if attributes.strip() else {}
-        in_scope = any(scope >= 0 for _, _, scope in self.stack)
-        outside = self.outside() or _is_outside(name, known, in_scope)
+        around = self.around()
+        outside = self.outside() or _is_outside(name, known, bool(around))
+        listed = not outside and _is_listed(name, known, bool(around))
+        named = self.named()
+        if listed:
+            named += (len(self.within),)
+            self.within[named[-1]] = around
         if name in BLOCKS:
             self.finish()
             scope = -1
             if not outside and (name in ("article", "main") or known.get("role") in ("main", "article")):
-                scope = len(self.scope_names)
-                self.scope_names.append("main" if name == "main" or known.get("role") == "main" else "article")
-            self.stack.append((name, outside, scope))
-        elif outside and not self.outside():
-            self.finish_inline(name)
-
-    def finish_inline(self, name: str) -> None:
-        """An inline element that stands outside is kept on the stack, without ending its block."""
-        self.stack.append((name, True, -1))
+                scope = len(self.scopes)
+                self.scopes.append(_Scope(named, listed, around))
+            self.stack.append((name, outside, scope, named))
+        elif listed or (outside and not self.outside()):
+            # An inline element that stands outside is kept on the stack, without ending its block.
+            self.stack.append((name, outside, -1, named))
 
     def close(self, name: str) -> None:
         place = self.find(name)
@@ -169,7 +198,7 @@ class _Reader:
             return
         if name in BLOCKS:
             self.close_to(place)
-        elif all(other not in BLOCKS for other, _, _ in self.stack[place + 1 :]):
+        elif all(other not in BLOCKS for other, _, _, _ in self.stack[place + 1 :]):
             del self.stack[place:]
 
 
@@ -190,22 +219,92 @@ def _is_outside(name: str, known: dict[str, str], in_scope: bool) -> bool:
         return True
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", known.get("style", "")):
         return True
-    words = set(re.split(r"[^a-z0-9]+", f"{known.get('class', '')} {known.get('id', '')}"))
-    return bool(words & NAMES) or (not in_scope and "header" in words)
+    return False
+
 
+def _is_listed(name: str, known: dict[str, str], in_scope: bool) -> bool:
+    """Whether a word of its class or id speaks against the element; "no-sidebar" says nothing of it."""
+    if name in ("html", "body") or not known:
+        return False
+    for token in f"{known.get('class', '')} {known.get('id', '')}".split():
+        words = re.findall(r"[a-z0-9]+", token)
+        if words and words[0] not in STATES and (
+            not NAMES.isdisjoint(words) or (not in_scope and "header" in words)
+        ):
+            return True
+    return False
+
+
+def _lengths(parts: list[_Part]) -> np.ndarray:
+    """Characters outside links, and all."""
+    lengths = [(len(part.text.strip()), part.linked) for part in parts]
+    return np.array([sum(all_ - linked for all_, linked in lengths), sum(all_ for all_, _ in lengths)])
+
+
+def _counting(sizes: dict[int, np.ndarray]) -> frozenset[int]:
+    """The articles and mains that count: not those that are short and hold many links, as teasers do."""
+    largest = max((int(size[0]) for size in sizes.values()), default=0)
+    return frozenset(
+        scope for scope, (unlinked, total) in sizes.items()
+        if unlinked and (unlinked >= SHARE * largest or total - unlinked < SHARE * total)
+    )
 
-def blocks_of(page: str) -> tuple[list[Block], list[str]]:
-    """The text blocks of a page in order, and the names of its articles and mains by number."""
+
+def _discarded(reader: _Reader) -> set[int]:
+    """The listed elements that go.
+
+    Those stay that hold an article or main that counts, and those that hold most of the page's text
+    outside links if none that counts stands apart from them.
+    """
+    if not reader.within:
+        return set()
+    sizes: dict[int, np.ndarray] = defaultdict(lambda: np.zeros(2, np.int64))
+    held: dict[int, int] = defaultdict(int)
+    total = 0
+    for _, around, parts in reader.blocks:
+        for part in parts:
+            size = _lengths([part])
+            total += int(size[0])
+            for element in part.named:
+                held[element] += int(size[0])
+            if around and part.named == reader.scopes[around[-1]].named:
+                sizes[around[-1]] += size
+    counting = _counting({scope: size for scope, size in sizes.items() if not reader.scopes[scope].itself})
+    gone = set()
+    for element, around in reader.within.items():
+        if any(element in reader.scopes[scope].named for scope in counting):
+            continue
+        if 2 * held[element] > total and counting <= set(around):
+            continue
+        gone.add(element)
+    return gone
+
+
+def blocks_of(page: str) -> tuple[list[Block], frozenset[int]]:
+    """The text blocks of a page in order, and the numbers of the articles and mains that count."""
+    reader = _read(page)
+    gone = _discarded(reader)
+    blocks = []
+    sizes: dict[int, np.ndarray] = defaultdict(lambda: np.zeros(2, np.int64))
+    for path, around, parts in reader.blocks:
+        kept = [part for part in parts if gone.isdisjoint(part.named)] if gone else parts
+        text = " ".join(html.unescape("".join([part.text for part in kept])).split())
+        if text:
+            linked = min(sum(part.linked for part in kept), len(text))
+            blocks.append(Block(path, text, linked, around))
+            if around:
+                sizes[around[-1]] += (len(text) - linked, len(text))
+    return blocks, _counting(sizes)
+
+
+def _read(page: str) -> _Reader:
     reader = _Reader()
     at = 0
     while True:
         match = TOKEN.search(page, at)
         end = match.start() if match else len(page)
         if end > at and not reader.outside():
-            text = page[at:end]
-            reader.parts.append(text)
-            if reader.in_link:
-                reader.linked += len(text.strip())
+            reader.read(page[at:end])
         if not match:
             break
         at = match.end()
@@ -216,7 +315,7 @@ def blocks_of(page: str) -> tuple[list[Block], list[str]]:
             if name == "a":
                 reader.in_link = 0
             elif name == "br" and not reader.outside():
-                reader.parts.append(" ")
+                reader.read(" ")
             reader.close(name)
         elif name in RAW:
             close = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*(?:>|\Z)", re.IGNORECASE).search(page, at)
@@ -226,13 +325,17 @@ def blocks_of(page: str) -> tuple[list[Block], list[str]]:
                 reader.open(name, "")
                 reader.close(name)
             elif name == "br" and not reader.outside():
-                reader.parts.append(" ")
+                reader.read(" ")
         else:
             if name == "a":
                 reader.in_link = 1
             reader.open(name, match["attributes"])
     reader.finish()
-    return reader.blocks, reader.scope_names
+    return reader
+
+
+def _key(block: Block, articles: frozenset[int]) -> tuple[str, bool]:
+    return block.path, not articles or (bool(block.scopes) and block.scopes[-1] in articles)
 
 
 def _given(path: str) -> float:
@@ -240,11 +343,12 @@ def _given(path: str) -> float:
     return WITHIN_HEADING if last in HEADINGS else WITHIN_TEXT if last in TEXTS else WITHIN_BARE
 
 
-def path_scores(blocks: list[Block], article: int | None) -> dict[tuple[str, bool], float]:
-    """A score from 0 to 1 for each path, apart for blocks within and outside the article."""
+def path_scores(blocks: list[Block], articles: frozenset[int] | None) -> dict[tuple[str, bool], float]:
+    """A score from 0 to 1 for each path, apart for blocks within and outside the articles."""
+    articles = articles or frozenset()
 
     def key(block: Block) -> tuple[str, bool]:
-        return block.path, article is None or article in block.scopes
+        return _key(block, articles)
 
     totals: dict[tuple[str, bool], np.ndarray] = defaultdict(lambda: np.zeros(4))
     for block in blocks:
@@ -262,7 +366,7 @@ def path_scores(blocks: list[Block], article: int | None) -> dict[tuple[str, boo
     scores = {}
     for path, value in fused.items():
         unlinked = float(totals[path][0] / totals[path][3])
-        if article is None:
+        if not articles:
             scores[path] = value / best
         elif path[1]:
             given = _given(path[0])
@@ -274,19 +378,11 @@ def path_scores(blocks: list[Block], article: int | None) -> dict[tuple[str, boo
 
 def main_blocks(page: str) -> list[str]:
     """The content blocks of a page."""
-    blocks, scopes = blocks_of(page)
+    blocks, articles = blocks_of(page)
     if not blocks:
         return []
-    kind = "article" if "article" in scopes else "main"
-    sizes: dict[int, int] = defaultdict(int)
-    for block in blocks:
-        for scope in block.scopes:
-            if scopes[scope] == kind:
-                sizes[scope] += len(block.text)
-    article = max(sizes, key=lambda scope: (sizes[scope], -scope)) if sizes else None
-    scores = path_scores(blocks, article)
-    content = {path for path, score in scores.items() if score >= SHARE}
-    return [b.text for b in blocks if (b.path, article is None or article in b.scopes) in content]
+    scores = path_scores(blocks, articles)
+    return [b.text for b in blocks if scores[_key(b, articles)] >= SHARE]
 
 
 def extract_text(
