@@ -479,6 +479,35 @@ def test_cross_parsing_counts_longest_matches():
         assert round(cost) == expected, text
 
 
+def test_letters_of_any_number_tell_languages_apart():
+    chance = random.Random(5)
+
+    def text(first, n, words):
+        return " ".join("".join(chr(first + chance.randrange(n)) for _ in range(3)) for _ in range(words))
+
+    # Letters of five alphabets are all more frequent than any of the two times 400 others.
+    alphabets = {"la": (0x61, 26), "cy": (0x430, 32), "el": (0x3B1, 17), "hy": (0x561, 38), "ka": (0x10D0, 33)}
+    many = {"zh": (0x4E00, 400), "zi": (0x5A00, 400), "zj": (0x6A00, 400)}
+    kinds = alphabets | many
+    samples = {lang: [text(*kind, 1000)] for lang, kind in kinds.items()}
+    model = language.Model(samples)
+    for lang, kind in kinds.items():
+        assert [got for got, _ in model.predict([text(*kind, 30) for _ in range(5)])] == [lang] * 5
+
+
+def test_every_label_is_learned(spark):
+    chance = random.Random(6)
+    stems = {f"l{i:02}": "".join(chance.sample("abcdefghijklmnopqrstuvwxyz", 6)) for i in range(80)}
+    rows = [
+        (100 * i + j, " ".join("".join(chance.choice(stem) for _ in range(4)) for _ in range(60 if i % 8 else 10)), lang)
+        for i, (lang, stem) in enumerate(stems.items()) for j in range(4 if i >= 16 else 6)
+    ]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert sorted(language.labelled_sample(frame)) == sorted({
+        lang for doc, _, lang in rows if zlib.crc32(str(doc).encode()) % 4 != 2
+    })
+
+
 SECRET_TEXTS = [
     None,
     "",

@@ -4,14 +4,14 @@ Each language is a suffix automaton over a sample of labelled text. A document i
 longest phrases that the automaton of a language knows; the language that needs the fewest phrases,
 each weighted with the logarithm of the sample's length, wins.
 
-Texts are compared as letters in lower case with one separator for anything between them. A text is
-parsed in blocks of ``BLOCK`` symbols, all blocks of a batch and all languages in step: the automata
+Texts are compared as letters in lower case, in UTF-8, with one separator for anything between them: a
+symbol is a byte, so that letters of any number and script need few columns. A text is parsed in blocks of ``BLOCK`` symbols, all blocks of a batch and all languages in step: the automata
 are tables with one row per state, a missing step leads where a new phrase would go and counts it.
 Blocks cost at most one more phrase each, for every language alike; the whole text is parsed.
 
 The sample is bounded by the parameters below: at most ``SAMPLE_ROWS`` labelled texts per language of
 ``SHORTEST`` to ``LONGEST`` characters, picked by a hash of the id, and ``SAMPLE_SYMBOLS`` symbols over
-all languages. The labels of at most ``MAX_LANGUAGES`` languages, the most frequent ones, are learned.
+all languages, in equal shares of ``LEAST_SYMBOLS`` or more. Every label is learned.
 
 Defined results: a null text and a text without letters are ``und`` with score 0, as is every text
 if nothing was labelled; ties go to the first language by name; rows with equal ids stay apart.
@@ -20,6 +20,7 @@ if nothing was labelled; ties go to the first language by name; rows with equal
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,11 +35,12 @@ SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
 SAMPLE_ROWS = 40
 SHORTEST, LONGEST = 100, 20_000
 SAMPLE_SYMBOLS = 160_000
-MAX_LANGUAGES = 64
+LEAST_SYMBOLS = 200
 BLOCK = 512
-# Letters beyond the most frequent ones are one symbol that no automaton knows.
-MAX_LETTERS = 120
+LANGUAGES_AT_ONCE = 64
+# Bytes that no sample has are one symbol that no automaton knows.
 SEPARATOR, STRANGE = 0, 1
+BLANK = 0x20
 
 
 def held_out(id_col: str) -> Column:
@@ -55,8 +57,9 @@ def labelled_sample(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")
     ).filter(F.col("id").isNotNull() & F.col("text").isNotNull() & F.col("lang").isNotNull())
     rows = rows.filter(~held_out("id"))
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES)
-    languages = [row["lang"] for row in counts.collect()]
+    languages = sorted(row["lang"] for row in rows.select("lang").distinct().collect())
+    # Of a long text no more is read than fills the language's share several times.
+    most = min(LONGEST, 4 * _share(len(languages)))
     fitting = rows.filter(F.length("text").between(SHORTEST, LONGEST))
     order = W.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
     picked = (
@@ -65,40 +68,56 @@ def labelled_sample(
         .filter(F.col("rank") <= SAMPLE_ROWS)
         .collect()
     )
-    chosen = {row["id"]: (row["lang"], row["rank"]) for row in picked if row["lang"] in languages}
+    chosen = {row["id"]: (row["lang"], row["rank"]) for row in picked}
     texts: dict[str, list[str]] = {lang: [] for lang in languages}
-    found = fitting.filter(F.col("id").isin(list(chosen))).select("id", "lang", "text").collect()
+    found = fitting.filter(F.col("id").isin(list(chosen)))
+    found = found.select("id", "lang", F.substring("text", 1, most).alias("text")).collect()
     for row in sorted(found, key=lambda r: (chosen[r["id"]][1], r["text"])):
         if row["lang"] == chosen[row["id"]][0]:
             texts[row["lang"]].append(row["text"])
     # A language whose texts are all too short or too long learns from any of them.
-    for lang in (lang for lang in languages if not texts[lang]):
-        some = rows.filter(F.col("lang") == lang).select(F.substring("text", 1, LONGEST).alias("t"))
-        texts[lang] = [row["t"] for row in some.limit(SAMPLE_ROWS).collect()]
+    without = [lang for lang in languages if not texts[lang]]
+    if without:
+        some = rows.filter(F.col("lang").isin(without))
+        some = some.select("id", "lang", F.substring("text", 1, most).alias("text"))
+        some = some.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= SAMPLE_ROWS)
+        for row in sorted(some.collect(), key=lambda r: (r["lang"], r["rank"])):
+            texts[row["lang"]].append(row["text"])
     return texts
 
 
-def letter_table(samples: dict[str, list[str]]) -> np.ndarray:
-    """Symbol of every code point: separator, strange letter, or a letter of the samples."""
-    joined = "".join(text.lower() for texts in samples.values() for text in texts)
-    codes, counts = np.unique(_points(joined), return_counts=True)
-    table = _letters().astype(np.uint8)
-    known = [int(c) for c in codes[np.argsort(-counts, kind="stable")] if table[c]][:MAX_LETTERS]
-    table[known] = np.arange(2, 2 + len(known), dtype=np.uint8)
+def _share(languages: int) -> int:
+    return max(LEAST_SYMBOLS, SAMPLE_SYMBOLS // max(1, languages))
+
+
+def symbol_table(samples: dict[str, list[str]]) -> np.ndarray:
+    """Symbol of every byte: separator, strange byte, or a byte of the samples' letters."""
+    seen = np.zeros(256, np.int64)
+    for text in (text for texts in samples.values() for text in texts):
+        seen += np.bincount(_letter_bytes(text), minlength=256)
+    seen[BLANK] = 0
+    table = np.full(256, STRANGE, np.uint16)
+    table[BLANK] = SEPARATOR
+    known = np.flatnonzero(seen)
+    table[known] = np.arange(2, 2 + len(known))
     return table
 
 
+@cache
 def _letters() -> np.ndarray:
     return np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
 
 
-def _points(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+def _letter_bytes(text: str) -> np.ndarray:
+    """The letters in lower case as UTF-8, with a blank for any other character."""
+    points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+    letters = np.where(_letters()[points], points, np.uint32(BLANK))
+    return np.frombuffer(letters.tobytes().decode("utf-32-le").encode(), np.uint8)
 
 
 def symbols_of(text: str, table: np.ndarray) -> np.ndarray:
     """Symbols with runs of separators made one, none at either end."""
-    symbols = table[_points(text.lower())]
+    symbols = table[_letter_bytes(text)]
     blank = symbols == SEPARATOR
     keep = ~blank
     keep[1:] |= blank[1:] & ~blank[:-1]
@@ -145,11 +164,11 @@ class Model:
     """The automata of all languages in one table of (next row, new phrase?) entries."""
 
     def __init__(self, samples: dict[str, list[str]]):
-        self.table = letter_table(samples)
+        self.table = symbol_table(samples)
         self.width = int(self.table.max()) + 2  # one more column, for the fill of short blocks
         self.fill = self.width - 1
         self.languages = sorted(samples)
-        share = SAMPLE_SYMBOLS // max(1, len(samples))
+        share = _share(len(samples))
         parts, starts, weights, offset = [], [], [], 0
         for lang in self.languages:
             pieces = [symbols_of(text, self.table) for text in samples[lang]]
@@ -160,7 +179,7 @@ class Model:
             weights.append(np.log2(len(joined) + 2))
             offset += len(automaton)
         self.steps = np.concatenate(parts).ravel() if parts else np.zeros(0, np.int32)
-        self.starts = np.array(starts, np.int32)
+        self.starts = np.array(starts, np.int64)
         self.weights = np.array(weights)
 
     def _rows(self, automaton: list[dict[int, int]], offset: int) -> np.ndarray:
@@ -173,13 +192,13 @@ class Model:
             for symbol, following in steps.items():
                 rows[state, symbol] = ((offset + following) * width) << 1
             rows[state, self.fill] = ((offset + state) * width) << 1
-        return rows.astype(np.int32)
+        return rows if rows.max() > np.iinfo(np.int32).max else rows.astype(np.int32)
 
     def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
         """Phrases that each language (column) needs for each text (row), weighted."""
         counts = np.array([max(1, -(-len(t) // BLOCK)) for t in texts])
         first = np.concatenate([[0], np.cumsum(counts)])
-        blocks = np.full((first[-1], BLOCK), self.fill, np.uint8)
+        blocks = np.full((first[-1], BLOCK), self.fill, np.uint16)
         for text, row, rows in zip(texts, first, counts):
             blocks[row : row + rows].ravel()[: len(text)] = text
         # Full blocks first, so that the steps of the last symbols need only the blocks they have.
@@ -187,7 +206,15 @@ class Model:
         order = np.argsort(-filled, kind="stable")
         columns = np.ascontiguousarray(blocks[order].T).astype(np.int32)
         active = np.searchsorted(-filled[order], -np.arange(BLOCK), side="left")
-        states = np.repeat((self.starts * self.width)[:, None], len(blocks), axis=1)
+        by_text = [
+            self._found(starts, columns, active, filled, order, first)
+            for starts in np.split(self.starts, range(LANGUAGES_AT_ONCE, len(self.starts), LANGUAGES_AT_ONCE))
+        ]
+        return np.concatenate(by_text).T * self.weights
+
+    def _found(self, starts, columns, active, filled, order, first) -> np.ndarray:
+        """Phrases that the languages (rows) of some first states need for each text (column)."""
+        states = np.repeat((starts * self.width).astype(self.steps.dtype)[:, None], len(order), axis=1)
         found = np.zeros(states.shape, np.int32)
         for column, n in zip(columns, active):
             if not n:
@@ -198,8 +225,7 @@ class Model:
         found += filled[order] > 0  # the phrase that the end of a block cuts off
         by_block = np.empty_like(found)
         by_block[:, order] = found
-        by_text = np.add.reduceat(by_block, first[:-1], axis=1)
-        return by_text.T * self.weights
+        return np.add.reduceat(by_block, first[:-1], axis=1)
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
         symbols = [symbols_of(text or "", self.table) for text in texts]
