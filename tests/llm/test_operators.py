@@ -222,6 +222,13 @@ def test_equal_leads_get_one_slot():
     assert set(slots.tolist()) <= set(range(7)) and len(set(slots.tolist())) > 4
 
 
+@pytest.mark.parametrize("texts, size", [(3, 1000), (3, 200_000), (2, 199)])
+def test_splitters_of_few_texts(spark, texts, size):
+    rows = [(i, (brute.prose(i, size // 4) + "x" * size)[:size], i) for i in range(texts)]
+    frame = spark.createDataFrame(rows, "id long, text string, text_hash long")
+    assert len(np.unique(suffix_dedup.splitters_of(frame, 8))) >= (0 if size < 200 else 3)
+
+
 def test_word_repeats(documents, corpus):
     result = window_dedup.remove_repeats(crowded(documents))
     expected = Counter((doc, *values) for (doc, _), values in zip(corpus, brute.word_repeats(corpus)))

@@ -42,7 +42,8 @@ LEAD = 32
 SENT_PER_LEAD = 4
 BATCH_BYTES = 1 << 20
 PIECE_BYTES = 1 << 19
-# Share of the documents whose leads place the splitters.
+# Texts are cut into segments; the leads of this share of them place the splitters.
+SEGMENT_BYTES = 1 << 13
 SAMPLED = 0.02
 SCHEMA = (
     "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
@@ -235,9 +236,24 @@ def splitters_of(documents: DataFrame, slots: int, length: int = LENGTH) -> np.n
                 shifted = (keys[:, 0] ^ np.uint64(1 << 63)).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(shifted)], ["token"])
 
-    sample = documents.sample(SAMPLED, 7).mapInArrow(tokens, "token long")
+    doc, text, text_hash = documents.columns[:3]
+    whole = documents.select(
+        F.col(doc).alias("id"), F.col(text).cast("binary").alias("bytes"), F.col(text_hash).alias("hash")
+    )
+    size = F.octet_length("bytes")
+    # A segment too short for a window has no lead; the first one of a text that has a window has one.
+    starts = F.sequence(F.lit(0), F.greatest(size - length, F.lit(0)), F.lit(SEGMENT_BYTES))
     parts = [i / slots for i in range(1, slots)]
-    found = sample.agg(F.percentile_approx("token", parts, 20 * slots)).first()[0] if parts else None
+    found = None
+    for share in (SAMPLED, 1.0):  # all segments if the sample is empty, as it may be if they are few
+        if found or not parts:
+            break
+        limit = F.lit(round(share * 10_000))
+        picked = F.filter(starts, lambda at: F.pmod(F.xxhash64("id", "hash", at), F.lit(10_000)) < limit)
+        rows = whole.filter(size >= length).select("*", F.explode(picked).alias("at"))
+        rows = rows.select("id", F.col("bytes").substr(F.col("at") + 1, F.lit(SEGMENT_BYTES)), "hash")
+        sample = rows.mapInArrow(tokens, "token long")
+        found = sample.agg(F.percentile_approx("token", parts, 20 * slots)).first()[0]
     shifted = np.array(found or [], np.int64).view(np.uint64)
     return np.sort(shifted ^ np.uint64(1 << 63))
 
