@@ -64,6 +64,18 @@ def test_decontamination_in_blocks(documents, benchmark, corpus, items, monkeypa
     assert Counter((r["n_words"], r["n_hit"], tuple(r["items"])) for r in rows) == expected
 
 
+def test_blocks_are_counted_in_words_and_held_one_by_one(spark, documents, benchmark, corpus, items, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 20)
+    commas = spark.createDataFrame([(i, ",".join("abcdefghijklmnopqrstuvwxyz")) for i in range(3)], "item_id long, text string")
+    assert len(list(decontaminate.item_blocks(commas, "item_id", "text"))) == 3
+    result = decontaminate.contamination(documents, benchmark)
+    assert result._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    kept = decontaminate.keep_clean(crowded(documents), benchmark)
+    assert kept.columns == crowded(documents).columns
+    expected = Counter(doc for (doc, _), (_, hit, _) in zip(corpus, brute.contamination(corpus, items)) if not hit)
+    assert Counter(r["doc_id"] for r in kept.select("doc_id").collect()) == expected
+
+
 def test_decontamination_spans_are_places_in_the_original(spark):
     item = "Où Va le Train qui part demain matin de la gare"
     text = f"Ähm: ({item.upper().replace('Ù', 'ù')}) — oui!"

@@ -5,8 +5,9 @@ case. The automaton holds every window of ``WINDOW`` consecutive item words (the
 has fewer) between blanks, and a document's normalised text passes through it once.
 
 The benchmark is a stated query set. It is collected in blocks of at most ``BLOCK_WORDS`` words, so
-that an automaton has a bounded size; the documents pass through the blocks one after the other, in
-the same tasks. One block holds the usual benchmark.
+that an automaton has a bounded size. One block holds the usual benchmark, and the documents pass through
+it once. Of more blocks the driver holds two at a time; each adds its hits by digest of the text to a
+table in the shared folder, which then meets the documents.
 
 Defined results: a null text and a text without words have no words and no hit; an item without
 words has no window; rows with equal ids stay apart for documents and count as one item for the
@@ -24,10 +25,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trialweave.llm.common import encoded_texts, record_batch, sha256, slices
+from trialweave.session import scratch_path
 
 WINDOW = 10
 BLOCK_WORDS = 500_000
-BETWEEN = "doc_id long, text string, items array<string>, ranges array<struct<start: long, end: long>>"
 RESULT = (
     "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, "
     "contaminated boolean, items array<string>, spans array<struct<start: long, end: long>>"
@@ -58,7 +59,7 @@ def windows_of(text: bytes, size: int = WINDOW) -> list[bytes]:
 
 
 def item_blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[list[tuple[str, bytes]]]:
-    """The items in blocks of bounded size; a block is all the driver holds at a time."""
+    """The items in blocks of bounded size, one read after the other."""
     items = benchmark.select(
         F.col(id_col).cast("string").alias("item"), F.col(text_col).alias("text")
     ).filter("item is not null and text is not null")
@@ -66,7 +67,7 @@ def item_blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[li
     for row in items.toLocalIterator():
         text = row["text"].encode()
         block.append((row["item"], text))
-        size += len(text.split()) + 1
+        size += len(WORD.findall(text)) + 1
         if size >= BLOCK_WORDS:
             yield block
             block, size = [], 0
@@ -137,8 +138,8 @@ def _original(text: bytes, ranges: list[list[int]]) -> list[dict[str, int]]:
     return out
 
 
-def scan(batches: Iterator[pa.RecordBatch], items: list[tuple[str, bytes]], size: int, last: bool):
-    """Add the hits of one block; the last block turns all hits into the result."""
+def scan(batches: Iterator[pa.RecordBatch], items: list[tuple[str, bytes]], size: int):
+    """The result from the hits of the items and those that came with the rows."""
     automaton = _automaton(items, size)
     for batch in slices(batches):
         texts = encoded_texts(batch)
@@ -150,17 +151,6 @@ def scan(batches: Iterator[pa.RecordBatch], items: list[tuple[str, bytes]], size
             met.append(sorted(found.union(items_before)))
             ranges.append(_merged(runs + [[r["start"], r["end"]] for r in ranges_before]))
             counts.append(n_words)
-        if not last:
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    batch.column(1),
-                    pa.array(met, pa.list_(pa.string())),
-                    pa.array([[{"start": a, "end": b} for a, b in r] for r in ranges], _SPAN),
-                ],
-                ["doc_id", "text", "items", "ranges"],
-            )
-            continue
         n_hit = [sum(end - start for start, end in r) for r in ranges]
         yield record_batch({
             "doc_id": (pa.int64(), batch.column(0).to_pylist()),
@@ -174,6 +164,53 @@ def scan(batches: Iterator[pa.RecordBatch], items: list[tuple[str, bytes]], size
         })
 
 
+def _in_turn(benchmark: DataFrame, id_col: str, text_col: str):
+    """The only block and None, or None and the blocks one by one."""
+    blocks = item_blocks(benchmark, id_col, text_col)
+    first, second = next(blocks, []), next(blocks, None)
+    if second is None:
+        return first, None
+
+    def each(first, second):
+        yield first
+        del first
+        yield second
+        del second
+        yield from blocks
+
+    return None, each(first, second)
+
+
+def _hit_texts(texts: DataFrame, blocks: Iterator[list[tuple[str, bytes]]], size: int) -> DataFrame:
+    """(digest, items, ranges) of the distinct texts (column text) that any block hits."""
+    spark = texts.sparkSession
+    path = scratch_path(spark, "hits")
+    texts = texts.filter("text is not null").select(F.sha2("text", 256).alias("digest"), "text")
+
+    def hits(batches, items):
+        automaton = _automaton(items, size)
+        for batch in slices(batches):
+            out = []
+            for digest, text in zip(batch.column(0).to_pylist(), encoded_texts(batch)):
+                found, runs = _hits(normalised(text)[0], automaton) if automaton is not None else ((), ())
+                if found:
+                    ranges = [{"start": start, "end": end} for start, end in _merged(runs)]
+                    out.append((digest, sorted(found), ranges))
+            yield record_batch({
+                "digest": (pa.string(), [row[0] for row in out]),
+                "items": (pa.list_(pa.string()), [row[1] for row in out]),
+                "ranges": (_SPAN, [row[2] for row in out]),
+            })
+
+    schema = "digest string, items array<string>, ranges array<struct<start: long, end: long>>"
+    for items in blocks:
+        found = texts.mapInArrow(lambda batches, items=items: hits(batches, items), schema)
+        found.write.mode("append").parquet(path)
+    return spark.read.schema(schema).parquet(path).groupBy("digest").agg(
+        *[F.flatten(F.collect_set(name)).alias(name) for name in ("items", "ranges")]
+    )
+
+
 def contamination(
     documents: DataFrame,
     benchmark: DataFrame,
@@ -193,14 +230,17 @@ def contamination(
         F.array().cast("array<string>").alias("items"),
         F.array().cast("array<struct<start: long, end: long>>").alias("ranges"),
     )
-    blocks = list(item_blocks(benchmark, item_col, item_text_col)) or [[]]
-    for number, items in enumerate(blocks, 1):
-        last = number == len(blocks)
-        frame = frame.mapInArrow(
-            lambda batches, items=items, last=last: scan(batches, items, window, last),
-            RESULT if last else BETWEEN,
+    items, blocks = _in_turn(benchmark, item_col, item_text_col)
+    if blocks is not None:
+        items = []
+        hits = _hit_texts(frame.select("text"), blocks, window)
+        joined = frame.select("doc_id", "text", F.sha2("text", 256).alias("digest")).join(hits, "digest", "left")
+        frame = joined.select(
+            "doc_id", "text",
+            F.coalesce("items", F.array().cast("array<string>")).alias("items"),
+            F.coalesce("ranges", F.array().cast("array<struct<start: long, end: long>>")).alias("ranges"),
         )
-    return frame
+    return frame.mapInArrow(lambda batches: scan(batches, items, window), RESULT)
 
 
 def keep_clean(
@@ -223,7 +263,9 @@ def keep_clean(
             ]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    frame = documents
-    for items in item_blocks(benchmark, item_col, item_text_col):
-        frame = frame.mapInArrow(lambda batches, items=items: clean(batches, items), documents.schema)
-    return frame
+    items, blocks = _in_turn(benchmark, item_col, item_text_col)
+    if blocks is None:
+        return documents.mapInArrow(lambda batches: clean(batches, items), documents.schema)
+    hits = _hit_texts(documents.select(F.col(text_col).alias("text")), blocks, window)
+    hits = hits.select(F.col("digest").alias("__hit"))
+    return documents.join(hits, F.sha2(F.col(text_col), 256) == F.col("__hit"), "left_anti")
