@@ -17,6 +17,7 @@ from trialweave.llm import (
     simhash,
     suffix_dedup,
     token_counts,
+    whitening,
     window_dedup,
 )
 from trialweave.llm.common import table
@@ -91,6 +92,13 @@ def op3_token_counts(spark, sf_dir):
     return token_counts.count_tokens(edited, RANKS, PATTERN, "edits")
 
 
+@query
+def op11_whitening(spark, sf_dir):
+    rows = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    # Beyond the range of a long the cast stops the query (ANSI); the operator's own column is a decimal.
+    return rows.withColumn("deviation", rows["deviation"].cast("long"))
+
+
 _WORDS = "regexp_extract_all({text}, '{pattern}')"
 _BENCH_WORDS = _WORDS.format(
     text="translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')",
