@@ -12,6 +12,7 @@ from trialweave.llm import (
     decontaminate,
     embedding_dedup,
     html_text,
+    imatch,
     language,
     secrets,
     simhash,
@@ -99,6 +100,11 @@ def op11_whitening(spark, sf_dir):
     return rows.withColumn("deviation", rows["deviation"].cast("long"))
 
 
+@query
+def op13_imatch(spark, sf_dir):
+    return imatch.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 _WORDS = "regexp_extract_all({text}, '{pattern}')"
 _BENCH_WORDS = _WORDS.format(
     text="translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')",
