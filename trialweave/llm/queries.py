@@ -14,6 +14,7 @@ from trialweave.llm import (
     html_text,
     imatch,
     language,
+    prefix_trie,
     secrets,
     simhash,
     suffix_dedup,
@@ -100,6 +101,11 @@ def op11_whitening(spark, sf_dir):
     return rows.withColumn("deviation", rows["deviation"].cast("long"))
 
 
+@query
+def op12_prefix_trie(spark, sf_dir):
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 @query
 def op13_imatch(spark, sf_dir):
     return imatch.fingerprint_documents(table(spark, sf_dir, "documents"))
