@@ -178,3 +178,42 @@ kept AS (
 SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed,
        sha256(coalesce(words, '')) AS kept_sha256
 FROM texts LEFT JOIN kept USING (doc_id)"""
+
+# CRC-32 (reflected, polynomial 0xEDB88320) of an id's digits: a fold over the bytes and, within, their bits.
+_CRC = """xor(4294967295, list_reduce(
+  [4294967295] || list_transform(string_split(conv::VARCHAR, ''), lambda s: ascii(s)::BIGINT),
+  lambda crc, byte: list_reduce([xor(crc, byte)] || range(8),
+    lambda c, bit: xor(c >> 1, CASE WHEN c % 2 = 1 THEN 3988292384 ELSE 0 END))))"""
+
+ORACLE_SQL["op12_prefix_trie"] = f"""
+WITH own AS (
+  SELECT conv_id AS conv, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}}
+    ORDER BY turn NULLS FIRST, coalesce(role, ''),
+    sha256(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, ''))) AS t
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+),
+shares AS (SELECT conv, t, conv - conv % 100 AS base, {_CRC} % 6 AS h FROM own),
+built AS (
+  SELECT shares.conv, list_concat(coalesce(own.t, [])[1 : h], shares.t[h + 1 :]) AS t
+  FROM shares LEFT JOIN own ON own.conv = base
+),
+prefixes AS (SELECT conv, d AS depth, t[1 : d] AS p, len(t) = d AS ends FROM built, unnest(range(len(t) + 1)) AS r(d)),
+nodes AS (
+  SELECT p, depth, min(conv) AS conv, count(*) AS n,
+         sha256(coalesce(string_agg(conv::VARCHAR, ',' ORDER BY conv) FILTER (ends), '')) AS ends_sha256
+  FROM prefixes GROUP BY p, depth
+),
+children AS (SELECT p[1 : depth - 1] AS p, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+valued AS (
+  SELECT nodes.*, coalesce(children.n, 0) AS n_children,
+         CASE WHEN depth > 0 THEN (nodes.n - 1) * length(p[depth].text) ELSE 0 END AS saved
+  FROM nodes LEFT JOIN children USING (p)
+),
+sums AS (
+  SELECT p[1 : d] AS p, sum((n_children = 0)::BIGINT)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+  FROM valued, unnest(range(depth + 1)) AS r(d) GROUP BY 1
+)
+SELECT valued.conv AS conv_id, valued.depth, parent.conv AS parent_conv_id, valued.n AS n_convs, n_children,
+       n_leaves, saved_tokens, valued.ends_sha256
+FROM valued JOIN sums USING (p)
+LEFT JOIN nodes AS parent ON valued.depth > 0 AND parent.p = valued.p[1 : valued.depth - 1]"""
