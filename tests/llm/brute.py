@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import random
 import re
+import zlib
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import tiktoken
 import xxhash
@@ -126,3 +129,53 @@ def named_groups(ids, roots):
 def prose(seed: int, words: int, vocabulary: int = 4000) -> str:
     chance = random.Random(seed)
     return " ".join(f"w{chance.randrange(vocabulary):x}{chance.choice(['', '', ',', '.'])}" for _ in range(words))
+
+
+def trie(rows):
+    """Nodes of (conv_id, turn, role, text) rows, as in the operator's columns."""
+    turns: dict[int, list] = {}
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            role, text = role or "", text or ""
+            digest = sha(f"{len(role)}:{role}{text}".encode())
+            turns.setdefault(conv, []).append(((turn is not None, turn or 0), role, digest, text))
+    own = {conv: [(role, text) for _, role, _, text in sorted(t)] for conv, t in turns.items()}
+    members: dict[tuple, list[int]] = {}
+    built = {}
+    for conv, t in own.items():
+        base = conv - (abs(conv) % 100) * (1 if conv >= 0 else -1)
+        share = zlib.crc32(str(conv).encode()) % 6
+        built[conv] = tuple(own.get(base, [])[:share] + t[share:])
+        for depth in range(len(built[conv]) + 1):
+            members.setdefault(built[conv][:depth], []).append(conv)
+    children = Counter(node[:-1] for node in members if node)
+    leaves, saved = Counter(), Counter()
+    for node, convs in members.items():
+        for depth in range(len(node) + 1):
+            leaves[node[:depth]] += not children[node]
+            saved[node[:depth]] += (len(convs) - 1) * len(node[-1][1]) if node else 0
+    return Counter(
+        (
+            min(convs), len(node), min(members[node[:-1]]) if node else None, len(convs), children[node],
+            leaves[node], saved[node],
+            sha(",".join(str(c) for c in sorted(convs) if len(built[c]) == len(node)).encode()),
+        )
+        for node, convs in members.items()
+    )
+
+
+def whitened(vectors, components=32):
+    """(n, deviations, whitened up to sign, shares) by plain whole numbers and one eigh."""
+    x = [[math.floor(64 * c) + 1_000_000 for c in v] for v in vectors]
+    n = len(x)
+    sums = [sum(column) for column in zip(*x)]
+    centred = [[n * a - s for a, s in zip(row, sums)] for row in x]
+    exact = [[sum(a * b for a, b in zip(p, q)) for q in zip(*centred)] for p in zip(*centred)]
+    covariance = np.array([[value / n**3 for value in line] for line in exact])
+    values, axes = np.linalg.eigh(covariance)
+    order = np.argsort(-values)[:components]
+    plain = np.array([[a / n for a in row] for row in centred])
+    return (
+        n, [sum(a * a for a in row) for row in centred],
+        plain @ axes[:, order] / np.sqrt(values[order]), values[order] / np.trace(covariance),
+    )
