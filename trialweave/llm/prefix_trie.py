@@ -266,8 +266,10 @@ def rollup(spark: SparkSession, nodes: DataFrame, paths: DataFrame, values: list
         tops = active.filter("node = top AND depth = top_depth").select("top", "top_depth", F.col("weight").alias("whole"))
         heavy = active.join(tops, ["top", "top_depth"]).filter("2 * weight >= whole")
         deepest = F.max(F.struct(F.col("depth").alias("c_depth"), F.col("node").alias("c"), F.col("weight").alias("c_weight")))
-        cuts = heavy.groupBy("top", "top_depth").agg(F.first("whole").alias("whole"), deepest.alias("cut"))
-        cuts = cuts.select("top", "top_depth", "whole", "cut.*")
+        # Grouping by a struct of its own leaves the join above free to split a large component.
+        component = F.struct("top", "top_depth").alias("component")
+        cuts = heavy.groupBy(component).agg(F.max("whole").alias("whole"), deepest.alias("cut"))
+        cuts = cuts.select("component.*", "whole", "cut.*")
         rows = active.join(cuts, ["top", "top_depth"])
         path = 2 * F.col("weight") >= F.col("whole")
         # Only deeper nodes off the path can be below the centroid.
