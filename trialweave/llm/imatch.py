@@ -33,7 +33,6 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -50,8 +49,6 @@ SUBSETS = 32
 DIGITS = 8
 # Distinct terms whose counts a task holds before it sends them on.
 HELD_TERMS = 200_000
-# Hashes of words that a task remembers.
-KNOWN_WORDS = 400_000
 # Ranges of documents per shuffle partition; several even out what hashing deals to one.
 RANGES = 3
 
@@ -59,21 +56,18 @@ _WORD = re.compile(r"[^\W_]+")
 _FIRST = -(1 << 63)
 
 
-class _Hashes(dict):
-    """64-bit hash of a word; forgets all when it has grown large."""
+def terms(text: str) -> set[str]:
+    """The distinct lower-cased words: runs of letters and digits."""
+    pieces = set(text.lower().split())
+    words = {piece for piece in pieces if piece.isalnum()}
+    for piece in pieces - words:
+        words.update(_WORD.findall(piece))
+    return words
 
-    def __missing__(self, word: str) -> int:
-        if len(self) >= KNOWN_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass")) - (1 << 63)
-        return value
 
-
-def terms(text: str, known: _Hashes) -> np.ndarray:
-    """The hashes of the distinct words, sorted."""
-    out = np.array([known[word] for word in set(_WORD.findall(text.lower()))], np.int64)
-    out.sort()
-    return out
+def term_hash(term: str, seed: int = 0) -> int:
+    """64 bits, signed."""
+    return xxhash.xxh64_intdigest(term.encode("utf-8", "surrogatepass"), seed) - (1 << 63)
 
 
 def _texts(batches, column: int) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
@@ -83,12 +77,13 @@ def _texts(batches, column: int) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
 
 def _term_counts(batches):
     def sent(counts: Counter) -> pa.RecordBatch:
-        return record_batch({"term": (pa.int64(), list(counts)), "documents": (pa.int64(), list(counts.values()))})
+        hashes = [term_hash(term) for term in counts]
+        return record_batch({"term": (pa.int64(), hashes), "documents": (pa.int64(), list(counts.values()))})
 
-    known, counts = _Hashes(), Counter()
+    counts: Counter[str] = Counter()
     for _, texts in _texts(batches, 0):
         for text in texts:
-            counts.update(terms(text, known).tolist())
+            counts.update(terms(text))
             if len(counts) >= HELD_TERMS:
                 yield sent(counts)
                 counts = Counter()
@@ -109,33 +104,46 @@ def lexicon(
     return np.sort(found.select("term").toArrow().column(0).to_numpy())
 
 
-@dataclass
 class Lexicon:
-    """The terms and, per subset, the last level that still keeps each of them."""
-
-    terms: np.ndarray
-    levels: np.ndarray
-
-    @classmethod
-    def of(cls, terms: np.ndarray) -> Lexicon:
-        return cls(terms, _levels(terms))
-
-    def fingerprint(self, text: str, own: np.ndarray) -> str:
-        """``own`` holds the text's sorted terms."""
-        place = np.searchsorted(self.terms, own)
-        place[place == len(self.terms)] = 0
-        known = self.terms[place] == own if len(self.terms) else np.zeros(len(own), bool)
-        if known.any():
-            own, levels = own[known], self.levels[place[known]]
+    """Sorted hashes of the band's terms and, per subset, the last level that still keeps each of them."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.hashes = hashes
+        self.levels = _levels(hashes)
+        self._by_hash = {value: place for place, value in enumerate(hashes.tolist())}
+        self._by_word: dict[str, int] = {}  # words of the lexicon met so far
+
+    def _places(self, words: set[str]) -> np.ndarray:
+        """The sorted places of the words that the lexicon holds."""
+        met = self._by_word
+        places = [place for place in map(met.get, words) if place is not None]
+        if len(places) < len(words):
+            for word in words.difference(met):
+                place = self._by_hash.get(term_hash(word))
+                if place is not None:
+                    met[word] = place
+                    places.append(place)
+        out = np.array(places, np.int64)
+        out.sort()
+        return out
+
+    def fingerprint(self, text: str) -> str:
+        own = terms(text)
+        places = self._places(own)
+        if len(places):
+            hashes, levels = self.hashes[places], self.levels[places]
         else:
-            if not len(own):
-                data = text.encode("utf-8", "surrogatepass")
-                own = np.array([xxhash.xxh64_intdigest(data, 1) - (1 << 63)], np.int64)
-            levels = _levels(own)
-        chosen = levels == levels.max(axis=0)
-        return "".join(
-            f"{xxhash.xxh32_intdigest(own[chosen[:, k]].tobytes()):0{DIGITS}x}" for k in range(levels.shape[1])
-        )
+            hashes = np.array(sorted({term_hash(word) for word in own}) or [term_hash(text, 1)], np.int64)
+            levels = _levels(hashes)
+        # The sorted terms of each subset, one subset after the other.
+        subset, term = np.nonzero((levels == levels.max(axis=0)).T)
+        data = hashes[term].tobytes()
+        ends = np.searchsorted(subset, np.arange(SUBSETS), "right") * hashes.itemsize
+        fields, start = [], 0
+        for end in ends.tolist():
+            fields.append(f"{xxhash.xxh32_intdigest(data[start:end]):0{DIGITS}x}")
+            start = end
+        return "".join(fields)
 
 
 def _levels(hashes: np.ndarray) -> np.ndarray:
@@ -232,18 +240,17 @@ def fingerprint_documents(
     columns = ["id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
 
     def compared(batches):
-        words = Lexicon.of(known_terms)
-        known = _Hashes()
+        words = Lexicon(known_terms)
         held = None  # (range, id, text, fingerprint) of the row above
         for batch, texts in _texts(batches, 5):
             rows = []
             ranges, guests = batch.column(0).to_pylist(), batch.column(3).to_pylist()
             for part, guest, doc, text in zip(ranges, guests, batch.column(4).to_pylist(), texts):
-                own = words.fingerprint(text, terms(text, known))
+                own = words.fingerprint(text)
                 if held and held[0] == part:
                     _, above, before, printed = held
                     edited = edited_text(before, text)
-                    changed = words.fingerprint(edited, terms(edited, known))
+                    changed = words.fingerprint(edited)
                     digest = hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest()
                     rows.append(
                         (above, len(before), digest, printed, changed, likeness(printed, changed), likeness(printed, own))
