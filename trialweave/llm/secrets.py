@@ -21,8 +21,10 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -55,14 +57,34 @@ _CLASSES = (
     ("alnum", re.compile(r"[A-Za-z0-9]+")),
     ("base64", re.compile(r"[A-Za-z0-9+/_=-]+")),
 )
-ALLOWED = (
-    re.compile(r"[0-9+/_=-]+"),  # numbers, dates, rulers
-    re.compile(r"[+/_=-]*[A-Za-z]?[a-z]*(?:[+/_=-]+[A-Za-z]?[a-z]*)*"),  # words, also joined
-    re.compile(r"[A-Z+/_=-]+"),  # words in capitals
-    re.compile(r"[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}"),  # unique identifiers
-    re.compile(r"(?:/?[a-z0-9_.-]*[a-z]{3,}[a-z0-9_.-]*)(?:/[a-z0-9_.-]*)+"),  # paths
-    re.compile(r"(?i).*(?:example|sample|placeholder|xxxx).*"),
-)
+# What the allow list looks at, each in one pass over a candidate.
+_NOT_A_NUMBER = re.compile(r"[A-Za-z]")
+_NOT_WORDS = re.compile(r"[0-9]|[A-Za-z][A-Z]")  # a digit, or a capital inside a word
+_NOT_CAPITALS = re.compile(r"[a-z0-9]")
+_IDENTIFIER = re.compile(r"[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}")
+_NOT_A_PATH = re.compile(r"[A-Z+=]")
+_LETTERS = re.compile(r"[a-z]{3}")
+_EXAMPLES = ("example", "sample", "placeholder", "xxxx")
+
+
+def is_path(candidate: str) -> bool:
+    """Lower-case pieces between slashes, at least two, of which the first holds a word."""
+    if _NOT_A_PATH.search(candidate):
+        return False
+    first, slash, _ = candidate.removeprefix("/").partition("/")
+    return bool(slash and _LETTERS.search(first))
+
+
+def allowed(candidate: str) -> bool:
+    """Whether a candidate is harmless. Its length enters the time once, whatever it holds."""
+    return bool(
+        not _NOT_A_NUMBER.search(candidate)  # numbers, dates, rulers
+        or not _NOT_WORDS.search(candidate)  # words, also joined
+        or not _NOT_CAPITALS.search(candidate)  # words in capitals
+        or _IDENTIFIER.fullmatch(candidate)
+        or is_path(candidate)
+        or any(word in candidate.lower() for word in _EXAMPLES)
+    )
 
 
 def assigned(text: str) -> list[tuple[int, int]]:
@@ -102,7 +124,7 @@ def entropy_spans(text: str) -> list[tuple[int, int]]:
     found = []
     for match in CANDIDATE.finditer(text):
         candidate = match.group()
-        if any(pattern.fullmatch(candidate) for pattern in ALLOWED):
+        if allowed(candidate):
             continue
         limit = next(LIMITS[name] for name, pattern in _CLASSES if pattern.fullmatch(candidate))
         start = end = -1
@@ -122,11 +144,14 @@ def entropy_spans(text: str) -> list[tuple[int, int]]:
 def all_spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """Base spans, and base and entropy spans together."""
     base = base_spans(text)
-    more = [
-        (start, 3, end)
-        for start, end in entropy_spans(text)
-        if not any(a <= start and end <= b for a, _, b in base)
-    ]
+    # How far the base spans up to each of them reach.
+    reach = list(accumulate((end for _, _, end in base), max))
+    starts = [start for start, _, _ in base]
+    more = []
+    for start, end in entropy_spans(text):
+        before = bisect_right(starts, start)
+        if not before or reach[before - 1] < end:
+            more.append((start, 3, end))
     return base, sorted(base + more)
 
 
