@@ -7,6 +7,7 @@ import json
 from pathlib import Path
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from trialweave import schemas
@@ -273,63 +274,265 @@ def test_sync_that_dies_before_clearing_is_repeated(spark, tmp_path, monkeypatch
     assert counts(history.read_daily_activity(spark, target)) == [("2024-01-05", "A", 1)]
 
 
-class _Table:
-    """A staging table that is read and emptied through two functions."""
+class _Database:
+    """Relational tables as lists of rows: only what reads, writes and deletes is swapped."""
 
     def __init__(self, spark, monkeypatch):
-        self.spark, self.rows = spark, []
-        monkeypatch.setattr(jdbc, "read_jdbc_activity", lambda *a, **k: self.frame())
-        monkeypatch.setattr(jdbc, "clear_jdbc_table", lambda *a, **k: self.rows.clear())
-
-    def frame(self):
-        parts = [
-            activity(self.spark, row).withColumn("batch_id", F.lit(batch).cast("long"))
-            .withColumn("staged_at", F.timestamp_seconds(F.lit(at)))
-            for at, batch, row in self.rows]
-        out = self.spark.createDataFrame([], jdbc.STAGED)
-        for part in parts:
-            out = out.unionByName(part)
-        return out
-
-
-def test_relational_staging_is_read_once_and_emptied(spark, tmp_path, monkeypatch):
-    stage, target = str(tmp_path / "stage"), str(tmp_path / "history")
-    table = _Table(spark, monkeypatch)
-    sync = lambda mode="skip_date": history.sync_relational(spark, "jdbc:x", stage, target, mode)
-    assert sync().status == "empty"
+        self.spark, self.tables, self.landing = spark, {}, []
+        monkeypatch.setattr(jdbc, "append_jdbc", self.append)
+        monkeypatch.setattr(jdbc, "read_jdbc", self.read)
+        monkeypatch.setattr(jdbc, "delete_jdbc_batches", self.delete)
+        self.write = jdbc.jdbc_writer("jdbc:x")
+
+    def append(self, rows, url, table, **options):
+        self.tables.setdefault(table, []).extend(rows.collect())
+
+    def read(self, spark, url, table, schema, **options):
+        return self.spark.createDataFrame(self.tables.get(table, []), schema)
+
+    def delete(self, spark, url, keys, table=jdbc.TABLE, **options):
+        for land in self.landing:  # what comes between reading and clearing
+            land()
+        self.landing = []
+        for name in (jdbc.ledger_of(table), table):
+            self.tables[name] = [row for row in self.tables.get(name, []) if row.batch_key not in keys]
+
+    def stage(self, batch_id, at, *rows, entries=1, missing=0):
+        """Stage a batch as of a time; without its ledger entry, or without some rows."""
+        frame = activity(self.spark, *rows)
+        if missing:
+            frame = frame.limit(len(rows) - missing)
+        before = {row.batch_key for row in self.rows}
+        self.write(frame, batch_id)
+        stamp = dt.datetime.fromtimestamp(at, dt.timezone.utc).replace(tzinfo=None)
+        for table in (jdbc.TABLE, jdbc.ledger_of(jdbc.TABLE)):
+            out = []
+            for row in self.tables[table]:
+                fresh = row.batch_key not in before and row.batch_id == batch_id
+                row = row.asDict()
+                if fresh:
+                    row["staged_at"] = stamp
+                    if missing and "row_count" in row:
+                        row["row_count"] = len(rows)
+                    if not entries and "row_count" in row:
+                        continue
+                out.append(Row(**row))
+            self.tables[table] = out
+        return [row.batch_key for row in self.rows if row.batch_key not in before][0]
+
+    def enter(self, key, rows):
+        """The ledger entry that completes a half-written batch."""
+        one = next(row for row in self.rows if row.batch_key == key)
+        self.tables[jdbc.ledger_of(jdbc.TABLE)].append(
+            Row(batch_key=key, batch_id=one.batch_id, staged_at=one.staged_at, row_count=rows))
+
+    @property
+    def rows(self):
+        return self.tables.get(jdbc.TABLE, [])
+
+
+@pytest.fixture
+def database(spark, monkeypatch):
+    return _Database(spark, monkeypatch)
+
+
+def _sync(spark, tmp_path, mode="skip_date"):
+    return history.sync_relational(spark, "jdbc:x", str(tmp_path / "stage"), str(tmp_path / "history"), mode)
+
+
+def _history(spark, tmp_path):
+    return counts(history.read_daily_activity(spark, str(tmp_path / "history")))
+
+
+def test_relational_staging_is_read_once_and_emptied(spark, tmp_path, database):
+    assert _sync(spark, tmp_path).status == "empty"
     # A batch, its replay, and newer totals of a later run with the same batch number.
     old, new = ("2024-01-05", "A", 3), ("2024-01-05", "A", 9)
-    table.rows = [(100, 0, new), (50, 0, old), (60, 0, old), (100, 1, ("2024-01-06", "A", 1))]
-    result = sync()
+    for batch, at, row in ((0, 100, new), (0, 50, old), (0, 60, old), (1, 100, ("2024-01-06", "A", 1))):
+        database.stage(batch, at, row)
+    result = _sync(spark, tmp_path)
     assert (result.status, result.rows_read, result.rows_appended) == ("appended", 2, 2)
-    assert table.rows == []
-    assert counts(history.read_daily_activity(spark, target)) == [new, ("2024-01-06", "A", 1)]
-    table.rows = [(200, 0, ("2024-01-06", "B", 4)), (200, 0, ("2024-01-05", "B", 4))]
-    result = sync()
-    assert (result.status, result.rows_skipped, table.rows) == ("nothing_new", 2, [])
+    assert not database.rows and not database.tables[jdbc.ledger_of(jdbc.TABLE)]
+    assert _history(spark, tmp_path) == [new, ("2024-01-06", "A", 1)]
+    database.stage(0, 200, ("2024-01-06", "B", 4), ("2024-01-05", "B", 4))
+    result = _sync(spark, tmp_path)
+    assert (result.status, result.rows_skipped, database.rows) == ("nothing_new", 2, [])
     # The report outlives the emptied table.
     assert [r[0].isoformat() for r in result.skipped.collect()] == ["2024-01-05", "2024-01-06"]
-    assert sync().status == "empty"
+    assert _sync(spark, tmp_path).status == "empty"
 
 
-def test_relational_rows_that_arrive_later_stay(spark, tmp_path, monkeypatch):
-    stage, target = str(tmp_path / "stage"), str(tmp_path / "history")
-    table = _Table(spark, monkeypatch)
-    table.rows = [(100, 0, ("2024-01-05", "A", 1))]
-    append = history.append_activity
+def test_relational_rows_that_land_during_a_sync_stay(spark, tmp_path, database):
+    """A half-written batch and one stamped earlier come between the reading and the clearing."""
+    database.stage(0, 100, ("2024-01-05", "A", 1))
+    half = []
+    database.landing = [
+        lambda: half.append(database.stage(1, 100, ("2024-01-07", "A", 2), ("2024-01-07", "B", 3), entries=0)),
+        lambda: database.stage(2, 40, ("2024-01-04", "A", 4)),
+    ]
+    assert _sync(spark, tmp_path).rows_appended == 1
+    assert len(database.rows) == 3
+    # The half-written batch stays unread until its writer has entered it.
+    assert _sync(spark, tmp_path).rows_appended == 1
+    assert [row.batch_key for row in database.rows] == half * 2
+    assert _sync(spark, tmp_path).status == "empty"
+    database.enter(half[0], 2)
+    assert _sync(spark, tmp_path).rows_appended == 2
+    assert database.rows == []
+    assert _history(spark, tmp_path) == [
+        ("2024-01-04", "A", 4), ("2024-01-05", "A", 1), ("2024-01-07", "A", 2), ("2024-01-07", "B", 3)]
+
+
+def test_relational_batch_with_rows_missing_waits(spark, tmp_path, database):
+    database.stage(0, 10, ("2024-01-05", "A", 1), ("2024-01-05", "B", 2), missing=1)
+    assert _sync(spark, tmp_path).status == "empty"
+    assert len(database.rows) == 1
+    late = database.rows[0].asDict() | {"therapeutic_area": "Z"}
+    database.rows.append(Row(**late))
+    assert _sync(spark, tmp_path).rows_appended == 2 and not database.rows
+
+
+def test_relational_rows_inserted_twice_count_once(spark, tmp_path, database):
+    database.stage(0, 10, ("2024-01-05", "A", 1), ("2024-01-05", None, 2))
+    database.rows.append(database.rows[0])
+    assert _sync(spark, tmp_path).rows_appended == 2
+    assert _history(spark, tmp_path) == [("2024-01-05", "A", 1), ("2024-01-05", None, 2)]
+
+
+def test_relational_sync_that_dies_before_deleting_is_repeated(spark, tmp_path, database, monkeypatch):
+    database.stage(0, 10, ("2024-01-05", "A", 1))
+    with monkeypatch.context() as patch:
+        patch.setattr(jdbc, "delete_jdbc_batches", lambda *a, **k: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            _sync(spark, tmp_path)
+    assert len(database.rows) == 1
+    database.stage(1, 11, ("2024-01-06", "A", 1))
+    # Merged batches are not read again, only deleted.
+    assert _sync(spark, tmp_path).rows_read == 1
+    assert database.rows == [] and not (tmp_path / "stage" / "merged").exists()
+    assert _history(spark, tmp_path) == [("2024-01-05", "A", 1), ("2024-01-06", "A", 1)]
+
+
+def test_relational_totals_that_come_late_replace_no_newer_ones(spark, tmp_path, database):
+    database.stage(0, 100, ("2024-01-05", "A", 9))
+    _sync(spark, tmp_path, "upsert")
+    database.stage(0, 50, ("2024-01-05", "A", 3), ("2024-01-05", "B", 1))
+    assert _sync(spark, tmp_path, "upsert").status == "appended"
+    assert _history(spark, tmp_path) == [("2024-01-05", "A", 9), ("2024-01-05", "B", 1)]
+    database.stage(0, 200, ("2024-01-05", "A", 8))
+    _sync(spark, tmp_path, "upsert")
+    assert _history(spark, tmp_path) == [("2024-01-05", "A", 8), ("2024-01-05", "B", 1)]
+
+
+def test_relational_batch_without_rows_is_cleared(spark, tmp_path, database):
+    database.write(activity(spark, ("2024-01-05", "A", 1)).limit(0), 3)
+    assert [row.row_count for row in database.tables[jdbc.ledger_of(jdbc.TABLE)]] == [0]
+    assert _sync(spark, tmp_path).status == "empty"
+    assert not database.tables[jdbc.ledger_of(jdbc.TABLE)]
+
+
+def test_relational_writer_that_died_leaves_an_unfinished_batch(spark, tmp_path, database):
+    died = database.stage(0, 10, ("2024-01-05", "A", 1), entries=0)
+    database.stage(0, 20, ("2024-01-05", "A", 1))
+    staged = database.read(spark, "", jdbc.TABLE, jdbc.STAGED)
+    ledger = database.read(spark, "", jdbc.ledger_of(jdbc.TABLE), jdbc.LEDGER)
+    at = lambda s: dt.datetime.fromtimestamp(s, dt.timezone.utc)
+    assert jdbc.unfinished_batches(staged, ledger, at(10)).collect() == []
+    assert [r[0] for r in jdbc.unfinished_batches(staged, ledger, at(30)).collect()] == [died]
+    _sync(spark, tmp_path)
+    assert [row.batch_key for row in database.rows] == [died]
+
+
+def test_relational_stream_goes_through_the_ledger(spark, tmp_path, database):
+    source = str(tmp_path / "queue")
+    publish(event_frame(spark, event("2024-01-05"), event("2024-01-06", area="Asthma")), source)
+    pulse_stream.pulse_from_messages(spark, str(tmp_path / "run"), write=database.write, path=source)
+    assert {row.row_count for row in database.tables[jdbc.ledger_of(jdbc.TABLE)]} <= {0, 2}
+    assert _sync(spark, tmp_path).rows_appended == 2 and not database.rows
+    assert _history(spark, tmp_path) == [("2024-01-05", "Oncology", 1), ("2024-01-06", "Asthma", 1)]
+
+
+# --- months of the history ---------------------------------------------------------------------
+
+
+def test_files_of_the_history_do_not_grow_with_upserts(spark, tmp_path):
+    days = ["2024-01-05", "2024-01-06", "2024-02-01", "2024-03-31"]
+    target = str(tmp_path)
+    for n in range(8):
+        rows = [(day, area, n) for day in days for area in "AB"] + [(days[0], f"late {n}", 1)]
+        history.merge_activity(spark, activity(spark, *rows), target, "upsert")
+    files = set(tmp_path.rglob("*.parquet"))
+    assert len(files) == 6 and not list(tmp_path.glob("_incoming*"))
+    now = history.read_daily_activity(spark, target)
+    assert len(now.inputFiles()) == 3
+    assert counts(now) == sorted(
+        [(d, a, 7) for d in days for a in "AB"] + [(days[0], f"late {n}", 1) for n in range(8)])
+    # A load of one month leaves the files of the others alone.
+    others = {f for f in files if "=2024-01" not in str(f)}
+    history.append_activity(activity(spark, (days[0], "C", 1)), target)
+    assert others == {f for f in tmp_path.rglob("*.parquet") if "=2024-01" not in str(f)}
+
+
+def test_load_that_is_cut_short_leaves_whole_months(spark, tmp_path, monkeypatch):
+    days = [f"2024-0{m}-01" for m in range(1, 5)]
+    target = str(tmp_path)
+    load = lambda n: history.append_activity(
+        activity(spark, *[(day, area, n) for day in days for area in "AB"]), target)
+    load(1)
+    move, moved = history.move_folder, []
+
+    def dies(*args):
+        moved.append(args)
+        if len(moved) == 3:
+            raise OSError("lost")
+        move(*args)
 
-    def append_while_staging(*args):
-        append(*args)
-        table.rows.append((101, 0, ("2024-01-07", "A", 2)))
+    with monkeypatch.context() as patch:
+        patch.setattr(history, "move_folder", dies)
+        with pytest.raises(OSError):
+            load(2)
+    got = counts(history.read_daily_activity(spark, target))
+    assert got == sorted((day, area, 2 if i < 2 else 1) for i, day in enumerate(days) for area in "AB")
+    load(2)
+    assert counts(history.read_daily_activity(spark, target)) == [(day, area, 2) for day in days for area in "AB"]
+
+
+def test_of_two_loads_of_one_month_none_is_lost(spark, tmp_path, monkeypatch):
+    """The second to finish finds its number taken, fails, and can be repeated."""
+    target = str(tmp_path)
+    history.append_activity(activity(spark, ("2024-01-05", "A", 1)), target)
+    move, others = history.move_folder, [("2024-01-07", "C", 3)]
+
+    def overtaken(*args):
+        if others:
+            history.append_activity(activity(spark, others.pop()), target)
+        move(*args)
 
     with monkeypatch.context() as patch:
-        patch.setattr(history, "append_activity", append_while_staging)
-        history.sync_relational(spark, "jdbc:x", stage, target)
-    assert len(table.rows) == 2
-    result = history.sync_relational(spark, "jdbc:x", stage, target)
-    assert (result.rows_read, result.rows_appended, table.rows) == (1, 1, [])
+        patch.setattr(history, "move_folder", overtaken)
+        with pytest.raises(OSError):
+            history.append_activity(activity(spark, ("2024-01-06", "B", 2)), target)
+    history.append_activity(activity(spark, ("2024-01-06", "B", 2)), target)
     assert counts(history.read_daily_activity(spark, target)) == [
-        ("2024-01-05", "A", 1), ("2024-01-07", "A", 2)]
+        ("2024-01-05", "A", 1), ("2024-01-06", "B", 2), ("2024-01-07", "C", 3)]
+
+
+def test_reader_that_has_begun_outlives_a_load(spark, tmp_path):
+    target = str(tmp_path)
+    history.append_activity(activity(spark, ("2024-01-05", "A", 1)), target)
+    begun = history.read_daily_activity(spark, target)
+    history.append_activity(activity(spark, ("2024-01-05", "A", 2)), target)
+    assert counts(begun) == [("2024-01-05", "A", 1)]
+    assert counts(history.read_daily_activity(spark, target)) == [("2024-01-05", "A", 2)]
+
+
+def test_rows_without_a_window_have_a_month_of_their_own(spark, tmp_path):
+    nowhere = activity(spark, ("2024-01-05", "A", 1)).withColumn("window_start", F.lit(None).cast("timestamp"))
+    for n in (1, 2):
+        rows = nowhere.withColumn("update_count", F.lit(n).cast("long"))
+        history.append_activity(rows.unionByName(activity(spark, ("2024-01-05", "A", n))), str(tmp_path))
+    rows = history.read_daily_activity(spark, str(tmp_path)).collect()
+    assert sorted((r.window_start is None, r.update_count) for r in rows) == [(False, 2), (True, 2)]
 
 
 def test_two_rows_of_one_window_give_one_result(spark, tmp_path):

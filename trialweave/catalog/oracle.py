@@ -353,6 +353,9 @@ SELECT * FROM known UNION ALL
 SELECT * FROM activity
 WHERE window_start::DATE NOT IN (SELECT window_start::DATE FROM known)"""),
     "sync_upsert": _with(_ACTIVITY, "SELECT * FROM activity"),
+    "sync_repeated_upserts": _with(_ACTIVITY, """
+SELECT * REPLACE (update_count + CASE WHEN day(window_start) % 2 = 0 THEN 1 ELSE 0 END AS update_count)
+FROM activity"""),
     "new_day_rows": _with(_KNOWN, """
 SELECT * FROM activity
 WHERE window_start::DATE NOT IN (SELECT window_start::DATE FROM known)"""),

@@ -362,6 +362,22 @@ def sync_upsert(spark, sf_dir):
     return _synced(spark, sf_dir, "upsert")
 
 
+@query
+def sync_repeated_upserts(spark, sf_dir):
+    """Six upserts of the same days: first smaller totals, then all, then a correction of even days."""
+    stage, history = scratch_path(spark, "staging"), scratch_path(spark, "history")
+    activity = _activity(spark, sf_dir)
+
+    def with_updates(more):
+        return activity.withColumn("update_count", F.col("update_count") + more)
+
+    corrected = with_updates(1).filter(F.dayofmonth("window_start") % 2 == 0)
+    for batch, rows in enumerate([*(with_updates(less) for less in (-4, -3, -2, -1)), activity, corrected]):
+        write_changes(rows, stage, batch)
+        sync_new_dates(spark, stage, history, "upsert")
+    return read_daily_activity(spark, history)
+
+
 @query
 def merge_duplicate_versions(spark, sf_dir):
     """Two staged versions of some windows: the one with more updates counts."""

@@ -12,7 +12,7 @@ from trialweave.functions.scalars import timestamp_or_null
 from trialweave.operators.pulse import daily_pulse
 from trialweave.plans.marts import activity_trends
 from trialweave.plans.staging import stg_daily_activity
-from trialweave.session import remove_folder
+from trialweave.session import folders, remove_folder
 from trialweave.sinks import jdbc
 from trialweave.sinks.messages import TOPIC, publish
 from trialweave.sinks.tables import write_trends
@@ -135,11 +135,6 @@ def _refreshed(spark: SparkSession, result: SyncResult, warehouse: str) -> SyncR
 def remove_old_stages(spark: SparkSession, warehouse: str) -> None:
     """Remove what daily runs and backfills that died have staged; only when none is running."""
     for kind in ("event_date=*", "relational"):
-        for folder in _folders(spark, f"{warehouse}/staging/{kind}/run-*"):
+        for folder in folders(spark, f"{warehouse}/staging/{kind}/run-*"):
             remove_folder(spark, folder)
 
-
-def _folders(spark: SparkSession, pattern: str) -> list[str]:
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
-    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return [status.getPath().toString() for status in system.globStatus(path) or ()]

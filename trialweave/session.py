@@ -49,6 +49,22 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def folders(spark: SparkSession, pattern: str) -> list[str]:
+    """The folders (and files) a glob pattern names, on whatever file system it is."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(status.getPath().toString() for status in system.globStatus(path) or ())
+
+
+def move_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder; the parent of the new name is made, the new name must be free."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    system = path(source).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.mkdirs(path(target).getParent())
+    if system.exists(path(target)) or not system.rename(path(source), path(target)):
+        raise OSError(f"cannot move {source} to {target}")
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder, on whatever file system it is; a missing one is fine."""
     jvm = spark.sparkContext._jvm

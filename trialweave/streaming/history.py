@@ -1,4 +1,13 @@
-"""The append-only activity history and its sync from the staging area."""
+"""The activity history and its sync from the staging area.
+
+The history is a folder per month and, below it, per load: ``activity_month=M/load=N``. A load holds the
+*whole* month, merged from what was there and what came, and only the newest load of a month counts. So
+reading takes as many files as there are months, however often a day is loaded, and a month changes at once:
+its new folder is written aside and renamed. A load that is cut short leaves every month as it was or as it
+should be. Of two loads of one month at the same time the second fails, as the number it would take is taken,
+and can be repeated. The load before the newest stays until the next one, for readers that have begun; older
+ones go.
+"""
 
 from __future__ import annotations
 
@@ -18,6 +27,7 @@ from trialweave.operators.merge import (
     skipped_days,
     sync_report,
 )
+from trialweave.session import folders, move_folder, remove_folder
 from trialweave.sinks import jdbc
 from trialweave.sources.tables import read_table_or_empty
 from trialweave.streaming.staging import last_batch, mark_synced, staged_activity, synced_batch
@@ -25,7 +35,7 @@ from trialweave.streaming.staging import last_batch, mark_synced, staged_activit
 _HISTORY = T.StructType(
     [*schemas.DAILY_ACTIVITY.fields, T.StructField("loaded_at", T.TimestampType())]
 )
-_MERGED = T.StructType([T.StructField("staged_at", T.TimestampType())])
+_MERGED = T.StructType([T.StructField("batch_key", T.StringType())])
 MODES = ("skip_date", "upsert")
 
 
@@ -38,29 +48,60 @@ class SyncResult:
     rows_appended: int = 0
 
 
-def _rows(spark: SparkSession, path: str) -> DataFrame:
-    return read_table_or_empty(spark, path, _HISTORY)
+def _newest_loads(spark: SparkSession, path: str, month: str = "activity_month=*") -> dict[str, list[int]]:
+    """The numbers of a month's loads, rising, by the name of its folder."""
+    loads: dict[str, list[int]] = {}
+    for folder in folders(spark, f"{path}/{month}/load=*"):
+        *_, name, load = folder.split("/")
+        loads.setdefault(name, []).append(int(load.partition("=")[2]))
+    return {name: sorted(numbers) for name, numbers in loads.items()}
+
+
+def _rows(spark: SparkSession, path: str, loads: dict[str, list[int]] | None = None) -> DataFrame:
+    """The rows of the newest load of every month (or of the given ones), one per window and area."""
+    loads = _newest_loads(spark, path) if loads is None else loads
+    newest = [f"{path}/{month}/load={numbers[-1]}" for month, numbers in loads.items()]
+    if not newest:
+        return spark.createDataFrame([], _HISTORY)
+    return spark.read.schema(_HISTORY).parquet(*newest)
 
 
 def read_daily_activity(spark: SparkSession, path: str) -> DataFrame:
-    """The history: the newest version of every window and area, no rows before the first load."""
-    newest = latest_rows(_rows(spark, path), ACTIVITY_KEY, "loaded_at")
-    return schemas.conform(newest, schemas.DAILY_ACTIVITY)
+    """The history: one row per window and area, no rows before the first load."""
+    return schemas.conform(_rows(spark, path), schemas.DAILY_ACTIVITY)
 
 
 def append_activity(activity: DataFrame, path: str) -> None:
-    """Append rows with their load time.
+    """Bring rows into the months they belong to; other months are not touched.
 
-    The rows of a day (one per area) go to the same file, and files become visible one by one. A
-    load that is cut short therefore leaves whole days, and the repeated load adds the others.
+    Of several versions of a window and area the newest counts. A row's version is its ``loaded_at``, or
+    the time of this load where the rows have no such column.
     """
-    (
-        schemas.conform(activity, schemas.DAILY_ACTIVITY)
-        .withColumn("loaded_at", F.current_timestamp())
-        .repartition(F.to_date("window_start"))
-        .write.mode("append")
-        .parquet(path)
-    )
+    spark = activity.sparkSession
+    if "loaded_at" not in activity.columns:
+        activity = activity.withColumn("loaded_at", F.current_timestamp())
+    aside = f"{path}/_incoming-{uuid.uuid4().hex}"
+    _write_months(schemas.conform(activity, _HISTORY), f"{aside}/came")
+    months = [folder.rsplit("/", 1)[1] for folder in folders(spark, f"{aside}/came/activity_month=*")]
+    loads = {month: _newest_loads(spark, path, month).get(month, []) for month in months}
+    known = {month: numbers for month, numbers in loads.items() if numbers}
+    if known:
+        came = spark.read.schema(_HISTORY).parquet(*[f"{aside}/came/{month}" for month in known])
+        _write_months(_rows(spark, path, known).unionByName(came), f"{aside}/whole")
+    for month, numbers in loads.items():
+        whole = f"{aside}/{'whole' if numbers else 'came'}/{month}"
+        move_folder(spark, whole, f"{path}/{month}/load={numbers[-1] + 1 if numbers else 0}")
+        for old in numbers[:-1]:
+            remove_folder(spark, f"{path}/{month}/load={old}")
+    remove_folder(spark, aside)
+
+
+def _write_months(rows: DataFrame, path: str) -> None:
+    """The newest version of every window and area, a file per month."""
+    newest = latest_rows(rows.withColumn("version", F.col("loaded_at")), ACTIVITY_KEY, "version")
+    month = F.date_format("window_start", "yyyy-MM")
+    newest = schemas.conform(newest, _HISTORY).withColumn("activity_month", month)
+    newest.repartition("activity_month").write.partitionBy("activity_month").parquet(path)
 
 
 def merge_activity(
@@ -68,7 +109,7 @@ def merge_activity(
 ) -> SyncResult:
     """Bring activity rows, stored ones as they are read more than once, into the history.
 
-    ``skip_date`` appends only days the history lacks. ``upsert`` appends every row as a newer
+    ``skip_date`` appends only days the history lacks. ``upsert`` brings every row in as a newer
     version, so a late area of a known day is kept. Of several rows of a window and area the one
     with most updates counts.
     """
@@ -112,37 +153,51 @@ def sync_relational(
     table: str = jdbc.TABLE,
     **options: str,
 ) -> SyncResult:
-    """:func:`sync_new_dates` from a relational staging table, which is emptied afterwards.
+    """:func:`sync_new_dates` from a relational staging table.
+
+    Only micro-batches that the ledger names and whose rows are all there are merged, and only those are
+    deleted (see ``sinks.jdbc``). Rows that land at any moment of a sync stay for a later one, whatever
+    time they bear. They keep that time as their version, so that totals which arrive late never replace
+    newer ones in the history.
 
-    The table is read once, into a folder below ``staging``; merging and the report work on that
-    copy, so they outlive the clearing. ``staging`` also records up to which time of staging rows
-    have been merged: later syncs read only newer rows. The table is emptied only if it holds
-    nothing newer, else its old rows stay, unread, until a sync finds nothing newer. A writer must
-    not insert between that look and the emptying; runs write before they sync.
+    The tables are read once, into a folder below ``staging``; merging and the report work on that copy.
+    ``staging`` also records which batches have been merged, until they are deleted: a sync that dies in
+    between is repeated without reading them again. One sync runs at a time, writers at any time.
     """
     _require_known(mode)
-    mark = _last_merged(spark, staging)
-    staged = jdbc.read_jdbc_activity(spark, url, table, **options)
+    merged = [row["batch_key"] for row in _merged(spark, staging).collect()]
     copy = f"{staging}/relational/run-{uuid.uuid4().hex}"
-    staged.filter(F.col("staged_at") > mark if mark is not None else F.lit(True)).write.parquet(copy)
-    rows = spark.read.schema(jdbc.STAGED).parquet(copy)
-    newest = rows.agg(F.max("staged_at").alias("staged_at")).first().staged_at
-    if newest is None:
-        return SyncResult("empty")
-    version = F.struct("staged_at", "batch_id")
-    versions = rows.withColumn("version", version).drop("staged_at", "batch_id")
-    result = merge_activity(spark, latest_rows(versions, ACTIVITY_KEY, "version"), target, mode)
-    merged = spark.createDataFrame([(newest,)], _MERGED)
-    merged.coalesce(1).write.mode("append").parquet(f"{staging}/merged")
-    later = jdbc.read_jdbc_activity(spark, url, table, **options).filter(F.col("staged_at") > newest)
-    if later.isEmpty():
-        jdbc.clear_jdbc_table(staged, url, table, **options)
+    # The ledger first: the rows of every batch it names then have been committed.
+    ledger = jdbc.read_jdbc(spark, url, jdbc.ledger_of(table), jdbc.LEDGER, **options)
+    ledger = _copied(ledger.join(_merged(spark, staging), "batch_key", "left_anti"), f"{copy}/ledger")
+    staged = jdbc.read_jdbc(spark, url, table, jdbc.STAGED, **options)
+    staged = _copied(staged.join(ledger, "batch_key", "left_semi"), f"{copy}/rows")
+    complete = jdbc.complete_batches(staged, ledger).select("batch_key")
+    rows = staged.join(complete, "batch_key", "left_semi").drop("batch_key")
+    result = SyncResult("empty")
+    if not rows.isEmpty():
+        versions = rows.withColumns(
+            {"version": F.struct("staged_at", "batch_id"), "loaded_at": F.col("staged_at")}
+        ).drop("staged_at", "batch_id")
+        result = merge_activity(spark, latest_rows(versions, ACTIVITY_KEY, "version"), target, mode)
+    # One row per micro-batch since the last sync.
+    done = [row["batch_key"] for row in complete.collect()]
+    if done:
+        complete.coalesce(1).write.mode("append").parquet(f"{staging}/merged")
+    if merged or done:
+        jdbc.delete_jdbc_batches(spark, url, [*merged, *done], table, **options)
+        remove_folder(spark, f"{staging}/merged")
     return result
 
 
-def _last_merged(spark: SparkSession, staging: str):
-    marks = read_table_or_empty(spark, f"{staging}/merged", _MERGED)
-    return marks.agg(F.max("staged_at").alias("staged_at")).first().staged_at
+def _merged(spark: SparkSession, staging: str) -> DataFrame:
+    """Batches the history holds although they may not be deleted yet."""
+    return read_table_or_empty(spark, f"{staging}/merged", _MERGED)
+
+
+def _copied(rows: DataFrame, path: str) -> DataFrame:
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 def _require_known(mode: str) -> None:
