@@ -118,16 +118,73 @@ def test_split_reader_refuses_what_it_cannot_be_sure_of(spark, tmp_path, lines,
 
 
 @pytest.mark.parametrize("close", ["", 'Z|y"\n'])
-def test_a_lost_quote_is_refused_before_its_record_is_put_together(spark, tmp_path, monkeypatch, close):
-    monkeypatch.setattr(delimited, "MAX_RECORD_CHARS", 5_000)
+def test_a_lost_quote_is_refused_before_its_record_is_put_together(spark, tmp_path, close):
     clean = "".join(f"{i}|clean\n" for i in range(20_000))
     (tmp_path / "t.txt").write_text(f'id|t\nA|"lost\n{clean}{close}')
     own = configure(spark.newSession())
     for size in ("1MB", "2000"):
         own.conf.set("spark.sql.files.maxPartitionBytes", size)
         own.conf.set("spark.sql.files.openCostInBytes", "0")
-        with pytest.raises(Exception, match="record too long|file ends inside"):
-            delimited.read_delimited_split(own, str(tmp_path)).collect()
+        with pytest.raises(ValueError, match="record too long" if close else "file ends inside"):
+            delimited.read_delimited_split(own, str(tmp_path), max_record_chars=5_000)
+        if close:
+            # Without the limit the record is as long as it is, however the file is cut.
+            whole, split = _both_readers(own, tmp_path)
+            assert split == whole and len(whole) == 1
+
+
+def test_the_limit_counts_whole_records(spark, tmp_path):
+    """The longest record has 28 characters with the end of its last line, wherever splits begin."""
+    (tmp_path / "t.txt").write_text('id|t\nA|"' + "x\n" * 11 + 'y"\nB|z\nC|"p\nq"\n')
+    own = configure(spark.newSession())
+    own.conf.set("spark.sql.files.openCostInBytes", "0")
+    for size in (3, 7, 20, 1000):
+        own.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+        assert delimited.read_delimited_split(own, str(tmp_path), max_record_chars=28).count() == 3
+        with pytest.raises(ValueError, match="record too long"):
+            delimited.read_delimited_split(own, str(tmp_path), max_record_chars=27)
+
+
+def test_a_header_may_span_splits(spark, tmp_path):
+    (tmp_path / "t.txt").write_text('id|"a\nlong\nname"\nA|"x\ny"\n')
+    own = configure(spark.newSession())
+    own.conf.set("spark.sql.files.openCostInBytes", "0")
+    for size in (4, 9, 18, 100):
+        own.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+        out = delimited.read_delimited_split(own, str(tmp_path))
+        assert out.columns == ["id", "a\nlong\nname"] and [tuple(r) for r in out.collect()] == [("A", "x\ny")]
+
+
+def test_lines_of_a_record_stay_in_their_split(spark, tmp_path):
+    """Text in one split has no shuffle at all; text in many shuffles only what spans splits."""
+    rows = "".join(f'{i}|"two\nlines {i}"\n' for i in range(3_000))
+    (tmp_path / "t.txt").write_text("id|t\n" + rows)
+    own = configure(spark.newSession())
+    own.conf.set("spark.sql.files.openCostInBytes", "0")
+    own.conf.set("spark.sql.files.minPartitionNum", "1")
+    own.conf.set("spark.sql.files.maxPartitionBytes", "1g")
+    one = delimited.read_delimited_split(own, str(tmp_path))
+    assert "Exchange" not in one._jdf.queryExecution().executedPlan().toString()
+    own.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+    many = delimited.read_delimited_split(own, str(tmp_path))
+    assert sorted(map(tuple, many.collect())) == sorted((str(i), f"two\nlines {i}") for i in range(3_000))
+    plan = many._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Exchange hashpartitioning") == 1
+    spanning = delimited._settled(
+        delimited._lines(own.read.text(str(tmp_path), lineSep="\n")).mapInArrow(
+            delimited._summaries, delimited._SUMMARY).collect(), None).values()
+    assert 5 < sum(s.tail > 0 for s in spanning) <= len(spanning)
+
+
+def test_splits_that_change_after_the_look_are_noticed(spark, tmp_path):
+    (tmp_path / "t.txt").write_text("id|t\n" + "".join(f'{i}|"a\nb"\n' for i in range(50)))
+    own = configure(spark.newSession())
+    own.conf.set("spark.sql.files.openCostInBytes", "0")
+    own.conf.set("spark.sql.files.maxPartitionBytes", "100")
+    out = delimited.read_delimited_split(own, str(tmp_path))
+    own.conf.set("spark.sql.files.maxPartitionBytes", "70")
+    with pytest.raises(Exception, match="splits have changed"):
+        out.collect()
 
 
 def test_split_reader_takes_long_fields(spark, tmp_path):

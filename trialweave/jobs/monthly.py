@@ -14,6 +14,7 @@ def main() -> None:
     parser.add_argument("--warehouse", required=True)
     parser.add_argument("--date", help="snapshot date, today by default")
     parser.add_argument("--whole-files", action="store_true", help="read a file per task")
+    parser.add_argument("--max-record-chars", type=int, help="refuse longer records: a lost quote")
     parser.add_argument("--normalize", action="store_true", help="match statuses in any case")
     args = parser.parse_args()
     count = run_monthly(
@@ -23,6 +24,7 @@ def main() -> None:
         args.date,
         whole_files=args.whole_files,
         normalize=args.normalize,
+        max_record_chars=args.max_record_chars,
     )
     print(f"wrote {count:,} trials")
 

@@ -21,10 +21,11 @@ def run_monthly(
     snapshot_date: str | None = None,
     whole_files: bool = False,
     normalize: bool = False,
+    max_record_chars: int | None = None,
 ) -> int:
     """Rebuild the trial table and its mart, check them, and return the number of trials."""
     folder = resolve_snapshot(spark, snapshots, snapshot_date)
-    land_snapshot(spark, folder, f"{warehouse}/landed", whole_files)
+    land_snapshot(spark, folder, f"{warehouse}/landed", whole_files, max_record_chars)
     studies, sponsors, conditions = read_landed(spark, f"{warehouse}/landed")
     trials = enrich_trials(studies, sponsors, conditions, normalize=normalize)
     count = write_trials(trials, f"{warehouse}/trials")

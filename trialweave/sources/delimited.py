@@ -6,12 +6,17 @@ but at their beginning.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
+from itertools import groupby
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 _DIALECT = {"sep": "|", "nullValue": "", "escape": '"'}
-# A record that is longer has most likely lost a quote.
-MAX_RECORD_CHARS = 10_000_000
 
 _INSIDE = '[^"]*+(?:""[^"]*+)*+'
 _FIELD = f'(?:"{_INSIDE}"|[^"|][^|]*+|)'
@@ -30,18 +35,21 @@ def read_delimited(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.options(header=True, multiLine=True, **_DIALECT).csv(path)
 
 
-def read_delimited_split(spark: SparkSession, path: str) -> DataFrame:
+def read_delimited_split(spark: SparkSession, path: str, max_record_chars: int | None = None) -> DataFrame:
     """The same rows, with every file read in many tasks.
 
     Every line is checked by itself: from either state (between records, inside a quoted field) it is
-    sound or not, and leads to one of them. Each split reports how it maps the state before it to the
-    state behind it, and a running composition over these few numbers settles where every split
-    stands. Then a line that is not sound from its state is refused, as are a file that ends inside a
-    field, a carriage return anywhere but at the end of a record and a record of more than
-    ``MAX_RECORD_CHARS``; refusals come before the lines of a record are put together.
+    sound or not, and leads to one of them. A first pass follows the lines of each split from both states
+    and reports one row per split: where either state leads, and between which lines its first and last
+    record end. Put together in order, these rows settle the state every split begins in. The second pass
+    then joins the lines of a record where they stand; lines cross a shuffle only if their record
+    spans splits. The driver holds the one row per split.
 
-    Lines pass one shuffle, by split, and become the pieces of records there; the pieces pass another
-    one, in which only records that span splits have more than one.
+    Refused are a line that is not sound from its state, a file that ends inside a field and a carriage
+    return anywhere but at the end of a record. A lost quote can also make one long record of many;
+    ``max_record_chars`` refuses records that are longer. The length of every record is known from the first
+    pass, so none is put together before. Without it records may have any length, as in
+    :func:`read_delimited`.
 
     Where every line is a sound record by itself, none can begin inside a field. Spark's reader then
     splits files by itself and gives the same rows, so it is used. That look stops at the first other
@@ -51,149 +59,247 @@ def read_delimited_split(spark: SparkSession, path: str) -> DataFrame:
     alone = ~F.col("value").contains("\r") & (
         ~F.col("value").contains('"') | F.col("value").rlike(_BETWEEN_TO_BETWEEN)
     )
+    if max_record_chars is not None:
+        alone &= F.length("value") < max_record_chars
     if text.filter(~alone).isEmpty():
         return spark.read.options(header=True, **_DIALECT).csv(path)
 
     header = read_delimited(spark, path).columns
-    split = ["file", "start"]
-    in_split = Window.partitionBy(*split).orderBy("seq")
-    before = in_split.rowsBetween(Window.unboundedPreceding, -1)
-    upto = in_split.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    lines = _lines(text)
+    summaries = lines.drop("line").mapInArrow(_summaries, _SUMMARY).collect()
+    splits = _settled(summaries, max_record_chars)
+
+    def whole(batches):
+        return _whole_records(batches, splits)
+
+    def pieces(batches):
+        return _pieces(batches, splits)
+
+    records = lines.drop("chars").mapInArrow(whole, "text string")
+    if any(split.head or split.tail for split in splits.values()):
+        parts = lines.select("file", "start", "line").mapInArrow(
+            pieces, "file long, opener long, start long, n long, line string"
+        )
+        joined = parts.groupBy("file", "opener").agg(
+            F.array_join(F.array_sort(F.collect_list(F.struct("start", "n", "line")))["line"], "\n").alias("text")
+        )
+        records = records.unionByName(joined.select("text"))
+    names = ", ".join("`" + name.replace("`", "``") + "` string" for name in header)
+    parsed = F.from_csv("text", names, {**_DIALECT, "multiLine": "true"})
+    return records.filter(F.col("text") != "").select(parsed.alias("record")).select("record.*")
 
+
+def _lines(text: DataFrame) -> DataFrame:
+    """(file, start, line, chars, between, inside): each line with where it leads from either state, -1 if
+    it is not sound from there. Rows of a split stand together, in order."""
     line = F.col("line")
     plain = ~line.contains('"')
-    lines = text.select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("seq"),
-        F.regexp_replace("value", "\r$", "").alias("line"),
-        F.col("value").endswith("\r").alias("returns"),
-    )
     # A carriage return may only end a record, so a line with one cannot lead into a field.
     clean, stays = ~line.contains("\r"), ~F.col("returns")
-    lines = lines.select(
-        *split, "seq", "line",
+    between = (
         F.when(clean & (plain | line.rlike(_BETWEEN_TO_BETWEEN)), 0)
         .when(clean & stays & line.rlike(_BETWEEN_TO_INSIDE), 1)
-        .alias("from_between"),
+        .otherwise(-1)
+    )
+    inside = (
         F.when(clean & stays & (plain | line.rlike(_INSIDE_TO_INSIDE)), 1)
         .when(clean & line.rlike(_INSIDE_TO_BETWEEN), 0)
-        .alias("from_inside"),
-    )
-    between, inside = F.col("from_between"), F.col("from_inside")
-    lines = lines.select(
-        "*",
-        F.row_number().over(in_split).alias("n"),
-        F.sum(F.length("line") + 1).over(upto).alias("read"),
-        *_steps(between, inside, upto),
+        .otherwise(-1)
     )
-    settled, turns = _state_before(before)
-    lines = lines.withColumn("settled", settled).withColumn("turns", turns)
-    unread = F.col("read") - F.length("line") - 1
-    begin = F.struct("start", "n", unread.alias("at"))
-    lines = lines.select(
-        *split, "seq", "n", "line", between, inside, "read", "settled", "turns",
-        # The record of a line, and the place it began, if the split begins in either state.
-        *[
-            F.last(F.when(_state(s) == 0, begin), True).over(upto).alias(f"record{s}") for s in (0, 1)
-        ],
+    return text.select(
+        F.xxhash64("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.regexp_replace("value", "\r$", "").alias("line"),
+        F.col("value").endswith("\r").alias("returns"),
+    ).select(
+        "file", "start", "line", (F.length("line") + 1).alias("chars"),
+        between.cast("byte").alias("between"), inside.cast("byte").alias("inside"),
     )
 
-    in_file = Window.partitionBy("file").orderBy("start")
-    earlier = in_file.rowsBetween(Window.unboundedPreceding, -1)
-    through = in_file.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    behind = [F.when(_state(s) == 0, between).otherwise(inside) for s in (0, 1)]
-    sums = lines.groupBy(*split).agg(
-        F.max_by(F.struct(*[c.alias(f"behind{s}") for s, c in enumerate(behind)]), "n").alias("end"),
-        # From the lines and not from "read": with the same columns as in the join one shuffle serves both.
-        F.sum(F.length("line") + 1).alias("chars"),
-        *[F.max_by(f"record{s}", "n").alias(f"record{s}") for s in (0, 1)],
-    )
-    sums = sums.select(
-        *split, "chars", "record0", "record1", *_steps(F.col("end.behind0"), F.col("end.behind1"), through),
-        F.coalesce(F.sum("chars").over(earlier), F.lit(0)).alias("position"),
-        F.lead("start").over(in_file).isNull().alias("final"),
-        "end",
-    )
-    settled, turns = _state_before(earlier)
-    sums = sums.withColumn("offset", F.coalesce(settled, turns))
-    own = F.when(F.col("offset") == 0, F.col("record0")).otherwise(F.col("record1"))
-    end = F.when(F.col("offset") == 0, F.col("end.behind0")).otherwise(F.col("end.behind1"))
-    opened = F.when(
-        own.isNotNull(),
-        F.struct(own["start"].alias("start"), own["n"].alias("n"), (F.col("position") + own["at"]).alias("at")),
-    )
-    sums = sums.withColumn("own", opened).select(
-        *split, "offset", "position",
-        F.last("own", True).over(earlier).alias("opened"),
-        (F.col("final") & (end == 1)).alias("cut_off"),
-    )
 
-    state = F.coalesce("settled", (F.col("offset") + F.col("turns")) % 2)
-    own = F.when(F.col("offset") == 0, F.col("record0")).otherwise(F.col("record1"))
-    placed = lines.join(sums, split).select(
-        *split, "n", "line", "opened", "cut_off", "position", "read", own.alias("own"),
-        F.when(state == 0, between).otherwise(inside).alias("after"),
-    )
-    own = F.col("own")
-    length = F.col("read") - F.when(own.isNotNull(), own["at"]).otherwise(F.col("opened.at") - F.col("position"))
-    shown = F.left("line", F.lit(200))
-    checked = placed.select(
-        "file", "start", "n",
-        F.when(own.isNotNull(), F.struct(own["start"].alias("start"), own["n"].alias("n")))
-        .otherwise(F.struct(F.col("opened.start").alias("start"), F.col("opened.n").alias("n")))
-        .alias("record"),
-        F.when(F.col("after").isNull(), _refused("quote or carriage return inside a field", shown))
-        .when(length > MAX_RECORD_CHARS, _refused("record too long, a quote may be missing", shown))
-        .when(F.col("cut_off") & (own["n"] == F.col("n")) & (F.col("after") == 1), _refused("file ends inside a field", shown))
-        .otherwise(F.col("line"))
-        .alias("line"),
-    )
-    pieces = checked.groupBy(*split, "record").agg(
-        F.array_join(
-            F.transform(F.array_sort(F.collect_list(F.struct("n", "line"))), lambda x: x["line"]), "\n"
-        ).alias("text")
-    )
-    records = (
-        pieces.groupBy("file", "record")
-        .agg(F.array_sort(F.collect_list(F.struct("start", "text"))).alias("pieces"))
-        # The first record of a file is its header.
-        .filter((F.col("record.start") > 0) | (F.col("record.n") > 1))
-        .select(F.array_join("pieces.text", "\n").alias("text"))
-        .filter(F.col("text") != "")
-    )
-    names = ", ".join("`" + name.replace("`", "``") + "` string" for name in header)
-    parsed = F.from_csv("text", names, {**_DIALECT, "multiLine": "true"})
-    return records.select(parsed.alias("record")).select("record.*")
+def _parts(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, int, pa.RecordBatch]]:
+    """Batches cut where a split begins: (file, start, rows)."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        file, start = (batch.column(name).to_numpy() for name in ("file", "start"))
+        borders = np.flatnonzero((file[1:] != file[:-1]) | (start[1:] != start[:-1])) + 1
+        for low, high in zip([0, *borders.tolist()], [*borders.tolist(), batch.num_rows]):
+            yield int(file[low]), int(start[low]), batch.slice(low, high - low)
 
 
-def _steps(between: Column, inside: Column, window: Column) -> list[Column]:
-    """What a line (or split) does to the state before it, given where either state leads.
+def _states_after(between: np.ndarray, inside: np.ndarray, state: int) -> np.ndarray:
+    """The state behind every line if ``state`` stands before the first; -1 where a line is not sound.
 
-    It keeps the state, turns it round, or settles it: because it is sound from one state only, or
-    leads to the same one from both. ``settles`` is the settled state, ``turned`` counts the turns.
+    A line keeps the state before it, turns it round, or settles it: the state behind a line is the last
+    settled one, turned as often as there were turns since. What follows an unsound line counts for nothing.
     """
-    turn = F.coalesce((between == 1) & (inside == 0), F.lit(False))
-    keep = F.coalesce((between == 0) & (inside == 1), F.lit(False))
-    settles = F.when(~turn & ~keep, F.coalesce(between, inside, F.lit(0)))
-    return [settles.alias("settles"), F.sum(turn.cast("int")).over(window).alias("turned")]
+    turn = (between == 1) & (inside == 0)
+    settles = ~turn & ~((between == 0) & (inside == 1))
+    value = np.where(between >= 0, between, np.maximum(inside, 0)).astype(np.int64)
+    turned = np.cumsum(turn)
+    last = np.maximum.accumulate(np.where(settles, np.arange(len(turn)), -1))
+    behind = np.where(last >= 0, value[last] + turned - turned[last], state + turned) % 2
+    before = np.r_[state, behind[:-1]]
+    return np.where(before == 0, between, inside)
 
 
-def _state_before(earlier: Column) -> tuple[Column, Column]:
-    """The state that earlier steps settle, if any does, and the number of turns before, modulo 2.
+_SIDE = ("end", "first", "last", "head", "rest", "longest")
+_SUMMARY = "file long, start long, lines long, " + ", ".join(
+    f"{name}{state} long" for state in (0, 1) for name in _SIDE
+)
 
-    The settled state is the last one, turned round as often as there were turns since.
-    """
-    turned = F.coalesce(F.last("turned").over(earlier), F.lit(0))
-    mark = F.when(F.col("settles").isNotNull(), F.struct("settles", "turned"))
-    last = F.last(mark, True).over(earlier)
-    return (last["settles"] + turned - last["turned"]) % 2, turned % 2
+
+@dataclass
+class _Side:
+    """What is known of a split that begins in a given state, line by line."""
+
+    end: int  # the state behind the last line, -1 once a line was not sound
+    first: int = 0  # number of the first line that ends a record, 0 if none does
+    last: int = 0
+    head: int = 0  # characters up to the first end of a record
+    rest: int = 0  # characters since the last end
+    longest: int = 0  # of the records between
+
+    def follow(self, between: np.ndarray, inside: np.ndarray, chars: np.ndarray, n: int) -> None:
+        if self.end < 0:
+            return
+        after = _states_after(between, inside, self.end)
+        ends = np.flatnonzero(after == 0)
+        read = np.cumsum(chars)
+        if len(ends):
+            lengths = np.diff(read[ends], prepend=-self.rest)
+            if not self.first:
+                self.first, self.head = n + int(ends[0]) + 1, int(lengths[0])
+                lengths = lengths[1:]
+            self.longest = max(self.longest, int(lengths.max(initial=0)))
+            self.last, self.rest = n + int(ends[-1]) + 1, int(read[-1] - read[ends[-1]])
+        else:
+            self.rest += int(read[-1])
+        self.end = -1 if (after < 0).any() else int(after[-1])
+
+
+def _summaries(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per split, under either beginning."""
+
+    def row(split, n, sides):
+        values = [*split, n, *(getattr(side, name) for side in sides for name in _SIDE)]
+        names = ["file", "start", "lines", *(f"{name}{state}" for state in (0, 1) for name in _SIDE)]
+        return pa.RecordBatch.from_arrays([pa.array([v], pa.int64()) for v in values], names)
+
+    split, n, sides = None, 0, []
+    for file, start, part in _parts(batches):
+        if split != (file, start):
+            if split:
+                yield row(split, n, sides)
+            split, n, sides = (file, start), 0, [_Side(0), _Side(1)]
+        columns = [part.column(name).to_numpy() for name in ("between", "inside", "chars")]
+        for side in sides:
+            side.follow(*columns, n)
+        n += part.num_rows
+    if split:
+        yield row(split, n, sides)
+
+
+@dataclass
+class _Split:
+    """A split whose beginning is settled; lines are numbered from 1."""
+
+    state: int  # at its beginning, -1 behind an unsound line
+    begin: int = 0  # the last line before its own records (a record begun earlier, the header)
+    last: int = 0  # the last line of its own records
+    head: int = 0  # lines that belong to a record begun earlier, and the split where that begins
+    opener: int = 0
+    tail: int = 0  # the first line of a record that ends in a later split, 0 if there is none
+
+
+def _settled(summaries: list[Row], most: int | None) -> dict[tuple[int, int], _Split]:
+    """The state every split begins in, file by file, from where either state leads."""
+
+    def checked(length: int) -> None:
+        if most is not None and length > most:
+            raise ValueError("record too long, a quote may be missing, read whole files")
+
+    splits = {}
+    for file, rows in groupby(sorted(summaries, key=lambda r: (r["file"], r["start"])), lambda r: r["file"]):
+        state, opener, length, headed = 0, 0, 0, False
+        for row in rows:
+            split = splits[file, row["start"]] = _Split(state)
+            if state < 0:
+                continue
+            side = _Side(*(row[f"{name}{state}"] for name in _SIDE))
+            if state == 1 and headed:
+                split.opener, split.head = opener, side.first or row["lines"]
+            if side.first:
+                checked(length + side.head)
+                checked(side.longest)
+                # The first record of a file is its header.
+                split.begin = side.first if state == 1 or not headed else 0
+                split.last = side.last
+                headed, length = True, 0
+            if side.end == 1 and headed and (side.first or state == 0):
+                opener, split.tail = row["start"], side.last + 1
+            length += side.rest
+            state = side.end
+        if state == 1:
+            raise ValueError("file ends inside a field, read whole files")
+    return splits
+
+
+def _numbered(batches, splits):
+    """(file, start, split, number of lines before, rows) of every part."""
+    at, n = None, 0
+    for file, start, part in _parts(batches):
+        if at != (file, start):
+            at, n = (file, start), 0
+        if at not in splits:
+            raise RuntimeError("the splits have changed since they were looked at, read the text again")
+        yield file, start, splits[at], n, part
+        n += part.num_rows
 
 
-def _state(beginning: int) -> Column:
-    """The state before a line if its split begins in the given one."""
-    return F.coalesce(F.col("settled"), (F.lit(beginning) + F.col("turns")) % 2)
+def _whole_records(batches, splits):
+    """The records that lie in one split, the lines of each joined."""
+    held: list[pa.Array] = []  # lines of a record that goes on behind the batch
+    state = 0
+    for _, _, split, n, part in _numbered(batches, splits):
+        state = state if n else split.state
+        line = part.column("line")
+        after = (
+            _states_after(part.column("between").to_numpy(), part.column("inside").to_numpy(), state)
+            if state >= 0 else np.array([-1])
+        )
+        if (after < 0).any():
+            shown = line[int(np.argmax(after < 0))].as_py()[:200]
+            raise ValueError(f"quote or carriage return inside a field, read whole files: {shown}")
+        state = int(after[-1])
+        low, high = (min(max(border - n, 0), part.num_rows) for border in (split.begin, split.last))
+        if low >= high:
+            continue
+        ends = np.flatnonzero(after[low:high] == 0) + 1
+        lines = pa.concat_arrays([*held, line.slice(low, high - low)])
+        ends += len(lines) - (high - low)
+        done = int(ends[-1]) if len(ends) else 0
+        held = [lines.slice(done)] if done < len(lines) else []
+        if len(ends):
+            offsets = pa.array(np.r_[0, ends], pa.int32())
+            kind = pa.string() if pa.types.is_string(lines.type) else pa.large_string()
+            texts = lines.slice(0, done)
+            if len(ends) < done:
+                texts = pc.binary_join(pa.ListArray.from_arrays(offsets, texts), pa.scalar("\n", kind))
+            yield pa.RecordBatch.from_arrays([texts.cast(pa.string())], ["text"])
 
 
-def _refused(reason: str, shown: Column) -> Column:
-    return F.raise_error(F.concat(F.lit(f"{reason}, read whole files: "), shown))
+def _pieces(batches, splits):
+    """The lines of records that span splits, with the split each record begins in."""
+    names = ["file", "opener", "start", "n", "line"]
+    for file, start, split, n, part in _numbered(batches, splits):
+        first_of_tail = split.tail or n + part.num_rows + 1
+        for low, high, opener in ((0, split.head - n, split.opener), (first_of_tail - 1 - n, part.num_rows, start)):
+            low, high = max(low, 0), min(high, part.num_rows)
+            if low < high:
+                count = high - low
+                numbers = [np.full(count, v) for v in (file, opener, start)]
+                numbers.append(np.arange(n + low + 1, n + high + 1))
+                line = part.column("line").slice(low, count).cast(pa.string())
+                yield pa.RecordBatch.from_arrays([*(pa.array(v, pa.int64()) for v in numbers), line], names)

@@ -43,14 +43,19 @@ def land(df: DataFrame, path: str) -> None:
 
 
 def land_snapshot(
-    spark: SparkSession, folder: str, target: str, whole_files: bool = False
+    spark: SparkSession, folder: str, target: str, whole_files: bool = False, max_record_chars: int | None = None
 ) -> None:
     """Land the three files of a snapshot, keeping only the columns that are used.
 
     Files are read in many tasks each. ``whole_files`` reads one file per task instead, for text
-    that ``read_delimited_split`` refuses.
+    that ``read_delimited_split`` refuses; ``max_record_chars`` makes that one refuse longer records.
     """
-    read = read_delimited if whole_files else read_delimited_split
+
+    def read(spark: SparkSession, path: str) -> DataFrame:
+        if whole_files:
+            return read_delimited(spark, path)
+        return read_delimited_split(spark, path, max_record_chars)
+
     used = {
         "studies": [
             "nct_id", "brief_title", "overall_status", "phase", "study_type", "source",
