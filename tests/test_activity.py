@@ -89,6 +89,36 @@ def test_flatten_fills_missing_fields(spark, tmp_path):
     ]
 
 
+def test_present_nulls_stay_null_if_asked(spark, tmp_path):
+    nothing = {"protocolSection": {
+        "identificationModule": {"nctId": None}, "statusModule": {"overallStatus": None},
+        "designModule": {"phases": [None, "PHASE2"], "enrollmentInfo": {"count": None}},
+        "conditionsModule": {"conditions": None},
+        "sponsorCollaboratorsModule": {"leadSponsor": {"name": None, "class": None}}}}
+    sections = {"protocolSection": dict.fromkeys(nothing["protocolSection"])}
+    land_page(tmp_path, "2024-01-05", "p1", nothing, sections, {"protocolSection": {}}, {"protocolSection": None},
+              study(phases=(), count=None), study("NCT2", phases=("PHASE1",), name=None))
+    land_page(tmp_path, "2024-01-05", "p2")
+    df = pages.read_pages(spark, str(tmp_path))
+    missing = ("", "UNKNOWN", "N/A", "Other", "Other", 0, "2024-01-05", "")
+    rest = [("NCT1", "RECRUITING", "N/A", "Cardiovascular", "INDUSTRY", 0, "2024-01-05", "Acme")]
+    second = ("NCT2", "RECRUITING", "PHASE1", "Cardiovascular", "INDUSTRY", 10, "2024-01-05")
+    kept = sorted(map(tuple, pages.flatten_pages(df, keep_nulls=True).collect()), key=repr)
+    assert kept == sorted([
+        (None, None, None, "Other", None, 0, "2024-01-05", None), *[missing] * 3, *rest, (*second, None)], key=repr)
+    filled = sorted(map(tuple, pages.flatten_pages(df).collect()), key=repr)
+    assert filled == sorted([*[missing] * 4, *rest, (*second, "")], key=repr)
+
+
+def test_pages_with_nulls_go_through_a_daily_run(spark, tmp_path):
+    configure(spark)
+    land_page(tmp_path / "pages", "2024-01-02", "p", study(status=None), study(status="COMPLETED", sponsor=None))
+    wh = str(tmp_path / "wh")
+    assert daily.run_daily(spark, str(tmp_path / "pages"), wh, "2024-01-02", keep_nulls=True).status == "appended"
+    assert rows_of(history.read_daily_activity(spark, f"{wh}/daily_activity")) == [
+        ("2024-01-02", "Cardiovascular", 2, 1, 10.0, 1)]
+
+
 def test_pages_are_pruned_by_day(spark, tmp_path):
     for day in ("2024-01-04", "2024-01-05", "2024-01-06"):
         land_page(tmp_path, day, "p", study(day))

@@ -173,7 +173,7 @@ def test_lines_of_a_record_stay_in_their_split(spark, tmp_path):
     spanning = delimited._settled(
         delimited._lines(own.read.text(str(tmp_path), lineSep="\n")).mapInArrow(
             delimited._summaries, delimited._SUMMARY).collect(), None).values()
-    assert 5 < sum(s.tail > 0 for s in spanning) <= len(spanning)
+    assert 0 < sum(s.tail > 0 for s in spanning) <= len(spanning)
 
 
 def test_splits_that_change_after_the_look_are_noticed(spark, tmp_path):

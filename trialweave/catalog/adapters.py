@@ -212,8 +212,11 @@ def condition_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A response page per order: its study and, for some, a second one without any field."""
+def pages(spark: SparkSession, sf_dir: str, nulls: bool = False) -> DataFrame:
+    """A response page per order: its study and, for some, a second one without any field.
+
+    With ``nulls`` what a study does not have is there as null, else it is missing.
+    """
     priority, status = F.col("o_orderpriority"), F.col("o_orderstatus")
     phases = (
         F.when(priority == "1-URGENT", F.array(F.lit("PHASE1"), F.lit("PHASE2")))
@@ -249,7 +252,9 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         priority == "5-LOW", F.array(study(True), study(False))
     ).otherwise(F.array(study(True)))
     return table(spark, sf_dir, "orders").select(
-        F.to_json(F.struct(studies_of_page.alias("studies"))).alias("value"),
+        F.to_json(
+            F.struct(studies_of_page.alias("studies")), {"ignoreNullFields": str(not nulls).lower()}
+        ).alias("value"),
         _start().cast("string").alias("event_date"),
     )
 

@@ -308,6 +308,11 @@ WHERE start_year BETWEEN 2009 AND 2011 AND therapeutic_area = 'Oncology'"""),
 SELECT status_category, count(*) AS trials, sum(phase_numeric)::BIGINT AS phase_sum
 FROM stg_trials WHERE start_year >= 2010 GROUP BY status_category"""),
     "flattened_pages": _with(_PAGES, "SELECT * FROM page_studies"),
+    "flattened_pages_nulls": _with(_PAGES, """
+SELECT * REPLACE (
+         CASE WHEN nct_id = '' OR overall_status <> 'UNKNOWN' THEN overall_status END AS overall_status,
+         CASE WHEN nct_id = '' OR sponsor_class <> 'Other' THEN sponsor_class END AS sponsor_class)
+FROM page_studies"""),
     "pages_activity": _with(
         f"""{_PAGES},
 timed AS (SELECT *, event_date::TIMESTAMP AS event_time FROM page_studies),{_pulse('timed')}""",

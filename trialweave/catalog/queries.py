@@ -283,6 +283,12 @@ def flattened_pages(spark, sf_dir):
     return flatten_pages(adapters.pages(spark, sf_dir))
 
 
+@query
+def flattened_pages_nulls(spark, sf_dir):
+    """The same studies with their missing fields there as null, which is kept."""
+    return flatten_pages(adapters.pages(spark, sf_dir, nulls=True), keep_nulls=True)
+
+
 @query
 def pages_activity(spark, sf_dir):
     return activity_of_pages(adapters.pages(spark, sf_dir))

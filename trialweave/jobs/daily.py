@@ -20,6 +20,7 @@ def main() -> None:
     days.add_argument("--backfill", nargs=2, metavar=("FIRST", "LAST"))
     parser.add_argument("--mode", choices=MODES, default=MODES[0])
     parser.add_argument("--page-per-line", action="store_true", help="files hold a page per line")
+    parser.add_argument("--keep-nulls", action="store_true", help="null fields of pages stay null")
     parser.add_argument("--bootstrap-servers", help="publish to and read from a topic")
     parser.add_argument("--topic", default=TOPIC)
     parser.add_argument("--staging-url", help="stage the activity in a relational table")
@@ -27,13 +28,14 @@ def main() -> None:
     spark = build_session("trialweave-daily")
     if args.backfill:
         result = run_backfill(
-            spark, args.pages, args.warehouse, *args.backfill, args.mode, args.page_per_line
+            spark, args.pages, args.warehouse, *args.backfill, args.mode, args.page_per_line,
+            args.keep_nulls,
         )
     else:
         day = args.date or day_before(dt.datetime.now(dt.UTC).date().isoformat())
         result = run_daily(
             spark, args.pages, args.warehouse, day, args.mode, args.page_per_line,
-            args.bootstrap_servers, args.topic, args.staging_url,
+            args.bootstrap_servers, args.topic, args.staging_url, args.keep_nulls,
         )
     print(result.status)
     print(f"rows read {result.rows_read}, skipped {result.rows_skipped}, appended {result.rows_appended}")

@@ -48,6 +48,7 @@ def run_daily(
     servers: str | None = None,
     topic: str = TOPIC,
     staging_url: str | None = None,
+    keep_nulls: bool = False,
 ) -> SyncResult:
     """Publish a day's updates, aggregate them, sync and refresh the mart.
 
@@ -56,7 +57,7 @@ def run_daily(
     ``servers`` the messages go through a topic instead, whose read position and state are kept
     from run to run; with ``staging_url`` the activity is staged in a relational table.
     """
-    events = flatten_pages(read_pages(spark, pages, event_date, event_date, per_line))
+    events = flatten_pages(read_pages(spark, pages, event_date, event_date, per_line), keep_nulls)
     quarantine = f"{warehouse}/quarantine/event_date={event_date}"
     write = jdbc.jdbc_writer(staging_url) if staging_url else None
     if servers:
@@ -76,9 +77,9 @@ def run_daily(
     return _sync_and_refresh(spark, stage, warehouse, mode, keep=bool(servers))
 
 
-def activity_of_pages(pages: DataFrame) -> DataFrame:
+def activity_of_pages(pages: DataFrame, keep_nulls: bool = False) -> DataFrame:
     """Daily activity of landed pages as one batch query."""
-    events = flatten_pages(pages)
+    events = flatten_pages(pages, keep_nulls)
     return daily_pulse(events.withColumn("event_time", timestamp_or_null(events.event_date)))
 
 
@@ -90,6 +91,7 @@ def run_backfill(
     last_day: str,
     mode: str = "skip_date",
     per_line: bool = False,
+    keep_nulls: bool = False,
 ) -> SyncResult:
     """Aggregate all days of a range in one job and merge them into the history.
 
@@ -97,7 +99,9 @@ def run_backfill(
     earlier runs. The pages are read once: the merge works on the staged result.
     """
     stage = _fresh_stage(warehouse, f"{first_day}_{last_day}")
-    activity = activity_of_pages(read_pages(spark, pages, first_day, last_day, per_line))
+    activity = activity_of_pages(
+        read_pages(spark, pages, first_day, last_day, per_line), keep_nulls
+    )
     write_changes(activity, stage, 0)
     return _sync_and_refresh(spark, stage, warehouse, mode)
 
