@@ -225,6 +225,64 @@ def test_stream_sets_bad_messages_aside(spark, tmp_path):
         '{"nct_id"']
 
 
+def _queue(spark, tmp_path, **more):
+    """Three good messages and two bad ones, and how they are read."""
+    topic = tmp_path / "topic"
+    topic.mkdir()
+    rows = [event("2024-01-05"), event("2024-01-05"), event("2024-01-06", area="Asthma")]
+    good = [r.value for r in encode_events(event_frame(spark, *rows)).collect()]
+    (topic / "1.txt").write_text("\n".join([good[0], "{bad", good[1], good[2], '{"worse']) + "\n")
+    return lambda: pulse_stream.pulse_from_messages(
+        spark, str(tmp_path / "stage"), str(tmp_path / "bad"), path=str(topic), state_partitions=2, **more)
+
+
+_ASIDE = ['{"worse', "{bad"]
+_COUNTED = [("2024-01-05", "Oncology", 2), ("2024-01-06", "Asthma", 1)]
+
+
+def _outcome(spark, tmp_path):
+    aside = sorted(r.value for r in spark.read.parquet(f"{tmp_path}/bad/messages").collect())
+    return aside, counts(stage_area.staged_activity(spark, str(tmp_path / "stage")))
+
+
+def test_messages_are_read_once_for_both_outcomes(spark, tmp_path, monkeypatch):
+    reads, intake = [], pulse_stream.run_intake
+
+    def seen(*args):
+        query = intake(*args)
+        reads.append(sum(p.numInputRows for p in query.recentProgress))
+        return query
+
+    monkeypatch.setattr(pulse_stream, "run_intake", seen)
+    run_all = _queue(spark, tmp_path)
+    query = run_all()
+    assert reads == [5] and sum(p.numInputRows for p in query.recentProgress) == 3
+    sources = {s.description for p in query.recentProgress for s in p.sources}
+    assert all("/stage/events" in s for s in sources)
+    assert _outcome(spark, tmp_path) == (_ASIDE, _COUNTED)
+    run_all()
+    assert reads == [5, 0] and _outcome(spark, tmp_path) == (_ASIDE, _COUNTED)
+
+
+@pytest.mark.parametrize("step", ["quarantined", "daily_pulse", "write_changes"])
+def test_intake_that_dies_is_replayed(spark, tmp_path, monkeypatch, step):
+    """Whatever step fails, a repeated run keeps every message once."""
+    run_all = _queue(spark, tmp_path)
+    with monkeypatch.context() as patch:
+        patch.setattr(pulse_stream, step, lambda *args: 1 / 0)
+        with pytest.raises(Exception):
+            run_all()
+    run_all()
+    assert _outcome(spark, tmp_path) == (_ASIDE, _COUNTED)
+
+
+def test_an_empty_queue_stages_nothing(spark, tmp_path):
+    (tmp_path / "topic").mkdir()
+    pulse_stream.pulse_from_messages(
+        spark, str(tmp_path / "stage"), str(tmp_path / "bad"), path=str(tmp_path / "topic"), state_partitions=2)
+    assert counts(stage_area.staged_activity(spark, str(tmp_path / "stage"))) == []
+
+
 def test_replayed_batch_changes_nothing(spark, tmp_path):
     stage, df = str(tmp_path), activity(spark, ("2024-01-05", "Oncology", 3))
     for _ in range(2):

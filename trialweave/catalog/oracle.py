@@ -351,6 +351,10 @@ SELECT status, rows FROM (SELECT count(*) AS n FROM activity),
     "encoded_events": _with(_EVENTS, "SELECT * FROM updates"),
     "daily_activity": _with(_ACTIVITY, "SELECT * FROM activity"),
     "daily_activity_stream": _with(_ACTIVITY, "SELECT * FROM activity"),
+    "quarantined_stream": _with(f"""{_EVENTS},
+numbered AS (SELECT *, substr(nct_id, 4)::BIGINT % 3 = 0 AS cut FROM updates),
+whole AS (SELECT * FROM numbered WHERE NOT cut),{_pulse('whole')}""", """
+SELECT *, (SELECT count(*) FROM numbered WHERE cut) AS set_aside FROM activity"""),
     "stg_daily_activity": _with(_STAGED_ACTIVITY, "SELECT * FROM stg_activity"),
     "activity_trends": _with(_TRENDS, "SELECT * FROM trends"),
     "sync_skip_date": _with(_KNOWN, """

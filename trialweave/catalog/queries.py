@@ -335,6 +335,20 @@ def daily_activity_stream(spark, sf_dir):
     return staged_activity(spark, stage)
 
 
+@query
+def quarantined_stream(spark, sf_dir):
+    """Every third message is cut short: those are kept aside, the others aggregated, the queue read once."""
+    topic, stage = scratch_path(spark, "updates"), scratch_path(spark, "staging")
+    bad = scratch_path(spark, "quarantine")
+    messages = encode_events(adapters.trial_updates(spark, sf_dir))
+    number = F.substring(F.get_json_object("value", "$.nct_id"), 4, 20).cast("long")
+    cut = F.when(number % 3 == 0, F.expr("left(value, length(value) - 1)")).otherwise(F.col("value"))
+    messages.select(cut.alias("value")).write.text(topic)
+    pulse_from_messages(spark, stage, bad, path=topic)
+    aside = spark.read.parquet(f"{bad}/messages").count()
+    return staged_activity(spark, stage).withColumn("set_aside", F.lit(aside).cast("long"))
+
+
 @query
 def late_events_stream(spark, sf_dir):
     """A second run of the stream brings events of all days: closed days drop theirs."""

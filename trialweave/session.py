@@ -56,6 +56,12 @@ def folders(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(status.getPath().toString() for status in system.globStatus(path) or ())
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Make a folder; one that is there already is fine."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(folder)
+
+
 def move_folder(spark: SparkSession, source: str, target: str) -> None:
     """Rename a folder; the parent of the new name is made, the new name must be free."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path

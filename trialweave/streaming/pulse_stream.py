@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructField, StructType, TimestampType
 
+from trialweave import schemas
 from trialweave.operators.pulse import daily_pulse
-from trialweave.session import configure
+from trialweave.session import configure, make_folder
 from trialweave.sources.events import decode_events, good_events, quarantined, read_messages
 from trialweave.streaming.staging import write_changes
 
@@ -53,19 +55,40 @@ def run_pulse(
     return query
 
 
-def run_quarantine(decoded: DataFrame, path: str) -> StreamingQuery:
-    """Keep the messages that could not be decoded, each once."""
+def run_intake(decoded: DataFrame, staging: str, quarantine: str) -> StreamingQuery:
+    """Bring what is queued into the staging folder: read and parsed once, good and bad messages apart.
+
+    Micro-batch N writes ``staging/events/batch_id=N`` and ``quarantine/messages/batch_id=N``. A replayed
+    micro-batch overwrites its own folders, so that every message is kept once.
+    """
+
+    def part(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            for rows, folder in ((good_events(batch), f"{staging}/events"), (quarantined(batch), f"{quarantine}/messages")):
+                rows.write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
+
     query = (
-        quarantined(decoded)
-        .writeStream.format("parquet")
-        .option("checkpointLocation", f"{path}/checkpoint")
+        decoded.writeStream.option("checkpointLocation", f"{staging}/intake")
         .trigger(availableNow=True)
-        .start(f"{path}/messages")
+        .foreachBatch(part)
+        .start()
     )
     query.awaitTermination()
     return query
 
 
+def staged_events(spark: SparkSession, staging: str) -> DataFrame:
+    """The good events of :func:`run_intake` as a stream. Files are removed once they have been read."""
+    folder = f"{staging}/events"
+    make_folder(spark, folder)
+    events = StructType([*schemas.TRIAL_UPDATE.fields, StructField("event_time", TimestampType())])
+    reader = spark.readStream.schema(events).option("cleanSource", "delete")
+    return reader.option("recursiveFileLookup", True).parquet(folder)
+
+
 def pulse_from_messages(
     spark: SparkSession,
     staging: str,
@@ -77,13 +100,16 @@ def pulse_from_messages(
 ) -> StreamingQuery:
     """:func:`run_pulse` over queued messages (see ``read_messages`` for ``source``).
 
+    With ``quarantine`` messages that cannot be decoded are kept there: :func:`run_intake` reads the queue
+    and the aggregation reads its events. Without, the aggregation reads the queue and leaves them out.
     A checkpoint keeps the number of state partitions it was begun with.
     """
     own = streaming_session(spark, state_partitions)
     decoded = decode_events(read_messages(own, streaming=True, **source))
-    if quarantine is not None:
-        run_quarantine(decoded, quarantine)
-    return run_pulse(good_events(decoded), staging, write)
+    if quarantine is None:
+        return run_pulse(good_events(decoded), staging, write)
+    run_intake(decoded, staging, quarantine)
+    return run_pulse(staged_events(own, staging), staging, write)
 
 
 def dropped_late(query: StreamingQuery) -> int:

@@ -1,7 +1,7 @@
 """The staging area between the daily aggregation and the activity history.
 
 One folder per streaming query: ``checkpoint`` (read position and window state), ``changelog`` and
-``synced``. ``changelog/batch_id=N`` holds the groups that micro-batch N changed; a replayed batch
+``synced``; with a quarantine also ``intake`` and ``events`` (see ``pulse_stream.run_intake``). ``changelog/batch_id=N`` holds the groups that micro-batch N changed; a replayed batch
 overwrites its own folder, so replays change nothing. ``synced`` records up to which batch the
 history has been brought. Clearing the staging area means moving that mark, so rows that arrive
 while a sync is running are not lost.
