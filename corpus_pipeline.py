@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from trialweave.llm import byte_bpe, decontaminate, language, secrets, simhash
 from trialweave.llm.common import table
-from trialweave.session import configure, scratch_path
+from trialweave.session import configure, remove_folder, scratch_path
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
@@ -22,14 +22,17 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a language: no text, or no letter in it. All others stay."""
+    """Drops documents without a language: no text, or no letter in it. All others stay.
+
+    Those without a label get the predicted language as theirs.
+    """
     return language.keep_identified(docs)
 
 
 def unlike(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps of each SimHash group the row whose id names the group (the smallest).
+    """Keeps one row of each SimHash group: that of the smallest id, rows without an id last.
 
-    Of several rows with that id one is kept; rows without an id stay.
+    Texts that share an id but are not alike are members of different groups.
     """
     return simhash.keep_representatives(docs)
 
@@ -62,11 +65,18 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents, each written and read again before the next."""
+    """All stages over the documents, each written and read again before the next.
+
+    What a stage wrote goes when the next one has been written; the last one's input stays, as the
+    result is read from it.
+    """
     configure(spark)
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         path = scratch_path(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            remove_folder(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)

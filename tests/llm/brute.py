@@ -179,3 +179,19 @@ def whitened(vectors, components=32):
         n, [sum(a * a for a in row) for row in centred],
         plain @ axes[:, order] / np.sqrt(values[order]), values[order] / np.trace(covariance),
     )
+
+
+def representatives(rows):
+    """Of each SimHash group of (id, text) rows the first by id (none last) and XXH64 of the text."""
+    prints = [fingerprint(text) for _, text in rows]
+    roots = groups(len(rows), lambda i, j: (prints[i] ^ prints[j]).bit_count() <= 4)
+
+    def order(row):
+        doc, text = row
+        digest = 42 if text is None else xxhash.xxh64_intdigest(text.encode(), 42)
+        return doc is None, doc or 0, digest - (1 << 64) if digest >> 63 else digest
+
+    least: dict[int, tuple] = {}
+    for row, root in zip(rows, roots):
+        least[root] = min(least.get(root, row), row, key=order)
+    return list(least.values())

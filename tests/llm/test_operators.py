@@ -318,13 +318,23 @@ def test_long_lists_that_share_a_fourth_byte():
 def test_representatives_keep_all_columns(documents, corpus):
     kept = simhash.keep_representatives(crowded(documents))
     assert kept.columns == crowded(documents).columns
-    prints = [brute.fingerprint(text) for _, text in corpus]
-    roots = brute.groups(len(prints), lambda i, j: (prints[i] ^ prints[j]).bit_count() <= 4)
-    names = brute.named_groups([doc for doc, _ in corpus], roots)
-    expected = {doc for (doc, _), name in zip(corpus, names) if doc is not None and doc == name}
-    got = [row["doc_id"] for row in kept.filter("doc_id is not null").collect()]
-    assert sorted(got) == sorted(expected)
-    assert kept.filter("doc_id is null").count() == 2
+    got = Counter((row["doc_id"], row["text"]) for row in kept.collect())
+    assert got == Counter(brute.representatives(corpus))
+    # One id, three rows, two texts that are not alike: both stay.
+    assert sum(doc == 80 for doc, _ in got) == 2
+
+
+def test_representatives_of_clashing_names_and_copies(spark):
+    text, other = brute.prose(1, 50), brute.prose(2, 50)
+    rows = [(3, text), (3, other), (1, text), (None, text), (None, brute.prose(3, 50)), (1, text)] + [(9, other)] * 200
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    names = [f"representative_{i}" for i in range(5)] + ["Representative_1_", "__id", "__rank", "__kept", "hash", "fp", "a.b"]
+    frame = frame.select("*", *[F.lit("clash").alias(n) for n in names if n != "Representative_1_"])
+    kept = simhash.keep_representatives(frame)
+    assert kept.columns == frame.columns
+    got = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    assert Counter(got) == Counter([(1, text), (3, other), (None, brute.prose(3, 50))])
+    assert Counter(brute.representatives(rows)) == Counter(got)
 
 
 def test_components_of_chains_and_hubs(spark):
@@ -483,6 +493,11 @@ def test_language_odd_texts(spark):
     kept = language.keep_identified(crowded(frame))
     assert kept.columns == crowded(frame).columns
     assert {r["doc_id"] for r in kept.select("doc_id").collect()} == set(got) - {1000, 1001, 1002}
+    # Rows without a label get the predicted one, the others keep theirs.
+    labels = {r["doc_id"]: r["lang"] for r in frame.collect()}
+    assert None in labels.values()
+    for row in kept.select("doc_id", "lang").collect():
+        assert row["lang"] == (labels[row["doc_id"]] or got[row["doc_id"]])
 
 
 def test_cross_parsing_counts_longest_matches():

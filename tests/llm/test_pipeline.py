@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
+from pathlib import Path
 
 import duckdb
 import numpy as np
@@ -12,12 +13,14 @@ import __spark_entry__
 import corpus_pipeline
 from trialweave.llm import language, secrets
 from trialweave.llm.queries import ORACLE_SQL, QUERIES
+from trialweave.session import shared_folder
 
 from . import brute
 
 OPERATORS = {
     1: "html_text", 2: "language", 3: "token_counts", 4: "decontamination", 5: "suffix_dedup", 6: "byte_bpe",
     7: "simhash", 8: "embedding_dedup", 9: "window_dedup", 10: "secrets",
+    11: "whitening", 12: "prefix_trie", 13: "imatch",
 }
 
 
@@ -34,14 +37,7 @@ def test_pipeline_against_plain_stages(spark, documents, benchmark, corpus, item
     benchmark.write.parquet(f"{folder}/benchmark.parquet")
     model = language.Model(language.labelled_sample(documents))
     kept = [(d, t) for d, t in corpus if model.predict([t])[0][0] != "und"]
-    prints = [brute.fingerprint(t) for _, t in kept]
-    roots = brute.groups(len(kept), lambda i, j: (prints[i] ^ prints[j]).bit_count() <= 4)
-    names = brute.named_groups([d for d, _ in kept], roots)
-    firsts: dict[int, str] = {}
-    for (doc, text), name in zip(kept, names):
-        if doc is not None and doc == name:
-            firsts[doc] = min(firsts.get(doc, text), text)
-    kept = [*firsts.items(), *((d, t) for d, t in kept if d is None)]
+    kept = brute.representatives(kept)
     hits = brute.contamination(kept, items)
     kept = [row for row, (_, hit, _) in zip(kept, hits) if not hit]
     tokenizer = brute.tokenizer()
@@ -55,6 +51,18 @@ def test_pipeline_against_plain_stages(spark, documents, benchmark, corpus, item
     assert 0 < len(rows) < len(corpus)
 
 
+def test_the_pipeline_leaves_one_stage_behind(spark, documents, benchmark, tmp_path):
+    folder = str(tmp_path / "tables")
+    documents.limit(20).write.parquet(f"{folder}/documents.parquet")
+    benchmark.write.parquet(f"{folder}/benchmark.parquet")
+    shared = Path(shared_folder(spark).removeprefix("file:")) / "trialweave"
+    before = set(shared.glob("*"))
+    assert corpus_pipeline.run(spark, folder).count() > 0
+    left = [p.name.rsplit("-", 1)[0] for p in set(shared.glob("*")) - before]
+    assert left.count("pipeline-secrets") == 1 and left.count("links") == 1
+    assert not {"pipeline-language", "pipeline-simhash", "pipeline-decontamination"} & set(left)
+
+
 def test_all_but_the_last_stage_return_the_columns_of_documents(spark, documents, benchmark, tmp_path):
     folder = str(tmp_path / "tables")
     benchmark.write.parquet(f"{folder}/benchmark.parquet")
@@ -68,7 +76,7 @@ SF_DIR = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_matches_sql(spark, name):
     duck = duckdb.connect()
-    for table in ("documents", "benchmark", "embeddings"):
+    for table in ("documents", "benchmark", "embeddings", "conversations"):
         duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     expected = duck.execute(ORACLE_SQL[name])
     columns = [column[0] for column in expected.description]

@@ -13,7 +13,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trialweave.session import scratch_path
+from trialweave.session import remove_folder, scratch_path
 
 
 def saved(spark: SparkSession, frame: DataFrame, label: str) -> DataFrame:
@@ -49,7 +49,9 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
     ordered = links.select(
         F.greatest(first, second).alias("a"), F.least(first, second).alias("b")
     ).filter(F.col(first).isNotNull() & F.col(second).isNotNull() & (F.col(first) != F.col(second)))
-    current = saved(spark, ordered.distinct(), "links")
+    path = scratch_path(spark, "links")
+    ordered.distinct().write.parquet(path)
+    current = spark.read.parquet(path)
     before = None
     while True:
         mark = current.agg(
@@ -57,8 +59,11 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
         ).first()
         if mark == before or mark[0] == 0:
             break
-        before = mark
-        current = saved(spark, _small_star(_large_star(current)), "links")
+        before, old = mark, path
+        path = scratch_path(spark, "links")
+        _small_star(_large_star(current)).write.parquet(path)
+        current = spark.read.parquet(path)
+        remove_folder(spark, old)
     pairs = current.select(F.col("a").alias("node"), F.col("b").alias("root"))
     roots = pairs.select(F.col("root").alias("node"), "root").distinct()
     return pairs.union(roots)

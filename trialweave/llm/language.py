@@ -24,6 +24,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -293,15 +294,21 @@ def keep_identified(
     text_col: str = "text",
     lang_col: str = "lang",
 ) -> DataFrame:
-    """The rows, with all their columns, whose text has a language."""
+    """The rows, with all their columns, whose text has a language.
+
+    A row without a label gets the predicted one; the others keep theirs.
+    """
     if samples is None:
         samples = labelled_sample(documents, id_col, text_col, lang_col)
-    at = documents.columns.index(text_col)
+    at, lang_at = (documents.columns.index(name) for name in (text_col, lang_col))
 
     def run(batches: Iterator[pa.RecordBatch]):
         model = model_of(samples)
         for batch in slices(batches, at):
-            predicted = model.predict(batch.column(at).to_pylist())
-            yield batch.filter(pa.array([lang != UNKNOWN for lang, _ in predicted], pa.bool_()))
+            predicted = [lang for lang, _ in model.predict(batch.column(at).to_pylist())]
+            labels = batch.column(lang_at)
+            filled = pc.coalesce(labels, pa.array(predicted, labels.type))
+            batch = batch.set_column(lang_at, batch.schema.field(lang_at), filled)
+            yield batch.filter(pa.array([lang != UNKNOWN for lang in predicted], pa.bool_()))
 
     return documents.mapInArrow(run, documents.schema)

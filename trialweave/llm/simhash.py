@@ -89,20 +89,28 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> bytes:
 
 
 def fingerprints(
-    documents: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text"
+    documents: DataFrame,
+    shingle: int = SHINGLE,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    with_hash: bool = False,
 ) -> DataFrame:
-    """(doc_id, fp) per document, the fingerprint as a signed whole number."""
+    """(doc_id, fp) per document, the fingerprint as a signed whole number; with the text's XXH64 if asked."""
 
     def run(batches):
         for batch in slices(batches):
             joined = b"".join(fingerprint(text, shingle) for text in encoded_texts(batch))
             values = np.frombuffer(joined, ">u8").astype(np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values)], ["doc_id", "fp"])
+            hashes = [batch.column(2)] if with_hash else []
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values), *hashes], names)
 
+    names = ["doc_id", "fp", "hash"][: 3 if with_hash else 2]
     source = documents.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")
+        F.col(id_col).cast("long").alias("doc_id"),
+        F.col(text_col).alias("text"),
+        *([F.xxhash64(text_col).alias("hash")] if with_hash else []),
     )
-    return source.mapInArrow(run, "doc_id long, fp long")
+    return source.mapInArrow(run, ", ".join(f"{name} long" for name in names))
 
 
 def _pairs_in_runs(order: np.ndarray, run: np.ndarray):
@@ -232,11 +240,7 @@ def near_duplicates(
     spark = documents.sparkSession
     rows = saved(spark, fingerprints(documents, shingle, id_col, text_col), "fingerprints")
     distinct = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    links = fingerprint_links(spark, distinct.select("fp"), max_bits)
-    roots = components(spark, links).withColumnRenamed("node", "fp")
-    placed = distinct.join(roots, "fp", "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
-    )
+    placed = with_roots(spark, distinct, max_bits)
     named = placed.groupBy("root").agg(F.min("least").alias("component_id"))
     by_fingerprint = placed.join(named, "root").select("fp", "component_id")
     return rows.join(by_fingerprint, "fp").select(
@@ -244,6 +248,13 @@ def near_duplicates(
     )
 
 
+def with_roots(spark: SparkSession, distinct: DataFrame, max_bits: int) -> DataFrame:
+    """(fp, least, root): rows of distinct fingerprints, each with one that stands for its group."""
+    links = fingerprint_links(spark, distinct.select("fp"), max_bits)
+    roots = components(spark, links).withColumnRenamed("node", "fp")
+    return distinct.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+
+
 def keep_representatives(
     documents: DataFrame,
     shingle: int = SHINGLE,
@@ -251,15 +262,34 @@ def keep_representatives(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """Of each group the row whose id names it, with all columns; rows without an id stay.
+    """One row of each group, with all columns: that of the smallest id, rows without an id last.
 
-    Of several rows with that id the one whose text comes first stays.
+    Of several rows with that id the one whose text has the smallest XXH64 stays; equal texts are in one
+    group whatever their ids. Rows are told apart by id and text, so that unlike texts which share an
+    id are members of their own groups.
     """
-    groups = near_duplicates(documents, shingle, max_bits, id_col, text_col)
-    kept = groups.filter("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    named = documents.withColumn("__id", F.col(id_col).cast("long"))
-    first = W.partitionBy("__id").orderBy(text_col)
-    chosen = named.join(kept, F.col("__id") == F.col("__kept"), "left_semi")
-    chosen = chosen.withColumn("__rank", F.row_number().over(first)).filter("__rank = 1")
-    without = named.filter("__id is null")
-    return chosen.drop("__id", "__rank").unionByName(without.drop("__id"))
+    spark = documents.sparkSession
+    # Names that no column of the documents has.
+    doc, text_hash, own_id, own_hash, rank = (
+        _free_name(documents, f"representative_{i}") for i in range(5)
+    )
+    rows = saved(spark, fingerprints(documents, shingle, id_col, text_col, with_hash=True), "fingerprints")
+    order = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "hash")
+    distinct = rows.groupBy("fp").agg(F.min(order).alias("least"))
+    least = with_roots(spark, distinct, max_bits).groupBy("root").agg(F.min("least").alias("least"))
+    kept = least.select(F.col("least.doc_id").alias(doc), F.col("least.hash").alias(text_hash))
+    named = documents.withColumns({own_id: F.col(id_col).cast("long"), own_hash: F.xxhash64(text_col)})
+    same = F.col(own_id).eqNullSafe(F.col(doc)) & (F.col(own_hash) == F.col(text_hash))
+    chosen = named.join(kept, same, "left_semi")
+    # Repeated rows: one stays. The limit of one row per key comes before the shuffle.
+    columns = [F.col(f"`{c}`") for c in documents.columns]
+    one = W.partitionBy(own_id, own_hash).orderBy(F.xxhash64(*columns))
+    chosen = chosen.withColumn(rank, F.row_number().over(one)).filter(F.col(rank) == 1)
+    return chosen.select(*columns)
+
+
+def _free_name(frame: DataFrame, name: str) -> str:
+    taken = {c.lower() for c in frame.columns}
+    while name in taken:
+        name += "_"
+    return name
