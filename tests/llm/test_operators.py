@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -19,6 +20,7 @@ from trialweave.llm import (
     embedding_dedup,
     html_text,
     language,
+    repeats,
     secrets,
     simhash,
     suffix_dedup,
@@ -256,6 +258,36 @@ def test_word_repeats_across_small_batches(spark, monkeypatch):
     assert as_rows(window_dedup.remove_repeats(frame), "doc_id", "n_words", "n_removed", "kept_sha256") == expected
 
 
+def test_words_that_polynomials_confuse_are_told_apart(spark):
+    """Doubling sequences: every odd base gives both words one value modulo 2**64."""
+    one, other = "a", "b"
+    while len(one) < 1024:
+        one, other = one + other, other + one
+    same = " ".join(f"w{i}" for i in range(12))
+    rows = [(1, f"{same} {one}"), (2, f"{same} {other}"), (3, f"{other} {same}"), (4, f"{one} {same}"), (5, f"{same} {one}")]
+    out = window_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["n_removed"] for r in out} == {1: 0, 2: 0, 3: 0, 4: 0, 5: 13}
+
+
+def test_what_a_batch_sends_does_not_grow_with_the_slots():
+    texts = [brute.prose(i, 400, 10**6) for i in range(300)]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([i * 10**9 for i in range(300)]), pa.array(texts), pa.array(range(300))], ["doc_id", "text", "text_hash"])
+    sent = {}
+    for slots in (200, 20_000):
+        rows = list(window_dedup._sent([batch], slots, 13, 1 << 22))
+        assert sum(r.num_rows for r in rows) == min(slots, len({s for r in rows for s in r["slot"].to_pylist()}))
+        sent[slots] = sum(r.nbytes for r in rows)
+    assert sent[20_000] < 3 * sent[200]
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.lists(st.integers(-(2**63), 2**63 - 1)), st.integers(1, 4))
+def test_runs_are_packed_and_unpacked(numbers, times):
+    repeated = np.repeat(np.array(numbers, np.int64), times)
+    assert repeats.unpack_runs(repeats.pack_runs(repeated)).tolist() == repeated.tolist()
+
+
 def test_simhash(documents, corpus):
     prints = [brute.fingerprint(text) for _, text in corpus]
     roots = brute.groups(len(prints), lambda i, j: (prints[i] ^ prints[j]).bit_count() <= 4)

@@ -4,7 +4,9 @@ Three steps that the dedup operators share:
 
 1. A map task turns a batch of documents into entries (a key at a place) and deals them to slots by
    key. What goes to one slot is one row: the keys, the gaps between the places and, where the slot
-   has to know them, the ids of the batch's documents, all packed. A key that occurs often is thinned
+   has to know them, the ids of the documents these entries lie in, all packed. So a row grows with
+   its entries alone, and what a batch sends does not grow with the number of slots but for some 100
+   bytes a row. A key that occurs often is thinned
    in the batch before it is sent.
 2. A slot brings equal keys of all batches together and marks places. Each batch gets back the
    places that its slot marked.
@@ -23,8 +25,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-SENT = "slot int, batch long, rows int, header binary, keys binary, places binary, own binary"
-BACK = "batch long, rows int, own binary, header binary, first binary, second binary"
+SENT = "slot int, batch long, rows int, ids binary, keys binary, places binary, own binary"
+BACK = "batch long, rows int, own binary, first binary, second binary"
+# Rows that are handed over at once.
+ROWS_AT_ONCE = 256
 # Id given to documents without one: no id is larger.
 NO_ID = np.iinfo(np.int64).max
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)  # odd, from the golden ratio
@@ -127,17 +131,28 @@ def unpack_header(packed: bytes, columns: int) -> list[np.ndarray]:
     return [np.ascontiguousarray(p.T).view("<i8").ravel().astype(np.int64) for p in planes]
 
 
+def pack_runs(numbers: np.ndarray) -> bytes:
+    """Numbers of which neighbours are often equal, as runs."""
+    starts = np.flatnonzero(np.diff(numbers, prepend=numbers[:1] - 1)) if len(numbers) else np.zeros(0, np.int64)
+    return pack_header([numbers[starts], np.diff(starts, append=len(numbers))])
+
+
+def unpack_runs(packed: bytes) -> np.ndarray:
+    values, lengths = unpack_header(packed, 2)
+    return np.repeat(values, lengths)
+
+
 def sent_rows(
     slots: int,
     slot: np.ndarray,
     keys: np.ndarray,
     places: np.ndarray,
     own: list[bytes],
-    header: bytes | None = None,
+    ids: np.ndarray | None = None,
 ) -> Iterator[pa.RecordBatch]:
     """One row per slot that gets entries; the first row also carries what only the batch needs.
 
-    ``keys`` has a row per entry; ``places`` ascend; ``header`` goes to every slot.
+    ``keys`` has a row per entry; ``places`` ascend; ``ids`` are those of the entries' documents.
     """
     import xxhash
 
@@ -148,22 +163,22 @@ def sent_rows(
         used = np.zeros(1, np.int64)
     packed = join_parts(own)
     name = xxhash.xxh64(packed)
-    name.update(header or b"")
     name.update(keys.tobytes())
     batch = int(np.uint64(name.intdigest()).view(np.int64))
-    for number, target in enumerate(used):
-        part = order[bounds[target] : bounds[target + 1]]
+    for begin in range(0, len(used), ROWS_AT_ONCE):
+        targets = used[begin : begin + ROWS_AT_ONCE]
+        parts = [order[bounds[target] : bounds[target + 1]] for target in targets]
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array([target], pa.int32()),
-                pa.array([batch], pa.int64()),
-                pa.array([len(used)], pa.int32()),
-                pa.array([header], pa.binary()),
-                pa.array([np.ascontiguousarray(keys[part]).tobytes()], pa.binary()),
-                pa.array([pack_numbers(places[part])], pa.binary()),
-                pa.array([packed if not number else None], pa.binary()),
+                pa.array(targets, pa.int32()),
+                pa.array(np.full(len(targets), batch)),
+                pa.array(np.full(len(targets), len(used), np.int32)),
+                pa.array([None if ids is None else pack_runs(ids[part]) for part in parts], pa.binary()),
+                pa.array([np.ascontiguousarray(keys[part]).tobytes() for part in parts], pa.binary()),
+                pa.array([pack_numbers(places[part]) for part in parts], pa.binary()),
+                pa.array([None if begin + i else packed for i in range(len(targets))], pa.binary()),
             ],
-            ["slot", "batch", "rows", "header", "keys", "places", "own"],
+            ["slot", "batch", "rows", "ids", "keys", "places", "own"],
         )
 
 
@@ -182,28 +197,17 @@ def split_parts(packed: bytes) -> list[bytes]:
 Judge = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
-def judged(
-    sent: DataFrame,
-    judge: Judge,
-    width: int,
-    ids: Callable[[bytes, np.ndarray], np.ndarray] | None = None,
-) -> DataFrame:
+def judged(sent: DataFrame, judge: Judge, width: int) -> DataFrame:
     """Bring equal keys (``width`` numbers each) together and send each batch its marked places.
 
-    ``judge(keys, ids)`` returns two masks over the entries of a slot; ``ids(header, places)`` gives
-    the number of the document of each place.
+    ``judge(keys, ids)`` returns two masks over the entries of a slot; ``ids`` are empty if none were sent.
     """
 
     def in_slot(group: pa.Table) -> pa.Table:
-        packed, headers = group.column("places").to_pylist(), group.column("header").to_pylist()
-        places = [unpack_numbers(p) for p in packed]
+        places = [unpack_numbers(p) for p in group.column("places").to_pylist()]
         keys = np.frombuffer(b"".join(group.column("keys").to_pylist()), "<u8").reshape(-1, width)
-        owners = (
-            np.concatenate([ids(h, p) for h, p in zip(headers, places)])
-            if ids is not None
-            else np.zeros(0, np.int64)
-        )
-        masks = judge(keys, owners)
+        ids = [unpack_runs(p) for p in group.column("ids").to_pylist() if p is not None]
+        masks = judge(keys, np.concatenate([np.zeros(0, np.int64), *ids]))
         ends = np.cumsum([len(p) for p in places])
         first, second = (
             [pack_numbers(p[mask[end - len(p) : end]]) for p, end in zip(places, ends)] for mask in masks
@@ -212,10 +216,6 @@ def judged(
             "batch": group.column("batch"),
             "rows": group.column("rows"),
             "own": group.column("own"),
-            "header": pa.array(
-                [h if o is not None else None for h, o in zip(headers, group.column("own").to_pylist())],
-                pa.binary(),
-            ),
             "first": pa.array(first, pa.binary()),
             "second": pa.array(second, pa.binary()),
         })
@@ -225,10 +225,10 @@ def judged(
 
 def per_batch(
     back: DataFrame,
-    collect: Callable[[list[bytes], bytes | None, np.ndarray, np.ndarray], pa.Table],
+    collect: Callable[[list[bytes], np.ndarray, np.ndarray], pa.Table],
     schema: str,
 ) -> DataFrame:
-    """Turn the marks of each batch into rows: ``collect(own, header, first, second)``."""
+    """Turn the marks of each batch into rows: ``collect(own, first, second)``."""
 
     def of_batch(group: pa.Table) -> pa.Table:
         rows = group.to_pylist()
@@ -239,7 +239,7 @@ def per_batch(
             np.unique(np.concatenate([unpack_numbers(row[name]) for row in rows]))
             for name in ("first", "second")
         )
-        return collect(split_parts(chief["own"]), chief["header"], first, second)
+        return collect(split_parts(chief["own"]), first, second)
 
     return back.groupBy("batch").applyInArrow(of_batch, schema)
 

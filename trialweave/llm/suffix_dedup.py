@@ -273,7 +273,7 @@ def compare_stretches(documents: DataFrame, length: int = LENGTH) -> DataFrame:
         # Of a stretch that occurs again one is compared with others.
         return again, shared & first
 
-    def collect(own, header, first, second):
+    def collect(own, first, second):
         ids, texts, offsets, sizes = repeats.unpack_header(own[0], 4)
         low, high, again, shared = (repeats.unpack_numbers(part) for part in own[1:])
         ends_of = np.cumsum(sizes)
@@ -376,7 +376,7 @@ def compare_windows(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     def judge(keys, owners):
         return _again(keys.ravel())[0], np.zeros(len(keys), bool)
 
-    def collect(own, header, first, second):
+    def collect(own, first, second):
         ids, texts, offsets, n = repeats.unpack_header(own[0], 4)
         places = np.union1d(first, repeats.unpack_numbers(own[1]))
         ends_of = np.cumsum(n)

@@ -4,6 +4,7 @@ All windows of all documents are hashed and counted; a window whose words also s
 a smaller id marks its words, and marked windows merge into maximal intervals, which are removed. Windows
 are judged on the input, not on what is left.
 
+Words are hashed by XXH64, and windows roll over these hashes.
 Equality of windows is equality of a 64-bit rolling hash and of the slot, which comes from a second,
 independent one. A slot has about the same number of windows at any size of input, so the expected
 number of false matches is the number of windows times 2e-14.
@@ -22,6 +23,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,8 +38,9 @@ SCHEMA = (
     "doc_id long, n_words long, n_removed long, kept_sha256 string, "
     "removed array<struct<start: long, end: long>>"
 )
+# Two seeds for hashes that do not depend on each other.
+SEEDS = (0, 1)
 _BLANK = re.compile(rb"[\x20\x09-\x0D]")
-_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 
 
 def _chunks(texts: list[bytes]):
@@ -60,23 +63,33 @@ def _chunks(texts: list[bytes]):
         yield chunk
 
 
+class _Codes(dict):
+    """Numbers for words, in the order in which they are first met."""
+
+    def __missing__(self, word: bytes) -> int:
+        code = self[word] = len(self)
+        return code
+
+
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Two hashes of every word of all texts, one after the other, and the words of each text."""
-    found: list[list[np.ndarray]] = [[], []]
+    """Two hashes of every word of all texts, one after the other, and the words of each text.
+
+    Words are hashed by XXH64: unlike a polynomial modulo 2**64 it gives no two words one hash because
+    of how their letters are arranged.
+    """
+    codes, found = _Codes(), [np.zeros(0, np.int64)]
     counts = np.zeros(len(texts), np.int64)
     for chunk in _chunks(texts):
-        joined = np.frombuffer(b" ".join([*(part for _, part in chunk), b""]), np.uint8)
-        starts, ends = repeats.runs_of(~_SPACE[joined])
-        ends_of = np.cumsum([len(part) + 1 for _, part in chunk])
-        owner = np.searchsorted(ends_of, starts, side="right")
-        np.add.at(counts, [number for number, _ in chunk], np.bincount(owner, minlength=len(chunk)))
-        numbers = joined.astype(np.uint64) + np.uint64(1)
-        lengths = (ends - starts).astype(np.uint64)
-        for hashes, base in zip(found, repeats.BASES):
-            rolled = repeats.RollingHash(numbers, base).of(starts, ends)
-            hashes.append(repeats.mixed(rolled + lengths * np.uint64(base)))
-    one, two = (np.concatenate([np.zeros(0, np.uint64), *hashes]) for hashes in found)
-    return one, two, counts
+        for number, part in chunk:
+            words = part.split()
+            counts[number] += len(words)
+            found.append(np.fromiter(map(codes.__getitem__, words), np.int64, len(words)))
+    order = np.concatenate(found)
+    one, two = (
+        np.fromiter((xxhash.xxh64_intdigest(word, seed) for word in codes), np.uint64, len(codes))
+        for seed in SEEDS
+    )
+    return one[order], two[order], counts
 
 
 def _windows(counts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -104,8 +117,8 @@ def _sent(batches, slots: int, size: int, limit: int):
         places = np.nonzero(~marked)[0]
         yield from repeats.sent_rows(
             slots, slot[places], hashes[places], places,
-            [repeats.pack_header([text_hashes]), repeats.pack_numbers(np.nonzero(marked)[0])],
-            repeats.pack_header([ids, counts]),
+            [repeats.pack_header([ids, counts, text_hashes]), repeats.pack_numbers(np.nonzero(marked)[0])],
+            owners[places],
         )
 
 
@@ -131,24 +144,18 @@ def repeated_spans(documents: DataFrame, size: int = WINDOW) -> DataFrame:
     limit = BATCH_BYTES
     sent = documents.mapInArrow(lambda batches: _sent(batches, slots, size, limit), repeats.SENT)
 
-    def ids(header, places):
-        id_of, counts = repeats.unpack_header(header, 2)
-        n = np.maximum(counts - size + 1, 0)
-        return id_of[np.searchsorted(np.cumsum(n), places, side="right")]
-
     def judge(keys, owners):
         return _later(keys.ravel(), owners), np.zeros(len(owners), bool)
 
-    def collect(own, header, first, second):
-        id_of, counts = repeats.unpack_header(header, 2)
-        (text_hashes,) = repeats.unpack_header(own[0], 1)
+    def collect(own, first, second):
+        id_of, counts, text_hashes = repeats.unpack_header(own[0], 3)
         first_words, _ = _windows(counts, size)
         marked = first_words[np.union1d(first, repeats.unpack_numbers(own[1]))]
         starts, ends = repeats.runs_of(repeats.covered(int(counts.sum()), marked, marked + size))
         starts, ends = _within(starts, ends, np.cumsum(counts))
         return repeats.span_rows(id_of, text_hashes, np.cumsum(counts), starts, ends)
 
-    back = repeats.judged(sent, judge, 1, ids)
+    back = repeats.judged(sent, judge, 1)
     return repeats.per_batch(back, collect, repeats.SPANS).distinct()
 
 
