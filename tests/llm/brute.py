@@ -9,6 +9,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from html.parser import HTMLParser
 
 import numpy as np
 import public_tokenizers
@@ -195,3 +196,75 @@ def representatives(rows):
     for row, root in zip(rows, roots):
         least[root] = min(least.get(root, row), row, key=order)
     return list(least.values())
+
+
+class _Plain(HTMLParser):
+    """Blocks of well-formed pages, with their whole paths as texts."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.open, self.blocks, self.text, self.links, self.linked = [], [], "", 0, 0
+
+    def finish(self):
+        text = " ".join(self.text.split())
+        if text and not {"nav", "footer", "aside", "form"} & set(self.open):
+            self.blocks.append(("/".join(self.open), text, min(self.linked, len(text)), "article" in self.open))
+        self.text, self.linked = "", 0
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "a":
+            self.links += 1
+        elif tag not in ("b", "i"):
+            self.finish()
+            self.open.append(tag)
+
+    def handle_endtag(self, tag):
+        if tag == "a":
+            self.links -= 1
+        elif tag not in ("b", "i"):
+            self.finish()
+            self.open.pop()
+
+    def handle_data(self, data):
+        self.text += data
+        if self.links:
+            self.linked += len(data.strip())
+
+
+def main_text(page, share, given, beyond, marks):
+    """Tag-path ratios of a well-formed page whose articles, if any, all count: path by path, block by block."""
+    reader = _Plain()
+    reader.feed(page)
+    reader.finish()
+    blocks = reader.blocks
+    some = any(b[3] for b in blocks)
+    group = [(path, within or not some) for path, _, _, within in blocks]
+    mean = lambda values: sum(values) / len(values)
+    ratios = {}
+    for g in set(group):
+        own = [b for b, h in zip(blocks, group) if h == g]
+        ratios[g] = (mean([len(t) - n for _, t, n, _ in own]), mean([len(marks.findall(t)) for _, t, _, _ in own]))
+    line = [ratios[g] for g in group]
+    smooth = []
+    for i in range(len(line)):
+        near = [line[min(max(i + d, 0), len(line) - 1)] for d in (-2, -1, 0, 1, 2)]
+        smooth.append([sum(w * r[k] for w, r in zip((1, 4, 6, 4, 1), near)) / 16 for k in (0, 1)])
+    fused = {}
+    for g in set(group):
+        length, punctuation = ([s[k] for s, h in zip(smooth, group) if h == g] for k in (0, 1))
+        fused[g] = math.sqrt(mean(length) * (1 + mean(punctuation)))
+    best = max(fused.values(), default=0) or 1
+    out = []
+    for (path, text, _, _), g in zip(blocks, group):
+        own = [b for b, h in zip(blocks, group) if h == g]
+        unlinked = sum(len(t) - n for _, t, n, _ in own) / sum(len(t) for _, t, _, _ in own)
+        last = path.split("/")[-1]
+        score = fused[g] / best
+        if some and g[1]:
+            part = given(last)
+            score = (part + (1 - part) * score) * (unlinked if last in ("li", "div", "section", "article", "ul") else 1)
+        elif some:
+            score *= beyond * unlinked
+        if score >= share:
+            out.append(text)
+    return out

@@ -698,7 +698,7 @@ def test_path_scores_favour_long_punctuated_paths():
     blocks, _ = html_text.blocks_of(
         "<div><ul>" + "<li>Word</li>" * 8 + "</ul></div><div><p>" + "<p>".join(["Long, long text; with marks." * 4] * 6)
     )
-    scores = html_text.path_scores(blocks, None)
+    scores = {(str(path), within): score for (path, within), score in html_text.path_scores(blocks, None).items()}
     assert scores["div/p", True] == 1.0
     assert scores["div/ul/li", True] < html_text.SHARE
 

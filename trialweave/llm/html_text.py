@@ -6,15 +6,20 @@ smoothed over the blocks in page order, so that a short paragraph or a heading b
 are content.
 
 Where the page has ``article`` or ``main`` elements, markup and ratios share the score: within them a
-path is given a part by its last element (a heading enough, other text elements nearly enough, mere
-containers less) and the ratios give the rest, times the path's share of text outside links; beyond them
-the ratios count less than half. All articles and mains count by their own text, but those with less than ``SHARE``
+path is given a part by its last element (a heading enough, other text elements half of that, mere containers
+little) and the ratios give the rest; beyond them the ratios count less than half. Links lower the ratios,
+and beyond articles, in lists and in mere containers the whole score, by the path's share of text outside
+links; a linked heading, paragraph or caption within an article stays, a list of nothing but links goes. All articles and mains count by their own text, but those with less than ``SHARE``
 of the largest one's that are links for ``SHARE`` of their text or more, as teasers are.
 
 What can be told by its markup never becomes a block: menus, page headers, footers, sidebars, forms,
 scripts, styles, hidden and embedded elements. Elements whose class or id has a listed word (notices,
 adverts, reader comments) go as well, unless they hold an article or main that counts, or hold most of
-the page's text outside links while no article or main that counts stands apart from them.
+the page's text outside links while no article or main that counts stands apart from them. A paragraph,
+heading or other text element within an article never goes for such a word.
+
+Open elements know their path, innermost article and innermost listed element, so the time grows with the
+page, however deep its elements are.
 
 Blocks are decoded, their white space becomes single spaces, and two line ends join them in page order.
 
@@ -40,7 +45,7 @@ from trialweave.llm.common import record_batch, slices
 SCHEMA = "page_id long, url string, text string, n_chars long, n_blocks long"
 SHARE = 0.25
 # What standing within the article gives a path's score, by its last element; the ratios give the rest.
-WITHIN_BARE, WITHIN_TEXT, WITHIN_HEADING = 0.1, 0.24, SHARE
+WITHIN_BARE, WITHIN_TEXT, WITHIN_HEADING = 0.05, SHARE / 2, SHARE
 BEYOND = 0.4  # the weight of the ratios beyond the article
 KERNEL = np.array([1.0, 4.0, 6.0, 4.0, 1.0]) / 16
 PUNCTUATION = re.compile(r"[.,;:!?…。，、！？；：¿¡]")
@@ -61,6 +66,7 @@ BLOCKS = frozenset(
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # Elements for running text; others merely contain it.
 TEXTS = frozenset("p li dt dd td th pre blockquote figcaption caption".split())
+ITEMS = frozenset("li dt dd".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style xmp iframe noembed noframes title textarea plaintext".split())
 # Elements that never hold article text.
@@ -92,73 +98,119 @@ CLOSED_BY_SAME = {
 CLOSES_PARAGRAPH = BLOCKS - frozenset("body html head td th tr tbody thead tfoot caption li dt dd".split())
 
 
+class Path:
+    """Element names from the root, shared by all that stand at the same path."""
+
+    __slots__ = ("above", "last", "below")
+
+    def __init__(self, above: Path | None, last: str):
+        self.above, self.last = above, last
+        self.below: dict[str, Path] = {}
+
+    def __truediv__(self, name: str) -> Path:
+        if name not in self.below:
+            self.below[name] = Path(self, name)
+        return self.below[name]
+
+    def __str__(self) -> str:
+        names, path = [], self
+        while path.above is not None:
+            names.append(path.last)
+            path = path.above
+        return "/".join(reversed(names))
+
+
 @dataclass
 class Block:
-    path: str
+    path: Path
     text: str
     linked: int  # characters within links
-    scopes: tuple[int, ...]  # the articles and mains it stands in
+    scope: int  # the innermost article or main it stands in, -1 if there is none
 
 
 @dataclass
 class _Scope:
     """An article or main. Elements with a listed class or id are called by their number."""
 
-    named: tuple[int, ...]  # the elements around it
+    named: int  # the innermost such element around it, itself included, or -1
     itself: bool  # has it such a class or id of its own?
-    around: tuple[int, ...]  # the articles and mains it stands in
+    around: int  # the article or main it stands in, or -1
+
+
+@dataclass
+class _Listed:
+    """An element with a listed class or id."""
+
+    named: int  # the innermost other one around it, or -1
+    around: int  # the article or main it stands in, or -1
 
 
 @dataclass
 class _Part:
     text: str
     linked: int
-    named: tuple[int, ...]
+    named: int
+
+
+@dataclass
+class _Open:
+    """An open element and what is around it, itself included."""
+
+    name: str
+    outside: bool
+    path: Path
+    scope: int
+    named: int
 
 
 @dataclass
 class _Reader:
     """Open elements and the text of the block that is being read."""
 
-    # name, outside, scope number, listed elements around
-    stack: list[tuple[str, bool, int, tuple[int, ...]]] = field(default_factory=list)
+    stack: list[_Open] = field(default_factory=lambda: [_Open("", False, Path(None, ""), -1, -1)])
+    places: dict[str, list[int]] = field(default_factory=lambda: defaultdict(list))  # of open elements, by name
+    block_places: list[int] = field(default_factory=list)
     parts: list[_Part] = field(default_factory=list)
-    blocks: list[tuple[str, tuple[int, ...], list[_Part]]] = field(default_factory=list)
+    blocks: list[tuple[Path, int, list[_Part]]] = field(default_factory=list)
     in_link: int = 0
     scopes: list[_Scope] = field(default_factory=list)
-    within: dict[int, tuple[int, ...]] = field(default_factory=dict)  # scopes around a listed element
+    listed: list[_Listed] = field(default_factory=list)
 
     def outside(self) -> bool:
-        return bool(self.stack) and self.stack[-1][1]
-
-    def named(self) -> tuple[int, ...]:
-        return self.stack[-1][3] if self.stack else ()
-
-    def around(self) -> tuple[int, ...]:
-        return tuple(scope for _, _, scope, _ in self.stack if scope >= 0)
+        return self.stack[-1].outside
 
     def read(self, text: str) -> None:
-        self.parts.append(_Part(text, len(text.strip()) if self.in_link else 0, self.named()))
+        linked = len(html.unescape(text).strip()) if self.in_link else 0
+        self.parts.append(_Part(text, linked, self.stack[-1].named))
 
     def finish(self) -> None:
         """End the block: what was read belongs to the elements open now."""
         if self.parts:
-            path = "/".join(name for name, _, _, _ in self.stack)
-            self.blocks.append((path, self.around(), self.parts))
+            self.blocks.append((self.stack[-1].path, self.stack[-1].scope, self.parts))
             self.parts = []
 
+    def drop(self, place: int) -> None:
+        """Close the element at a place and all within it."""
+        while len(self.stack) > place:
+            self.places[self.stack.pop().name].pop()
+        while self.block_places and self.block_places[-1] >= place:
+            self.block_places.pop()
+
     def close_to(self, place: int) -> None:
         self.finish()
-        del self.stack[place:]
+        self.drop(place)
 
     def find(self, name: str, until: tuple[str, ...] = ()) -> int:
-        """The place of the innermost open element of that name, or -1."""
-        for place in range(len(self.stack) - 1, -1, -1):
-            if self.stack[place][0] == name:
-                return place
-            if self.stack[place][0] in until:
-                return -1
-        return -1
+        """The place of the innermost open element of that name, or -1; none beyond those of ``until``."""
+        place = self.places[name][-1] if self.places[name] else -1
+        beyond = max((self.places[other][-1] for other in until if self.places[other]), default=-1)
+        return place if place > beyond else -1
+
+    def push(self, name: str, outside: bool, scope: int, named: int, block: bool) -> None:
+        self.places[name].append(len(self.stack))
+        if block:
+            self.block_places.append(len(self.stack))
+        self.stack.append(_Open(name, outside, self.stack[-1].path / name, scope, named))
 
     def open(self, name: str, attributes: str) -> None:
         if name in CLOSES_PARAGRAPH:
@@ -172,23 +224,23 @@ class _Reader:
                 if place >= 0:
                     self.close_to(place)
         known = _known(attributes) if attributes.strip() else {}
-        around = self.around()
-        outside = self.outside() or _is_outside(name, known, bool(around))
-        listed = not outside and _is_listed(name, known, bool(around))
-        named = self.named()
+        above = self.stack[-1]
+        scope, named = above.scope, above.named
+        outside = above.outside or _is_outside(name, known, scope >= 0)
+        running = scope >= 0 and (name in TEXTS or name in HEADINGS)
+        listed = not outside and not running and _is_listed(name, known, scope >= 0)
         if listed:
-            named += (len(self.within),)
-            self.within[named[-1]] = around
+            self.listed.append(_Listed(named, scope))
+            named = len(self.listed) - 1
         if name in BLOCKS:
             self.finish()
-            scope = -1
             if not outside and (name in ("article", "main") or known.get("role") in ("main", "article")):
-                scope = len(self.scopes)
-                self.scopes.append(_Scope(named, listed, around))
-            self.stack.append((name, outside, scope, named))
-        elif listed or (outside and not self.outside()):
+                self.scopes.append(_Scope(named, listed, scope))
+                scope = len(self.scopes) - 1
+            self.push(name, outside, scope, named, True)
+        elif listed or (outside and not above.outside):
             # An inline element that stands outside is kept on the stack, without ending its block.
-            self.stack.append((name, outside, -1, named))
+            self.push(name, outside, scope, named, False)
 
     def close(self, name: str) -> None:
         place = self.find(name)
@@ -198,8 +250,8 @@ class _Reader:
             return
         if name in BLOCKS:
             self.close_to(place)
-        elif all(other not in BLOCKS for other, _, _, _ in self.stack[place + 1 :]):
-            del self.stack[place:]
+        elif not self.block_places or self.block_places[-1] < place:
+            self.drop(place)
 
 
 def _known(attributes: str) -> dict[str, str]:
@@ -250,33 +302,43 @@ def _counting(sizes: dict[int, np.ndarray]) -> frozenset[int]:
     )
 
 
-def _discarded(reader: _Reader) -> set[int]:
-    """The listed elements that go.
+def _discarded(reader: _Reader) -> list[bool]:
+    """Whether each listed element goes, by itself or with one around it.
 
     Those stay that hold an article or main that counts, and those that hold most of the page's text
     outside links if none that counts stands apart from them.
     """
-    if not reader.within:
-        return set()
+    scopes, listed = reader.scopes, reader.listed
+    if not listed:
+        return []
     sizes: dict[int, np.ndarray] = defaultdict(lambda: np.zeros(2, np.int64))
-    held: dict[int, int] = defaultdict(int)
-    total = 0
-    for _, around, parts in reader.blocks:
+    held, total = [0] * len(listed), 0
+    for _, scope, parts in reader.blocks:
         for part in parts:
             size = _lengths([part])
             total += int(size[0])
-            for element in part.named:
-                held[element] += int(size[0])
-            if around and part.named == reader.scopes[around[-1]].named:
-                sizes[around[-1]] += size
-    counting = _counting({scope: size for scope, size in sizes.items() if not reader.scopes[scope].itself})
-    gone = set()
-    for element, around in reader.within.items():
-        if any(element in reader.scopes[scope].named for scope in counting):
-            continue
-        if 2 * held[element] > total and counting <= set(around):
-            continue
-        gone.add(element)
+            if part.named >= 0:
+                held[part.named] += int(size[0])
+            if scope >= 0 and part.named == scopes[scope].named:
+                sizes[scope] += size
+    counting = _counting({scope: size for scope, size in sizes.items() if not scopes[scope].itself})
+    holds = [False] * len(listed)
+    for scope in counting:
+        if scopes[scope].named >= 0:
+            holds[scopes[scope].named] = True
+    for element in range(len(listed) - 1, -1, -1):  # an element comes after the one around it
+        around = listed[element].named
+        if around >= 0:
+            held[around] += held[element]
+            holds[around] |= holds[element]
+    counted: list[int] = []  # of each article and those around it, how many count
+    for scope, known in enumerate(scopes):
+        counted.append((counted[known.around] if known.around >= 0 else 0) + (scope in counting))
+    gone: list[bool] = []
+    for element, known in enumerate(listed):
+        apart = (counted[known.around] if known.around >= 0 else 0) < len(counting)
+        stays = holds[element] or (2 * held[element] > total and not apart)
+        gone.append(not stays or (known.named >= 0 and gone[known.named]))
     return gone
 
 
@@ -286,14 +348,14 @@ def blocks_of(page: str) -> tuple[list[Block], frozenset[int]]:
     gone = _discarded(reader)
     blocks = []
     sizes: dict[int, np.ndarray] = defaultdict(lambda: np.zeros(2, np.int64))
-    for path, around, parts in reader.blocks:
-        kept = [part for part in parts if gone.isdisjoint(part.named)] if gone else parts
+    for path, scope, parts in reader.blocks:
+        kept = [part for part in parts if part.named < 0 or not gone[part.named]]
         text = " ".join(html.unescape("".join([part.text for part in kept])).split())
         if text:
             linked = min(sum(part.linked for part in kept), len(text))
-            blocks.append(Block(path, text, linked, around))
-            if around:
-                sizes[around[-1]] += (len(text) - linked, len(text))
+            blocks.append(Block(path, text, linked, scope))
+            if scope >= 0:
+                sizes[scope] += (len(text) - linked, len(text))
     return blocks, _counting(sizes)
 
 
@@ -334,30 +396,29 @@ def _read(page: str) -> _Reader:
     return reader
 
 
-def _key(block: Block, articles: frozenset[int]) -> tuple[str, bool]:
-    return block.path, not articles or (bool(block.scopes) and block.scopes[-1] in articles)
+def _key(block: Block, articles: frozenset[int]) -> tuple[Path, bool]:
+    return block.path, not articles or block.scope in articles
 
 
-def _given(path: str) -> float:
-    last = path.rpartition("/")[2]
-    return WITHIN_HEADING if last in HEADINGS else WITHIN_TEXT if last in TEXTS else WITHIN_BARE
+def _given(path: Path) -> float:
+    return WITHIN_HEADING if path.last in HEADINGS else WITHIN_TEXT if path.last in TEXTS else WITHIN_BARE
 
 
-def path_scores(blocks: list[Block], articles: frozenset[int] | None) -> dict[tuple[str, bool], float]:
+def path_scores(blocks: list[Block], articles: frozenset[int] | None) -> dict[tuple[Path, bool], float]:
     """A score from 0 to 1 for each path, apart for blocks within and outside the articles."""
     articles = articles or frozenset()
 
-    def key(block: Block) -> tuple[str, bool]:
+    def key(block: Block) -> tuple[Path, bool]:
         return _key(block, articles)
 
-    totals: dict[tuple[str, bool], np.ndarray] = defaultdict(lambda: np.zeros(4))
+    totals: dict[tuple[Path, bool], np.ndarray] = defaultdict(lambda: np.zeros(4))
     for block in blocks:
         marks = len(PUNCTUATION.findall(block.text))
         totals[key(block)] += (len(block.text) - block.linked, marks, 1, len(block.text))
     ratios = np.array([totals[key(b)][:2] / totals[key(b)][2] for b in blocks])
     padded = np.pad(ratios, ((2, 2), (0, 0)), mode="edge")
     smooth = sum(weight * padded[i : i + len(blocks)] for i, weight in enumerate(KERNEL))
-    sums: dict[tuple[str, bool], np.ndarray] = defaultdict(lambda: np.zeros(2))
+    sums: dict[tuple[Path, bool], np.ndarray] = defaultdict(lambda: np.zeros(2))
     for block, value in zip(blocks, smooth):
         sums[key(block)] += value
     means = {path: value / totals[path][2] for path, value in sums.items()}
@@ -370,7 +431,9 @@ def path_scores(blocks: list[Block], articles: frozenset[int] | None) -> dict[tu
             scores[path] = value / best
         elif path[1]:
             given = _given(path[0])
-            scores[path] = unlinked * (given + (1 - given) * value / best)
+            scores[path] = given + (1 - given) * value / best
+            if given == WITHIN_BARE or path[0].last in ITEMS:
+                scores[path] *= unlinked
         else:
             scores[path] = unlinked * BEYOND * value / best
     return scores
