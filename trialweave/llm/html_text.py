@@ -6,7 +6,7 @@ smoothed over the blocks in page order, so that a short paragraph or a heading b
 are content.
 
 Where the page has ``article`` or ``main`` elements, markup and ratios share the score: within them a
-path is given a part by its last element (a heading enough, other text elements half of that, mere containers
+path is given a part by its last element (a heading enough, other text elements most of that, mere containers
 little) and the ratios give the rest; beyond them the ratios count less than half. Links lower the ratios,
 and beyond articles, in lists and in mere containers the whole score, by the path's share of text outside
 links; a linked heading, paragraph or caption within an article stays, a list of nothing but links goes. All articles and mains count by their own text, but those with less than ``SHARE``
@@ -45,7 +45,7 @@ from trialweave.llm.common import record_batch, slices
 SCHEMA = "page_id long, url string, text string, n_chars long, n_blocks long"
 SHARE = 0.25
 # What standing within the article gives a path's score, by its last element; the ratios give the rest.
-WITHIN_BARE, WITHIN_TEXT, WITHIN_HEADING = 0.05, SHARE / 2, SHARE
+WITHIN_BARE, WITHIN_TEXT, WITHIN_HEADING = 0.1, 0.2, SHARE
 BEYOND = 0.4  # the weight of the ratios beyond the article
 KERNEL = np.array([1.0, 4.0, 6.0, 4.0, 1.0]) / 16
 PUNCTUATION = re.compile(r"[.,;:!?…。，、！？；：¿¡]")
