@@ -33,6 +33,8 @@ from trialweave.llm.components import saved
 
 WINDOW = 13
 BATCH_BYTES = 4 << 20
+# Several slots per shuffle partition even out what hashing deals to one.
+SLOTS_PER_PARTITION = 8
 HASHED_BYTES = 1 << 19
 SCHEMA = (
     "doc_id long, n_words long, n_removed long, kept_sha256 string, "
@@ -140,7 +142,7 @@ def repeated_spans(documents: DataFrame, size: int = WINDOW) -> DataFrame:
 
     ``documents`` holds the columns doc_id, text and text_hash.
     """
-    slots = repeats.slots_of(documents.sparkSession, 2)
+    slots = repeats.slots_of(documents.sparkSession, SLOTS_PER_PARTITION)
     limit = BATCH_BYTES
     sent = documents.mapInArrow(lambda batches: _sent(batches, slots, size, limit), repeats.SENT)
 
