@@ -182,7 +182,7 @@ def test_splits_that_change_after_the_look_are_noticed(spark, tmp_path):
     own.conf.set("spark.sql.files.openCostInBytes", "0")
     own.conf.set("spark.sql.files.maxPartitionBytes", "100")
     out = delimited.read_delimited_split(own, str(tmp_path))
-    own.conf.set("spark.sql.files.maxPartitionBytes", "70")
+    own.conf.set("spark.sql.files.maxPartitionBytes", "13")
     with pytest.raises(Exception, match="splits have changed"):
         out.collect()
 
