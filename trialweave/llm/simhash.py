@@ -24,7 +24,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -270,24 +270,26 @@ def keep_representatives(
     """
     spark = documents.sparkSession
     # Names that no column of the documents has.
-    doc, text_hash, own_id, own_hash, rank = (
-        _free_name(documents, f"representative_{i}") for i in range(5)
-    )
+    *key, rank = (_free_name(documents, f"representative_{i}") for i in range(4))
     rows = saved(spark, fingerprints(documents, shingle, id_col, text_col, with_hash=True), "fingerprints")
     order = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "hash")
     distinct = rows.groupBy("fp").agg(F.min(order).alias("least"))
     least = with_roots(spark, distinct, max_bits).groupBy("root").agg(F.min("least").alias("least"))
-    kept = least.select(F.col("least.doc_id").alias(doc), F.col("least.hash").alias(text_hash))
-    named = documents.withColumns({own_id: F.col(id_col).cast("long"), own_hash: F.xxhash64(text_col)})
-    same = F.col(own_id).eqNullSafe(F.col(doc)) & (F.col(own_hash) == F.col(text_hash))
-    chosen = named.join(kept, same, "left_semi")
-    # Repeated rows: one stays. The limit of one row per key comes before the shuffle.
+    kept = least.select(*_key(F.col("least.doc_id"), F.col("least.hash"), key))
+    named = documents.withColumns(dict(zip(key, _key(F.col(id_col).cast("long"), F.xxhash64(text_col), key))))
+    chosen = named.join(kept, key, "left_semi")
     columns = [F.col(f"`{c}`") for c in documents.columns]
-    one = W.partitionBy(own_id, own_hash).orderBy(F.xxhash64(*columns))
+    one = W.partitionBy(*key).orderBy(F.xxhash64(*columns))
     chosen = chosen.withColumn(rank, F.row_number().over(one)).filter(F.col(rank) == 1)
     return chosen.select(*columns)
 
 
+def _key(doc: Column, text_hash: Column, names: list[str]) -> list[Column]:
+    """Id and text as columns without nulls: a plain join and the window after it share one shuffle."""
+    columns = [doc.isNull(), F.coalesce(doc, F.lit(0)), text_hash]
+    return [column.alias(name) for column, name in zip(columns, names)]
+
+
 def _free_name(frame: DataFrame, name: str) -> str:
     taken = {c.lower() for c in frame.columns}
     while name in taken:
