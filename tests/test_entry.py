@@ -31,4 +31,6 @@ def test_the_other_queries_work_without_the_training_data_ones(names):
         [sys.executable, "-c", CHECK.format(names=names)], cwd=ROOT, capture_output=True, text=True, timeout=120)
     assert out.returncode == 0, out.stderr
     assert out.stdout.split() == [str(len(QUERIES)), str(len(QUERIES)), "False"]
-    assert ("left out" in out.stderr) == ("trialweave.llm" not in names)
+    # Only what is there but lacks something is worth a warning.
+    there = (ROOT / "trialweave" / "llm" / "__init__.py").exists()
+    assert ("left out" in out.stderr) == (there and "trialweave.llm" not in names)
