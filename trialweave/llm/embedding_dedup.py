@@ -24,6 +24,8 @@ take no part, their component is null; rows with equal ids stay apart and share
 
 from __future__ import annotations
 
+from collections import deque
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -44,12 +46,12 @@ SAMPLE_ROWS = 16_384
 LEAST_SAMPLE = 1024
 # Long vectors get a smaller sample, so that it stays small on the driver.
 SAMPLE_VALUES = 4_000_000
-MAX_DEPTH = 16
+MAX_DEPTH = 32
 LEAST_ROWS = 16
 ROUND_DEPTH = 4
 PLAN_ROWS = 1024
 SEED = 20_231
-# A leaf's code: tree, node in the planned top, then for each round one more than the node in it (or 0).
+# A leaf's code: tree, node of the planned top, then for each round one more than the node in it (or 0).
 NODE_BITS, ROUND_BITS, ROUNDS = 18, 5, 7
 TOP_SHIFT = ROUND_BITS * ROUNDS
 # In place of a cut: the sample ended here, not the need for cuts.
@@ -57,21 +59,32 @@ OPEN = float("inf")
 
 
 class Tree:
-    """Cuts of one tree, nodes numbered as in a heap; a node without a cut is a leaf, open or not."""
+    """Cuts of one tree; a node without a cut is a leaf, open or not.
+
+    ``children`` is the left child of each node, the right one is the next.
+    """
 
     def __init__(
-        self, directions: np.ndarray, cuts: np.ndarray, blocks: np.ndarray, unfinished: np.ndarray, spill: float
+        self,
+        directions: np.ndarray,
+        cuts: np.ndarray,
+        children: np.ndarray,
+        blocks: np.ndarray,
+        unfinished: np.ndarray,
+        spill: float,
     ):
-        self.directions, self.cuts, self.spill = directions, cuts, spill
+        self.directions, self.cuts, self.children, self.spill = directions, cuts, children, spill
         self.blocks, self.unfinished = blocks, unfinished
 
     def leaves(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(row, leaf) for every leaf that each vector falls into."""
         cuts = np.broadcast_to(self.cuts, (len(vectors), len(self.cuts)))
-        return descend(vectors @ self.directions.T, cuts, self.spill)
+        return descend(vectors @ self.directions.T, cuts, self.children, self.spill)
 
 
-def descend(projected: np.ndarray, cuts: np.ndarray, spill: float) -> tuple[np.ndarray, np.ndarray]:
+def descend(
+    projected: np.ndarray, cuts: np.ndarray, children: np.ndarray, spill: float
+) -> tuple[np.ndarray, np.ndarray]:
     """(row, leaf) for every leaf a row falls into by its projections and its own row of cuts."""
     rows, nodes = np.arange(len(projected)), np.zeros(len(projected), np.int64)
     found_rows, found_nodes = [], []
@@ -87,7 +100,7 @@ def descend(projected: np.ndarray, cuts: np.ndarray, spill: float) -> tuple[np.n
         values = projected[rows, level]
         left, right = values <= cut + spill, values >= cut - spill
         rows = np.concatenate([rows[left], rows[right]])
-        nodes = np.concatenate([2 * nodes[left] + 1, 2 * nodes[right] + 2])
+        nodes = np.concatenate([children[nodes[left]], children[nodes[right]] + 1])
         level += 1
     return np.concatenate(found_rows), np.concatenate(found_nodes)
 
@@ -109,18 +122,21 @@ def plan_tree(sample: np.ndarray, total: int, seed: int, leaf_rows: int | None =
     leaf_rows = leaf_rows or LEAF_ROWS
     directions = _directions(seed, depth, sample.shape[1])
     spill = _spill(sample.shape[1])
-    cuts, blocks, unfinished = {}, {}, set()
+    cuts, children, blocks, unfinished = [], [], [], []
     scale = total / max(1, len(sample))
-    todo = [(0, 0, np.arange(len(sample)))]
+    # Nodes are numbered in the order in which they are met, level by level.
+    todo = deque([(0, np.arange(len(sample)))])
     while todo:
-        node, level, rows = todo.pop()
+        level, rows = todo.popleft()
         expected = len(rows) * scale
-        cuts[node], blocks[node] = np.nan, max(1, int(np.ceil(expected / BLOCK_ROWS)))
+        cuts.append(np.nan)
+        children.append(0)
+        blocks.append(max(1, int(np.ceil(expected / BLOCK_ROWS))))
+        unfinished.append(False)
         if expected <= leaf_rows:
             continue
         if level == depth or len(rows) < LEAST_ROWS:
-            if scale > 1:
-                unfinished.add(node)
+            unfinished[-1] = scale > 1
             continue
         unsorted = sample[rows] @ directions[level]
         values = np.sort(unsorted)
@@ -130,15 +146,18 @@ def plan_tree(sample: np.ndarray, total: int, seed: int, leaf_rows: int | None =
         best = int(np.argmin(near))
         if near[best] > 0.4 * len(rows):
             continue
-        cuts[node] = cut = float(candidates[best])
-        todo.append((2 * node + 1, level + 1, rows[unsorted <= cut + spill]))
-        todo.append((2 * node + 2, level + 1, rows[unsorted >= cut - spill]))
-    size = max(cuts) + 1
+        cuts[-1] = cut = float(candidates[best])
+        children[-1] = len(cuts) + len(todo)
+        todo.append((level + 1, rows[unsorted <= cut + spill]))
+        todo.append((level + 1, rows[unsorted >= cut - spill]))
+    if len(cuts) > 1 << NODE_BITS:
+        raise ValueError(f"a tree of {len(cuts)} nodes; take a smaller SAMPLE_ROWS or larger LEAF_ROWS")
     return Tree(
-        directions,
-        np.array([cuts.get(n, np.nan) for n in range(size)]),
-        np.array([blocks.get(n, 1) for n in range(size)], np.int64),
-        np.array([n in unfinished for n in range(size)]),
+        directions[: level + 1],
+        np.array(cuts),
+        np.array(children),
+        np.array(blocks, np.int64),
+        np.array(unfinished),
         spill,
     )
 
@@ -268,14 +287,20 @@ def _seed(codes: np.ndarray, round_: int) -> np.ndarray:
 
 
 def _plan_leaf(group: pa.Table, round_: int, leaf_rows: int) -> pa.Table:
-    """Cuts of ``ROUND_DEPTH`` more levels of one open leaf, by a sample of its vectors."""
+    """Cuts of ``ROUND_DEPTH`` more levels of one open leaf, by a sample of its vectors, nodes as in a heap."""
     size, leaf = group.column("size")[0].as_py(), group.column("leaf")[0].as_py()
     vectors = group.column("vector").combine_chunks().flatten().to_numpy(False).reshape(-1, size)
     seed = int(_seed(np.array([leaf]), round_)[0])
     tree = plan_tree(_unit(vectors), group.column("n")[0].as_py(), seed, leaf_rows, ROUND_DEPTH)
     cuts = np.full(2**ROUND_DEPTH - 1, np.nan)
-    held = np.where(tree.unfinished, OPEN, tree.cuts)[: len(cuts)]
-    cuts[: len(held)] = held
+    todo = [(0, 0)]
+    while todo:
+        node, place = todo.pop()
+        if place < len(cuts):
+            cuts[place] = OPEN if tree.unfinished[node] else tree.cuts[node]
+            if np.isfinite(cuts[place]):
+                left = int(tree.children[node])
+                todo += [(left, 2 * place + 1), (left + 1, 2 * place + 2)]
     return pa.table({
         "size": pa.array([size], pa.int32()),
         "leaf": pa.array([leaf], pa.int64()),
@@ -296,7 +321,7 @@ def _cut_further(batches, round_: int):
         for seed in np.unique(seeds):
             chosen = seeds == seed
             projected[chosen] = unit[chosen] @ _directions(int(seed), ROUND_DEPTH, size).T
-        rows, leaves = descend(projected, cuts, _spill(size))
+        rows, leaves = descend(projected, cuts, 2 * np.arange(inner) + 1, _spill(size))
         unfinished = (leaves >= inner) | (cuts[rows, leaves] == OPEN)
         taken = pa.array(np.where(unfinished, rows, 0), mask=~unfinished)
         yield pa.RecordBatch.from_arrays(
