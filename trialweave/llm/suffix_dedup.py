@@ -1,7 +1,7 @@
 """Substring dedup of byte strings by a sparse, range-partitioned suffix array.
 
 A byte goes if a string of ``LENGTH`` bytes that covers it also starts anywhere else. Sorting the suffix at
-every byte would move 200 times the input, so the array is sparse. In each window of ``LENGTH`` bytes the
+every byte moves 19 times the input, so the array is sparse. In each window of ``LENGTH`` bytes the
 ``LEAD``-byte string of smallest hash is its anchor; equal windows have their anchor at the same offset.
 Consecutive windows with one anchor form a stretch.
 
