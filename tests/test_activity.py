@@ -660,6 +660,19 @@ def test_staging_view_and_trends(spark):
     assert (row.daily_updates, row.avg_enrollment, row.industry_share) == (4, 15.0, 1.0)
 
 
+def test_enrollment_by_month_weighs_days_by_their_updates(spark):
+    df = activity(spark, ("2024-01-05", "A", 3, 10.0), ("2024-01-31", "A", 1, 20.0), ("2024-01-06", "A", 6, None),
+                  ("2024-02-01", "A", 2, 7.0), ("2024-02-01", "B", 5, None), ("2024-02-02", "B", 0, 9.0))
+    rows = marts.enrollment_by_month(staging.stg_daily_activity(df)).collect()
+    got = {(r.therapeutic_area, r.activity_month.isoformat()): tuple(r)[2:] for r in rows}
+    assert got == {
+        ("A", "2024-01-01"): (10, 15.0, 12.5),
+        ("A", "2024-02-01"): (2, 7.0, 7.0),
+        ("B", "2024-02-01"): (5, None, None),
+    }
+    assert marts.enrollment_by_month(staging.stg_daily_activity(df.limit(0))).count() == 0
+
+
 def _trends(spark, warehouse):
     return sorted((r.activity_date.isoformat(), r.therapeutic_area, r.daily_updates)
                   for r in tables.read_trends(spark, f"{warehouse}/mart_activity_trends").collect())

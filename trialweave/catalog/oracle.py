@@ -357,6 +357,12 @@ whole AS (SELECT * FROM numbered WHERE NOT cut),{_pulse('whole')}""", """
 SELECT *, (SELECT count(*) FROM numbered WHERE cut) AS set_aside FROM activity"""),
     "stg_daily_activity": _with(_STAGED_ACTIVITY, "SELECT * FROM stg_activity"),
     "activity_trends": _with(_TRENDS, "SELECT * FROM trends"),
+    "enrollment_by_month": _with(_STAGED_ACTIVITY, """
+SELECT therapeutic_area, date_trunc('month', activity_date)::DATE AS activity_month,
+       sum(update_count)::BIGINT AS update_count, round(avg(avg_enrollment), 6) AS avg_enrollment,
+       round(sum(avg_enrollment * update_count)
+             / nullif(sum(update_count) FILTER (avg_enrollment IS NOT NULL), 0), 6) AS weighted_enrollment
+FROM stg_activity GROUP BY ALL"""),
     "sync_skip_date": _with(_KNOWN, """
 SELECT * FROM known UNION ALL
 SELECT * FROM activity

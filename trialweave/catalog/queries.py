@@ -370,6 +370,13 @@ def activity_trends(spark, sf_dir):
     return marts.newest_first(_trends(spark, sf_dir))
 
 
+@query
+def enrollment_by_month(spark, sf_dir):
+    """Rounded, as sums of fractions depend on their order."""
+    means = marts.enrollment_by_month(staging.stg_daily_activity(_activity(spark, sf_dir)))
+    return means.withColumns({c: F.round(c, 6) for c in ("avg_enrollment", "weighted_enrollment")})
+
+
 @query
 def sync_skip_date(spark, sf_dir):
     """Staged days merged into a history that has some of them: known days stay as they are."""

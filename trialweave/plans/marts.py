@@ -53,6 +53,22 @@ def activity_trends(staged: DataFrame) -> DataFrame:
     )
 
 
+def enrollment_by_month(staged: DataFrame) -> DataFrame:
+    """Mean enrollment per area and month: of the rows, and of the updates behind them.
+
+    A row's mean weighs as many updates as the row counts, so a day with one update does not weigh as
+    much as one with thousands. Rows without a mean carry no weight; without any the means are null.
+    """
+    weight = F.when(F.col("avg_enrollment").isNotNull(), F.col("update_count"))
+    return staged.groupBy(
+        "therapeutic_area", F.trunc("activity_date", "month").alias("activity_month")
+    ).agg(
+        F.sum("update_count").alias("update_count"),
+        F.avg("avg_enrollment").alias("avg_enrollment"),
+        ratio(F.sum(F.col("avg_enrollment") * weight), F.sum(weight)).alias("weighted_enrollment"),
+    )
+
+
 def newest_first(trends: DataFrame) -> DataFrame:
     """Trends in reading order; a stored table keeps none."""
     return trends.orderBy(
