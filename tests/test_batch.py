@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
 import glob
+import gzip
+import itertools
 from pathlib import Path
 
 import pyarrow.parquet as pq
@@ -176,6 +179,64 @@ def test_lines_of_a_record_stay_in_their_split(spark, tmp_path):
     assert 0 < sum(s.tail > 0 for s in spanning) <= len(spanning)
 
 
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_plain_quotes_are_counted_in_the_second_pass(spark, tmp_path):
+    """No line is matched again, unless quotes inside an unquoted field make counting them useless."""
+    own = configure(spark.newSession())
+    own.conf.set("spark.sql.files.openCostInBytes", "0")
+    own.conf.set("spark.sql.files.maxPartitionBytes", "37")
+    rows = "".join(f'{i}|"two\n""lines"" {i}"|x\n' for i in range(40))
+    for name, more, matched in (("plain", "", False), ("inner", '41|"p\nq"|5" tube\n', True)):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "t.txt").write_bytes(f"id|t|u\n{rows}{more}".encode())
+        split = delimited.read_delimited_split(own, str(tmp_path / name))
+        assert ("RLIKE" in _plan(split)) is matched
+        whole, split = _both_readers(own, tmp_path / name)
+        assert split == whole and len(whole) == 40 + matched
+
+
+def test_every_short_line_leads_where_its_patterns_say(spark, tmp_path):
+    """Patterns are tried on some lines only; all lines of up to five characters agree with all patterns."""
+    texts = ["".join(t) for n in range(6) for t in itertools.product('"|a\u2028 ', repeat=n)]
+    (tmp_path / "t.txt").write_bytes("\n".join(texts).encode())
+    line = F.col("line")
+
+    def leads(*patterns):
+        return functools.reduce(
+            lambda told, p: told.when(line.rlike(p[0]), p[1]), patterns[1:],
+            F.when(line.rlike(patterns[0][0]), patterns[0][1])).otherwise(-1)
+
+    between = leads((delimited._BETWEEN_TO_BETWEEN, 0), (delimited._BETWEEN_TO_INSIDE, 1))
+    inside = leads((delimited._INSIDE_TO_INSIDE, 1), (delimited._INSIDE_TO_BETWEEN, 0))
+    got = delimited._lines(spark.read.text(str(tmp_path), lineSep="\n"))
+    assert got.count() == len(texts)
+    assert got.filter((F.col("between") != between) | (F.col("inside") != inside)).isEmpty()
+
+
+@pytest.mark.parametrize("whole_files, suffix, shuffled", [
+    (False, "", False), (True, "", True), (False, "/part.txt.gz", True)])
+def test_text_in_splits_lands_where_it_was_read(spark, tmp_path, monkeypatch, whole_files, suffix, shuffled):
+    """Rows are dealt anew only where a file cannot be split."""
+    hints = []
+    kind = type(spark.range(1))
+    hint = kind.hint
+    monkeypatch.setattr(kind, "hint", lambda self, name, *a: hints.append(name) or hint(self, name, *a))
+    texts = {"studies": "|".join(STUDY_COLUMNS) + '\nA|"x\ny"||||||||\n',
+             "sponsors": "nct_id|lead_or_collaborator|name\nA|lead|S\n",
+             "conditions": "nct_id|downcase_mesh_term\nA|asthma\n"}
+    for name, text in texts.items():
+        path = tmp_path / "snap" / (snapshots.FILES[name] + suffix)
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_bytes(gzip.compress(text.encode()) if suffix else text.encode())
+    snapshots.land_snapshot(spark, f"{tmp_path}/snap", f"{tmp_path}/landed", whole_files)
+    assert hints == ["rebalance"] * 3 * shuffled
+    landed = snapshots.read_landed(spark, f"{tmp_path}/landed")
+    assert [df.collect()[0][:2] for df in landed] == [("A", "x\ny"), ("A", "lead"), ("A", "asthma")]
+
+
 def test_splits_that_change_after_the_look_are_noticed(spark, tmp_path):
     (tmp_path / "t.txt").write_text("id|t\n" + "".join(f'{i}|"a\nb"\n' for i in range(50)))
     own = configure(spark.newSession())
@@ -266,6 +327,14 @@ def test_primary_area(spark):
     assert {r[0]: r[1] for r in trials.primary_area_ranked(df).collect()} == expected
 
 
+def test_trials_are_sorted_by_the_end_of_their_id(spark):
+    df = conditions(spark, *AREA_ROWS)
+    assert "SortAggregate(key=[_group" in _plan(trials.primary_area(df))
+    assert trials.primary_area(df).columns == ["nct_id", "therapeutic_area"]
+    leads = trials.lead_sponsors(sponsors(spark, ("A", "lead", "Zeta")))
+    assert "SortAggregate(key=[_group" in _plan(leads) and leads.columns == ["nct_id", "lead_sponsor_name"]
+
+
 def test_trials_shrink_before_their_shuffle(spark):
     df = conditions(spark, *AREA_ROWS)
     for picked, operator in ((trials.primary_area(df), "functions=[partial_min("),

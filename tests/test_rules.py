@@ -115,6 +115,16 @@ def test_bad_values_become_null(spark):
     assert [d and d.isoformat() for d in days] == ["2015-03-01", None, None, None, None]
 
 
+def test_text_that_cannot_be_whole_is_not_cast(spark):
+    """A failing cast raises an error inside, so the text is matched first; what casts stays."""
+    texts = ["\t12", "+5", "-7 ", "1\x7f", "1-", "é", "1é", "n/a", "12.\t", "+3.5", "2147483648.5"]
+    expected = [12, 5, -7, 1, None, None, None, None, None, 3, None]
+    assert _apply(spark, texts, "string", scalars.int_or_null) == expected
+    df = spark.createDataFrame([("n/a",)], "t string").select(scalars.int_or_null(F.col("t")))
+    plan = df._jdf.queryExecution().analyzed().toString()
+    assert plan.index("RLIKE") < plan.index("cast(t")
+
+
 def test_ratio_and_flag(spark):
     row = spark.range(1).select(
         scalars.ratio(F.lit(1), F.lit(4)).alias("a"),

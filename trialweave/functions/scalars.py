@@ -6,9 +6,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 def int_or_null(text: Column) -> Column:
-    """A whole number; of plain decimal text the whole part. Anything else is null."""
+    """A whole number; of plain decimal text the whole part. Anything else is null.
+
+    The cast raises and catches an error for text that does not fit, so text with other characters
+    than digits, signs and those the cast trims never gets there.
+    """
+    other = text.rlike(r"[^0-9+\-\x00-\x20\x7F]")
     decimal = F.regexp_extract(F.trim(text), r"^([+-]?[0-9]+)[.][0-9]*$", 1)
-    return F.coalesce(text.try_cast("int"), decimal.try_cast("int"))
+    return F.when(other, F.nullif(decimal, F.lit("")).try_cast("int")).otherwise(
+        text.try_cast("int")
+    )
 
 
 def date_or_null(text: Column) -> Column:

@@ -43,7 +43,9 @@ def read_delimited_split(spark: SparkSession, path: str, max_record_chars: int |
     and reports one row per split: where either state leads, and between which lines its first and last
     record end. Put together in order, these rows settle the state every split begins in. The second pass
     then joins the lines of a record where they stand; lines cross a shuffle only if their record
-    spans splits. The driver holds the one row per split.
+    spans splits. The driver holds the one row per split. Where the first pass saw every line turn the
+    state if and only if it holds an odd number of quotes, the second one counts quotes and checks no
+    line again.
 
     Refused are a line that is not sound from its state, a file that ends inside a field and a carriage
     return anywhere but at the end of a record. A lost quote can also make one long record of many;
@@ -68,6 +70,7 @@ def read_delimited_split(spark: SparkSession, path: str, max_record_chars: int |
     lines = _lines(text)
     summaries = lines.drop("line").mapInArrow(_summaries, _SUMMARY).collect()
     splits = _settled(summaries, max_record_chars)
+    lines = _lines(text, all(split.plain for split in splits.values()))
 
     def whole(batches):
         return _whole_records(batches, splits)
@@ -75,7 +78,7 @@ def read_delimited_split(spark: SparkSession, path: str, max_record_chars: int |
     def pieces(batches):
         return _pieces(batches, splits)
 
-    records = lines.drop("chars").mapInArrow(whole, "text string")
+    records = lines.drop("chars", "odd").mapInArrow(whole, "text string")
     if any(split.head or split.tail for split in splits.values()):
         parts = lines.select("file", "start", "line").mapInArrow(
             pieces, "file long, opener long, start long, n long, line string"
@@ -89,30 +92,46 @@ def read_delimited_split(spark: SparkSession, path: str, max_record_chars: int |
     return records.filter(F.col("text") != "").select(parsed.alias("record")).select("record.*")
 
 
-def _lines(text: DataFrame) -> DataFrame:
-    """(file, start, line, chars, between, inside): each line with where it leads from either state, -1 if
-    it is not sound from there. Rows of a split stand together, in order."""
+def _lines(text: DataFrame, plain: bool = False) -> DataFrame:
+    """(file, start, line, chars, odd, between, inside): each line with whether its quotes are odd in number
+    and where it leads from either state, -1 if it is not sound from there. Rows of a split stand together,
+    in order.
+
+    Patterns are dear, so each is tried only on lines that hold what it needs; with ``plain`` none is, and
+    odd quotes alone turn the state.
+    """
     line = F.col("line")
-    plain = ~line.contains('"')
+    odd = (F.octet_length(line) - F.octet_length(F.replace(line, F.lit('"'), F.lit("")))) % 2
     # A carriage return may only end a record, so a line with one cannot lead into a field.
     clean, stays = ~line.contains("\r"), ~F.col("returns")
+    # A quoted field begins at the line's beginning or behind a delimiter. Without one all fields are sound.
+    begins_behind = line.contains('|"')
+    begins = line.startswith('"') | begins_behind
+    # It ends before a delimiter or at the end, where a pattern lets one more separator of lines follow.
+    ends_before = line.contains('"|')
+    ends = ends_before | F.right(line, F.lit(2)).contains('"')
+    # Inside a field every quote is doubled, else the field ends here.
+    doubled = ~F.replace(line, F.lit('""'), F.lit("")).contains('"')
     between = (
-        F.when(clean & (plain | line.rlike(_BETWEEN_TO_BETWEEN)), 0)
-        .when(clean & stays & line.rlike(_BETWEEN_TO_INSIDE), 1)
+        F.when(clean & (~begins | (ends & line.rlike(_BETWEEN_TO_BETWEEN))), 0)
+        .when(clean & stays & begins & line.rlike(_BETWEEN_TO_INSIDE), 1)
         .otherwise(-1)
     )
     inside = (
-        F.when(clean & stays & (plain | line.rlike(_INSIDE_TO_INSIDE)), 1)
-        .when(clean & line.rlike(_INSIDE_TO_BETWEEN), 0)
+        F.when(clean & stays & (doubled | (ends_before & begins_behind & line.rlike(_INSIDE_TO_INSIDE))), 1)
+        .when(clean & ends & ~doubled & line.rlike(_INSIDE_TO_BETWEEN), 0)
         .otherwise(-1)
     )
+    if plain:
+        between, inside = odd, 1 - odd
     return text.select(
         F.xxhash64("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("start"),
-        F.regexp_replace("value", "\r$", "").alias("line"),
+        F.when(F.col("value").contains("\r"), F.regexp_replace("value", "\r$", ""))
+        .otherwise(F.col("value")).alias("line"),
         F.col("value").endswith("\r").alias("returns"),
     ).select(
-        "file", "start", "line", (F.length("line") + 1).alias("chars"),
+        "file", "start", "line", (F.length("line") + 1).alias("chars"), odd.cast("byte").alias("odd"),
         between.cast("byte").alias("between"), inside.cast("byte").alias("inside"),
     )
 
@@ -144,7 +163,7 @@ def _states_after(between: np.ndarray, inside: np.ndarray, state: int) -> np.nda
     return np.where(before == 0, between, inside)
 
 
-_SIDE = ("end", "first", "last", "head", "rest", "longest")
+_SIDE = ("end", "first", "last", "head", "rest", "longest", "plain")
 _SUMMARY = "file long, start long, lines long, " + ", ".join(
     f"{name}{state} long" for state in (0, 1) for name in _SIDE
 )
@@ -160,11 +179,15 @@ class _Side:
     head: int = 0  # characters up to the first end of a record
     rest: int = 0  # characters since the last end
     longest: int = 0  # of the records between
+    plain: int = 1  # whether lines turned the state just where their quotes are odd in number
 
-    def follow(self, between: np.ndarray, inside: np.ndarray, chars: np.ndarray, n: int) -> None:
+    def follow(
+        self, between: np.ndarray, inside: np.ndarray, odd: np.ndarray, chars: np.ndarray, n: int
+    ) -> None:
         if self.end < 0:
             return
         after = _states_after(between, inside, self.end)
+        self.plain &= int(np.array_equal(after, (self.end + np.cumsum(odd)) % 2))
         ends = np.flatnonzero(after == 0)
         read = np.cumsum(chars)
         if len(ends):
@@ -193,7 +216,7 @@ def _summaries(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if split:
                 yield row(split, n, sides)
             split, n, sides = (file, start), 0, [_Side(0), _Side(1)]
-        columns = [part.column(name).to_numpy() for name in ("between", "inside", "chars")]
+        columns = [part.column(name).to_numpy() for name in ("between", "inside", "odd", "chars")]
         for side in sides:
             side.follow(*columns, n)
         n += part.num_rows
@@ -211,6 +234,7 @@ class _Split:
     head: int = 0  # lines that belong to a record begun earlier, and the split where that begins
     opener: int = 0
     tail: int = 0  # the first line of a record that ends in a later split, 0 if there is none
+    plain: int = 0  # whether counting quotes gives the state behind each of its lines
 
 
 def _settled(summaries: list[Row], most: int | None) -> dict[tuple[int, int], _Split]:
@@ -228,6 +252,7 @@ def _settled(summaries: list[Row], most: int | None) -> dict[tuple[int, int], _S
             if state < 0:
                 continue
             side = _Side(*(row[f"{name}{state}"] for name in _SIDE))
+            split.plain = side.plain
             if state == 1 and headed:
                 split.opener, split.head = opener, side.first or row["lines"]
             if side.first:

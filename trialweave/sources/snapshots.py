@@ -33,13 +33,18 @@ def resolve_snapshot(
     return folder if path_exists(spark, folder) else f"{root}/snapshot_date={fallback}"
 
 
-def land(df: DataFrame, path: str) -> None:
+# Files under these names are decompressed from their beginning, so each is one split.
+_ONE_SPLIT = (".deflate", ".gz", ".lz4", ".snappy", ".zst")
+
+
+def land(df: DataFrame, path: str, spread: bool = True) -> None:
     """Write parsed text once as evenly sized parquet files, so later reads split and prune.
 
     Rebalancing without keys spreads the rows of an unsplittable file over the cluster, whatever
-    the keys in it look like.
+    the keys in it look like. Text read in splits is even as it is: without ``spread`` every split
+    is written where it was read, and no row is shuffled.
     """
-    df.hint("rebalance").write.mode("overwrite").parquet(path)
+    (df.hint("rebalance") if spread else df).write.mode("overwrite").parquet(path)
 
 
 def land_snapshot(
@@ -66,7 +71,8 @@ def land_snapshot(
     }
     for table, columns in used.items():
         text = read(spark, f"{folder}/{FILES[table]}")
-        land(text.select(*[F.col(name) for name in columns]), f"{target}/{table}")
+        spread = whole_files or any(name.endswith(_ONE_SPLIT) for name in text.inputFiles())
+        land(text.select(*[F.col(name) for name in columns]), f"{target}/{table}", spread)
 
 
 def read_landed(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
